@@ -3,17 +3,21 @@
 Each evaluation draws a fresh IV, so ciphertext must be written once and never
 recomputed. The key reaches executors as a one-row scalar subquery: its bytes
 are in no literal, and so in no plan text, explain output or event log.
+Expressions name the key by its column, see ``with_key``.
 """
 
 from __future__ import annotations
 
 import base64
 import binascii
+from collections.abc import Callable
 
-from pyspark.sql import Column, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, types as T
+
+from landfall.functions.sql import col, lit
 
 KEY_SIZES = (16, 24, 32)
-MODE = "GCM"
+KEY = "_aes_key"
 
 
 class KeyProblem(ValueError):
@@ -33,71 +37,89 @@ def key_column(spark: SparkSession, base64_key: str | None) -> Column:
     return spark.createDataFrame([(bytearray(raw),)], "key binary").scalar()
 
 
-def encrypt_text(c: Column, key: Column) -> Column:
+def with_key(df: DataFrame, key: Column, edit: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``edit`` a frame that has the key as a column for as long as the edit lasts."""
+    return edit(df.withColumn(KEY, key)).drop(KEY)
+
+
+def _seal(text: str) -> str:
+    return f"base64(aes_encrypt({text}, {KEY}, 'GCM'))"
+
+
+def encrypt_text(c: str) -> str:
     """Null stays null and '' stays ''; blanks are encrypted like any text."""
-    return F.when(c == "", c).otherwise(F.base64(F.aes_encrypt(c, key, F.lit(MODE))))
+    return f"CASE WHEN {c} = '' THEN {c} ELSE {_seal(c)} END"
 
 
-def decrypt_text(c: Column, key: Column) -> Column:
+def decrypt_text(c: str) -> str:
     """Null and '' give one blank; a value that is not ours fails the job."""
-    plain = F.aes_decrypt(F.unbase64(c), key, F.lit(MODE)).cast("string")
-    return F.when(c.isNull() | (c == ""), F.lit(" ")).otherwise(plain)
+    return (
+        f"CASE WHEN {c} IS NULL OR {c} = '' THEN ' ' "
+        f"ELSE cast(aes_decrypt(unbase64({c}), {KEY}, 'GCM') as string) END"
+    )
 
 
-def try_decrypt_text(c: Column, key: Column) -> Column:
+def try_decrypt_text(c: str) -> str:
     """As decrypt_text, but a damaged value gives null."""
-    plain = F.try_aes_decrypt(F.try_to_binary(c, F.lit("base64")), key, F.lit(MODE)).cast("string")
-    return F.when(c.isNull() | (c == ""), F.lit(" ")).otherwise(plain)
+    return (
+        f"CASE WHEN {c} IS NULL OR {c} = '' THEN ' ' "
+        f"ELSE cast(try_aes_decrypt(try_to_binary({c}, 'base64'), {KEY}, 'GCM') as string) END"
+    )
 
 
-def encrypt_member(c: Column, member: str, key: Column) -> Column:
+def encrypt_member(c: str, kind: T.StructType, member: str) -> str:
     """A struct with one text member encrypted."""
-    return F.when(c.isNotNull(), c.withField(member, encrypt_text(c[member], key)))
+    members = []
+    for name in kind.fieldNames():
+        value = f"{c}.{col(name)}"
+        if name == member:
+            text = value if isinstance(kind[name].dataType, T.StringType) else f"cast({value} as string)"
+            value = encrypt_text(text)
+        members.append(f"{lit(name)}, {value}")
+    return f"if({c} IS NULL, NULL, named_struct({', '.join(members)}))"
 
 
-def encrypt_members(c: Column, member: str, key: Column) -> Column:
+def encrypt_members(c: str, kind: T.ArrayType, member: str) -> str:
     """An array of structs with the member of every element encrypted."""
-    return F.transform(c, lambda e: encrypt_member(e, member, key))
+    return f"transform({c}, element -> {encrypt_member('element', kind.elementType, member)})"
 
 
-def variant_text(v: Column) -> Column:
+def variant_text(v: str) -> str:
     """Text of a JSON value: scalars as they are, lists and objects as JSON, null as null."""
-    return F.try_variant_get(v, "$", "string")
+    return f"try_variant_get({v}, '$', 'string')"
 
 
-def is_json_container(v: Column) -> Column:
-    return F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)<")
+def is_json_container(v: str) -> str:
+    return f"rlike(schema_of_variant({v}), '^(OBJECT|ARRAY)<')"
 
 
-def _sealed_object(v: Column, member: str, key: Column) -> Column:
-    def seal(name: Column, value: Column) -> Column:
-        text = variant_text(value)
-        sealed = F.parse_json(F.concat(F.lit('"'), encrypt_text(text, key), F.lit('"')))
-        hit = (name == member) & ~F.coalesce(text == "", F.lit(True)) & ~is_json_container(value)
-        return F.when(hit, sealed).otherwise(value)
-
-    return F.transform_values(F.try_variant_get(v, "$", "map<string,variant>"), seal)
+def _sealed_object(v: str, member: str) -> str:
+    text = variant_text("v")
+    sealed = f"parse_json(concat('\"', {_seal(text)}, '\"'))"
+    hit = f"k = {lit(member)} AND coalesce({text} <> '', false) AND NOT {is_json_container('v')}"
+    return (
+        f"transform_values(try_variant_get({v}, '$', 'map<string,variant>'), "
+        f"(k, v) -> CASE WHEN {hit} THEN {sealed} ELSE v END)"
+    )
 
 
-def encrypt_variant(v: Column, member: str, key: Column) -> Column:
+def encrypt_variant(c: str, member: str) -> str:
     """A JSON value as text: a scalar is encrypted whole, an object in its
     ``member`` only, a list in the ``member`` of each object element."""
-    kind = F.schema_of_variant(v)
-    items = F.transform(
-        F.try_variant_get(v, "$", "array<variant>"),
-        lambda e: F.when(
-            F.schema_of_variant(e).startswith("OBJECT<"),
-            F.to_variant_object(_sealed_object(e, member, key)),
-        ).otherwise(e),
+    kind = f"schema_of_variant({c})"
+    items = (
+        f"transform(try_variant_get({c}, '$', 'array<variant>'), element -> "
+        f"CASE WHEN startswith(schema_of_variant(element), 'OBJECT<') "
+        f"THEN to_variant_object({_sealed_object('element', member)}) ELSE element END)"
     )
     return (
-        F.when(kind.startswith("OBJECT<"), F.to_json(_sealed_object(v, member, key)))
-        .when(kind.startswith("ARRAY<"), F.to_json(items))
-        .otherwise(encrypt_text(variant_text(v), key))
+        f"CASE WHEN startswith({kind}, 'OBJECT<') THEN to_json({_sealed_object(c, member)}) "
+        f"WHEN startswith({kind}, 'ARRAY<') THEN to_json({items}) "
+        f"ELSE {encrypt_text(variant_text(c))} END"
     )
 
 
-def encrypt_json_text(c: Column, member: str, key: Column) -> Column:
+def encrypt_json_text(c: str, member: str) -> str:
     """Text that should be JSON with one secret member; text that is not is encrypted whole."""
-    v = F.try_parse_json(c)
-    return F.when(is_json_container(v), encrypt_variant(v, member, key)).otherwise(encrypt_text(c, key))
+    v = f"try_parse_json({c})"
+    return f"CASE WHEN {is_json_container(v)} THEN {encrypt_variant(v, member)} ELSE {encrypt_text(c)} END"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from landfall.functions.sql import lit
 
 ERROR_TYPE = "struct<type:string,stage:string,field:string,reason:string>"
 
@@ -10,30 +10,23 @@ PARSE = "PARSE_ERROR"
 VALIDATION = "VALIDATION_ERROR"
 BLANK = "BLANK_ROW"
 
+NO_ERROR = f"cast(NULL as {ERROR_TYPE})"
 
-def make_error(kind: str, stage: str = "", field: str = "", reason: Column | str = "") -> Column:
-    why = F.lit(reason) if isinstance(reason, str) else reason
-    return F.struct(
-        F.lit(kind).alias("type"), F.lit(stage).alias("stage"), F.lit(field).alias("field"), why.alias("reason")
-    )
 
+def make_error(kind: str, stage: str = "", field: str = "", reason: str = "''") -> str:
+    """``reason`` is an expression, the rest are texts."""
+    return f"named_struct('type', {lit(kind)}, 'stage', {lit(stage)}, 'field', {lit(field)}, 'reason', {reason})"
 
-def no_error() -> Column:
-    return F.lit(None).cast(ERROR_TYPE)
 
-
-def humanize(kind: Column, field: Column, reason: Column) -> Column:
+def humanize(kind: str, field: str, reason: str) -> str:
     """The sentence a reader of the error report sees."""
     unreadable = "json_parse_failed:"
-    return (
-        F.when(kind == BLANK, F.lit("Row is empty - all required fields are blank"))
-        .when(kind == PARSE, F.concat(F.lit("Could not parse the row: "), reason))
-        .when(F.coalesce(field, F.lit("")) == "", F.concat(F.lit("Validation failed: "), reason))
-        .when(reason == "empty", F.format_string("Required field '%s' is empty - cannot be blank", field))
-        .when(reason == "null", F.format_string("Required field '%s' is null", field))
-        .when(
-            reason.startswith(unreadable),
-            F.concat(F.lit("Row is not valid JSON: "), F.substr(reason, F.lit(len(unreadable) + 1))),
-        )
-        .otherwise(F.format_string("Field '%s' validation failed: %s", field, reason))
-    )
+    return f"""CASE
+        WHEN {kind} = '{BLANK}' THEN 'Row is empty - all required fields are blank'
+        WHEN {kind} = '{PARSE}' THEN concat('Could not parse the row: ', {reason})
+        WHEN coalesce({field}, '') = '' THEN concat('Validation failed: ', {reason})
+        WHEN {reason} = 'empty' THEN concat('Required field \\'', {field}, '\\' is empty - cannot be blank')
+        WHEN {reason} = 'null' THEN concat('Required field \\'', {field}, '\\' is null')
+        WHEN startswith({reason}, '{unreadable}')
+            THEN concat('Row is not valid JSON: ', substring({reason}, {len(unreadable) + 1}))
+        ELSE concat('Field \\'', {field}, '\\' validation failed: ', {reason}) END"""

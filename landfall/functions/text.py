@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, functions as F
+from landfall.functions.sql import lit
 
 PREVIEW_CHARS = 200
 
@@ -20,74 +20,76 @@ NULL_TOKENS = (
 )
 
 
-def strip(c: Column) -> Column:
+def replace_pattern(c: str, pattern: str, by: str = "") -> str:
+    return f"regexp_replace({c}, {lit(pattern)}, {lit(by)})"
+
+
+def strip(c: str) -> str:
     """Drop leading and trailing characters up to U+0020, not only blanks."""
-    return F.regexp_replace(c, r"^[\x00-\x20]+|[\x00-\x20]+\z", "")
+    return replace_pattern(c, r"^[\x00-\x20]+|[\x00-\x20]+\z")
 
 
-def is_blank(c: Column) -> Column:
+def is_blank(c: str) -> str:
     """Nothing but characters up to U+0020; null for null."""
-    return ~c.rlike(r"[^\x00-\x20]")
+    return f"(NOT rlike({c}, {lit(r'[^\x00-\x20]')}))"
 
 
-def split_literal(c: Column, delimiter: str) -> Column:
+def split_literal(c: str, delimiter: str) -> str:
     """Split on the delimiter itself (not a pattern), keeping trailing empties."""
-    return F.split(c, re.escape(delimiter), -1)
+    return f"split({c}, {lit(re.escape(delimiter))}, -1)"
 
 
-def split_list(c: Column, separator: str = ";") -> Column:
+def split_list(c: str, separator: str = ";") -> str:
     """Trimmed items; empties at the end do not count, an empty text is one empty item."""
-    sep = re.escape(separator)
-    kept = F.regexp_replace(c, f"(?:{sep})+\\z", "")
+    kept = replace_pattern(c, f"(?:{re.escape(separator)})+\\z")
     return (
-        F.when(c == "", F.array(F.lit("")))
-        .when(kept == "", F.array().cast("array<string>"))
-        .otherwise(F.transform(F.split(kept, sep, -1), strip))
+        f"CASE WHEN {c} = '' THEN array('') WHEN {kept} = '' THEN cast(array() as array<string>) "
+        f"ELSE transform({split_literal(kept, separator)}, item -> {strip('item')}) END"
     )
 
 
-def replace_null_tokens(c: Column) -> Column:
+def replace_null_tokens(c: str) -> str:
     """Blank out null tokens between pipes; a null line becomes an empty one."""
-    out = F.coalesce(c, F.lit(""))
+    out = f"coalesce({c}, '')"
     for pattern, blank in NULL_TOKENS:
-        out = F.regexp_replace(out, pattern, blank)
+        out = replace_pattern(out, pattern, blank)
     return out
 
 
-def replace_inner_null_tokens(c: Column) -> Column:
+def replace_inner_null_tokens(c: str) -> str:
     """Null tokens between pipes inside one value of a record that is already parsed."""
     out = c
     for pattern, blank in NULL_TOKENS:
         if not pattern.startswith("^") and not pattern.endswith("$"):
-            out = F.regexp_replace(out, pattern, blank)
-    return F.when(c.contains("|"), out).otherwise(c)
+            out = replace_pattern(out, pattern, blank)
+    return f"CASE WHEN contains({c}, '|') THEN {out} ELSE {c} END"
 
 
-def blank_null_word(c: Column) -> Column:
+def blank_null_word(c: str) -> str:
     """A value that is nothing but a null word becomes one blank."""
-    return F.when(c.isin("null", "NULL"), F.lit(" ")).otherwise(c)
+    return f"CASE WHEN {c} IN ('null', 'NULL') THEN ' ' ELSE {c} END"
 
 
-def utf16_length(c: Column) -> Column:
+def utf16_length(c: str) -> str:
     """Length in UTF-16 units, the unit in which feeds state their limits."""
-    units = (F.octet_length(F.encode(c, "UTF-16BE")) / 2).cast("int")
-    return F.when(F.octet_length(c) == F.length(c), F.length(c)).otherwise(units)
+    wide = f"cast(octet_length(encode({c}, 'UTF-16BE')) / 2 as int)"
+    return f"if(octet_length({c}) = length({c}), length({c}), {wide})"
 
 
-def preview(c: Column, chars: int = PREVIEW_CHARS) -> Column:
-    return F.when(F.length(c) > chars, F.concat(F.substring(c, 1, chars), F.lit("..."))).otherwise(c)
+def preview(c: str, chars: int = PREVIEW_CHARS) -> str:
+    return f"CASE WHEN length({c}) > {chars} THEN concat(substring({c}, 1, {chars}), '...') ELSE {c} END"
 
 
-def base_name(path: Column) -> Column:
-    return F.element_at(F.split(path, "/"), -1)
+def base_name(path: str) -> str:
+    return f"element_at(split({path}, '/'), -1)"
 
 
-def json_quote(c: Column) -> Column:
+def json_quote(c: str) -> str:
     """The value as a JSON string literal; null is the empty literal."""
-    listed = F.to_json(F.array(F.coalesce(c, F.lit(""))))
-    return F.substr(listed, F.lit(2), F.length(listed) - 2)
+    listed = f"to_json(array(coalesce({c}, '')))"
+    return f"substring({listed}, 2, length({listed}) - 2)"
 
 
-def parse_instant(c: Column) -> Column:
+def parse_instant(c: str) -> str:
     """ISO instant text to timestamp; blank or unreadable text is null."""
-    return F.try_to_timestamp(F.nullif(strip(c), F.lit("")))
+    return f"try_to_timestamp(nullif({strip(c)}, ''))"

@@ -2,13 +2,13 @@
 
 A run may be tried again under its id. Each try is an ``attempt`` (the time it
 started) and writes its events in order of ``seq``: started, counted, finished
-or failed. Two plain aggregations give the current state, so no run is ever
+or aborted. Two plain aggregations give the current state, so no run is ever
 brought into one task and no row is updated in place.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from landfall.operators.reconcile import FAILED, PASSED, RUNNING
 
@@ -18,10 +18,13 @@ REASON_CHARS = 1000
 # take back a PASSED of the same attempt.
 STARTED, COUNTED, FINISHED, ABORTED = "STARTED", "COUNTED", "FINISHED", "ABORTED"
 
-EVENT_SCHEMA = """execution_id string, attempt timestamp, seq int, kind string, event_time timestamp,
+EVENT_SCHEMA = """execution_id string, attempt timestamp, seq bigint, kind string, event_time timestamp,
     status string, expected_count bigint, actual_count bigint, failure_reason string,
     file_path string, file_name string, file_type string, target_table string"""
 
+ORIGIN = ("file_path", "file_name", "file_type", "target_table")
+COUNTS = ("expected_count", "actual_count")
+
 
 def append_events(spark: SparkSession, events: list[dict], audit_dir: str) -> None:
     """Append a handful of events of one run as one file."""
@@ -32,78 +35,72 @@ def read_events(spark: SparkSession, audit_dir: str) -> DataFrame:
     return spark.read.schema(EVENT_SCHEMA).parquet(audit_dir)
 
 
-def abort_reason(message: Column) -> Column:
-    return F.substring(F.coalesce(message, F.lit("Unknown error")), 1, REASON_CHARS)
+def abort_reason(message: str) -> str:
+    return f"substring(coalesce({message}, 'Unknown error'), 1, {REASON_CHARS})"
+
+
+def _last(c: str, order: str) -> str:
+    return f"max_by({c}, CASE WHEN {c} IS NOT NULL THEN {order} END) AS {c}"
+
+
+def _first(c: str, order: str) -> str:
+    return f"min_by({c}, CASE WHEN {c} IS NOT NULL THEN {order} END) AS {c}"
+
+
+def _agg(df: DataFrame, by: list[str], aggregates: list[str]) -> DataFrame:
+    return df.groupBy(*by).agg(*[F.expr(a) for a in aggregates])
 
 
 def attempt_states(events: DataFrame) -> DataFrame:
     """One row per run and attempt. After a PASSED, an abort of the same attempt is ignored."""
-    latest = lambda c, order="seq": F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order)))
-    aborted = F.col("kind") == ABORTED
-    passed = F.bool_or(F.coalesce(F.col("status") == PASSED, F.lit(False)))
-    failed = F.bool_or(aborted | F.coalesce(F.col("status") == FAILED, F.lit(False)))
-    at = F.col("event_time")
-    return (
-        events.groupBy("execution_id", "attempt")
-        .agg(
-            passed.alias("_passed"),
-            failed.alias("_failed"),
-            F.bool_or(F.col("kind") == STARTED).alias("_started"),
-            latest("failure_reason").alias("_reason"),
-            *[latest(c).alias(c) for c in ("expected_count", "actual_count")],
-            *[
-                F.min_by(c, F.when(F.col(c).isNotNull(), F.col("seq"))).alias(c)
-                for c in ("file_path", "file_name", "file_type", "target_table")
-            ],
-            F.min(at).alias("_first"),
-            F.max(at).alias("_last"),
-            F.max(F.when(~aborted, at)).alias("_last_kept"),
-        )
-        .select(
-            "execution_id",
-            "attempt",
-            F.when(F.col("_passed"), F.lit(PASSED))
-            .when(F.col("_failed"), F.lit(FAILED))
-            .otherwise(F.lit(RUNNING))
-            .alias("status"),
-            F.when(~F.col("_passed"), F.col("_reason")).alias("failure_reason"),
-            "expected_count", "actual_count", "file_path", "file_name", "file_type", "target_table",
-            F.col("_first").alias("first_time"),
-            F.when(F.col("_passed"), F.col("_last_kept")).otherwise(F.col("_last")).alias("last_time"),
-        )
+    return _agg(
+        events,
+        ["execution_id", "attempt"],
+        [
+            f"bool_or(coalesce(status = '{PASSED}', false)) AS _passed",
+            f"bool_or(kind = '{ABORTED}' OR coalesce(status = '{FAILED}', false)) AS _failed",
+            *[_last(c, "seq") for c in (*COUNTS, "failure_reason")],
+            *[_first(c, "seq") for c in ORIGIN],
+            "min(event_time) AS first_time",
+            "max(event_time) AS _last_time",
+            f"max(CASE WHEN kind <> '{ABORTED}' THEN event_time END) AS _last_kept",
+        ],
+    ).selectExpr(
+        "execution_id",
+        "attempt",
+        f"CASE WHEN _passed THEN '{PASSED}' WHEN _failed THEN '{FAILED}' ELSE '{RUNNING}' END AS status",
+        "CASE WHEN NOT _passed THEN failure_reason END AS failure_reason",
+        *COUNTS,
+        *ORIGIN,
+        "first_time",
+        "if(_passed, _last_kept, _last_time) AS last_time",
     )
 
 
 def run_states(events: DataFrame) -> DataFrame:
     """The current row of each run: status of the last attempt, the last known counts and
     reason (a later attempt does not clear them), and where the run first came from."""
-    last = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("attempt")))
-    first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("attempt")))
-    return (
-        attempt_states(events)
-        .groupBy("execution_id")
-        .agg(
-            *[first(c).alias(c) for c in ("file_path", "file_name", "file_type", "target_table")],
-            *[last(c).alias(c) for c in ("expected_count", "actual_count", "failure_reason")],
-            last("status").alias("status"),
-            F.min("attempt").alias("execution_timestamp"),
-            F.min("first_time").alias("creation_timestamp"),
-            F.max("last_time").alias("updated_timestamp"),
-        )
+    return _agg(
+        attempt_states(events),
+        ["execution_id"],
+        [
+            *[_first(c, "attempt") for c in ORIGIN],
+            *[_last(c, "attempt") for c in (*COUNTS, "status", "failure_reason")],
+            "min(attempt) AS execution_timestamp",
+            "min(first_time) AS creation_timestamp",
+            "max(last_time) AS updated_timestamp",
+        ],
     )
 
 
 def failure_report(states: DataFrame, execution_id: str | None = None) -> DataFrame:
-    """The details of one failed run, or of all of them."""
-    rows = states.filter(F.col("status") == FAILED) if execution_id is None else states.filter(
-        F.col("execution_id") == execution_id
-    )
-    return rows.select(
-        "execution_id", "file_path", "file_name", "file_type", "target_table", "expected_count", "actual_count",
-        (F.col("actual_count") - F.col("expected_count")).alias("difference"),
+    """The details of one run, or of all failed ones."""
+    chosen = F.col("status") == FAILED if execution_id is None else F.col("execution_id") == execution_id
+    return states.filter(chosen).selectExpr(
+        "execution_id", *ORIGIN, *COUNTS, "actual_count - expected_count AS difference",
         "status", "failure_reason", "execution_timestamp", "creation_timestamp",
     )
 
 
 def recent_runs(states: DataFrame, n: int = 5) -> DataFrame:
-    return states.orderBy(F.col("creation_timestamp").desc(), F.col("execution_id").desc()).limit(n)
+    return states.orderBy(F.desc("creation_timestamp"), F.desc("execution_id")).limit(n)

@@ -7,8 +7,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from landfall.contract import Contract
+from landfall.functions.sql import col
 from landfall.functions.text import blank_null_word, replace_inner_null_tokens
-from landfall.operators.quality import text_of
+from landfall.operators.quality import kinds_of, text_of
 
 LINEAGE = ("ingestion_timestamp", "execution_id", "source_creation_time")
 
@@ -17,21 +18,21 @@ def cleanse_nulls(df: DataFrame, columns: list[str], whole_words: bool = False)
     """Blank out null tokens between pipes inside text values; on request, also
     values that are nothing but a null word."""
 
-    def clean(c: Column) -> Column:
+    def clean(c: str) -> str:
         out = replace_inner_null_tokens(c)
-        return blank_null_word(out) if whole_words else out
+        return blank_null_word(f"({out})") if whole_words else out
 
     edits = {}
-    for f in df.schema.fields:
-        c, kind = F.col(f.name), f.dataType
-        if f.name not in columns:
+    for name, kind in kinds_of(df).items():
+        c = col(name)
+        if name not in columns:
             continue
         if isinstance(kind, T.StringType):
-            edits[f.name] = clean(c)
+            edits[name] = F.expr(clean(c))
         elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StringType):
-            edits[f.name] = F.transform(c, clean)
+            edits[name] = F.expr(f"transform({c}, x -> {clean('x')})")
         elif isinstance(kind, T.StructType) and kind.fieldNames() == ["raw"]:
-            edits[f.name] = F.when(c.isNotNull(), c.withField("raw", clean(c["raw"])))
+            edits[name] = F.expr(f"if({c} IS NULL, NULL, named_struct('raw', {clean(c + '.raw')}))")
     return df.withColumns(edits) if edits else df
 
 
@@ -39,23 +40,25 @@ def stamp(
     df: DataFrame, execution_id: str | Column, ingestion_ts: datetime | Column, source_ts: datetime | Column
 ) -> DataFrame:
     """Lineage columns. Literals are fixed by the caller once per run, never drawn per row."""
-    run = execution_id if isinstance(execution_id, Column) else F.lit(execution_id)
-    at = ingestion_ts if isinstance(ingestion_ts, Column) else F.lit(ingestion_ts)
-    made = source_ts if isinstance(source_ts, Column) else F.lit(source_ts)
+    run, at, made = (
+        v if isinstance(v, Column) else F.lit(v) for v in (execution_id, ingestion_ts, source_ts)
+    )
     return df.withColumns(
         {"ingestion_timestamp": at, "execution_id": F.coalesce(run, F.lit(" ")), "source_creation_time": made}
     )
 
 
-def warehouse_columns(df: DataFrame, contract: Contract) -> list[Column]:
-    """Plain fields, then encrypted ones under their warehouse name, all as text; null is one blank."""
-    kinds = {f.name: f.dataType for f in df.schema.fields}
-    plain = [f for f in contract.fields if not f.encrypt]
-    return [
-        F.coalesce(text_of(F.col(f.name), kinds[f.name]), F.lit(" ")).alias(f.warehouse_name)
-        for f in [*plain, *contract.encrypted]
-    ]
+def warehouse_names(contract: Contract) -> list[str]:
+    """Plain fields, then encrypted ones under their warehouse name."""
+    return [f.warehouse_name for f in [*(f for f in contract.fields if not f.encrypt), *contract.encrypted]]
+
+
+def warehouse_texts(df: DataFrame, contract: Contract) -> dict[str, str]:
+    """Each warehouse column as text; null is one blank."""
+    kinds = kinds_of(df)
+    fields = [*(f for f in contract.fields if not f.encrypt), *contract.encrypted]
+    return {f.warehouse_name: f"coalesce({text_of(col(f.name), kinds[f.name])}, ' ')" for f in fields}
 
 
 def warehouse_projection(df: DataFrame, contract: Contract) -> DataFrame:
-    return df.select(*warehouse_columns(df, contract), *LINEAGE)
+    return df.selectExpr(*[f"{e} AS {col(n)}" for n, e in warehouse_texts(df, contract).items()], *LINEAGE)

@@ -6,26 +6,28 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from landfall.contract import Contract, FieldRule
 from landfall.functions import crypto
+from landfall.functions.sql import col
+from landfall.operators.quality import kinds_of
 
 MEMBER = "phone"
-KEY = "_aes_key"
 
 
-def _sealed(c: Column, kind: T.DataType, rule: FieldRule, strict: bool, key: Column) -> Column:
+def sealed(c: str, kind: T.DataType, rule: FieldRule, strict: bool) -> str:
+    """The protected form of one field; needs the key column."""
     if isinstance(kind, T.VariantType):
-        return crypto.encrypt_variant(c, MEMBER, key)
+        return crypto.encrypt_variant(c, MEMBER)
     if isinstance(kind, T.StructType):
         members = kind.fieldNames()
         if MEMBER in members:
-            return crypto.encrypt_member(c, MEMBER, key)
+            return crypto.encrypt_member(c, kind, MEMBER)
         # A wrapped text of unknown shape has no phone member to single out.
-        return crypto.encrypt_member(c, "raw", key) if strict and members == ["raw"] else c
+        return crypto.encrypt_member(c, kind, "raw") if strict and members == ["raw"] else c
     if isinstance(kind, T.ArrayType):
         nested = isinstance(kind.elementType, T.StructType) and MEMBER in kind.elementType.fieldNames()
-        return crypto.encrypt_members(c, MEMBER, key) if nested else c
+        return crypto.encrypt_members(c, kind, MEMBER) if nested else c
     if rule.encrypt == "phone":
-        return crypto.encrypt_json_text(c, MEMBER, key)
-    return crypto.encrypt_text(c, key)
+        return crypto.encrypt_json_text(c, MEMBER)
+    return crypto.encrypt_text(c)
 
 
 def encrypt_columns(df: DataFrame, contract: Contract, key: Column | None) -> DataFrame:
@@ -35,16 +37,17 @@ def encrypt_columns(df: DataFrame, contract: Contract, key: Column | None) -> Da
         return df
     if key is None:
         raise crypto.KeyProblem("the contract encrypts fields but no AES key was given")
-    kinds = {f.name: f.dataType for f in df.schema.fields}
-    good = F.col("_error").isNull() if "_error" in df.columns else F.lit(True)
+    kinds = kinds_of(df)
+    good = "_error IS NULL" if "_error" in df.columns else "true"
     strict = contract.policy.empty_nested_is_blank
-    sealed = {
-        f.name: F.when(good, _sealed(F.col(f.name), kinds[f.name], f, strict, F.col(KEY))) for f in rules
+    edits = {
+        f.name: F.expr(f"CASE WHEN {good} THEN {sealed(col(f.name), kinds[f.name], f, strict)} END") for f in rules
     }
-    return df.withColumn(KEY, key).withColumns(sealed).drop(KEY)
+    return crypto.with_key(df, key, lambda keyed: keyed.withColumns(edits))
 
 
 def decrypt_columns(df: DataFrame, columns: list[str], key: Column, damaged_to_null: bool = False) -> DataFrame:
     """The inverse for text columns, wherever they are stored."""
     read = crypto.try_decrypt_text if damaged_to_null else crypto.decrypt_text
-    return df.withColumn(KEY, key).withColumns({c: read(F.col(c), F.col(KEY)) for c in columns}).drop(KEY)
+    edits = {c: F.expr(read(col(c))) for c in columns}
+    return crypto.with_key(df, key, lambda keyed: keyed.withColumns(edits))

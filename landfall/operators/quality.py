@@ -2,155 +2,141 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from landfall.contract import Contract, FieldRule
 from landfall.functions.crypto import variant_text
-from landfall.functions.errors import BLANK, VALIDATION, make_error, no_error
+from landfall.functions.errors import BLANK, NO_ERROR, VALIDATION, make_error
+from landfall.functions.sql import col, lit
 from landfall.functions.text import is_blank, utf16_length
 
 STAGE = "warehouse"
 
 
-def text_of(c: Column, kind: T.DataType) -> Column:
+def kinds_of(df: DataFrame) -> dict[str, T.DataType]:
+    return {f.name: f.dataType for f in df.schema.fields}
+
+
+def text_of(c: str, kind: T.DataType) -> str:
     """The stored text of a value: scalars as they are, nested values as JSON."""
     if isinstance(kind, T.VariantType):
         return variant_text(c)
     if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
-        return F.to_json(c)
-    return c if isinstance(kind, T.StringType) else c.cast("string")
+        return f"to_json({c})"
+    return c if isinstance(kind, T.StringType) else f"cast({c} as string)"
 
 
-def is_null(c: Column, kind: T.DataType) -> Column:
+def is_null(c: str, kind: T.DataType) -> str:
     if isinstance(kind, T.VariantType):
-        return c.isNull() | F.is_variant_null(c)
-    return c.isNull()
+        return f"({c} IS NULL OR is_variant_null({c}))"
+    return f"({c} IS NULL)"
 
 
-def is_empty(c: Column, kind: T.DataType, look_inside: bool) -> Column:
+def is_empty(c: str, kind: T.DataType, look_inside: bool) -> str:
     """Nothing but blanks. Lists and objects only count as empty when ``look_inside``."""
     if isinstance(kind, T.StringType):
         empty = is_blank(c)
     elif isinstance(kind, T.VariantType):
         empty = is_blank(variant_text(c))
     elif not look_inside:
-        return F.lit(False)
+        return "false"
     elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StringType):
-        empty = F.forall(c, lambda x: F.coalesce(is_blank(x), F.lit(True)))
-    elif isinstance(kind, T.StructType):
-        texts = [m.name for m in kind.fields if isinstance(m.dataType, T.StringType)]
-        if len(texts) < len(kind.fields):
-            return F.lit(False)
-        empty = F.coalesce(is_blank(F.concat(*[F.coalesce(c[m], F.lit("")) for m in texts])), F.lit(True))
+        empty = f"forall({c}, x -> coalesce({is_blank('x')}, true))"
+    elif isinstance(kind, T.StructType) and all(isinstance(m.dataType, T.StringType) for m in kind.fields):
+        texts = ", ".join(f"{c}.{col(m)}" for m in kind.fieldNames())
+        empty = is_blank(f"concat_ws('', {texts})")
     else:
-        return F.lit(False)
-    return F.coalesce(empty, F.lit(False))
+        return "false"
+    return f"coalesce({empty}, false)"
 
 
-def all_of(conditions: list[Column]) -> Column:
-    out = conditions[0]
-    for c in conditions[1:]:
-        out = out & c
-    return out
+def first_error(cases: list[tuple[str, str]]) -> str:
+    """CASE over (condition, error) pairs; a list without any gives no error."""
+    if not cases:
+        return NO_ERROR
+    return "CASE " + " ".join(f"WHEN {cond} THEN {err}" for cond, err in cases) + " END"
 
 
-def blank_row(df: DataFrame, contract: Contract) -> Column:
+def blank_row(df: DataFrame, contract: Contract) -> str:
     """Every required field (every field, if none is required) is missing, null or empty."""
-    kinds = {f.name: f.dataType for f in df.schema.fields}
+    kinds = kinds_of(df)
     inside = contract.policy.empty_nested_is_blank
     rules = contract.required
     if not rules:
         if not inside:
-            return F.lit(True)
+            return "true"
         rules = list(contract.fields)
-    return all_of(
-        [
-            is_null(F.col(f.name), kinds[f.name]) | is_empty(F.col(f.name), kinds[f.name], inside)
-            for f in rules
-        ]
+    return " AND ".join(
+        f"({is_null(col(f.name), kinds[f.name])} OR {is_empty(col(f.name), kinds[f.name], inside)})" for f in rules
     )
 
 
-def required_error(df: DataFrame, contract: Contract) -> Column:
+def required_error(df: DataFrame, contract: Contract) -> str:
     """The first required field, in contract order, that is missing, null or empty."""
-    kinds = {f.name: f.dataType for f in df.schema.fields}
-    inside = contract.policy.empty_nested_is_blank
-    absent = F.lit("missing") if contract.policy.reject_missing else F.lit(None).cast("string")
-    found = []
+    kinds = kinds_of(df)
+    cases = []
     for f in contract.required:
-        c, kind = F.col(f.name), kinds[f.name]
-        listed = F.coalesce(F.array_contains("_missing", f.name), F.lit(False))
-        reason = F.when(is_null(c, kind), F.when(listed, absent).otherwise(F.lit("null"))).when(
-            is_empty(c, kind, inside), F.lit("empty")
-        )
-        found.append(F.when(reason.isNotNull(), make_error(VALIDATION, STAGE, f.name, reason)))
-    return F.coalesce(*found) if found else no_error()
-
-
-def length_ok(c: Column, rule: FieldRule) -> Column:
+        c, kind = col(f.name), kinds[f.name]
+        null = is_null(c, kind)
+        listed = f"coalesce(array_contains(_missing, {lit(f.name)}), false)"
+        if contract.policy.reject_missing:
+            reason = f"if({listed}, 'missing', 'null')"
+            cases.append((null, make_error(VALIDATION, STAGE, f.name, reason)))
+        else:
+            cases.append((f"{null} AND NOT {listed}", make_error(VALIDATION, STAGE, f.name, "'null'")))
+        empty = is_empty(c, kind, contract.policy.empty_nested_is_blank)
+        if empty != "false":
+            cases.append((empty, make_error(VALIDATION, STAGE, f.name, "'empty'")))
+    return first_error(cases)
+
+
+def length_ok(c: str, rule: FieldRule) -> str:
     """The length rule of one value: null is rejected, and so is an empty required value."""
     low = rule.min_length or 0
     size = utf16_length(c)
-    ok = size >= low
-    if rule.max_length is not None:
-        ok = ok & (size <= rule.max_length)
+    ok = f"{size} >= {low}" if rule.max_length is None else f"{size} BETWEEN {low} AND {rule.max_length}"
     if rule.required:
-        ok = ok & (c != "")
-    return F.coalesce(ok, F.lit(False))
-
-
-def _length_reason(c: Column, rule: FieldRule) -> Column:
-    limit = "" if rule.max_length is None else rule.max_length
-    return F.when(
-        c.isNotNull() & ~length_ok(c, rule),
-        F.concat(F.lit("length "), utf16_length(c).cast("string"), F.lit(f" outside {rule.min_length or 0}..{limit}")),
-    )
-
-
-def _storage_reason(c: Column, rule: FieldRule) -> Column:
-    reason = F.when(F.lit(rule.not_null) & c.isNull(), F.lit("null in a NOT NULL column"))
+        ok += f" AND {c} <> ''"
+    return f"coalesce({ok}, false)"
+
+
+def _rule_cases(c: str, rule: FieldRule, check_lengths: bool) -> list[tuple[str, str]]:
+    """(broken, reason) of each rule about one value."""
+    cases = []
+    if check_lengths and (rule.min_length is not None or rule.max_length is not None):
+        limits = f" outside {rule.min_length or 0}..{'' if rule.max_length is None else rule.max_length}"
+        reason = f"concat('length ', {utf16_length(c)}, {lit(limits)})"
+        cases.append((f"{c} IS NOT NULL AND NOT {length_ok(c, rule)}", reason))
+    if rule.not_null:
+        cases.append((f"{c} IS NULL", lit("null in a NOT NULL column")))
     if rule.width is not None:
-        reason = reason.when(F.length(c) > rule.width, F.lit(f"longer than VARCHAR({rule.width})"))
+        cases.append((f"length({c}) > {rule.width}", lit(f"longer than VARCHAR({rule.width})")))
     if rule.allowed:
-        reason = reason.when(~c.isin(*rule.allowed), F.lit("not one of " + "/".join(rule.allowed)))
-    return reason
-
-
-def _form_reason(c: Column, rule: FieldRule) -> Column:
-    filled = c.isNotNull() & ~is_blank(c)
-    reason = F.when(~filled, None)
+        values = ", ".join(lit(v) for v in rule.allowed)
+        cases.append((f"{c} NOT IN ({values})", lit("not one of " + "/".join(rule.allowed))))
+    filled = f"NOT {is_blank(c)}"
     if rule.type:
-        reason = reason.when(c.try_cast(rule.type).isNull(), F.lit(f"not a {rule.type}"))
+        cases.append((f"{filled} AND try_cast({c} as {rule.type}) IS NULL", lit(f"not a {rule.type}")))
     if rule.pattern:
-        reason = reason.when(~c.rlike(rule.pattern), F.lit("does not match the pattern"))
-    return reason
+        cases.append((f"{filled} AND NOT rlike({c}, {lit(rule.pattern)})", lit("does not match the pattern")))
+    return cases
 
 
-def value_errors(df: DataFrame, contract: Contract) -> Column:
+def value_errors(df: DataFrame, contract: Contract) -> str:
     """The first length, storage, type or pattern rule that a value breaks."""
-    kinds = {f.name: f.dataType for f in df.schema.fields}
-    found = []
+    kinds = kinds_of(df)
+    cases = []
     for f in contract.fields:
-        c = text_of(F.col(f.name), kinds[f.name])
-        reasons = []
-        if contract.policy.check_lengths and (f.min_length is not None or f.max_length is not None):
-            reasons.append(_length_reason(c, f))
-        if f.not_null or f.width is not None or f.allowed:
-            reasons.append(_storage_reason(c, f))
-        if f.type or f.pattern:
-            reasons.append(_form_reason(c, f))
-        if reasons:
-            reason = F.coalesce(*reasons, F.lit(None).cast("string"))
-            found.append(F.when(reason.isNotNull(), make_error(VALIDATION, STAGE, f.name, reason)))
-    return F.coalesce(*found) if found else no_error()
+        text = text_of(col(f.name), kinds[f.name])
+        for broken, reason in _rule_cases(text, f, contract.policy.check_lengths):
+            cases.append((broken, make_error(VALIDATION, STAGE, f.name, reason)))
+    return first_error(cases)
 
 
 def validate(df: DataFrame, contract: Contract) -> DataFrame:
     """Parsed rows with ``_error`` completed: parse errors stay, then blank, required, value rules."""
-    checked = F.coalesce(
-        "_error",
-        F.when(blank_row(df, contract), make_error(BLANK, STAGE)),
-        required_error(df, contract),
-        value_errors(df, contract),
+    checked = (
+        f"coalesce(_error, CASE WHEN {blank_row(df, contract)} THEN {make_error(BLANK, STAGE)} END, "
+        f"{required_error(df, contract)}, {value_errors(df, contract)})"
     )
-    return df.withColumn("_error", checked)
+    return df.withColumn("_error", F.expr(checked))

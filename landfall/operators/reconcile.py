@@ -2,35 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from landfall.functions.sql import col
 
 PASSED, FAILED, RUNNING = "PASSED", "FAILED", "RUNNING"
 
 
 def load_counts(df: DataFrame, by: str = "execution_id") -> DataFrame:
     """Rows per run; counted in the scan tasks first, so one huge run is no hot spot."""
-    return df.groupBy(by).agg(F.count(F.lit(1)).alias("actual_count"))
-
-
-def verdict(expected: Column, actual: Column) -> Column:
-    return F.when(expected.isNull() | (expected == actual), F.lit(PASSED)).otherwise(F.lit(FAILED))
-
-
-def mismatch_reason(expected: Column, actual: Column) -> Column:
-    text = F.format_string(
-        "Record count mismatch! Expected: %d, Actual: %d, Difference: %d", expected, actual, actual - expected
-    )
-    return F.when(expected != actual, text)
+    return df.groupBy(by).agg(F.count("*").alias("actual_count"))
 
 
 def reconcile(expected: DataFrame, actual: DataFrame, by: str = "execution_id") -> DataFrame:
     """Both sides hold one row per run. A run that loaded nothing has count 0; no control file passes."""
-    want, got = F.col("expected_count"), F.coalesce("actual_count", F.lit(0))
-    return expected.join(actual, by, "full").select(
-        by,
-        want.alias("expected_count"),
-        got.alias("actual_count"),
-        (got - want).alias("difference"),
-        verdict(want, got).alias("status"),
-        mismatch_reason(want, got).alias("failure_reason"),
+    return (
+        expected.join(actual, by, "full")
+        .selectExpr(col(by), "expected_count", "coalesce(actual_count, 0) AS actual_count")
+        .selectExpr(
+            "*",
+            "actual_count - expected_count AS difference",
+            f"if(expected_count <> actual_count, '{FAILED}', '{PASSED}') AS status",
+            """CASE WHEN expected_count <> actual_count THEN concat('Record count mismatch! Expected: ', expected_count,
+                ', Actual: ', actual_count, ', Difference: ', actual_count - expected_count) END AS failure_reason""",
+        )
     )

@@ -2,76 +2,67 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from landfall.functions.errors import BLANK, PARSE, VALIDATION, humanize
+from landfall.functions.sql import lit
 from landfall.functions.text import preview
 
 
 def valid_rows(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("_error").isNull())
+    return df.filter("_error IS NULL")
 
 
 def error_rows(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("_error").isNotNull())
+    return df.filter("_error IS NOT NULL")
 
 
-def outcome(error: Column) -> Column:
-    return F.when(error.isNull(), F.lit("valid")).otherwise(F.lit("error"))
-
-
-def is_envelope(line: Column) -> Column:
+def is_envelope(line: str) -> str:
     """Text that carries an error marker in front."""
-    return line.rlike(r"^(PARSE_ERROR|VALIDATION_ERROR|ERROR|BLANK)\|")
+    return f"rlike({line}, {lit(r'^(PARSE_ERROR|VALIDATION_ERROR|ERROR|BLANK)\|')})"
 
 
-def read_envelope(line: Column) -> Column:
-    """An error envelope (``TYPE|...``) to type, stage, field, message and data.
+def read_envelopes(df: DataFrame, line: str, into: str) -> DataFrame:
+    """Error envelopes (``TYPE|...``) to a struct of type, stage, field, message and data.
 
     Parts are pipe-separated, so data ends at its first pipe; a marker with too
     few parts is of unknown type and its message is the whole line.
     """
-    parts = F.split(line, r"\|", -1)
-    part = lambda i: F.get(parts, F.lit(i))
-    size, marker = F.size(parts), part(0)
-    empty = F.lit("")
-
-    def struct(kind, stage, field, message, data):
-        return F.struct(
-            F.lit(kind).alias("type"), stage.alias("stage"), field.alias("field"),
-            message.alias("message"), data.alias("data"),
-        )
 
-    return (
-        F.when(
-            (marker == "PARSE_ERROR") & (size >= 4),
-            struct(PARSE, part(1), empty, humanize(F.lit(PARSE), empty, part(2)), part(3)),
-        )
-        .when(
-            (marker == "VALIDATION_ERROR") & (size >= 5),
-            struct(VALIDATION, part(1), part(2), humanize(F.lit(VALIDATION), part(2), part(3)), part(4)),
+    def struct(kind: str, stage: str, field: str, message: str, data: str) -> str:
+        return (
+            f"named_struct('type', '{kind}', 'stage', {stage}, 'field', {field}, "
+            f"'message', {message}, 'data', {data})"
         )
-        .when((marker == "ERROR") & (size >= 3), struct("ERROR", empty, empty, part(1), part(2)))
-        .when(
-            (marker == "BLANK") & (size >= 2),
-            struct(BLANK, empty, empty, humanize(F.lit(BLANK), empty, empty), part(1)),
-        )
-        .otherwise(struct("UNKNOWN", empty, empty, line, empty))
+
+    p = [f"get(_parts, {i})" for i in range(5)]
+    parse = struct(PARSE, p[1], "''", humanize(f"'{PARSE}'", "''", p[2]), p[3])
+    invalid = struct(VALIDATION, p[1], p[2], humanize(f"'{VALIDATION}'", p[2], p[3]), p[4])
+    blank = struct(BLANK, "''", "''", humanize(f"'{BLANK}'", "''", "''"), p[1])
+    return df.selectExpr("*", f"split({line}, '[|]', -1) AS _parts").selectExpr(
+        *[f"`{c}`" for c in df.columns],
+        f"""CASE
+            WHEN {p[0]} = 'PARSE_ERROR' AND size(_parts) >= 4 THEN {parse}
+            WHEN {p[0]} = 'VALIDATION_ERROR' AND size(_parts) >= 5 THEN {invalid}
+            WHEN {p[0]} = 'ERROR' AND size(_parts) >= 3 THEN {struct('ERROR', "''", "''", p[1], p[2])}
+            WHEN {p[0]} = 'BLANK' AND size(_parts) >= 2 THEN {blank}
+            ELSE {struct('UNKNOWN', "''", "''", line, "''")} END AS {into}""",
     )
 
 
-def error_report(at: Column, kind: Column, stage: Column, field: Column, message: Column, data: Column) -> Column:
+def error_report(at: str, kind: str, stage: str, field: str, message: str, data: str) -> str:
     """The text block of one rejected row; lines without content are left out."""
 
-    def line(label: str, c: Column) -> Column:
-        return F.when(F.coalesce(c, F.lit("")) != "", F.concat(F.lit(label.ljust(14) + ": "), c))
+    def line(label: str, c: str, always: bool = False) -> str:
+        text = f"concat({lit(label.ljust(14) + ': ')}, {c})"
+        return text if always else f"CASE WHEN coalesce({c}, '') <> '' THEN {text} END"
 
-    return F.concat_ws(
-        "\n",
+    lines = [
         line("Timestamp", at),
         line("Error Type", kind),
         line("Stage", stage),
         line("Field", field),
-        F.concat(F.lit("Message".ljust(14) + ": "), message),
+        line("Message", message, always=True),
         line("Data", preview(data)),
-    )
+    ]
+    return f"concat_ws('\\n', {', '.join(lines)})"

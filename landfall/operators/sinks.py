@@ -44,18 +44,13 @@ def write_table(df: DataFrame, path: str, partitions: list[str]) -> None:
 
 def write_error_text(errors: DataFrame, path: str) -> None:
     """The readable report, in as many files as there are partitions."""
-    at = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
-    blocks = errors.select(
-        F.concat(
-            error_report(at, F.col("error_type"), F.col("stage"), F.col("field"), F.col("message"), F.col("data")),
-            F.lit("\n"),
-        ).alias("value")
-    )
-    blocks.write.mode("overwrite").text(path)
+    at = "date_format(ingestion_timestamp, \"yyyy-MM-dd'T'HH:mm:ss.SSSXXX\")"
+    block = error_report(at, "error_type", "stage", "field", "message", "data")
+    errors.selectExpr(f"concat({block}, '\\n') AS value").write.mode("overwrite").text(path)
 
 
 def with_message(df: DataFrame) -> DataFrame:
-    return df.withColumn("message", humanize(F.col("error_type"), F.col("field"), F.col("reason")))
+    return df.withColumn("message", F.expr(humanize("error_type", "field", "reason")))
 
 
 def jdbc_options(url: str, table: str, user: str, password: str, driver: str, batch: int, connections: int) -> dict:

@@ -8,14 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from landfall.contract import Contract
-from landfall.sources.delimited import drop_header
+from landfall.functions.sql import lit
+from landfall.functions.text import replace_pattern
+from landfall.sources.delimited import drop_header, header_start
 from landfall.sources.feed import separator_of
 from landfall.sources.json_records import json_chunks, json_documents, json_lines
 from landfall.sources.scan import file_sizes, scan_text
-from landfall.sources.xml_rows import chunk_separator, row_fragments
+from landfall.sources.xml_rows import chunk_separator, holds_row, row_fragments
 
 # Sizes that apply when the caller states none. On a cluster,
 # state a target near the block size of the storage instead.
@@ -23,22 +25,22 @@ THRESHOLD_KB = 5120
 TARGET_KB = 1024
 
 
-def needs_split(length: Column, threshold_kb: int = THRESHOLD_KB) -> Column:
+def needs_split(length: str, threshold_kb: int = THRESHOLD_KB) -> str:
     """Whole kilobytes above the threshold; a file that is not there has no length."""
-    return F.coalesce(F.floor(length / 1024) > threshold_kb, F.lit(False))
+    return f"coalesce(floor({length} / 1024) > {threshold_kb}, false)"
 
 
-def part_count(length: Column, target_kb: int = TARGET_KB) -> Column:
-    return F.greatest(F.lit(1), (length / 1024.0 / target_kb + 0.999).cast("int"))
+def part_count(length: str, target_kb: int = TARGET_KB) -> str:
+    return f"greatest(1, cast({length} / 1024D / {target_kb} + 0.999D as int))"
 
 
 def split_plan(spark: SparkSession, paths, threshold_kb: int = THRESHOLD_KB, target_kb: int = TARGET_KB) -> DataFrame:
     """Which files to split and into how many parts, from the listing alone."""
-    return file_sizes(spark, paths).select(
+    return file_sizes(spark, paths).selectExpr(
         "path",
         "length",
-        needs_split(F.col("length"), threshold_kb).alias("split"),
-        part_count(F.col("length"), target_kb).alias("parts"),
+        f"{needs_split('length', threshold_kb)} AS split",
+        f"{part_count('length', target_kb)} AS parts",
     )
 
 
@@ -51,9 +53,15 @@ def _sized_session(spark: SparkSession, target_kb: int) -> SparkSession:
     return session
 
 
-def first_in_partition() -> Column:
-    """True on the first row of each partition: its id has no row bits set."""
-    return F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+# True on the first row of each partition: its id has no row bits set.
+FIRST_IN_PARTITION = f"monotonically_increasing_id() & {(1 << 33) - 1}L = 0"
+
+
+def prepend_line(rows: DataFrame, line: str) -> DataFrame:
+    """A line before the ``value`` rows of each partition, and so of each part."""
+    return rows.selectExpr(
+        f"explode(if({FIRST_IN_PARTITION}, array({lit(line)}, value), array(value))) AS value"
+    )
 
 
 def _wrapper(head: str, tail: str):
@@ -82,17 +90,18 @@ def wrap_partitions(rows: DataFrame, head: str, tail: str) -> DataFrame:
 
 
 def _source_rows(session: SparkSession, path, contract: Contract, target_kb: int) -> DataFrame:
+    one_line = replace_pattern("value", r"[\r\n]+", " ")
     if contract.format == "JSON" and contract.is_json_array and not contract.record_end:
         # Only the parse of a whole document knows its records, so these are dealt out afterwards.
-        n = file_sizes(session, path).agg(F.sum(part_count(F.col("length"), target_kb))).first()[0]
+        n = file_sizes(session, path).agg(F.expr(f"sum({part_count('length', target_kb)})")).first()[0]
         records = json_documents(scan_text(session, path, whole_file=True))
-        flat = F.regexp_replace("_document", r"[\r\n]+", " ")
-        return records.select(F.coalesce("value", flat).alias("value")).repartition(int(n))
+        rows = records.selectExpr("coalesce(value, _document) AS value").selectExpr(f"{one_line} AS value")
+        return rows.repartition(int(n))
     lines = scan_text(session, path, line_sep=separator_of(contract)).select("value")
+    if contract.format == "JSON" and contract.is_json_array:
+        return json_chunks(lines, contract.record_end).selectExpr(f"{one_line} AS value")
     if contract.format == "JSON":
-        return json_chunks(lines, contract.record_end).select(
-            F.regexp_replace("value", r"[\r\n]+", " ").alias("value")
-        ) if contract.is_json_array else json_lines(lines)
+        return json_lines(lines)
     if contract.format == "XML":
         return row_fragments(lines, contract.row_tag, keep_unclosed=True)
     return drop_header(lines, contract) if contract.format == "CSV" else lines
@@ -116,10 +125,7 @@ def split_files(
     session = _sized_session(spark, target_kb)
     rows = _source_rows(session, path, contract, target_kb)
     if contract.format == "CSV" and contract.has_header:
-        title = F.lit(header or contract.delimiter.join(contract.names))
-        rows = rows.select(
-            F.explode(F.when(first_in_partition(), F.array(title, "value")).otherwise(F.array("value"))).alias("value")
-        )
+        rows = prepend_line(rows, header or contract.delimiter.join(contract.names))
     elif contract.format == "XML":
         root = root_tag or contract.row_tag + "s"
         rows = wrap_partitions(rows, f"<{root}>", f"</{root}>")
@@ -129,25 +135,24 @@ def split_files(
 
 def part_manifest(spark: SparkSession, out_dir: str, contract: Contract) -> DataFrame:
     """Path, rows and bytes of each part, counted where the parts are read."""
-    line_sep = chunk_separator(contract.row_tag) if contract.format == "XML" else None
-    reader = spark.read.option("lineSep", line_sep) if line_sep else spark.read
-    text = F.col("value")
+    reader = spark.read
+    is_row = "true"
     if contract.format == "XML":
-        is_row = F.locate(f"<{contract.row_tag}>", text) > 0
+        reader = reader.option("lineSep", chunk_separator(contract.row_tag))
+        is_row = holds_row(contract.row_tag)
     elif contract.format == "CSV" and contract.has_header:
-        is_row = ~text.startswith(contract.names[0] + contract.delimiter)
-    else:
-        is_row = F.lit(True)
+        is_row = f"NOT startswith(value, {header_start(contract)})"
     return (
         reader.text(out_dir)
-        .groupBy(F.col("_metadata.file_path").alias("part"), F.col("_metadata.file_size").alias("bytes"))
-        .agg(F.sum(is_row.cast("bigint")).alias("rows"))
+        .selectExpr("_metadata.file_path AS part", "_metadata.file_size AS bytes", f"{is_row} AS is_row")
+        .groupBy("part", "bytes")
+        .agg(F.expr("count_if(is_row) AS rows"))
     )
 
 
 def manifest_totals(manifest: DataFrame) -> DataFrame:
     return manifest.agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows"),
-        F.count("part").alias("part_count"),
-        F.round(F.sum("bytes") / 1024, 2).alias("total_kb"),
+        F.expr("coalesce(sum(rows), 0) AS total_rows"),
+        F.expr("count(part) AS part_count"),
+        F.expr("round(sum(bytes) / 1024, 2) AS total_kb"),
     )

@@ -10,13 +10,13 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from landfall.contract import Contract
-from landfall.functions.crypto import encrypt_text, key_column
+from landfall.functions.crypto import encrypt_text, key_column, with_key
+from landfall.functions.sql import col, ddl, lit
 from landfall.operators import audit
-from landfall.operators.enrich import cleanse_nulls, stamp, warehouse_columns
-from landfall.operators.protect import KEY, encrypt_columns
-from landfall.operators.quality import text_of, validate
+from landfall.operators.enrich import LINEAGE, cleanse_nulls, stamp, warehouse_names, warehouse_texts
+from landfall.operators.protect import encrypt_columns
+from landfall.operators.quality import kinds_of, text_of, validate
 from landfall.operators.reconcile import load_counts, reconcile
-from landfall.operators.routing import outcome
 from landfall.operators.sinks import run_dir, with_message, write_landing
 from landfall.sources.control import expected_count
 from landfall.sources.feed import read_feed
@@ -24,18 +24,14 @@ from landfall.sources.feed import read_feed
 ERROR_COLUMNS = ("error_type", "stage", "field", "reason", "data", "raw_record")
 
 
-def _row_text(df: DataFrame, contract: Contract) -> Column:
+def _row_text(df: DataFrame, contract: Contract) -> str:
     """The row as JSON for the error report, secret fields masked."""
-    kinds = {f.name: f.dataType for f in df.schema.fields}
+    kinds = kinds_of(df)
     secret = {f.name for f in contract.fields if f.encrypt or f.sensitive}
-    return F.to_json(
-        F.struct(
-            *[
-                (F.lit("***") if n in secret else text_of(F.col(n), kinds[n])).alias(n)
-                for n in contract.names
-            ]
-        )
+    members = ", ".join(
+        f"{lit(n)}, {lit('***') if n in secret else text_of(col(n), kinds[n])}" for n in contract.names
     )
+    return f"to_json(named_struct({members}))"
 
 
 def landing_rows(
@@ -52,50 +48,39 @@ def landing_rows(
     is kept encrypted and its readable text is masked.
     """
     checked = validate(cleanse_nulls(parsed, contract.names), contract)
-    bad = F.col("_error").isNotNull()
-    err = F.col("_error")
-    guarded = contract.holds_secrets and key is not None
-    named = checked.withColumn(
-        "_data", F.when(bad & (err["type"] != "PARSE_ERROR"), _row_text(checked, contract))
-    )
-    sealed = encrypt_columns(named, contract, key)
-    raw = F.col("_raw")
-    if guarded:
-        sealed = sealed.withColumn(KEY, key)
-        raw = encrypt_text(raw, F.col(KEY))
-    elif not contract.holds_secrets:
-        sealed = sealed.withColumn("_data", F.coalesce("_data", F.when(bad, F.col("_raw"))))
+    report = f"CASE WHEN _error.type <> 'PARSE_ERROR' THEN {_row_text(checked, contract)}"
+    report += " END" if contract.holds_secrets else " WHEN _error IS NOT NULL THEN _raw END"
+    named = encrypt_columns(checked.withColumn("_data", F.expr(report)), contract, key)
     made = F.col("_source_ts") if "_source_ts" in parsed.columns else ingestion_ts
-    source = F.col("_source_file") if "_source_file" in parsed.columns else F.lit(None).cast("string")
-    stamped = stamp(sealed, execution_id, ingestion_ts, made)
-    columns = warehouse_columns(stamped, contract)
-    names = [f.warehouse_name for f in [*(f for f in contract.fields if not f.encrypt), *contract.encrypted]]
-    return stamped.select(
-        *[F.when(~bad, c).alias(n) for c, n in zip(columns, names, strict=True)],
-        "ingestion_timestamp",
-        "execution_id",
-        "source_creation_time",
-        source.alias("source_file"),
-        err["type"].alias("error_type"),
-        err["stage"].alias("stage"),
-        err["field"].alias("field"),
-        err["reason"].alias("reason"),
-        F.col("_data").alias("data"),
-        F.when(bad, raw).alias("raw_record"),
-        outcome(err).alias("outcome"),
-    )
+    stamped = stamp(named, execution_id, ingestion_ts, made)
+    texts = warehouse_texts(stamped, contract)
+    origin = "_source_file" if "_source_file" in parsed.columns else "cast(NULL as string)"
+    hide_raw = contract.holds_secrets and key is not None
+
+    def shape(df: DataFrame) -> DataFrame:
+        raw = encrypt_text("_raw") if hide_raw else "_raw"
+        return df.selectExpr(
+            *[f"CASE WHEN _error IS NULL THEN {e} END AS {col(n)}" for n, e in texts.items()],
+            *LINEAGE,
+            f"{origin} AS source_file",
+            "_error.type AS error_type",
+            "_error.stage AS stage",
+            "_error.field AS field",
+            "_error.reason AS reason",
+            "_data AS data",
+            f"CASE WHEN _error IS NOT NULL THEN {raw} END AS raw_record",
+            "if(_error IS NULL, 'valid', 'error') AS outcome",
+        )
+
+    return with_key(stamped, key, shape) if hide_raw else shape(stamped)
 
 
 def landing_schema(contract: Contract) -> str:
     """Stated, not inferred: no file is opened to plan a read, and ids stay text."""
-    plain = [f for f in contract.fields if not f.encrypt]
-    texts = [f.warehouse_name for f in [*plain, *contract.encrypted]]
-    return ", ".join(
-        [f"`{n}` string" for n in texts]
-        + ["ingestion_timestamp timestamp", "source_creation_time timestamp", "source_file string"]
-        + [f"`{n}` string" for n in ERROR_COLUMNS]
-        + ["execution_id string", "outcome string"]
-    )
+    texts = dict.fromkeys(warehouse_names(contract), "string")
+    times = {"ingestion_timestamp": "timestamp", "source_creation_time": "timestamp"}
+    rest = dict.fromkeys(("source_file", *ERROR_COLUMNS, "execution_id", "outcome"), "string")
+    return ddl(texts | times | rest)
 
 
 def read_landing(spark: SparkSession, location: str, contract: Contract) -> DataFrame:

@@ -4,55 +4,50 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from landfall.functions.sql import col
 from landfall.functions.text import strip
 from landfall.sources.scan import scan_text
 
 
 class ControlFileError(ValueError):
-    """The control file is there but does not state a record count."""
+    """The control file does not state a record count."""
 
 
-def control_entries(lines: DataFrame) -> DataFrame:
-    """``value`` lines to key and value, without comments, blanks and lines that lack '='."""
-    line = strip(F.col("value"))
-    pair = F.split(line, "=", 2)
-    carried = [c for c in lines.columns if c != "value"]
-    return lines.filter(~line.startswith("#") & line.contains("=")).select(
-        *carried, strip(F.get(pair, F.lit(0))).alias("key"), strip(F.get(pair, F.lit(1))).alias("value")
-    )
-
+def control_counts(lines: DataFrame, by: str, order: str) -> DataFrame:
+    """One row per control file of ``value`` lines: its count, or why there is none.
 
-def control_counts(lines: DataFrame, by: str, order: Column | str) -> DataFrame:
-    """One row per control file: its count, or why there is none. The last entry wins."""
-    line = strip(F.col("value"))
-    pair = F.split(line, "=", 2)
-    rank = F.col(order) if isinstance(order, str) else order
-    is_count = ~line.startswith("#") & line.contains("=") & (strip(F.get(pair, F.lit(0))) == "record_count")
-    count = F.expr("try_cast(stated as bigint)")
+    Comments, blanks and lines without '=' say nothing; the last entry wins.
+    ``order`` is an expression that follows the lines of a file.
+    """
+    pair = "split(value, '=', 2)"
+    is_count = (
+        f"NOT startswith({strip('value')}, '#') AND size({pair}) = 2 "
+        f"AND {strip(f'get({pair}, 0)')} = 'record_count'"
+    )
     return (
-        lines.select(
-            by,
-            F.when(is_count, strip(F.get(pair, F.lit(1)))).alias("_stated"),
-            F.when(is_count, rank).alias("_rank"),
+        lines.selectExpr(
+            col(by),
+            f"CASE WHEN {is_count} THEN {strip(f'get({pair}, 1)')} END AS _stated",
+            f"CASE WHEN {is_count} THEN {order} END AS _rank",
         )
         .groupBy(by)
         .agg(F.max_by("_stated", "_rank").alias("stated"))
-        .select(
-            by,
-            count.alias("expected_count"),
-            F.when(F.coalesce("stated", F.lit("")) == "", F.lit("missing 'record_count' attribute"))
-            .when(count.isNull(), F.format_string("invalid 'record_count' value '%s'", F.col("stated")))
-            .alias("problem"),
+        .selectExpr(
+            col(by),
+            "try_cast(stated as bigint) AS expected_count",
+            """CASE WHEN coalesce(stated, '') = '' THEN 'missing \\'record_count\\' attribute'
+                WHEN try_cast(stated as bigint) IS NULL
+                    THEN concat('invalid \\'record_count\\' value \\'', stated, '\\'') END AS problem""",
         )
     )
 
 
 def read_control_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Counts of many control files; each is far smaller than one file split, so line order is id order."""
-    lines = scan_text(spark, paths).select("value", F.col("_source_file").alias("control_file"))
-    return control_counts(lines, "control_file", F.monotonically_increasing_id())
+    lines = scan_text(spark, paths).selectExpr("value", "_source_file AS control_file", "monotonically_increasing_id() AS _line")
+    return control_counts(lines, "control_file", "_line")
 
 
 def expected_count(spark: SparkSession, path: str | None) -> int | None:

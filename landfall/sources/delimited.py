@@ -2,25 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from landfall.contract import Contract, FieldRule
 from landfall.functions.errors import BLANK, PARSE, make_error
+from landfall.functions.sql import array, col, lit
 from landfall.functions.text import is_blank, split_list, split_literal
 
 
+def header_start(contract: Contract) -> str:
+    return lit(contract.names[0] + contract.delimiter)
+
+
 def drop_header(lines: DataFrame, contract: Contract) -> DataFrame:
     """Every line that starts with the first field's name is a header line."""
     if not contract.has_header:
         return lines
-    return lines.filter(~F.col("value").startswith(contract.names[0] + contract.delimiter))
+    return lines.filter(f"NOT startswith(value, {header_start(contract)})")
 
 
-def _cell(part: Column, rule: FieldRule) -> Column:
+def _cell(part: str, rule: FieldRule) -> str:
     if rule.shape == "list":
         return split_list(part)
     if rule.shape == "object":
-        return F.when(part.isNotNull(), F.struct(part.alias("raw")))
+        return f"if({part} IS NULL, NULL, named_struct('raw', {part}))"
     return part
 
 
@@ -30,22 +35,20 @@ def parse_delimited(lines: DataFrame, contract: Contract) -> DataFrame:
     Values beyond the last field are kept in ``_overflow``; fields beyond the
     last value are null and listed in ``_missing``.
     """
-    names, n = contract.names, len(contract.names)
-    carried = [c for c in lines.columns if c != "value"]
-    parts, raw = F.col("_parts"), F.col("_raw")
-    split = drop_header(lines.filter(F.col("value").isNotNull()), contract).select(
-        *carried, F.col("value").alias("_raw"), split_literal(F.col("value"), contract.delimiter).alias("_parts")
+    n = len(contract.names)
+    carried = [col(c) for c in lines.columns if c != "value"]
+    split = drop_header(lines.filter("value IS NOT NULL"), contract).selectExpr(
+        *carried, "value AS _raw", f"{split_literal('value', contract.delimiter)} AS _parts"
     )
-    surplus = F.format_string("%d values for %d fields", F.size(parts), F.lit(n))
-    error = F.when(is_blank(raw), make_error(BLANK, "csv"))
-    if contract.policy.reject_overflow:
-        error = error.when(F.size(parts) > n, make_error(PARSE, "csv", reason=surplus))
-    all_names = F.array(*[F.lit(x) for x in names])
-    return split.select(
+    surplus = f"concat(size(_parts), ' values for {n} fields')"
+    too_long = f"WHEN size(_parts) > {n} THEN {make_error(PARSE, 'csv', reason=surplus)}"
+    names = array([lit(x) for x in contract.names])
+    return split.selectExpr(
         *carried,
         "_raw",
-        *[_cell(F.get(parts, F.lit(i)), f).alias(f.name) for i, f in enumerate(contract.fields)],
-        F.when(F.size(parts) < n, F.slice(all_names, F.size(parts) + 1, F.lit(n))).alias("_missing"),
-        F.when(F.size(parts) > n, F.slice(parts, F.lit(n + 1), F.size(parts) - n)).alias("_overflow"),
-        error.alias("_error"),
+        *[f"{_cell(f'get(_parts, {i})', f)} AS {col(f.name)}" for i, f in enumerate(contract.fields)],
+        f"CASE WHEN size(_parts) < {n} THEN slice({names}, size(_parts) + 1, {n}) END AS _missing",
+        f"CASE WHEN size(_parts) > {n} THEN slice(_parts, {n + 1}, size(_parts) - {n}) END AS _overflow",
+        f"CASE WHEN {is_blank('_raw')} THEN {make_error(BLANK, 'csv')} "
+        f"{too_long if contract.policy.reject_overflow else ''} END AS _error",
     )

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from landfall.contract import Contract
 from landfall.functions.errors import PARSE, make_error
-from landfall.functions.text import is_blank, strip
+from landfall.functions.sql import array, col, ddl, lit, options
+from landfall.functions.text import is_blank, replace_pattern, strip
 
 READ_OPTIONS = {
     "mode": "PERMISSIVE",
@@ -14,54 +15,51 @@ READ_OPTIONS = {
     "allowSingleQuotes": "false",
     "allowNonNumericNumbers": "false",
 }
+MALFORMED = make_error(PARSE, "json", reason=lit("malformed JSON"))
+
+
+def from_json(text: str, schema: str) -> str:
+    return f"from_json({text}, {lit(schema)}, {options(READ_OPTIONS)})"
 
 
 def json_lines(lines: DataFrame) -> DataFrame:
     """One document per line; blank lines are skipped."""
-    return lines.filter(~is_blank(F.col("value")))
+    return lines.filter(f"NOT {is_blank('value')}")
 
 
 def json_chunks(chunks: DataFrame, record_end: str) -> DataFrame:
     """Elements of a large array file that was scanned with ``record_end``
     (such as a newline, the element indent and a brace) as the separator."""
-    body = F.regexp_replace(F.col("value"), r"^[\x00-\x20,\[]+", "")
-    rest = ~body.startswith("{")
-    return (
-        chunks.withColumn("value", F.when(rest, body).otherwise(F.concat(body, F.lit(record_end))))
-        .filter(~F.regexp_replace(F.col("value"), r"[\x00-\x20\]]+\z", "").eqNullSafe(""))
+    body = replace_pattern("value", r"^[\x00-\x20,\[]+")
+    rows = chunks.selectExpr(
+        *[col(c) for c in chunks.columns if c != "value"],
+        f"CASE WHEN startswith({body}, '{{') THEN concat({body}, {lit(record_end)}) ELSE {body} END AS value",
     )
+    return rows.filter(f"{replace_pattern('value', r'[\x00-\x20\]]+\z')} <> ''")
 
 
-def _document_records(doc: Column) -> Column:
+def _document_records(doc: str) -> str:
     """Elements of an array, one object, or the lines of JSON-lines text; null if none of these."""
     body = strip(doc)
-    lines = F.filter(F.split(doc, r"\r?\n", -1), lambda x: ~is_blank(x))
-    is_lines = F.forall(lines, lambda x: strip(x).startswith("{"))
-    return (
-        F.when(body == "", F.array().cast("array<string>"))
-        .when(body.startswith("["), F.from_json(body, "array<string>", READ_OPTIONS))
-        .when(
-            body.startswith("{"),
-            F.coalesce(
-                F.from_json(F.concat(F.lit("["), body, F.lit("]")), "array<string>", READ_OPTIONS),
-                F.when(is_lines, lines),
-            ),
-        )
-    )
+    lines = f"filter(split({doc}, {lit(r'\r?\n')}, -1), l -> NOT {is_blank('l')})"
+    wrapped = f"concat('[', {body}, ']')"
+    objects_only = f"forall({lines}, l -> startswith({strip('l')}, '{{'))"
+    return f"""CASE WHEN {body} = '' THEN cast(array() as array<string>)
+        WHEN startswith({body}, '[') THEN {from_json(body, 'array<string>')}
+        WHEN startswith({body}, '{{') THEN coalesce(
+            {from_json(wrapped, 'array<string>')}, CASE WHEN {objects_only} THEN {lines} END) END"""
 
 
 def json_documents(docs: DataFrame, keep_non_objects: bool = True) -> DataFrame:
     """Whole documents to records. A malformed document stays one null record
     with its text in ``_document``, so that it turns into one error row."""
-    carried = [c for c in docs.columns if c != "value"]
-    rows = docs.withColumn("_records", _document_records(F.col("value"))).select(
+    carried = [col(c) for c in docs.columns if c != "value"]
+    rows = docs.selectExpr(*carried, "value", f"{_document_records('value')} AS _records").selectExpr(
         *carried,
-        F.when(F.col("_records").isNull(), F.col("value")).alias("_document"),
-        F.explode(F.coalesce("_records", F.array(F.lit(None).cast("string")))).alias("value"),
+        "CASE WHEN _records IS NULL THEN value END AS _document",
+        "explode(coalesce(_records, array(cast(NULL as string)))) AS value",
     )
-    if keep_non_objects:
-        return rows
-    return rows.filter(F.col("value").isNull() | F.col("value").startswith("{"))
+    return rows if keep_non_objects else rows.filter("value IS NULL OR startswith(value, '{')")
 
 
 def parse_json_records(records: DataFrame, contract: Contract) -> DataFrame:
@@ -70,23 +68,20 @@ def parse_json_records(records: DataFrame, contract: Contract) -> DataFrame:
     Fields are text (nested values as JSON text); fields to be encrypted are
     variants, since what is encrypted depends on the value's own shape.
     """
-    carried = [c for c in records.columns if c not in ("value", "_document")]
-    text = F.col("value")
-    raw = F.coalesce(text, F.col("_document")) if "_document" in records.columns else text
+    carried = [col(c) for c in records.columns if c not in ("value", "_document")]
+    raw = "coalesce(value, _document)" if "_document" in records.columns else "value"
     kinds = {f.name: "variant" if f.encrypt == "value" else "string" for f in contract.fields}
-    schema = ", ".join(f"`{n}` {k}" for n, k in kinds.items()) + ", `_corrupt` string"
-    parsed = records.select(*carried, raw.alias("_raw"), F.from_json(text, schema, READ_OPTIONS).alias("_rec"))
-    rec = F.col("_rec")
+    schema = ddl(kinds | {"_corrupt": "string"})
+    fields = {n: f"_rec.{col(n)}" for n in contract.names}
+    bad = "(_rec IS NULL OR _rec._corrupt IS NOT NULL)"
     # The keys are only listed for rows with some null field.
-    some_null = F.greatest(*[rec[n].isNull() for n in contract.names], F.lit(False))
-    absent = F.array_except(
-        F.array(*[F.lit(n) for n in contract.names]), F.coalesce(F.json_object_keys("_raw"), F.array())
-    )
-    bad = rec.isNull() | rec["_corrupt"].isNotNull()
-    return parsed.select(
+    some_null = " OR ".join(f"{c} IS NULL" for c in fields.values())
+    names = array([lit(n) for n in contract.names])
+    absent = f"array_except({names}, coalesce(json_object_keys(_raw), {array([])}))"
+    return records.selectExpr(*carried, f"{raw} AS _raw", f"{from_json('value', schema)} AS _rec").selectExpr(
         *carried,
         "_raw",
-        *[rec[n].alias(n) for n in contract.names],
-        F.when(~bad & some_null, absent).alias("_missing"),
-        F.when(bad, make_error(PARSE, "json", reason="malformed JSON")).alias("_error"),
+        *[f"{c} AS {col(n)}" for n, c in fields.items()],
+        f"CASE WHEN NOT {bad} AND ({some_null}) THEN {absent} END AS _missing",
+        f"CASE WHEN {bad} THEN {MALFORMED} END AS _error",
     )

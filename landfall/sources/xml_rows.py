@@ -7,10 +7,11 @@ and a damaged record costs that record, not the file.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from landfall.contract import Contract
 from landfall.functions.errors import PARSE, make_error
+from landfall.functions.sql import col, ddl, lit, options
 from landfall.functions.text import split_literal
 
 READ_OPTIONS = {
@@ -19,48 +20,50 @@ READ_OPTIONS = {
     "ignoreSurroundingSpaces": "false",
     "nullValue": "\u0001",
 }
+MALFORMED = make_error(PARSE, "xml", reason=lit("malformed XML"))
+FLAT_SHAPES = ("text", "list", "object")
 
 
 def chunk_separator(row_tag: str) -> str:
     return f"/{row_tag}>"
 
 
+def holds_row(row_tag: str) -> str:
+    return f"contains(value, {lit(f'<{row_tag}>')})"
+
+
 def chunks_of_documents(docs: DataFrame, row_tag: str) -> DataFrame:
     """The same chunks for documents that are already rows."""
-    return docs.withColumn("value", F.explode(split_literal(F.col("value"), chunk_separator(row_tag))))
+    carried = [col(c) for c in docs.columns if c != "value"]
+    return docs.selectExpr(*carried, f"explode({split_literal('value', chunk_separator(row_tag))}) AS value")
 
 
 def row_fragments(chunks: DataFrame, row_tag: str, keep_unclosed: bool = False) -> DataFrame:
     """One fragment per row element; chunks without an opening tag hold none."""
-    text = F.col("value")
-    start = F.locate(f"<{row_tag}>", text)
-    closed = text.endswith("<")
-    fragment = F.substr(text, start)
-    rows = chunks.filter(start > 0)
+    carried = [col(c) for c in chunks.columns if c != "value"]
+    rows = chunks.filter(holds_row(row_tag))
     if not keep_unclosed:
-        rows = rows.filter(closed)
-    return rows.withColumn(
-        "value", F.when(closed, F.concat(fragment, F.lit(chunk_separator(row_tag)))).otherwise(fragment)
-    )
+        rows = rows.filter("endswith(value, '<')")
+    fragment = f"substring(value, locate({lit(f'<{row_tag}>')}, value))"
+    tail = f"if(endswith(value, '<'), {lit(chunk_separator(row_tag))}, '')"
+    return rows.selectExpr(*carried, f"concat({fragment}, {tail}) AS value")
 
 
 def parse_xml_fragments(fragments: DataFrame, contract: Contract) -> DataFrame:
     """``value`` fragments to contract columns: text, or the declared nested shape."""
-    carried = [c for c in fragments.columns if c != "value"]
-    flat = ("text", "list", "object")
-    schema = ", ".join(
-        f"`{f.name}` {'string' if f.shape in flat else f.shape}" for f in contract.fields
-    ) + ", `_corrupt` string"
-    parsed = fragments.select(
-        *carried, F.col("value").alias("_raw"), F.from_xml("value", schema, READ_OPTIONS).alias("_rec")
-    )
-    rec = F.col("_rec")
-    absent = F.array_compact(F.array(*[F.when(rec[n].isNull(), F.lit(n)) for n in contract.names]))
-    bad = rec.isNull() | rec["_corrupt"].isNotNull()
-    return parsed.select(
+    carried = [col(c) for c in fragments.columns if c != "value"]
+    kinds = {f.name: "string" if f.shape in FLAT_SHAPES else f.shape for f in contract.fields}
+    schema = ddl(kinds | {"_corrupt": "string"})
+    fields = {n: f"_rec.{col(n)}" for n in contract.names}
+    bad = "(_rec IS NULL OR _rec._corrupt IS NOT NULL)"
+    some_null = " OR ".join(f"{c} IS NULL" for c in fields.values())
+    absent = ", ".join(f"CASE WHEN {c} IS NULL THEN {lit(n)} END" for n, c in fields.items())
+    return fragments.selectExpr(
+        *carried, "value AS _raw", f"from_xml(value, {lit(schema)}, {options(READ_OPTIONS)}) AS _rec"
+    ).selectExpr(
         *carried,
         "_raw",
-        *[rec[n].alias(n) for n in contract.names],
-        F.when(~bad, F.when(F.size(absent) > 0, absent)).alias("_missing"),
-        F.when(bad, make_error(PARSE, "xml", reason="malformed XML")).alias("_error"),
+        *[f"{c} AS {col(n)}" for n, c in fields.items()],
+        f"CASE WHEN NOT {bad} AND ({some_null}) THEN array_compact(array({absent})) END AS _missing",
+        f"CASE WHEN {bad} THEN {MALFORMED} END AS _error",
     )
