@@ -43,7 +43,9 @@ def with_key(df: DataFrame, key: Column, edit: Callable[[DataFrame], DataFrame])
 
 
 def _seal(text: str) -> str:
-    return f"base64(aes_encrypt({text}, {KEY}, 'GCM'))"
+    # base64() may break its result into lines of 76 characters.
+    line_break = lit("\r\n")
+    return f"replace(base64(aes_encrypt({text}, {KEY}, 'GCM')), {line_break}, '')"
 
 
 def encrypt_text(c: str) -> str:

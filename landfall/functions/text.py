@@ -24,14 +24,22 @@ def replace_pattern(c: str, pattern: str, by: str = "") -> str:
     return f"regexp_replace({c}, {lit(pattern)}, {lit(by)})"
 
 
+# The characters up to U+0020, as escapes of a SQL literal.
+BLANKS = "'" + "".join(f"\\u{i:04x}" for i in range(0x21)) + "'"
+
+
 def strip(c: str) -> str:
     """Drop leading and trailing characters up to U+0020, not only blanks."""
-    return replace_pattern(c, r"^[\x00-\x20]+|[\x00-\x20]+\z")
+    return f"trim(BOTH {BLANKS} FROM {c})"
+
+
+def strip_start(c: str) -> str:
+    return f"trim(LEADING {BLANKS} FROM {c})"
 
 
 def is_blank(c: str) -> str:
-    """Nothing but characters up to U+0020; null for null."""
-    return f"(NOT rlike({c}, {lit(r'[^\x00-\x20]')}))"
+    """Nothing but characters up to U+0020; null for null. Looks no further than the first other one."""
+    return f"({strip_start(c)} = '')"
 
 
 def split_literal(c: str, delimiter: str) -> str:

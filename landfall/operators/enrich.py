@@ -16,24 +16,39 @@ LINEAGE = ("ingestion_timestamp", "execution_id", "source_creation_time")
 
 def cleanse_nulls(df: DataFrame, columns: list[str], whole_words: bool = False) -> DataFrame:
     """Blank out null tokens between pipes inside text values; on request, also
-    values that are nothing but a null word."""
-
-    def clean(c: str) -> str:
-        out = replace_inner_null_tokens(c)
-        return blank_null_word(f"({out})") if whole_words else out
-
-    edits = {}
-    for name, kind in kinds_of(df).items():
+    values that are nothing but a null word.
+
+    The values go through one lambda as an array, and only for rows whose raw
+    text has a pipe at all, so the compiled code does not grow with the contract.
+    """
+    kinds = {n: k for n, k in kinds_of(df).items() if n in columns}
+    texts = {n: col(n) for n, k in kinds.items() if isinstance(k, T.StringType)}
+    wraps = [n for n, k in kinds.items() if isinstance(k, T.StructType) and k.fieldNames() == ["raw"]]
+    lists = [n for n, k in kinds.items() if isinstance(k, T.ArrayType) and isinstance(k.elementType, T.StringType)]
+    texts |= {n: f"{col(n)}.raw" for n in wraps}
+    if not texts and not lists:
+        return df
+    clean = replace_inner_null_tokens("x")
+    if whole_words:
+        clean = blank_null_word(f"({clean})")
+    guard = "contains(_raw, '|')" if "_raw" in df.columns and not whole_words else "true"
+    places = list(texts)
+
+    def cleansed(name: str) -> str:
         c = col(name)
-        if name not in columns:
-            continue
-        if isinstance(kind, T.StringType):
-            edits[name] = F.expr(clean(c))
-        elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StringType):
-            edits[name] = F.expr(f"transform({c}, x -> {clean('x')})")
-        elif isinstance(kind, T.StructType) and kind.fieldNames() == ["raw"]:
-            edits[name] = F.expr(f"if({c} IS NULL, NULL, named_struct('raw', {clean(c + '.raw')}))")
-    return df.withColumns(edits) if edits else df
+        if name in lists:
+            return f"CASE WHEN {guard} THEN transform({c}, x -> {clean}) ELSE {c} END"
+        if name not in texts:
+            return c
+        value = f"get(_clean, {places.index(name)})"
+        if name in wraps:
+            value = f"if({c} IS NULL, NULL, named_struct('raw', {value}))"
+        return f"if(_clean IS NULL, {c}, {value})"
+
+    cells = f"transform(array({', '.join(texts.values())}), x -> {clean})" if texts else "NULL"
+    return df.selectExpr("*", f"CASE WHEN {guard} THEN {cells} END AS _clean").selectExpr(
+        *[f"{cleansed(n)} AS {col(n)}" for n in df.columns]
+    )
 
 
 def stamp(

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from landfall.contract import Contract, FieldRule
+from landfall.contract import Contract, FieldRule, Policy
 from landfall.functions.crypto import variant_text
 from landfall.functions.errors import BLANK, NO_ERROR, VALIDATION, make_error
-from landfall.functions.sql import col, lit
+from landfall.functions.sql import array, col, lit
 from landfall.functions.text import is_blank, utf16_length
 
 STAGE = "warehouse"
@@ -50,44 +50,66 @@ def is_empty(c: str, kind: T.DataType, look_inside: bool) -> str:
     return f"coalesce({empty}, false)"
 
 
-def first_error(cases: list[tuple[str, str]]) -> str:
-    """CASE over (condition, error) pairs; a list without any gives no error."""
-    if not cases:
-        return NO_ERROR
-    return "CASE " + " ".join(f"WHEN {cond} THEN {err}" for cond, err in cases) + " END"
+def _cell(name: str, kind: T.DataType, look_inside: bool) -> str:
+    """A text that is null, blank or filled just as the value is."""
+    c = col(name)
+    if isinstance(kind, T.StringType):
+        return c
+    return f"CASE WHEN {is_null(c, kind)} THEN NULL WHEN {is_empty(c, kind, look_inside)} THEN '' ELSE 'x' END"
 
 
-def blank_row(df: DataFrame, contract: Contract) -> str:
-    """Every required field (every field, if none is required) is missing, null or empty."""
+def _cells(df: DataFrame, rules: list[FieldRule], policy: Policy) -> str:
     kinds = kinds_of(df)
-    inside = contract.policy.empty_nested_is_blank
+    return "array(" + ", ".join(_cell(f.name, kinds[f.name], policy.empty_nested_is_blank) for f in rules) + ")"
+
+
+def _names(rules: list[FieldRule]) -> str:
+    return array([lit(f.name) for f in rules])
+
+
+def blank_row(df: DataFrame, contract: Contract) -> str:
+    """Every required field (every field, if none is required) is missing, null or empty.
+
+    The first field is looked at on its own: where it is filled, as it mostly
+    is, no array is built.
+    """
     rules = contract.required
     if not rules:
-        if not inside:
+        if not contract.policy.empty_nested_is_blank:
             return "true"
         rules = list(contract.fields)
-    return " AND ".join(
-        f"({is_null(col(f.name), kinds[f.name])} OR {is_empty(col(f.name), kinds[f.name], inside)})" for f in rules
-    )
+    first = _cell(rules[0].name, kinds_of(df)[rules[0].name], contract.policy.empty_nested_is_blank)
+    rest = f"forall({_cells(df, rules, contract.policy)}, x -> x IS NULL OR {is_blank('x')})"
+    return f"(({first}) IS NULL OR {is_blank(f'({first})')}) AND {rest}"
 
 
 def required_error(df: DataFrame, contract: Contract) -> str:
-    """The first required field, in contract order, that is missing, null or empty."""
-    kinds = kinds_of(df)
-    cases = []
-    for f in contract.required:
-        c, kind = col(f.name), kinds[f.name]
-        null = is_null(c, kind)
-        listed = f"coalesce(array_contains(_missing, {lit(f.name)}), false)"
-        if contract.policy.reject_missing:
-            reason = f"if({listed}, 'missing', 'null')"
-            cases.append((null, make_error(VALIDATION, STAGE, f.name, reason)))
-        else:
-            cases.append((f"{null} AND NOT {listed}", make_error(VALIDATION, STAGE, f.name, "'null'")))
-        empty = is_empty(c, kind, contract.policy.empty_nested_is_blank)
-        if empty != "false":
-            cases.append((empty, make_error(VALIDATION, STAGE, f.name, "'empty'")))
-    return first_error(cases)
+    """The first required field, in contract order, that is missing, null or empty.
+
+    The fields go through one lambda as an array, so neither the plan nor the
+    compiled code grows with their number.
+    """
+    rules = contract.required
+    if not rules:
+        return NO_ERROR
+    cells, names = _cells(df, rules, contract.policy), _names(rules)
+    listed = f"coalesce(array_contains(_missing, get({names}, i)), false)"
+    if contract.policy.reject_missing:
+        reason = f"CASE WHEN x IS NULL THEN if({listed}, 'missing', 'null') WHEN {is_blank('x')} THEN 'empty' END"
+    else:
+        reason = f"CASE WHEN x IS NULL THEN if({listed}, NULL, 'null') WHEN {is_blank('x')} THEN 'empty' END"
+    broken = f"exists({cells}, x -> x IS NULL OR {is_blank('x')})"
+    found = _first_found(f"transform({cells}, (x, i) -> {reason})", names)
+    return f"CASE WHEN {broken} THEN {found} END"
+
+
+def _first_found(reasons: str, names: str) -> str:
+    """The error of the first non-null reason in a list that is parallel to ``names``."""
+    listed = (
+        f"filter(transform({reasons}, (r, i) -> named_struct('type', '{VALIDATION}', 'stage', '{STAGE}', "
+        f"'field', get({names}, i), 'reason', r)), e -> e.reason IS NOT NULL)"
+    )
+    return f"get({listed}, 0)"
 
 
 def length_ok(c: str, rule: FieldRule) -> str:
@@ -100,13 +122,28 @@ def length_ok(c: str, rule: FieldRule) -> str:
     return f"coalesce({ok}, false)"
 
 
-def _rule_cases(c: str, rule: FieldRule, check_lengths: bool) -> list[tuple[str, str]]:
-    """(broken, reason) of each rule about one value."""
+def length_error(df: DataFrame, contract: Contract) -> str:
+    """The first value, in contract order, that is shorter or longer than its field allows."""
+    rules = [f for f in contract.fields if f.min_length is not None or f.max_length is not None]
+    if not rules or not contract.policy.check_lengths:
+        return NO_ERROR
+    kinds = kinds_of(df)
+    texts = "array(" + ", ".join(text_of(col(f.name), kinds[f.name]) for f in rules) + ")"
+    names = _names(rules)
+    top = 2**31 - 1
+    low = "get(array(" + ", ".join(str(f.min_length or 0) for f in rules) + "), i)"
+    high = "get(array(" + ", ".join(str(top if f.max_length is None else f.max_length) for f in rules) + "), i)"
+    size = utf16_length("x")
+    outside = f"NOT {size} BETWEEN {low} AND {high}"
+    limit = f"if({high} = {top}, '', cast({high} as string))"
+    reason = f"CASE WHEN {outside} THEN concat('length ', {size}, ' outside ', {low}, '..', {limit}) END"
+    broken = f"exists(transform({texts}, (x, i) -> coalesce({outside}, false)), b -> b)"
+    return f"CASE WHEN {broken} THEN {_first_found(f'transform({texts}, (x, i) -> {reason})', names)} END"
+
+
+def _rule_cases(c: str, rule: FieldRule) -> list[tuple[str, str]]:
+    """(broken, reason) of the storage, type and pattern rules about one value."""
     cases = []
-    if check_lengths and (rule.min_length is not None or rule.max_length is not None):
-        limits = f" outside {rule.min_length or 0}..{'' if rule.max_length is None else rule.max_length}"
-        reason = f"concat('length ', {utf16_length(c)}, {lit(limits)})"
-        cases.append((f"{c} IS NOT NULL AND NOT {length_ok(c, rule)}", reason))
     if rule.not_null:
         cases.append((f"{c} IS NULL", lit("null in a NOT NULL column")))
     if rule.width is not None:
@@ -122,21 +159,43 @@ def _rule_cases(c: str, rule: FieldRule, check_lengths: bool) -> list[tuple[str,
     return cases
 
 
-def value_errors(df: DataFrame, contract: Contract) -> str:
-    """The first length, storage, type or pattern rule that a value breaks."""
+def value_cases(df: DataFrame, contract: Contract) -> list[str]:
+    """A WHEN branch per storage, type or pattern rule, in contract order."""
     kinds = kinds_of(df)
-    cases = []
-    for f in contract.fields:
-        text = text_of(col(f.name), kinds[f.name])
-        for broken, reason in _rule_cases(text, f, contract.policy.check_lengths):
-            cases.append((broken, make_error(VALIDATION, STAGE, f.name, reason)))
-    return first_error(cases)
+    return [
+        f"WHEN {broken} THEN {make_error(VALIDATION, STAGE, f.name, reason)}"
+        for f in contract.fields
+        for broken, reason in _rule_cases(text_of(col(f.name), kinds[f.name]), f)
+    ]
+
+
+# Each step of a few branches compiles to a method of its own. One method for
+# all of them would exceed what the JVM compiles to machine code.
+BRANCHES_PER_STEP = 4
+
+
+def check_values(df: DataFrame, contract: Contract) -> DataFrame:
+    """``_error`` completed with the first storage, type or pattern rule a value breaks."""
+    cases = value_cases(df, contract)
+    for i in range(0, len(cases), BRANCHES_PER_STEP):
+        step = " ".join(cases[i : i + BRANCHES_PER_STEP])
+        df = df.withColumn("_error", F.expr(f"CASE WHEN _error IS NOT NULL THEN _error {step} END"))
+    return df
+
+
+def check_rows(df: DataFrame, contract: Contract) -> DataFrame:
+    """``_error`` completed with blank rows, required fields and lengths."""
+    for found in (
+        f"CASE WHEN {blank_row(df, contract)} THEN {make_error(BLANK, STAGE)} END",
+        required_error(df, contract),
+        length_error(df, contract),
+    ):
+        if found != NO_ERROR:
+            df = df.withColumn("_error", F.expr(f"CASE WHEN _error IS NOT NULL THEN _error ELSE {found} END"))
+    return df
 
 
 def validate(df: DataFrame, contract: Contract) -> DataFrame:
-    """Parsed rows with ``_error`` completed: parse errors stay, then blank, required, value rules."""
-    checked = (
-        f"coalesce(_error, CASE WHEN {blank_row(df, contract)} THEN {make_error(BLANK, STAGE)} END, "
-        f"{required_error(df, contract)}, {value_errors(df, contract)})"
-    )
-    return df.withColumn("_error", F.expr(checked))
+    """Parsed rows with ``_error`` completed. The first one wins: parse errors,
+    blank rows, required fields, lengths, then the other rules by field."""
+    return check_values(check_rows(df, contract), contract)

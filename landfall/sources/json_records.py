@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from landfall.contract import Contract
 from landfall.functions.errors import PARSE, make_error
 from landfall.functions.sql import array, col, ddl, lit, options
-from landfall.functions.text import is_blank, replace_pattern, strip
+from landfall.functions.text import is_blank, replace_pattern, strip_start
 
 READ_OPTIONS = {
     "mode": "PERMISSIVE",
@@ -40,14 +40,15 @@ def json_chunks(chunks: DataFrame, record_end: str) -> DataFrame:
 
 def _document_records(doc: str) -> str:
     """Elements of an array, one object, or the lines of JSON-lines text; null if none of these."""
-    body = strip(doc)
+    start = f"substring({strip_start(doc)}, 1, 1)"
     lines = f"filter(split({doc}, {lit(r'\r?\n')}, -1), l -> NOT {is_blank('l')})"
-    wrapped = f"concat('[', {body}, ']')"
-    objects_only = f"forall({lines}, l -> startswith({strip('l')}, '{{'))"
-    return f"""CASE WHEN {body} = '' THEN cast(array() as array<string>)
-        WHEN startswith({body}, '[') THEN {from_json(body, 'array<string>')}
-        WHEN startswith({body}, '{{') THEN coalesce(
-            {from_json(wrapped, 'array<string>')}, CASE WHEN {objects_only} THEN {lines} END) END"""
+    wrapped = f"concat('[', {doc}, ']')"
+    objects_only = f"forall({lines}, l -> startswith({strip_start('l')}, '{{'))"
+    return f"""CASE {start}
+        WHEN '[' THEN {from_json(doc, 'array<string>')}
+        WHEN '{{' THEN coalesce(
+            {from_json(wrapped, 'array<string>')}, CASE WHEN {objects_only} THEN {lines} END)
+        ELSE CASE WHEN {is_blank(doc)} THEN cast(array() as array<string>) END END"""
 
 
 def json_documents(docs: DataFrame, keep_non_objects: bool = True) -> DataFrame:
