@@ -28,3 +28,13 @@ def ddl(columns: dict[str, str]) -> str:
 
 def options(values: dict[str, str]) -> str:
     return "map(" + ", ".join(f"{lit(k)}, {lit(v)}" for k, v in values.items()) + ")"
+
+
+def once(c: str) -> str:
+    """The same value, evaluated once per row wherever it is used.
+
+    Filters on a parsed or checked column would otherwise be pushed below the
+    projection that makes it, and the parse be evaluated a second time there.
+    Spark does not move what depends on the partition.
+    """
+    return f"if(spark_partition_id() >= 0, {c}, NULL)"

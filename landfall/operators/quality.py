@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from landfall.contract import Contract, FieldRule, Policy
 from landfall.functions.crypto import variant_text
 from landfall.functions.errors import BLANK, NO_ERROR, VALIDATION, make_error
-from landfall.functions.sql import array, col, lit
+from landfall.functions.sql import array, col, lit, once
 from landfall.functions.text import is_blank, utf16_length
 
 STAGE = "warehouse"
@@ -179,7 +179,7 @@ def check_values(df: DataFrame, contract: Contract) -> DataFrame:
     cases = value_cases(df, contract)
     for i in range(0, len(cases), BRANCHES_PER_STEP):
         step = " ".join(cases[i : i + BRANCHES_PER_STEP])
-        df = df.withColumn("_error", F.expr(f"CASE WHEN _error IS NOT NULL THEN _error {step} END"))
+        df = df.withColumn("_error", F.expr(once(f"CASE WHEN _error IS NOT NULL THEN _error {step} END")))
     return df
 
 
@@ -191,7 +191,8 @@ def check_rows(df: DataFrame, contract: Contract) -> DataFrame:
         length_error(df, contract),
     ):
         if found != NO_ERROR:
-            df = df.withColumn("_error", F.expr(f"CASE WHEN _error IS NOT NULL THEN _error ELSE {found} END"))
+            step = once(f"CASE WHEN _error IS NOT NULL THEN _error ELSE {found} END")
+            df = df.withColumn("_error", F.expr(step))
     return df
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from landfall.contract import Contract, FieldRule, Policy
 from landfall.functions.crypto import key_column
+from landfall.functions.sql import once
 
 
 @dataclass(frozen=True)
@@ -23,6 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def rendered(df: DataFrame, value: str, *carried: str) -> DataFrame:
+    """Rows as a scan would deliver them: each text is made once, whatever is filtered later."""
+    return df.selectExpr(*carried, f"{once(value)} AS value")
+
+
 def feed(names: str, policy: Policy | None = None, **settings) -> Contract:
     """A contract of optional text fields, by blank-separated names."""
     fields = tuple(FieldRule(n) for n in names.split())

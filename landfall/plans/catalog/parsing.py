@@ -7,7 +7,7 @@ from dataclasses import replace
 from landfall.contract import FieldRule, FixedColumn, Policy
 from landfall.functions.text import base_name, json_quote, replace_null_tokens
 from landfall.operators.enrich import cleanse_nulls
-from landfall.plans.catalog.base import Query, day, feed, money, table
+from landfall.plans.catalog.base import Query, day, feed, money, rendered, table
 from landfall.sources import parse_feed
 from landfall.sources.json_records import json_documents, parse_json_records
 from landfall.sources.xml_rows import chunks_of_documents, parse_xml_fragments, row_fragments
@@ -20,10 +20,11 @@ LINEITEM = feed(
 
 def lineitem_lines(spark, sf_dir):
     amounts = ", ".join(money(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
-    return table(spark, sf_dir, "lineitem").selectExpr(
+    line = (
         f"concat_ws(',', l_orderkey, l_partkey, l_suppkey, l_linenumber, {amounts}, "
-        f"l_returnflag, l_linestatus, {day('l_shipdate')}) AS value"
+        f"l_returnflag, l_linestatus, {day('l_shipdate')})"
     )
+    return rendered(table(spark, sf_dir, "lineitem"), line)
 
 
 def delimited_parse(spark, sf_dir):
@@ -44,11 +45,12 @@ FROM lineitem"""
 
 
 def delimited_header_blank(spark, sf_dir):
-    lines = table(spark, sf_dir, "orders").selectExpr(
-        "o_orderpriority",
+    lines = rendered(
+        table(spark, sf_dir, "orders"),
         "CASE WHEN o_orderstatus = 'P' AND o_totalprice > 300000 THEN 'o_orderkey;o_custkey;o_orderstatus' "
         "WHEN o_orderstatus = 'F' AND o_totalprice < 100000 THEN ' \\t ' "
-        "ELSE concat_ws(';', o_orderkey, o_custkey, o_orderstatus) END AS value",
+        "ELSE concat_ws(';', o_orderkey, o_custkey, o_orderstatus) END",
+        "o_orderpriority",
     )
     contract = feed("o_orderkey o_custkey o_orderstatus", delimiter=";")
     return (
@@ -104,7 +106,7 @@ def list_field(spark, sf_dir):
     contract = replace(feed("p_partkey skills", has_header=False), fields=(
         FieldRule("p_partkey"), FieldRule("skills", shape="list"),
     ))
-    lines = table(spark, sf_dir, "part").selectExpr(f"concat(p_partkey, ',', {SKILLS}) AS value")
+    lines = rendered(table(spark, sf_dir, "part"), f"concat(p_partkey, ',', {SKILLS})")
     return parse_feed(lines, contract).selectExpr(
         "cast(p_partkey as bigint) AS p_partkey", "size(skills) AS n_items", "array_join(skills, '|') AS items"
     )
@@ -129,8 +131,9 @@ def fixed_width_parse(spark, sf_dir):
         f"rpad(cast(o_orderkey as string), 13, ' ') || rpad(cast(o_custkey as string), 11, ' ') "
         f"|| lpad({money('o_totalprice')}, 14, ' ') || ' ' || {day('o_orderdate')} || ' ' || o_orderpriority"
     )
-    lines = table(spark, sf_dir, "orders").selectExpr(
-        f"CASE WHEN o_orderstatus = 'P' THEN substring({full}, 1, 45) ELSE {full} END AS value"
+    lines = rendered(
+        table(spark, sf_dir, "orders"),
+        f"substring({full}, 1, if(o_orderstatus = 'P', 45, 100))",
     )
     return parse_feed(lines, contract).selectExpr(
         "cast(o_orderkey as bigint) AS o_orderkey", "cast(o_custkey as bigint) AS o_custkey",
@@ -153,7 +156,7 @@ EVENT_JSON = (
 
 
 def json_lines_parse(spark, sf_dir):
-    lines = table(spark, sf_dir, "events").selectExpr("event_id", f"{EVENT_JSON} AS value")
+    lines = rendered(table(spark, sf_dir, "events"), EVENT_JSON, "event_id")
     contract = feed("event_type value user_id props", format="JSON")
     return parse_feed(lines, contract).selectExpr(
         "event_id", "event_type", "cast(value as double) AS amount", "user_id", "props",
@@ -180,7 +183,7 @@ LAYOUT = (
 
 
 def json_document_layouts(spark, sf_dir):
-    docs = table(spark, sf_dir, "events").selectExpr("event_id", f"{LAYOUT} AS value")
+    docs = rendered(table(spark, sf_dir, "events"), LAYOUT, "event_id")
     records = parse_json_records(json_documents(docs, keep_non_objects=False), feed("k", format="JSON"))
     return records.selectExpr("event_id", "cast(k as bigint) AS k", "_error.reason AS reason")
 
@@ -193,8 +196,8 @@ UNION ALL SELECT event_id, NULL, 'malformed JSON' FROM events WHERE event_type =
 
 
 def json_non_objects_rejected(spark, sf_dir):
-    docs = table(spark, sf_dir, "events").selectExpr(
-        "event_id", "concat('[', props, ', ', event_id, ', \"t\"]') AS value"
+    docs = rendered(
+        table(spark, sf_dir, "events"), "concat('[', props, ', ', event_id, ', \"t\"]')", "event_id"
     )
     records = parse_json_records(json_documents(docs), feed("k", format="JSON"))
     return records.selectExpr("event_id", "_raw AS record", "_error.type AS error_type")
@@ -207,13 +210,13 @@ UNION ALL SELECT event_id, 't', 'PARSE_ERROR' FROM events"""
 
 
 def xml_fragment_parse(spark, sf_dir):
-    docs = table(spark, sf_dir, "customer").selectExpr(
-        "c_custkey",
+    docs = rendered(
+        table(spark, sf_dir, "customer"),
         "concat('<?xml version=\"1.0\"?><cs> <c><key>', c_custkey, '</key><name>', c_name, ' &amp; Co</name><seg>', "
         "c_mktsegment, '</seg>', CASE WHEN c_acctbal < 0 THEN '<note/>' WHEN c_acctbal < 5000 "
         "THEN concat('<note> ', " + money("c_acctbal") + ", '</note>') ELSE '' END, "
-        "CASE WHEN c_mktsegment = 'BUILDING' THEN '<open>' ELSE '' END, '</c> <c x=\"1\"><key>0</key></c></cs>') "
-        "AS value",
+        "CASE WHEN c_mktsegment = 'BUILDING' THEN '<open>' ELSE '' END, '</c> <c x=\"1\"><key>0</key></c></cs>')",
+        "c_custkey",
     )
     contract = feed("key name seg note", format="XML", row_tag="c")
     parsed = parse_xml_fragments(row_fragments(chunks_of_documents(docs, "c"), "c"), contract)

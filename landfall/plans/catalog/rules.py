@@ -7,7 +7,7 @@ from landfall.functions.errors import NO_ERROR, humanize
 from landfall.functions.text import utf16_length
 from landfall.operators.quality import check_values, length_ok, required_error, validate
 from landfall.operators.routing import error_report, error_rows, is_envelope, read_envelopes, valid_rows
-from landfall.plans.catalog.base import Query, feed, money, table
+from landfall.plans.catalog.base import Query, money, rendered, table
 from landfall.sources import parse_feed
 
 UNPARSED = ("cast(NULL as array<string>) AS _missing", f"{NO_ERROR} AS _error")
@@ -62,7 +62,7 @@ def _staff(policy: Policy) -> Contract:
 
 
 def _staff_lines(spark, sf_dir):
-    return table(spark, sf_dir, "customer").selectExpr("c_custkey", f"{STAFF_LINE} AS value")
+    return rendered(table(spark, sf_dir, "customer"), STAFF_LINE, "c_custkey")
 
 
 def _checked(spark, sf_dir, policy):
@@ -131,11 +131,12 @@ BLANK_ROWS = "SELECT c_custkey, c_acctbal < 0 AS strict_blank, false AS lenient_
 
 
 def missing_fields(spark, sf_dir):
-    lines = table(spark, sf_dir, "events").selectExpr(
-        "event_id",
+    lines = rendered(
+        table(spark, sf_dir, "events"),
         "concat('{\"kind\": \"', event_type, '\"', CASE event_type WHEN 'view' THEN '' "
         "WHEN 'click' THEN ', \"k\": null' WHEN 'signup' THEN ', \"k\": \" \"' "
-        "ELSE concat(', \"k\": ', event_id) END, '}') AS value",
+        "ELSE concat(', \"k\": ', event_id) END, '}')",
+        "event_id",
     )
     strict = Contract((FieldRule("kind", required=True), FieldRule("k", required=True)), format="JSON")
     lenient = strict.with_policy(Policy.lenient())

@@ -10,7 +10,7 @@ from landfall.functions.text import parse_instant
 from landfall.operators import audit
 from landfall.operators.enrich import stamp, warehouse_projection
 from landfall.operators.reconcile import load_counts, reconcile
-from landfall.plans.catalog.base import Query, table
+from landfall.plans.catalog.base import Query, rendered, table
 from landfall.sources.control import control_counts
 
 
@@ -101,7 +101,7 @@ CONTROL_LINE = (
 
 
 def control_files(spark, sf_dir):
-    lines = table(spark, sf_dir, "orders").selectExpr("o_custkey", "o_orderkey", f"{CONTROL_LINE} AS value")
+    lines = rendered(table(spark, sf_dir, "orders"), CONTROL_LINE, "o_custkey", "o_orderkey")
     return control_counts(lines, "o_custkey", "o_orderkey")
 
 

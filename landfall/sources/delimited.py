@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from landfall.contract import Contract, FieldRule
 from landfall.functions.errors import BLANK, PARSE, make_error
-from landfall.functions.sql import array, col, lit
+from landfall.functions.sql import array, col, lit, once
 from landfall.functions.text import is_blank, split_list, split_literal
 
 
@@ -38,7 +38,7 @@ def parse_delimited(lines: DataFrame, contract: Contract) -> DataFrame:
     n = len(contract.names)
     carried = [col(c) for c in lines.columns if c != "value"]
     split = drop_header(lines.filter("value IS NOT NULL"), contract).selectExpr(
-        *carried, "value AS _raw", f"{split_literal('value', contract.delimiter)} AS _parts"
+        *carried, "value AS _raw", f"{once(split_literal('value', contract.delimiter))} AS _parts"
     )
     surplus = f"concat(size(_parts), ' values for {n} fields')"
     too_long = f"WHEN size(_parts) > {n} THEN {make_error(PARSE, 'csv', reason=surplus)}"

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from landfall.contract import Contract
 from landfall.functions.errors import PARSE, make_error
-from landfall.functions.sql import array, col, ddl, lit, options
+from landfall.functions.sql import array, col, ddl, lit, once, options
 from landfall.functions.text import is_blank, replace_pattern, strip_start
 
 READ_OPTIONS = {
@@ -55,7 +55,7 @@ def json_documents(docs: DataFrame, keep_non_objects: bool = True) -> DataFrame:
     """Whole documents to records. A malformed document stays one null record
     with its text in ``_document``, so that it turns into one error row."""
     carried = [col(c) for c in docs.columns if c != "value"]
-    rows = docs.selectExpr(*carried, "value", f"{_document_records('value')} AS _records").selectExpr(
+    rows = docs.selectExpr(*carried, "value", f"{once(_document_records('value'))} AS _records").selectExpr(
         *carried,
         "CASE WHEN _records IS NULL THEN value END AS _document",
         "explode(coalesce(_records, array(cast(NULL as string)))) AS value",
@@ -79,7 +79,7 @@ def parse_json_records(records: DataFrame, contract: Contract) -> DataFrame:
     some_null = " OR ".join(f"{c} IS NULL" for c in fields.values())
     names = array([lit(n) for n in contract.names])
     absent = f"array_except({names}, coalesce(json_object_keys(_raw), {array([])}))"
-    return records.selectExpr(*carried, f"{raw} AS _raw", f"{from_json('value', schema)} AS _rec").selectExpr(
+    return records.selectExpr(*carried, f"{raw} AS _raw", f"{once(from_json('value', schema))} AS _rec").selectExpr(
         *carried,
         "_raw",
         *[f"{c} AS {col(n)}" for n, c in fields.items()],

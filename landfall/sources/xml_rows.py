@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 
 from landfall.contract import Contract
 from landfall.functions.errors import PARSE, make_error
-from landfall.functions.sql import col, ddl, lit, options
+from landfall.functions.sql import col, ddl, lit, once, options
 from landfall.functions.text import split_literal
 
 READ_OPTIONS = {
@@ -59,7 +59,7 @@ def parse_xml_fragments(fragments: DataFrame, contract: Contract) -> DataFrame:
     some_null = " OR ".join(f"{c} IS NULL" for c in fields.values())
     absent = ", ".join(f"CASE WHEN {c} IS NULL THEN {lit(n)} END" for n, c in fields.items())
     return fragments.selectExpr(
-        *carried, "value AS _raw", f"from_xml(value, {lit(schema)}, {options(READ_OPTIONS)}) AS _rec"
+        *carried, "value AS _raw", f"{once(f'from_xml(value, {lit(schema)}, {options(READ_OPTIONS)})')} AS _rec"
     ).selectExpr(
         *carried,
         "_raw",
