@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from landfall.functions.errors import BLANK, PARSE, VALIDATION, humanize
 from landfall.functions.sql import lit
@@ -17,6 +17,20 @@ def error_rows(df: DataFrame) -> DataFrame:
     return df.filter("_error IS NOT NULL")
 
 
+def outcome(error: str) -> str:
+    """The name of the branch a row takes, for a write that takes both in one pass."""
+    return f"if({error} IS NULL, 'valid', 'error')"
+
+
+def route_counts(df: DataFrame) -> DataFrame:
+    """Rows per error type and field, and good rows, in one pass."""
+    return (
+        df.selectExpr("coalesce(_error.type, 'valid') AS outcome", "coalesce(_error.field, '') AS field")
+        .groupBy("outcome", "field")
+        .agg(F.count("*").alias("n"))
+    )
+
+
 def is_envelope(line: str) -> str:
     """Text that carries an error marker in front."""
     return f"rlike({line}, {lit(r'^(PARSE_ERROR|VALIDATION_ERROR|ERROR|BLANK)\|')})"

@@ -6,7 +6,7 @@ from landfall.contract import Contract, FieldRule, Policy
 from landfall.functions.errors import NO_ERROR, humanize
 from landfall.functions.text import utf16_length
 from landfall.operators.quality import check_values, length_ok, required_error, validate
-from landfall.operators.routing import error_report, error_rows, is_envelope, read_envelopes, valid_rows
+from landfall.operators.routing import error_report, is_envelope, read_envelopes, route_counts
 from landfall.plans.catalog.base import Query, money, rendered, table
 from landfall.sources import parse_feed
 
@@ -215,12 +215,7 @@ FROM r"""
 def error_routing(spark, sf_dir):
     contract = _staff(Policy.lenient())
     rows = validate(parse_feed(_staff_lines(spark, sf_dir), contract), contract)
-    bad = error_rows(rows).selectExpr("_error.type AS outcome", "_error.field AS field")
-    good = valid_rows(rows).selectExpr("'valid' AS outcome", "'' AS field")
-    # One pass over the rows decides both branches; each is pre-counted before it is exchanged.
-    return bad.unionByName(good).groupBy("outcome", "field").agg({"*": "count"}).selectExpr(
-        "outcome", "field", "`count(1)` AS n"
-    )
+    return route_counts(rows)
 
 
 ERROR_ROUTING = f"""

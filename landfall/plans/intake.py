@@ -17,6 +17,7 @@ from landfall.operators.enrich import LINEAGE, cleanse_nulls, stamp, warehouse_n
 from landfall.operators.protect import encrypt_columns
 from landfall.operators.quality import kinds_of, text_of, validate
 from landfall.operators.reconcile import load_counts, reconcile
+from landfall.operators.routing import outcome
 from landfall.operators.sinks import run_dir, with_message, write_landing
 from landfall.sources.control import expected_count
 from landfall.sources.feed import read_feed
@@ -69,7 +70,7 @@ def landing_rows(
             "_error.reason AS reason",
             "_data AS data",
             f"CASE WHEN _error IS NOT NULL THEN {raw} END AS raw_record",
-            "if(_error IS NULL, 'valid', 'error') AS outcome",
+            f"{outcome('_error')} AS outcome",
         )
 
     return with_key(stamped, key, shape) if hide_raw else shape(stamped)
