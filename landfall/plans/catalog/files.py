@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from landfall.contract import Contract, FieldRule
+from landfall.functions.crypto import key_column
 from landfall.functions.text import base_name
 from landfall.operators import audit
+from landfall.operators.protect import decrypt_columns
 from landfall.operators.splitting import (
     FIRST_IN_PARTITION,
     manifest_totals, needs_split, part_count, prepend_line, split_files, split_plan, wrap_partitions,
 )
-from landfall.plans.catalog.base import Query, day, feed, money, random_key, table
-from landfall.plans.catalog.parsing import LINEITEM, lineitem_lines
-from landfall.plans.intake import IntakeJob, read_landing, run_intake
+from landfall.plans.catalog.base import Query, day, feed, money, random_key, rendered, table
+from landfall.plans.catalog.parsing import EVENT_JSON, FIXED_ORDERS, LINEITEM, fixed_width_lines, lineitem_lines
+from landfall.plans.intake import IntakeJob, loaded_rows, read_landing, run_intake
 from landfall.plans.workspace import shared_dir
 from landfall.sources import read_feed
 from landfall.sources.scan import scan_header_csv, scan_raw_lines
+from landfall.streaming import land_new_files
 
 
 def split_sizes(spark, sf_dir):
@@ -177,19 +182,29 @@ SHIPMENTS = Contract(
 )
 
 
-def landed_lineitem(spark, sf_dir):
-    """lineitem as delimited files through a whole run; the landing table, good and bad rows."""
-    src, out, log = shared_dir(spark, "csv"), shared_dir(spark, "table"), shared_dir(spark, "audit")
-    prepend_line(lineitem_lines(spark, sf_dir), ",".join(LINEITEM.names)).write.text(src)
-    run_intake(spark, IntakeJob([src], SHIPMENTS, out, log, base64_key=random_key(), execution_id="run-1"))
-    return read_landing(spark, out, SHIPMENTS), audit.run_states(audit.read_events(spark, log))
+def _write_lineitem(spark, sf_dir, path):
+    prepend_line(lineitem_lines(spark, sf_dir), ",".join(LINEITEM.names)).write.text(path)
 
 
-def intake_outcomes(spark, sf_dir):
-    landed, _ = landed_lineitem(spark, sf_dir)
+def _land(spark, src, contract, control=None, key=None):
+    """One whole run over the files under ``src``; the landing table and the run log."""
+    out, log = shared_dir(spark, "table"), shared_dir(spark, "audit")
+    run_intake(spark, IntakeJob([src], contract, out, log, control, key or random_key(), "run-1"))
+    return out, audit.run_states(audit.read_events(spark, log))
+
+
+def _outcomes(landed):
     return landed.groupBy("execution_id", "outcome", "error_type", "field", "reason").agg(F.count("*").alias("n_rows"))
 
 
+def intake_outcomes(spark, sf_dir):
+    """lineitem as delimited files through a whole run."""
+    src = shared_dir(spark, "csv")
+    _write_lineitem(spark, sf_dir, src)
+    out, _ = _land(spark, src, SHIPMENTS)
+    return _outcomes(read_landing(spark, out, SHIPMENTS))
+
+
 INTAKE_OUTCOMES = """
 WITH t AS (
     SELECT length(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR)) AS n_price,
@@ -205,17 +220,118 @@ FROM e GROUP BY ALL"""
 
 
 def intake_state(spark, sf_dir):
-    _, states = landed_lineitem(spark, sf_dir)
-    return states.selectExpr("execution_id", "status", "actual_count", "expected_count", "file_type", "target_table")
+    """The same with a control file that counts all rows, so that the run fails by the rejected ones."""
+    src, control = shared_dir(spark, "csv"), shared_dir(spark, "control")
+    _write_lineitem(spark, sf_dir, src)
+    stated = table(spark, sf_dir, "lineitem").agg(F.count("*").alias("n")).selectExpr("concat('record_count=', n) AS value")
+    stated.write.text(control)
+    _, states = _land(spark, src, SHIPMENTS, control)
+    return states.selectExpr(
+        "execution_id", "status", "actual_count", "expected_count", "failure_reason", "file_type", "target_table"
+    )
 
 
 INTAKE_STATE = """
-SELECT 'run-1' AS execution_id, 'PASSED' AS status,
+WITH n AS (SELECT count(*) AS x,
        count(*) FILTER (WHERE length(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR)) <= 8
            AND regexp_matches(CAST(CAST(l_discount AS DECIMAL(18,2)) AS VARCHAR), '^0[.]0[0-9]$')
-           AND l_returnflag IN ('A', 'N')) AS actual_count,
-       CAST(NULL AS BIGINT) AS expected_count, 'CSV' AS file_type, 'stg_lineitem' AS target_table
-FROM lineitem"""
+           AND l_returnflag IN ('A', 'N')) AS n
+FROM lineitem)
+SELECT 'run-1' AS execution_id, 'FAILED' AS status, n AS actual_count, x AS expected_count,
+       'Record count mismatch! Expected: ' || x || ', Actual: ' || n || ', Difference: ' || (n - x) AS failure_reason,
+       'CSV' AS file_type, 'stg_lineitem' AS target_table
+FROM n"""
+
+ACTIVITY = Contract(
+    (
+        FieldRule("event_type", required=True), FieldRule("value", type="double"),
+        FieldRule("user_id", required=True, encrypt="value"), FieldRule("props"),
+    ),
+    format="JSON",
+)
+
+
+def intake_json(spark, sf_dir):
+    src = shared_dir(spark, "json")
+    rendered(table(spark, sf_dir, "events"), EVENT_JSON).write.text(src)
+    out, _ = _land(spark, src, ACTIVITY)
+    return _outcomes(read_landing(spark, out, ACTIVITY))
+
+
+INTAKE_JSON = """
+WITH e AS (SELECT CASE WHEN event_type = 'error' AND value < 20 THEN 'PARSE_ERROR'
+                       WHEN event_type IN ('view', 'signup') THEN 'VALIDATION_ERROR' END AS error_type, event_type FROM events)
+SELECT 'run-1' AS execution_id, CASE WHEN error_type IS NULL THEN 'valid' ELSE 'error' END AS outcome, error_type,
+       CASE error_type WHEN 'PARSE_ERROR' THEN '' WHEN 'VALIDATION_ERROR' THEN 'user_id' END AS field,
+       CASE WHEN error_type = 'PARSE_ERROR' THEN 'malformed JSON' WHEN event_type = 'view' THEN 'missing'
+            WHEN event_type = 'signup' THEN 'null' END AS reason, count(*) AS n_rows
+FROM e GROUP BY ALL"""
+
+
+def intake_decrypted(spark, sf_dir):
+    """What was landed encrypted, read back with the key."""
+    src, secret = shared_dir(spark, "json"), random_key()
+    rendered(table(spark, sf_dir, "events"), EVENT_JSON).write.text(src)
+    out, _ = _land(spark, src, ACTIVITY, key=secret)
+    rows = decrypt_columns(loaded_rows(spark, out, ACTIVITY), ["user_id_encrypted"], key_column(spark, secret))
+    return rows.selectExpr(
+        "event_type", "cast(value as double) AS amount", "props", "cast(user_id_encrypted as bigint) AS user_id"
+    )
+
+
+INTAKE_DECRYPTED = """
+SELECT event_type, value AS amount, replace(props, ' ', '') AS props, user_id FROM events
+WHERE event_type NOT IN ('view', 'signup') AND NOT (event_type = 'error' AND value < 20)"""
+
+
+def intake_xml(spark, sf_dir):
+    src = shared_dir(spark, "xml")
+    _write_xml(spark, sf_dir, src)
+    contract = Contract(
+        tuple(
+            FieldRule(n, required=True, encrypt="value" if n == "o_totalprice" else None,
+                      allowed=("F", "O") if n == "o_orderstatus" else ())
+            for n in ORDER_FIELDS
+        ),
+        format="XML", row_tag="order",
+    )
+    out, _ = _land(spark, src, contract)
+    return _outcomes(read_landing(spark, out, contract))
+
+
+INTAKE_XML = """
+SELECT 'run-1' AS execution_id, CASE WHEN bad THEN 'error' ELSE 'valid' END AS outcome,
+       CASE WHEN bad THEN 'VALIDATION_ERROR' END AS error_type, CASE WHEN bad THEN 'o_orderstatus' END AS field,
+       CASE WHEN bad THEN 'not one of F/O' END AS reason, count(*) AS n_rows
+FROM (SELECT o_orderstatus NOT IN ('F', 'O') AS bad FROM orders) GROUP BY ALL"""
+
+
+def intake_fixed_width(spark, sf_dir):
+    src = shared_dir(spark, "fixed")
+    fixed_width_lines(spark, sf_dir).write.text(src)
+    contract = replace(FIXED_ORDERS, fields=tuple(FieldRule(n, required=True) for n in FIXED_ORDERS.names))
+    out, _ = _land(spark, src, contract)
+    return _outcomes(read_landing(spark, out, contract))
+
+
+INTAKE_FIXED_WIDTH = """
+SELECT 'run-1' AS execution_id, CASE WHEN bad THEN 'error' ELSE 'valid' END AS outcome,
+       CASE WHEN bad THEN 'VALIDATION_ERROR' END AS error_type, CASE WHEN bad THEN 'o_orderpriority' END AS field,
+       CASE WHEN bad THEN 'empty' END AS reason, count(*) AS n_rows
+FROM (SELECT o_orderstatus = 'P' AS bad FROM orders) GROUP BY ALL"""
+
+
+def folder_stream(spark, sf_dir):
+    """lineitem files picked up from a folder as a stream; runs are named after micro-batches."""
+    src, out = shared_dir(spark, "csv"), shared_dir(spark, "table")
+    _write_lineitem(spark, sf_dir, src)
+    query = land_new_files(spark, src, SHIPMENTS, out, "run", shared_dir(spark, "stream"), random_key())
+    query.awaitTermination()
+    return read_landing(spark, out, SHIPMENTS).groupBy("outcome", "error_type", "field").agg(F.count("*").alias("n_rows"))
+
+
+FOLDER_STREAM = f"""
+SELECT outcome, error_type, field, CAST(sum(n_rows) AS BIGINT) AS n_rows FROM ({INTAKE_OUTCOMES}) GROUP BY ALL"""
 
 CATALOG = {
     "split_sizes": Query(split_sizes, SPLIT_SIZES),
@@ -231,4 +347,9 @@ CATALOG = {
     "split_json_files": Query(split_json_files, ORDERS_SQL),
     "intake_outcomes": Query(intake_outcomes, INTAKE_OUTCOMES),
     "intake_state": Query(intake_state, INTAKE_STATE),
+    "intake_json": Query(intake_json, INTAKE_JSON),
+    "intake_decrypted": Query(intake_decrypted, INTAKE_DECRYPTED),
+    "intake_xml": Query(intake_xml, INTAKE_XML),
+    "intake_fixed_width": Query(intake_fixed_width, INTAKE_FIXED_WIDTH),
+    "folder_stream": Query(folder_stream, FOLDER_STREAM),
 }

@@ -119,23 +119,26 @@ l AS (SELECT p_partkey, s, CASE WHEN s = '' THEN [''] WHEN rtrim(s, ';') = '' TH
 SELECT p_partkey, len(l) AS n_items, coalesce(array_to_string(l, '|'), '') AS items FROM l"""
 
 
-def fixed_width_parse(spark, sf_dir):
-    columns = (
+FIXED_ORDERS = feed(
+    "o_orderkey o_custkey o_totalprice o_orderdate o_orderpriority",
+    format="FIXEDWIDTH",
+    columns=(
         FixedColumn("o_orderkey", 1, 12), FixedColumn("o_custkey", 14, 10), FixedColumn("o_totalprice", 25, 14),
         FixedColumn("o_orderdate", 40, 10), FixedColumn("o_orderpriority", 51, 20),
-    )
-    contract = feed(
-        "o_orderkey o_custkey o_totalprice o_orderdate o_orderpriority", format="FIXEDWIDTH", columns=columns
-    )
+    ),
+)
+
+
+def fixed_width_lines(spark, sf_dir):
     full = (
         f"rpad(cast(o_orderkey as string), 13, ' ') || rpad(cast(o_custkey as string), 11, ' ') "
         f"|| lpad({money('o_totalprice')}, 14, ' ') || ' ' || {day('o_orderdate')} || ' ' || o_orderpriority"
     )
-    lines = rendered(
-        table(spark, sf_dir, "orders"),
-        f"substring({full}, 1, if(o_orderstatus = 'P', 45, 100))",
-    )
-    return parse_feed(lines, contract).selectExpr(
+    return rendered(table(spark, sf_dir, "orders"), f"substring({full}, 1, if(o_orderstatus = 'P', 45, 100))")
+
+
+def fixed_width_parse(spark, sf_dir):
+    return parse_feed(fixed_width_lines(spark, sf_dir), FIXED_ORDERS).selectExpr(
         "cast(o_orderkey as bigint) AS o_orderkey", "cast(o_custkey as bigint) AS o_custkey",
         "o_totalprice", "o_orderdate", "o_orderpriority",
     )
