@@ -159,44 +159,26 @@ def _rule_cases(c: str, rule: FieldRule) -> list[tuple[str, str]]:
     return cases
 
 
-def value_cases(df: DataFrame, contract: Contract) -> list[str]:
-    """A WHEN branch per storage, type or pattern rule, in contract order."""
+def value_error(df: DataFrame, contract: Contract) -> str:
+    """The first storage, type or pattern rule, in contract order, that a value breaks."""
     kinds = kinds_of(df)
-    return [
+    cases = [
         f"WHEN {broken} THEN {make_error(VALIDATION, STAGE, f.name, reason)}"
         for f in contract.fields
         for broken, reason in _rule_cases(text_of(col(f.name), kinds[f.name]), f)
     ]
-
-
-# Each step of a few branches compiles to a method of its own. One method for
-# all of them would exceed what the JVM compiles to machine code.
-BRANCHES_PER_STEP = 4
-
-
-def check_values(df: DataFrame, contract: Contract) -> DataFrame:
-    """``_error`` completed with the first storage, type or pattern rule a value breaks."""
-    cases = value_cases(df, contract)
-    for i in range(0, len(cases), BRANCHES_PER_STEP):
-        step = " ".join(cases[i : i + BRANCHES_PER_STEP])
-        df = df.withColumn("_error", F.expr(once(f"CASE WHEN _error IS NOT NULL THEN _error {step} END")))
-    return df
-
-
-def check_rows(df: DataFrame, contract: Contract) -> DataFrame:
-    """``_error`` completed with blank rows, required fields and lengths."""
-    for found in (
-        f"CASE WHEN {blank_row(df, contract)} THEN {make_error(BLANK, STAGE)} END",
-        required_error(df, contract),
-        length_error(df, contract),
-    ):
-        if found != NO_ERROR:
-            step = once(f"CASE WHEN _error IS NOT NULL THEN _error ELSE {found} END")
-            df = df.withColumn("_error", F.expr(step))
-    return df
+    return f"CASE {' '.join(cases)} END" if cases else NO_ERROR
 
 
 def validate(df: DataFrame, contract: Contract) -> DataFrame:
     """Parsed rows with ``_error`` completed. The first one wins: parse errors,
-    blank rows, required fields, lengths, then the other rules by field."""
-    return check_values(check_rows(df, contract), contract)
+    blank rows, required fields, lengths, then the other rules by field.
+
+    All checks are one projection, so each row is copied once. The lambdas in it
+    keep it out of whole-stage code, which would make it a single method too
+    large for the JVM to compile to machine code; a plain projection is split.
+    """
+    blank = f"CASE WHEN {blank_row(df, contract)} THEN {make_error(BLANK, STAGE)} END"
+    rules = [rule(df, contract) for rule in (required_error, length_error, value_error)]
+    checks = ", ".join(["_error", blank, *rules])
+    return df.withColumn("_error", F.expr(once(f"coalesce({checks})")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from landfall.contract import Contract, FieldRule, Policy
 from landfall.functions.errors import NO_ERROR, humanize
 from landfall.functions.text import utf16_length
-from landfall.operators.quality import check_values, length_ok, required_error, validate
+from landfall.operators.quality import length_ok, required_error, validate, value_error
 from landfall.operators.routing import error_report, is_envelope, read_envelopes, route_counts
 from landfall.plans.catalog.base import Query, money, rendered, table
 from landfall.sources import parse_feed
@@ -177,7 +177,9 @@ def storage_constraints(spark, sf_dir):
         FieldRule("p_brand", not_null=True),
         FieldRule("p_type", allowed=("ECONOMY", "SMALL", "LARGE")),
     ))
-    return check_values(rows, contract).selectExpr("p_partkey", "_error.field AS field", "_error.reason AS reason")
+    return rows.selectExpr("p_partkey", f"{value_error(rows, contract)} AS e").selectExpr(
+        "p_partkey", "e.field AS field", "e.reason AS reason"
+    )
 
 
 STORAGE_CONSTRAINTS = """
@@ -199,7 +201,9 @@ def type_pattern_rules(spark, sf_dir):
     contract = Contract((
         FieldRule("balance", type="decimal(6,2)"), FieldRule("code", pattern=r"^Customer#[0-9]{9}$"),
     ))
-    return check_values(rows, contract).selectExpr("c_custkey", "_error.field AS field", "_error.reason AS reason")
+    return rows.selectExpr("c_custkey", f"{value_error(rows, contract)} AS e").selectExpr(
+        "c_custkey", "e.field AS field", "e.reason AS reason"
+    )
 
 
 TYPE_PATTERN_RULES = f"""
