@@ -14,7 +14,7 @@ from landfall.contract import Contract
 from landfall.functions.sql import lit
 from landfall.functions.text import replace_pattern
 from landfall.sources.delimited import drop_header, header_start
-from landfall.sources.feed import separator_of
+from landfall.sources.feed import is_whole_document, scan_documents, separator_of
 from landfall.sources.json_records import json_chunks, json_documents, json_lines
 from landfall.sources.scan import file_sizes, scan_text
 from landfall.sources.xml_rows import chunk_separator, holds_row, row_fragments
@@ -91,10 +91,10 @@ def wrap_partitions(rows: DataFrame, head: str, tail: str) -> DataFrame:
 
 def _source_rows(session: SparkSession, path, contract: Contract, target_kb: int) -> DataFrame:
     one_line = replace_pattern("value", r"[\r\n]+", " ")
-    if contract.format == "JSON" and contract.is_json_array and not contract.record_end:
-        # Only the parse of a whole document knows its records, so these are dealt out afterwards.
+    if is_whole_document(contract):
+        # The records are known after the parse only, so they are dealt out afterwards.
         n = file_sizes(session, path).agg(F.expr(f"sum({part_count('length', target_kb)})")).first()[0]
-        records = json_documents(scan_text(session, path, whole_file=True))
+        records = json_documents(scan_documents(session, path))
         rows = records.selectExpr("coalesce(value, _document) AS value").selectExpr(f"{one_line} AS value")
         return rows.repartition(int(n))
     lines = scan_text(session, path, line_sep=separator_of(contract)).select("value")

@@ -84,21 +84,27 @@ def landing_schema(contract: Contract) -> str:
     return ddl(texts | times | rest)
 
 
-def read_landing(spark: SparkSession, location: str, contract: Contract) -> DataFrame:
-    return spark.read.schema(landing_schema(contract)).parquet(location)
+def read_landing(
+    spark: SparkSession, location: str, contract: Contract, execution_id: str | None = None
+) -> DataFrame:
+    """All runs, or one of them without listing the directories of the others."""
+    reader = spark.read.schema(landing_schema(contract)).option("basePath", location)
+    return reader.parquet(location if execution_id is None else run_dir(location, execution_id))
 
 
-def loaded_rows(spark: SparkSession, location: str, contract: Contract) -> DataFrame:
-    """The warehouse table: good rows of all runs; run filters prune directories."""
-    rows = read_landing(spark, location, contract).filter(F.col("outcome") == "valid")
+def loaded_rows(
+    spark: SparkSession, location: str, contract: Contract, execution_id: str | None = None
+) -> DataFrame:
+    """The warehouse table: good rows; the outcome filter prunes directories."""
+    rows = read_landing(spark, location, contract, execution_id).filter(F.col("outcome") == "valid")
     return rows.drop("outcome", "source_file", *ERROR_COLUMNS)
 
 
-def rejected_rows(spark: SparkSession, location: str, contract: Contract) -> DataFrame:
-    rows = read_landing(spark, location, contract).filter(F.col("outcome") == "error")
-    return with_message(
-        rows.select("execution_id", "source_file", "ingestion_timestamp", *ERROR_COLUMNS)
-    )
+def rejected_rows(
+    spark: SparkSession, location: str, contract: Contract, execution_id: str | None = None
+) -> DataFrame:
+    rows = read_landing(spark, location, contract, execution_id).filter(F.col("outcome") == "error")
+    return with_message(rows.select("execution_id", "source_file", "ingestion_timestamp", *ERROR_COLUMNS))
 
 
 @dataclass(frozen=True)
@@ -160,8 +166,7 @@ def run_intake(spark: SparkSession, job: IntakeJob) -> IntakeResult:
         by_outcome = {
             r["outcome"]: r["actual_count"]
             for r in load_counts(
-                spark.read.schema(landing_schema(job.contract)).parquet(run_dir(job.location, job.execution_id)),
-                "outcome",
+                read_landing(spark, job.location, job.contract, job.execution_id), "outcome"
             ).collect()
         }
         actual = by_outcome.get("valid", 0)

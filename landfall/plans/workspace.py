@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="landfall-")
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new path under the folder named by spark.checkpoint.dir.
 
@@ -17,6 +23,5 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="landfall-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/landfall/{purpose}-{uuid.uuid4().hex}"

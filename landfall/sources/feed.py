@@ -41,16 +41,25 @@ def separator_of(contract: Contract) -> str | None:
     return None
 
 
+def is_whole_document(contract: Contract) -> bool:
+    """Only a parse of the whole file knows its records."""
+    return contract.format == "JSON" and contract.is_json_array and not contract.record_end
+
+
+def scan_documents(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """One row per file, if every file is small enough for the one task that parses it."""
+    largest = file_sizes(spark, paths).agg(F.max("length")).first()[0] or 0
+    if largest > MAX_DOCUMENT_BYTES:
+        raise ContractError(
+            f"a JSON array of {largest} bytes would be parsed by one task; give the descriptor "
+            "'record_end' (the text that ends each element) or send JSON lines"
+        )
+    return scan_text(spark, paths, whole_file=True)
+
+
 def read_feed(spark: SparkSession, paths: str | Sequence[str], contract: Contract) -> DataFrame:
     """All files of a run as one frame, whatever their number."""
-    if contract.format == "JSON" and contract.is_json_array and not contract.record_end:
-        largest = file_sizes(spark, paths).agg(F.max("length")).first()[0] or 0
-        if largest > MAX_DOCUMENT_BYTES:
-            raise ContractError(
-                f"a JSON array of {largest} bytes would be parsed by one task; give the descriptor "
-                "'record_end' (the text that ends each element) or send JSON lines"
-            )
-        docs = scan_text(spark, paths, whole_file=True)
-        records = json_documents(docs, keep_non_objects=contract.policy.reject_missing)
+    if is_whole_document(contract):
+        records = json_documents(scan_documents(spark, paths), keep_non_objects=contract.policy.reject_missing)
         return parse_json_records(records, contract)
     return parse_feed(scan_text(spark, paths, line_sep=separator_of(contract)), contract)

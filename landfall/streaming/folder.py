@@ -11,7 +11,7 @@ from landfall.contract import Contract, ContractError
 from landfall.functions.crypto import key_column
 from landfall.operators.sinks import write_landing
 from landfall.plans.intake import landing_rows
-from landfall.sources.feed import parse_feed, separator_of
+from landfall.sources.feed import is_whole_document, parse_feed, separator_of
 
 
 def land_new_files(
@@ -26,7 +26,7 @@ def land_new_files(
 ) -> StreamingQuery:
     """Land what is there now and stop. Every micro-batch is a run named after its
     batch id, so a batch that is tried again replaces what it wrote."""
-    if contract.format == "JSON" and contract.is_json_array and not contract.record_end:
+    if is_whole_document(contract):
         raise ContractError("whole-document JSON cannot be read as a stream; use JSON lines")
     reader = spark.readStream
     if separator_of(contract):

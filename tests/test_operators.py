@@ -4,6 +4,7 @@ import base64
 import os
 import random
 from datetime import datetime, timedelta
+from types import SimpleNamespace
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -26,6 +27,7 @@ from landfall.operators.reconcile import reconcile
 from landfall.operators.routing import error_rows, read_envelopes, valid_rows
 from landfall.operators.sinks import jdbc_options, write_error_text, write_table
 from landfall.operators.splitting import needs_split, part_count, part_manifest, split_files, split_plan
+from landfall.plans.prepare import prepare
 from landfall.plans.workspace import shared_dir
 from landfall.sources import parse_feed, read_feed
 
@@ -284,6 +286,16 @@ class TestSinks:
         a, b = shared_dir(spark, "x"), shared_dir(spark, "x")
         assert a.startswith(root) and a != b
 
+    def test_shared_dir_without_the_setting(self):
+        def session(master):
+            return SimpleNamespace(
+                conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master=master)
+            )
+
+        assert os.path.isdir(shared_dir(session("local[2]"), "x").split("/landfall/")[0])
+        with pytest.raises(RuntimeError):
+            shared_dir(session("yarn"), "x")
+
 
 SPLITS = {
     "staff.csv": (staff.csv_file(), staff.descriptor("CSV")),
@@ -331,6 +343,18 @@ class TestSplitting:
         heads = [p.read_text().split("\n", 1)[0] for p in (tmp_path / "p").glob("part-*")]
         assert set(heads) == {"id,text"} and len(heads) == planned
 
+    def test_prepare_splits_only_what_is_large(self, spark, tmp_path):
+        c = parse_contract(staff.descriptor("JSON", is_json_array=True))
+        (tmp_path / "s.json").write_text(staff.json_file())
+        path, out = str(tmp_path / "s.json"), str(tmp_path / "p")
+        assert prepare(spark, path, c, out) == ([path], c)
+        assert prepare(spark, str(tmp_path / "gone"), c, out, threshold_kb=0) == ([str(tmp_path / "gone")], c)
+        paths, lines = prepare(spark, path, c, out, threshold_kb=1, target_kb=1)
+        assert paths == [out] and not lines.is_json_array
+        assert read_feed(spark, paths, lines).count() == 3
+        # The array contract itself also reads the parts: what they hold is seen in the text.
+        assert read_feed(spark, paths, c).count() == 3
+
     def test_xml_parts_are_documents(self, spark, tmp_path):
         import xml.etree.ElementTree as ET
 
