@@ -58,10 +58,10 @@ def split_list(c: str, separator: str = ";") -> str:
 
 def replace_null_tokens(c: str) -> str:
     """Blank out null tokens between pipes; a null line becomes an empty one."""
-    out = f"coalesce({c}, '')"
+    out = c
     for pattern, blank in NULL_TOKENS:
         out = replace_pattern(out, pattern, blank)
-    return out
+    return f"CASE WHEN contains({c}, '|') THEN {out} ELSE coalesce({c}, '') END"
 
 
 def replace_inner_null_tokens(c: str) -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from contextlib import contextmanager
+from dataclasses import dataclass, field
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -53,30 +54,35 @@ def with_message(df: DataFrame) -> DataFrame:
     return df.withColumn("message", F.expr(humanize("error_type", "field", "reason")))
 
 
-def jdbc_options(url: str, table: str, user: str, password: str, driver: str, batch: int, connections: int) -> dict:
-    return {
-        "url": url, "dbtable": table, "user": user, "password": password, "driver": driver,
-        "batchsize": str(batch), "numPartitions": str(connections),
-    }
+@dataclass(frozen=True)
+class JdbcTable:
+    """A database table and how to reach it."""
 
+    url: str
+    table: str
+    user: str
+    password: str = field(repr=False)
+    driver: str = "org.postgresql.Driver"
+    batch: int = 5000
+    connections: int = 32
 
-def append_jdbc(
-    df: DataFrame, url: str, table: str, user: str, password: str,
-    driver: str = "org.postgresql.Driver", batch: int = 5000, connections: int = 32,
-) -> None:
-    """Append to a database table over a bounded number of connections.
+    def options(self) -> dict[str, str]:
+        return {
+            "url": self.url, "dbtable": self.table, "user": self.user, "password": self.password,
+            "driver": self.driver, "batchsize": str(self.batch), "numPartitions": str(self.connections),
+        }
+
+
+def append_jdbc(df: DataFrame, target: JdbcTable) -> None:
+    """Append over a bounded number of connections.
 
     Each partition is one transaction, so a task that is lost between its commit
     and its report is loaded twice; the count check of the run shows it.
     """
-    options = jdbc_options(url, table, user, password, driver, batch, connections)
-    df.write.format("jdbc").options(**options).mode("append").save()
+    df.write.format("jdbc").options(**target.options()).mode("append").save()
 
 
-def loaded_in_jdbc(
-    spark: SparkSession, url: str, table: str, user: str, password: str, execution_id: str,
-    driver: str = "org.postgresql.Driver",
-) -> DataFrame:
+def loaded_in_jdbc(spark: SparkSession, target: JdbcTable, execution_id: str) -> DataFrame:
     """Rows of one run; the filter is evaluated by the database."""
-    options = jdbc_options(url, table, user, password, driver, 5000, 1)
-    return spark.read.format("jdbc").options(**options).load().filter(F.col("execution_id") == execution_id)
+    rows = spark.read.format("jdbc").options(**target.options()).load()
+    return rows.filter(F.col("execution_id") == execution_id)

@@ -147,7 +147,8 @@ def _event_log(spark, sf_dir):
         "CASE event_type WHEN 'view' THEN 'RUNNING' WHEN 'purchase' THEN 'PASSED' WHEN 'signup' THEN 'FAILED' END AS status",
         "CASE WHEN event_type = 'click' AND value < 20 THEN event_id END AS expected_count",
         "CASE WHEN event_type = 'click' AND value >= 20 THEN event_id END AS actual_count",
-        f"CASE event_type WHEN 'error' THEN {audit.abort_reason('props')} WHEN 'signup' THEN 'mismatch' END AS failure_reason",
+        f"CASE event_type WHEN 'error' THEN {audit.abort_reason('props')} WHEN 'signup' THEN 'mismatch' END "
+        "AS failure_reason",
         "CASE WHEN event_type = 'view' THEN concat('/in/', event_id) END AS file_path",
         "CASE WHEN event_type = 'view' THEN cast(event_id as string) END AS file_name",
         "CASE WHEN event_type = 'view' THEN 'CSV' END AS file_type",

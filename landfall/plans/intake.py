@@ -18,7 +18,7 @@ from landfall.operators.protect import encrypt_columns
 from landfall.operators.quality import kinds_of, text_of, validate
 from landfall.operators.reconcile import load_counts, reconcile
 from landfall.operators.routing import outcome
-from landfall.operators.sinks import run_dir, with_message, write_landing
+from landfall.operators.sinks import JdbcTable, append_jdbc, loaded_in_jdbc, run_dir, with_message, write_landing
 from landfall.sources.control import expected_count
 from landfall.sources.feed import read_feed
 
@@ -97,7 +97,7 @@ def loaded_rows(
 ) -> DataFrame:
     """The warehouse table: good rows; the outcome filter prunes directories."""
     rows = read_landing(spark, location, contract, execution_id).filter(F.col("outcome") == "valid")
-    return rows.drop("outcome", "source_file", *ERROR_COLUMNS)
+    return rows.select(*warehouse_names(contract), *LINEAGE)
 
 
 def rejected_rows(
@@ -114,9 +114,10 @@ class IntakeJob:
     location: str
     audit_dir: str
     control_path: str | None = None
-    base64_key: str | None = None
+    base64_key: str | None = field(default=None, repr=False)
     execution_id: str = field(default_factory=lambda: str(uuid.uuid4()))
     started: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
+    database: JdbcTable | None = None
 
 
 @dataclass(frozen=True)
@@ -148,8 +149,21 @@ def _start_event(job: IntakeJob) -> dict:
     )
 
 
+def _load_database(spark: SparkSession, job: IntakeJob) -> int:
+    """Good rows from the landing table, whose ciphertext no longer changes, to the database.
+
+    Appending cannot replace what an earlier attempt loaded, so a run that is
+    there already is refused.
+    """
+    if loaded_in_jdbc(spark, job.database, job.execution_id).take(1):
+        raise ValueError(f"{job.database.table} already holds rows of run {job.execution_id}; remove them first")
+    append_jdbc(loaded_rows(spark, job.location, job.contract, job.execution_id), job.database)
+    return loaded_in_jdbc(spark, job.database, job.execution_id).count()
+
+
 def run_intake(spark: SparkSession, job: IntakeJob) -> IntakeResult:
-    """Land all files of a run, check the counts and log the run.
+    """Land all files of a run, load them into a database if one is named, check the
+    counts and log the run.
 
     A count mismatch is recorded as FAILED and does not raise; any other problem
     is recorded as FAILED and raised again.
@@ -162,14 +176,14 @@ def run_intake(spark: SparkSession, job: IntakeJob) -> IntakeResult:
         parsed = read_feed(spark, list(job.paths), job.contract)
         rows = landing_rows(parsed, job.contract, job.execution_id, job.started, key)
         write_landing(rows, job.location, job.execution_id)
-        expected = expected_count(spark, job.control_path)
         by_outcome = {
             r["outcome"]: r["actual_count"]
             for r in load_counts(
                 read_landing(spark, job.location, job.contract, job.execution_id), "outcome"
             ).collect()
         }
-        actual = by_outcome.get("valid", 0)
+        actual = _load_database(spark, job) if job.database else by_outcome.get("valid", 0)
+        expected = expected_count(spark, job.control_path)
         want = spark.createDataFrame([(job.execution_id, expected)], "execution_id string, expected_count bigint")
         got = spark.createDataFrame([(job.execution_id, actual)], "execution_id string, actual_count bigint")
         result = reconcile(want, got).first()

@@ -46,7 +46,9 @@ def control_counts(lines: DataFrame, by: str, order: str) -> DataFrame:
 
 def read_control_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Counts of many control files; each is far smaller than one file split, so line order is id order."""
-    lines = scan_text(spark, paths).selectExpr("value", "_source_file AS control_file", "monotonically_increasing_id() AS _line")
+    lines = scan_text(spark, paths).selectExpr(
+        "value", "_source_file AS control_file", "monotonically_increasing_id() AS _line"
+    )
     return control_counts(lines, "control_file", "_line")
 
 

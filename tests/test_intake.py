@@ -1,6 +1,7 @@
 """Whole runs over small files of each format."""
 
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -152,6 +153,33 @@ def test_problem_is_logged_and_raised(spark, tmp_path, aes_key):
     assert report.execution_id == "run-9" and report.status == "FAILED" and len(report.failure_reason) <= 1000
 
 
+def test_database_target(spark, tmp_path, aes_key, monkeypatch):
+    """With the two database calls replaced by a Parquet table: what is loaded, counted and refused."""
+    from landfall.operators.sinks import JdbcTable
+    from landfall.plans import intake
+
+    store = str(tmp_path / "db")
+    contract = parse_contract(CSV, Policy.lenient())
+
+    def stored(spark, target, execution_id):
+        try:
+            return spark.read.parquet(store).filter(F.col("execution_id") == execution_id)
+        except Exception:
+            return spark.range(0).withColumn("execution_id", F.lit(""))
+
+    monkeypatch.setattr(intake, "loaded_in_jdbc", stored)
+    monkeypatch.setattr(intake, "append_jdbc", lambda df, target: df.write.mode("append").parquet(store))
+    run = replace(
+        job(tmp_path, "staff.csv", staff.csv_file(), contract, aes_key, 2), database=JdbcTable("u", "stg", "a", "b")
+    )
+    assert run_intake(spark, run).status == "PASSED"
+    columns = spark.read.parquet(store).columns
+    assert columns[-3:] == ["ingestion_timestamp", "execution_id", "source_creation_time"] and len(columns) == 19
+    with pytest.raises(ValueError, match="already holds"):
+        run_intake(spark, run)
+    assert spark.read.parquet(store).count() == 2
+
+
 def test_many_files_are_one_run(spark, tmp_path, aes_key):
     contract = parse_contract(CSV)
     paths = []

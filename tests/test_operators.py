@@ -25,8 +25,8 @@ from landfall.operators.protect import decrypt_columns, encrypt_columns
 from landfall.operators.quality import length_ok, validate
 from landfall.operators.reconcile import reconcile
 from landfall.operators.routing import error_rows, read_envelopes, valid_rows
-from landfall.operators.sinks import jdbc_options, write_error_text, write_table
-from landfall.operators.splitting import needs_split, part_count, part_manifest, split_files, split_plan
+from landfall.operators.sinks import JdbcTable, write_error_text, write_table
+from landfall.operators.splitting import needs_split, part_count, split_files, split_plan
 from landfall.plans.prepare import prepare
 from landfall.plans.workspace import shared_dir
 from landfall.sources import parse_feed, read_feed
@@ -278,8 +278,10 @@ class TestSinks:
         )
 
     def test_jdbc_options(self):
-        o = jdbc_options("jdbc:x:y", "stg", "u", "p", "d.D", 100, 4)
+        target = JdbcTable("jdbc:x:y", "stg", "u", "hidden", "d.D", 100, 4)
+        o = target.options()
         assert (o["dbtable"], o["batchsize"], o["numPartitions"], o["driver"]) == ("stg", "100", "4", "d.D")
+        assert "hidden" not in repr(target)
 
     def test_shared_dir_follows_the_session(self, spark):
         root = spark.conf.get("spark.checkpoint.dir")
