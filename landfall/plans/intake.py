@@ -97,7 +97,7 @@ def loaded_rows(
 ) -> DataFrame:
     """The warehouse table: good rows; the outcome filter prunes directories."""
     rows = read_landing(spark, location, contract, execution_id).filter(F.col("outcome") == "valid")
-    return rows.select(*warehouse_names(contract), *LINEAGE)
+    return rows.select(*[col(n) for n in warehouse_names(contract)], *LINEAGE)
 
 
 def rejected_rows(

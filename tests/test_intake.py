@@ -153,6 +153,23 @@ def test_problem_is_logged_and_raised(spark, tmp_path, aes_key):
     assert report.execution_id == "run-9" and report.status == "FAILED" and len(report.failure_reason) <= 1000
 
 
+@pytest.mark.parametrize("fmt", ["CSV", "JSON"])
+def test_odd_field_names(spark, tmp_path, aes_key, fmt):
+    names = ["a b", "x.y", "it's", "select", "Ä"]
+    fields = {n: {"required": True, "max_length": 9, "encrypt": n == "x.y"} for n in names}
+    contract = parse_contract(json.dumps({"format": fmt, "fields": fields}))
+    rows = [["1", "2", "3", "4", "5"], ["1", "2", "", "4", "5"]]
+    if fmt == "CSV":
+        text = "\n".join(",".join(r) for r in rows)
+    else:
+        text = "\n".join(json.dumps(dict(zip(names, r))) for r in rows)
+    result = run_intake(spark, job(tmp_path, "odd.txt", text, contract, aes_key))
+    assert (result.actual_count, result.error_count) == (1, 1)
+    good = loaded_rows(spark, str(tmp_path / "table"), contract, "run-1").first().asDict()
+    assert [good[n] for n in ("a b", "it's", "select", "Ä")] == ["1", "3", "4", "5"] and len(good["x.y_encrypted"]) > 30
+    assert rejected_rows(spark, str(tmp_path / "table"), contract, "run-1").first().field == "it's"
+
+
 def test_database_target(spark, tmp_path, aes_key, monkeypatch):
     """With the two database calls replaced by a Parquet table: what is loaded, counted and refused."""
     from landfall.operators.sinks import JdbcTable
