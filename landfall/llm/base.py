@@ -44,7 +44,7 @@ def document_key(doc_id: Column, text: Column) -> list[Column]:
     return [doc_id.alias("doc_id"), F.xxhash64(text).alias("text_key")]
 
 
-def without(docs: DataFrame, losers: DataFrame, doc_id: str, text: str, broadcast_rows: int = 4_000_000) -> DataFrame:
+def without(docs: DataFrame, losers: DataFrame, doc_id: str, text: str, broadcast_rows: int = 1_000_000) -> DataFrame:
     """``docs`` without the rows whose (doc_id, text_key) is in ``losers``; null ids match null ids.
 
     ``losers`` is counted first and broadcast only up to ``broadcast_rows`` (16 bytes each);

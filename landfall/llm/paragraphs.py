@@ -161,7 +161,7 @@ def _edges(members: DataFrame, sets: DataFrame, block: int) -> DataFrame:
     return rows.select(*keys, "node", "sh").repartition(*keys).sortWithinPartitions(*keys, "node").mapInArrow(run, "a long, b long")
 
 
-def repeated(df: DataFrame, doc_id: str = "doc_id", text: str = "text", block: int = 512, broadcast_rows: int = 2_000_000) -> DataFrame:
+def repeated(df: DataFrame, doc_id: str = "doc_id", text: str = "text", block: int = 512, broadcast_rows: int = 500_000) -> DataFrame:
     """The repeated paragraphs, one row each occurrence, kept and removed ones.
 
     Columns: doc_id, text_key, paragraph (its number in the document), start and length in

@@ -53,7 +53,9 @@ def fingerprints(df: DataFrame, doc_id: str, text: str, width: int = 4) -> DataF
 
 
 def masks(radius: int) -> list[int]:
-    """The covering masks, 2**(radius + 1) - 1 of them, as signed longs."""
+    """The covering masks, 2**(radius + 1) - 1 of them, as signed longs; for radii up to 6."""
+    if not 0 <= radius <= 6:
+        raise ValueError("radius must be between 0 and 6")
     vectors = (1 << (radius + 1)) - 1
     kept = lambda v: sum(1 << i for i in range(64) if ((1 + i % vectors) & v).bit_count() % 2)
     return [int(np.uint64(kept(v)).astype(np.int64)) for v in range(1, vectors + 1)]

@@ -112,7 +112,7 @@ def _even(model: Ftrl, own: np.ndarray, swapped: np.ndarray, penalty: float) ->
         slope = np.concatenate([np.full(len(here), p * (1 - p)), np.full(len(there), -q * (1 - q))])
         # The linear part keeps the pull when both scores are saturated.
         lean = np.concatenate([np.ones(len(here)), -np.ones(len(there))]) * float(model.weights(own).sum() - model.weights(swapped).sum())
-        model.update(at, penalty * (2 * (p - q) * slope + 0.1 * lean), model.weights(at))
+        model.update(at, penalty * (2 * (p - q) * slope + 0.3 * lean), model.weights(at))
 
 
 def learn_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", train_rows: int = TRAIN_ROWS, penalty: float = 1.0) -> Sparse:
