@@ -27,7 +27,7 @@ class _Ids(dict):
     """Word to hash, remembered up to a bound."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         self[word] = h = zlib.crc32(word.encode("utf-8", "surrogatepass"))
         return h

@@ -47,7 +47,7 @@ def _word_features(word: str) -> tuple[int, ...]:
 
 class _Known(dict):
     def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) > 300_000:
+        if len(self) > 100_000:
             self.clear()
         self[word] = f = _word_features(word)
         return f
