@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import SparkSession
@@ -145,7 +146,7 @@ def _field_rule(name: str, rule: dict) -> FieldRule:
         min_length=rule.get("min_length"),
         max_length=rule.get("max_length"),
         shape=shape,
-        type=rule.get("type"),
+        type=_type_name(name, rule.get("type")),
         pattern=rule.get("pattern"),
         width=rule.get("width"),
         not_null=bool(rule.get("not_null", False)),
@@ -154,6 +155,13 @@ def _field_rule(name: str, rule: dict) -> FieldRule:
     )
 
 
+def _type_name(field: str, name: str | None) -> str | None:
+    """A type as it may stand in SQL: a name, element types in angle brackets, numbers in round ones."""
+    if name is not None and not re.fullmatch(r"[A-Za-z_][\w<>:, ]*(\(\s*\d+\s*(,\s*\d+\s*)?\))?", name):
+        raise ContractError(f"field {field}: {name!r} is not a type")
+    return name
+
+
 def parse_contract(text: str, policy: Policy | None = None) -> Contract:
     try:
         doc = json.loads(text.removeprefix("﻿"))

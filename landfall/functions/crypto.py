@@ -54,9 +54,9 @@ def encrypt_text(c: str) -> str:
 
 
 def decrypt_text(c: str) -> str:
-    """Null and '' give one blank; a value that is not ours fails the job."""
+    """Null and blanks (as absent values are landed) give one blank; a value that is not ours fails the job."""
     return (
-        f"CASE WHEN {c} IS NULL OR {c} = '' THEN ' ' "
+        f"CASE WHEN {c} IS NULL OR trim({c}) = '' THEN ' ' "
         f"ELSE cast(aes_decrypt(unbase64({c}), {KEY}, 'GCM') as string) END"
     )
 
@@ -64,7 +64,7 @@ def decrypt_text(c: str) -> str:
 def try_decrypt_text(c: str) -> str:
     """As decrypt_text, but a damaged value gives null."""
     return (
-        f"CASE WHEN {c} IS NULL OR {c} = '' THEN ' ' "
+        f"CASE WHEN {c} IS NULL OR trim({c}) = '' THEN ' ' "
         f"ELSE cast(try_aes_decrypt(try_to_binary({c}, 'base64'), {KEY}, 'GCM') as string) END"
     )
 
@@ -105,9 +105,20 @@ def _sealed_object(v: str, member: str) -> str:
     )
 
 
-def encrypt_variant(c: str, member: str) -> str:
+def _has_member(v: str, member: str) -> str:
+    return f"coalesce(map_contains_key(try_variant_get({v}, '$', 'map<string,variant>'), {lit(member)}), false)"
+
+
+def encrypt_variant(c: str, member: str, whole: bool = False) -> str:
     """A JSON value as text: a scalar is encrypted whole, an object in its
-    ``member`` only, a list in the ``member`` of each object element."""
+    ``member`` only, a list in the ``member`` of each object element. With ``whole``
+    objects without it, and lists of anything else, are encrypted whole too."""
+    if whole:
+        each = f"startswith(schema_of_variant(e), 'OBJECT<') AND {_has_member('e', member)}"
+        listed = f"coalesce(forall(try_variant_get({c}, '$', 'array<variant>'), e -> {each}), false)"
+        plain = f"CASE WHEN startswith(schema_of_variant({c}), 'OBJECT<') THEN {_has_member(c, member)} ELSE {listed} END"
+        part = f"{is_json_container(c)} AND {plain}"
+        return f"CASE WHEN {part} THEN {encrypt_variant(c, member)} ELSE {encrypt_text(variant_text(c))} END"
     kind = f"schema_of_variant({c})"
     items = (
         f"transform(try_variant_get({c}, '$', 'array<variant>'), element -> "

@@ -15,16 +15,20 @@ MEMBER = "phone"
 def sealed(c: str, kind: T.DataType, rule: FieldRule, strict: bool) -> str:
     """The protected form of one field; needs the key column."""
     if isinstance(kind, T.VariantType):
-        return crypto.encrypt_variant(c, MEMBER)
+        return crypto.encrypt_variant(c, MEMBER, whole=strict and rule.encrypt == "value")
     if isinstance(kind, T.StructType):
         members = kind.fieldNames()
         if MEMBER in members:
             return crypto.encrypt_member(c, kind, MEMBER)
         # A wrapped text of unknown shape has no phone member to single out.
-        return crypto.encrypt_member(c, kind, "raw") if strict and members == ["raw"] else c
+        if strict and members == ["raw"]:
+            return crypto.encrypt_member(c, kind, "raw")
+        return crypto.encrypt_text(f"to_json({c})") if strict else c
     if isinstance(kind, T.ArrayType):
         nested = isinstance(kind.elementType, T.StructType) and MEMBER in kind.elementType.fieldNames()
-        return crypto.encrypt_members(c, kind, MEMBER) if nested else c
+        if nested:
+            return crypto.encrypt_members(c, kind, MEMBER)
+        return crypto.encrypt_text(f"to_json({c})") if strict else c
     if rule.encrypt == "phone":
         return crypto.encrypt_json_text(c, MEMBER)
     return crypto.encrypt_text(c)

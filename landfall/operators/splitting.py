@@ -99,7 +99,8 @@ def _source_rows(session: SparkSession, path, contract: Contract, target_kb: int
         return rows.repartition(int(n))
     lines = scan_text(session, path, line_sep=separator_of(contract)).select("value")
     if contract.format == "JSON" and contract.is_json_array:
-        return json_chunks(lines, contract.record_end).selectExpr(f"{one_line} AS value")
+        chunks = json_chunks(lines, contract.record_end)
+        return chunks.selectExpr("coalesce(value, _document) AS value").selectExpr(f"{one_line} AS value")
     if contract.format == "JSON":
         return json_lines(lines)
     if contract.format == "XML":

@@ -46,7 +46,7 @@ def landing_rows(
 
     A good row has its warehouse columns and no error columns, a bad row the
     other way round. When the contract holds secrets, the raw text of a bad row
-    is kept encrypted and its readable text is masked.
+    is kept encrypted (without a key it is not kept) and its readable text is masked.
     """
     checked = validate(cleanse_nulls(parsed, contract.names), contract)
     report = f"CASE WHEN _error.type <> 'PARSE_ERROR' THEN {_row_text(checked, contract)}"
@@ -59,7 +59,7 @@ def landing_rows(
     hide_raw = contract.holds_secrets and key is not None
 
     def shape(df: DataFrame) -> DataFrame:
-        raw = encrypt_text("_raw") if hide_raw else "_raw"
+        raw = encrypt_text("_raw") if hide_raw else "cast(NULL as string)" if contract.holds_secrets else "_raw"
         return df.selectExpr(
             *[f"CASE WHEN _error IS NULL THEN {e} END AS {col(n)}" for n, e in texts.items()],
             *LINEAGE,
@@ -149,14 +149,14 @@ def _start_event(job: IntakeJob) -> dict:
     )
 
 
-def _load_database(spark: SparkSession, job: IntakeJob) -> int:
-    """Good rows from the landing table, whose ciphertext no longer changes, to the database.
-
-    Appending cannot replace what an earlier attempt loaded, so a run that is
-    there already is refused.
-    """
+def _refuse_second_load(spark: SparkSession, job: IntakeJob) -> None:
+    """Appending cannot replace what an earlier attempt loaded, so a run that is there already is refused."""
     if loaded_in_jdbc(spark, job.database, job.execution_id).take(1):
         raise ValueError(f"{job.database.table} already holds rows of run {job.execution_id}; remove them first")
+
+
+def _load_database(spark: SparkSession, job: IntakeJob) -> int:
+    """Good rows from the landing table, whose ciphertext no longer changes, to the database."""
     append_jdbc(loaded_rows(spark, job.location, job.contract, job.execution_id), job.database)
     return loaded_in_jdbc(spark, job.database, job.execution_id).count()
 
@@ -173,6 +173,8 @@ def run_intake(spark: SparkSession, job: IntakeJob) -> IntakeResult:
     audit.append_events(spark, [_start_event(job)], job.audit_dir)
     try:
         key = key_column(spark, job.base64_key) if job.contract.encrypted or job.base64_key else None
+        if job.database:  # before the landing table is replaced
+            _refuse_second_load(spark, job)
         parsed = read_feed(spark, list(job.paths), job.contract)
         rows = landing_rows(parsed, job.contract, job.execution_id, job.started, key)
         write_landing(rows, job.location, job.execution_id)

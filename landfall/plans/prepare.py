@@ -15,7 +15,9 @@ def exceeds_threshold(spark: SparkSession, path: str, threshold_kb: int = THRESH
     """Whether any file under the path is above the threshold; a path that is not there is not."""
     try:
         return bool(split_plan(spark, path, threshold_kb).filter("split").take(1))
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return False
 
 

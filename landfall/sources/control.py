@@ -56,9 +56,11 @@ def expected_count(spark: SparkSession, path: str | None) -> int | None:
     """The count one run expects. No path means no expectation; anything else unreadable is fatal."""
     if not path:
         return None
-    rows = read_control_files(spark, path).take(1)
+    rows = read_control_files(spark, path).take(2)
     if not rows:
         raise ControlFileError(f"control file {path}: missing 'record_count' attribute")
+    if len(rows) > 1:
+        raise ControlFileError(f"{path} holds more than one control file")
     if rows[0].problem:
         raise ControlFileError(f"control file {path}: {rows[0].problem}")
     return rows[0].expected_count

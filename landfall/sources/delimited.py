@@ -15,10 +15,13 @@ def header_start(contract: Contract) -> str:
 
 
 def drop_header(lines: DataFrame, contract: Contract) -> DataFrame:
-    """Every line that starts with the first field's name is a header line."""
+    """Header lines go: the whole header by name, or, read leniently, any line that starts with the first field's name."""
     if not contract.has_header:
         return lines
-    return lines.filter(f"NOT startswith(value, {header_start(contract)})")
+    whole = f"trim(TRAILING '\\r' FROM value) = {lit(contract.delimiter.join(contract.names))}"
+    if contract.policy.reject_overflow:
+        return lines.filter(f"NOT coalesce({whole}, false)")
+    return lines.filter(f"NOT coalesce({whole} OR startswith(value, {header_start(contract)}), false)")
 
 
 def _cell(part: str, rule: FieldRule) -> str:

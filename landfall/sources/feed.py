@@ -26,7 +26,7 @@ def parse_feed(lines: DataFrame, contract: Contract) -> DataFrame:
         return parse_fixed_width(lines, contract)
     if fmt == "JSON":
         if contract.is_json_array and contract.record_end:
-            return parse_json_records(json_chunks(lines, contract.record_end), contract)
+            return parse_json_records(json_chunks(lines, contract.record_end, contract.policy.reject_missing), contract)
         return parse_json_records(json_lines(lines), contract)
     strict = contract.policy.reject_missing
     return parse_xml_fragments(row_fragments(lines, contract.row_tag, keep_unclosed=strict), contract)

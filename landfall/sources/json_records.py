@@ -27,15 +27,25 @@ def json_lines(lines: DataFrame) -> DataFrame:
     return lines.filter(f"NOT {is_blank('value')}")
 
 
-def json_chunks(chunks: DataFrame, record_end: str) -> DataFrame:
+def json_chunks(chunks: DataFrame, record_end: str, keep_non_objects: bool = True) -> DataFrame:
     """Elements of a large array file that was scanned with ``record_end``
-    (such as a newline, the element indent and a brace) as the separator."""
-    body = replace_pattern("value", r"^[\x00-\x20,\[]+")
-    rows = chunks.selectExpr(
-        *[col(c) for c in chunks.columns if c != "value"],
-        f"CASE WHEN startswith({body}, '{{') THEN concat({body}, {lit(record_end)}) ELSE {body} END AS value",
+    (such as a newline, the element indent and a brace) as the separator.
+
+    A chunk holds the elements since the last ``record_end``, usually one; it is
+    read as an array of its own. A chunk that is none stays one null record with
+    its text in ``_document``.
+    """
+    carried = [col(c) for c in chunks.columns if c != "value"]
+    body = replace_pattern("value", r"^[\x00-\x20]*[,\[]?")  # the comma after the last element, or the opening bracket
+    whole = f"concat('[', _body, {lit(record_end)}, ']')"
+    rows = chunks.selectExpr(*carried, f"{body} AS _body").selectExpr(
+        *carried, "_body", f"{once(from_json(whole, 'array<string>'))} AS _records"
+    ).selectExpr(
+        *carried,
+        f"CASE WHEN _records IS NULL THEN concat(_body, {lit(record_end)}) END AS _document",
+        "explode(coalesce(_records, array(cast(NULL as string)))) AS value",
     )
-    return rows.filter(f"{replace_pattern('value', r'[\x00-\x20\]]+\z')} <> ''")
+    return rows if keep_non_objects else rows.filter("value IS NULL OR startswith(value, '{')")
 
 
 def _document_records(doc: str) -> str:

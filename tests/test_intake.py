@@ -6,7 +6,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-import staff
+import boats
 from landfall import Policy, parse_contract
 from landfall.operators import audit
 from landfall.operators.protect import decrypt_columns
@@ -14,34 +14,34 @@ from landfall.functions.crypto import key_column
 from landfall.plans.intake import IntakeJob, loaded_rows, read_landing, rejected_rows, run_intake
 from landfall.streaming import land_new_files
 
-CSV = staff.descriptor("CSV", delimiter=",", csv_header=True)
-JSON = staff.descriptor("JSON", encrypt=("phone_number", "salary", "emergency_contact"), is_json_array=True)
-XML = staff.descriptor(
-    "XML", encrypt=("phone_number", "salary", "emergency_contact"), optional=("last_name",), row_tag="employee"
+CSV = boats.descriptor("CSV", delimiter=",", csv_header=True)
+JSON = boats.descriptor("JSON", encrypt=("phone", "fee", "emergency_contact"), is_json_array=True)
+XML = boats.descriptor(
+    "XML", encrypt=("phone", "fee", "emergency_contact"), optional=("owner", "notes"), row_tag="boat"
 )
 
 # name: (content, descriptor, lenient: valid and errors, strict: valid and errors)
 GOLDEN = {
-    "staff.csv": (
-        staff.csv_file(), CSV,
-        (2, [("VALIDATION_ERROR", "employee_id", "empty")] * 2),
-        (1, [("BLANK_ROW", "", ""), ("PARSE_ERROR", "", "17 values for 16 fields"),
-             ("VALIDATION_ERROR", "employee_id", "empty")]),
+    "boats.csv": (
+        boats.csv_file(), CSV,
+        (2, [("VALIDATION_ERROR", "code", "empty")] * 2),
+        (1, [("BLANK_ROW", "", ""), ("PARSE_ERROR", "", "12 values for 11 fields"),
+             ("VALIDATION_ERROR", "code", "empty")]),
     ),
-    "staff.json": (
-        staff.json_file(), JSON,
-        (2, [("VALIDATION_ERROR", "last_name", "empty")]),
-        (2, [("VALIDATION_ERROR", "last_name", "empty")]),
+    "boats.json": (
+        boats.json_file(), JSON,
+        (2, [("VALIDATION_ERROR", "owner", "empty")]),
+        (2, [("VALIDATION_ERROR", "owner", "empty")]),
     ),
-    "staff.xml": (staff.xml_file(), XML, (3, []), (3, [])),
-    "staff.txt": (staff.fixed_file(), staff.fixed_descriptor(), (3, []), (3, [])),
+    "boats.xml": (boats.xml_file(), XML, (3, []), (3, [])),
+    "boats.txt": (boats.fixed_file(), boats.fixed_descriptor(), (3, []), (3, [])),
     "bad.csv": (
-        staff.BAD_CSV, CSV, (3, [("VALIDATION_ERROR", "employee_id", "empty")]), None,
+        boats.OTHER_CSV, CSV, (3, [("VALIDATION_ERROR", "code", "empty")]), None,
     ),
     "errors.csv": (
-        staff.ERRORS_CSV, CSV,
-        (2, [("VALIDATION_ERROR", "employee_id", "empty"), ("VALIDATION_ERROR", "first_name", "empty"),
-             ("VALIDATION_ERROR", "last_name", "empty")]),
+        boats.GAPS_CSV, CSV,
+        (2, [("VALIDATION_ERROR", "code", "empty"), ("VALIDATION_ERROR", "hull", "empty"),
+             ("VALIDATION_ERROR", "owner", "empty")]),
         None,
     ),
 }
@@ -81,56 +81,78 @@ def test_golden_outcomes(spark, tmp_path, aes_key, name, strict):
         )
 
 
-@pytest.mark.parametrize("name", ["staff.json", "staff.xml", "staff.txt", "staff.csv"])
+@pytest.mark.parametrize("name", ["boats.json", "boats.xml", "boats.txt", "boats.csv"])
 def test_loaded_values(spark, tmp_path, aes_key, name):
     contract = parse_contract(GOLDEN[name][1])
     run_intake(spark, job(tmp_path, name, GOLDEN[name][0], contract, aes_key))
     rows = loaded_rows(spark, str(tmp_path / "table"), contract)
     sealed = [f.warehouse_name for f in contract.encrypted if f.encrypt == "value" and f.name != "emergency_contact"]
-    assert sealed == ["phone_number_encrypted", "salary_encrypted"]
-    one = decrypt_columns(rows, sealed, key_column(spark, aes_key)).orderBy("employee_id").first()
-    who = staff.person(1)
-    assert one.employee_id == who["employee_id"]
-    assert one.phone_number_encrypted == who["phone_number"]
-    assert one.salary_encrypted == str(who["salary"])
-    assert one.is_active == "false"
+    assert sealed == ["phone_encrypted", "fee_encrypted"]
+    one = decrypt_columns(rows, sealed, key_column(spark, aes_key)).orderBy("code").first()
+    who = boats.boat(1)
+    assert one.code == who["code"]
+    assert one.phone_encrypted == who["phone"]
+    assert one.fee_encrypted == str(who["fee"])
+    assert one.afloat == "false"
     assert one.execution_id == "run-1"
     assert one.source_creation_time is not None and one.ingestion_timestamp is not None
-    if name == "staff.json":
+    if name == "boats.json":
         contact = json.loads(one.emergency_contact)
-        assert contact["name"] == "Tom O" and contact["phone"] != who["emergency_contact"]["phone"]
-        assert json.loads(one.skills) == ["R", "SQL"]
-        assert json.loads(one.address)["city"] == "Ulm"
-    if name == "staff.csv":
-        assert json.loads(one.skills) == ["R", "SQL"]
-        assert json.loads(one.address) == {"raw": '"5 Lime Row Ulm"'}
-    if name == "staff.xml":
+        assert contact["who"] == "Jo Brand" and contact["phone"] != who["emergency_contact"]["phone"]
+        assert json.loads(one.skills) == ["mast", "keel"]
+        assert json.loads(one.address)["town"] == "Emden"
+    if name == "boats.csv":
+        assert json.loads(one.skills) == ["mast", "keel"]
+        assert json.loads(one.address) == {"raw": '"Pier Emden"'}
+    if name == "boats.xml":
         plain = decrypt_columns(rows, ["emergency_contact"], key_column(spark, aes_key))
-        assert json.loads(plain.orderBy("employee_id").first().emergency_contact)["name"] == "Tom O"
-    if name == "staff.txt":
+        assert json.loads(plain.orderBy("code").first().emergency_contact)["who"] == "Jo Brand"
+    if name == "boats.txt":
         assert json.loads(one.emergency_contact)["phone"] != who["emergency_contact"]["phone"]
 
 
 def test_no_secret_is_readable(spark, tmp_path, aes_key):
     contract = parse_contract(CSV)
-    run_intake(spark, job(tmp_path, "staff.csv", staff.csv_file(), contract, aes_key))
+    run_intake(spark, job(tmp_path, "boats.csv", boats.csv_file(), contract, aes_key))
     stored = " ".join(
         str(r) for r in read_landing(spark, str(tmp_path / "table"), contract).collect()
     )
     for i in range(1, 5):
-        assert staff.person(i)["phone_number"] not in stored
+        assert boats.boat(i)["phone"] not in stored
     raw = read_landing(spark, str(tmp_path / "table"), contract).filter("outcome = 'error'").select("raw_record")
     texts = {r[0] for r in decrypt_columns(raw, ["raw_record"], key_column(spark, aes_key)).collect()}
-    assert "," * 14 in texts and len(texts) == 3
+    assert "," * 9 in texts and len(texts) == 3
+
+
+def test_nothing_secret_without_a_key(spark, tmp_path):
+    fields = {"a": {"sensitive": True}, "b": {"required": True}}
+    contract = parse_contract(json.dumps({"format": "CSV", "csv_header": False, "fields": fields}))
+    run_intake(spark, job(tmp_path, "s.csv", "BBB-22,\nx,y,CCC-33\n", contract, None))
+    stored = str(read_landing(spark, str(tmp_path / "table"), contract).collect())
+    assert "BBB-22" not in stored and "CCC-33" not in stored
+
+
+@pytest.mark.parametrize("fmt", ["JSON", "CSV"])
+def test_every_kind_of_secret_is_sealed(spark, tmp_path, aes_key, fmt):
+    """Lists, objects without a phone, optional and absent values; all come back."""
+    fields = {n: {"encrypt": True, "sensitive": True} for n in ("skills", "address", "plain")} | {"id": {"required": True}}
+    contract = parse_contract(json.dumps({"format": fmt, "csv_header": False, "fields": fields}))
+    text = '{"skills": ["SEC-1"], "address": {"p": "SEC-2"}, "id": 1}\n' if fmt == "JSON" else "SEC-1;SEC-4,SEC-2,,1\n"
+    run_intake(spark, job(tmp_path, "s.txt", text, contract, aes_key))
+    row = loaded_rows(spark, str(tmp_path / "table"), contract)
+    assert "SEC-" not in str(row.collect()) and row.count() == 1
+    names = [f.warehouse_name for f in contract.encrypted if not (fmt == "CSV" and f.name == "address")]
+    plain = str(decrypt_columns(row, names, key_column(spark, aes_key)).collect())
+    assert "SEC-1" in plain and (fmt == "CSV" or "SEC-2" in plain)
 
 
 def test_second_attempt_replaces_the_first(spark, tmp_path, aes_key):
     contract = parse_contract(CSV, Policy.lenient())
-    run_intake(spark, job(tmp_path, "staff.csv", staff.csv_file(), contract, aes_key, 3))
-    good = "\n".join(staff.csv_line(staff.person(i)) for i in (1, 2, 3))
-    result = run_intake(spark, job(tmp_path, "staff.csv", good, contract, aes_key, 3))
+    run_intake(spark, job(tmp_path, "boats.csv", boats.csv_file(), contract, aes_key, 3))
+    good = "\n".join(boats.csv_line(boats.boat(i)) for i in (1, 2, 3))
+    result = run_intake(spark, job(tmp_path, "boats.csv", good, contract, aes_key, 3))
     assert (result.actual_count, result.error_count, result.status) == (3, 0, "PASSED")
-    run_intake(spark, job(tmp_path, "staff.csv", good, contract, aes_key, run="run/2 x"))
+    run_intake(spark, job(tmp_path, "boats.csv", good, contract, aes_key, run="run/2 x"))
     counts = {
         r.execution_id: r["count"]
         for r in loaded_rows(spark, str(tmp_path / "table"), contract).groupBy("execution_id").count().collect()
@@ -139,12 +161,12 @@ def test_second_attempt_replaces_the_first(spark, tmp_path, aes_key):
     state = audit.run_states(audit.read_events(spark, str(tmp_path / "audit"))).filter("execution_id = 'run-1'").first()
     assert (state.status, state.expected_count, state.actual_count) == ("PASSED", 3, 3)
     assert state.failure_reason.startswith("Record count mismatch!")
-    assert state.file_name == "staff.csv"
+    assert state.file_name == "boats.csv"
 
 
 def test_problem_is_logged_and_raised(spark, tmp_path, aes_key):
     contract = parse_contract(CSV)
-    bad = job(tmp_path, "staff.csv", staff.csv_file(), contract, aes_key)
+    bad = job(tmp_path, "boats.csv", boats.csv_file(), contract, aes_key)
     bad = IntakeJob([str(tmp_path / "gone.csv")], contract, bad.location, bad.audit_dir, None, aes_key, "run-9")
     with pytest.raises(Exception):
         run_intake(spark, bad)
@@ -187,14 +209,15 @@ def test_database_target(spark, tmp_path, aes_key, monkeypatch):
     monkeypatch.setattr(intake, "loaded_in_jdbc", stored)
     monkeypatch.setattr(intake, "append_jdbc", lambda df, target: df.write.mode("append").parquet(store))
     run = replace(
-        job(tmp_path, "staff.csv", staff.csv_file(), contract, aes_key, 2), database=JdbcTable("u", "stg", "a", "b")
+        job(tmp_path, "boats.csv", boats.csv_file(), contract, aes_key, 2), database=JdbcTable("u", "stg", "a", "b")
     )
     assert run_intake(spark, run).status == "PASSED"
     columns = spark.read.parquet(store).columns
-    assert columns[-3:] == ["ingestion_timestamp", "execution_id", "source_creation_time"] and len(columns) == 19
+    assert columns[-3:] == ["ingestion_timestamp", "execution_id", "source_creation_time"] and len(columns) == 14
     with pytest.raises(ValueError, match="already holds"):
-        run_intake(spark, run)
+        run_intake(spark, replace(run, paths=[str(tmp_path / "gone.csv")]))
     assert spark.read.parquet(store).count() == 2
+    assert loaded_rows(spark, run.location, contract, run.execution_id).count() == 2  # the landing table still agrees
 
 
 def test_many_files_are_one_run(spark, tmp_path, aes_key):
@@ -202,7 +225,7 @@ def test_many_files_are_one_run(spark, tmp_path, aes_key):
     paths = []
     for i in range(5):
         p = tmp_path / f"part{i}.csv"
-        p.write_text(",".join(staff.FIELDS) + "\n" + staff.csv_line(staff.person(i)) + "\n\n")
+        p.write_text(",".join(boats.FIELDS) + "\n" + boats.csv_line(boats.boat(i)) + "\n\n")
         paths.append(str(p))
     run = IntakeJob(paths, contract, str(tmp_path / "t"), str(tmp_path / "a"), None, aes_key, "r")
     result = run_intake(spark, run)
@@ -215,7 +238,7 @@ def test_landing_needs_no_shuffle(spark, tmp_path, aes_key):
     from landfall.plans.intake import landing_rows
     from landfall.sources import read_feed
 
-    (tmp_path / "f.csv").write_text(staff.csv_file())
+    (tmp_path / "f.csv").write_text(boats.csv_file())
     contract = parse_contract(CSV)
     import datetime
 
@@ -239,9 +262,9 @@ def test_stream_lands_each_file_once(spark, tmp_path, aes_key):
         q.awaitTermination(120)
         return loaded_rows(spark, str(tmp_path / "t"), contract).count()
 
-    (inbox / "a.csv").write_text(staff.csv_file())
+    (inbox / "a.csv").write_text(boats.csv_file())
     assert run() == 1
-    (inbox / "b.csv").write_text("\n".join(staff.csv_line(staff.person(i)) for i in (5, 6)))
+    (inbox / "b.csv").write_text("\n".join(boats.csv_line(boats.boat(i)) for i in (5, 6)))
     assert run() == 3
     assert run() == 3
     runs = loaded_rows(spark, str(tmp_path / "t"), contract).select("execution_id").distinct().collect()

@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-import staff
+import boats
 from landfall import Policy, parse_contract
 from landfall.__main__ import arguments
 from landfall.contract import Contract, FieldRule
@@ -300,10 +300,10 @@ class TestSinks:
 
 
 SPLITS = {
-    "staff.csv": (staff.csv_file(), staff.descriptor("CSV")),
-    "staff.json": (staff.json_file(), staff.descriptor("JSON", is_json_array=True)),
-    "staff.xml": (staff.xml_file(), staff.descriptor("XML", row_tag="employee")),
-    "staff.txt": (staff.fixed_file(), staff.fixed_descriptor()),
+    "boats.csv": (boats.csv_file(), boats.descriptor("CSV")),
+    "boats.json": (boats.json_file(), boats.descriptor("JSON", is_json_array=True)),
+    "boats.xml": (boats.xml_file(), boats.descriptor("XML", row_tag="boat")),
+    "boats.txt": (boats.fixed_file(), boats.fixed_descriptor()),
 }
 
 
@@ -331,7 +331,7 @@ class TestSplitting:
             return sorted(str(r) for r in df.select(*[F.col(f).cast("string") for f in c.names], "_error").collect())
 
         assert content(before) == content(after)
-        assert sum(r.rows for r in manifest.collect()) == before.count() + (name == "staff.txt")
+        assert sum(r.rows for r in manifest.collect()) == before.count() + (name == "boats.txt")
 
     def test_no_shuffle_and_planned_number_of_parts(self, spark, tmp_path):
         lines = "\n".join(f"{i},{'x' * 80}" for i in range(5000))
@@ -346,8 +346,8 @@ class TestSplitting:
         assert set(heads) == {"id,text"} and len(heads) == planned
 
     def test_prepare_splits_only_what_is_large(self, spark, tmp_path):
-        c = parse_contract(staff.descriptor("JSON", is_json_array=True))
-        (tmp_path / "s.json").write_text(staff.json_file())
+        c = parse_contract(boats.descriptor("JSON", is_json_array=True))
+        (tmp_path / "s.json").write_text(boats.json_file())
         path, out = str(tmp_path / "s.json"), str(tmp_path / "p")
         assert prepare(spark, path, c, out) == ([path], c)
         assert prepare(spark, str(tmp_path / "gone"), c, out, threshold_kb=0) == ([str(tmp_path / "gone")], c)
@@ -360,11 +360,11 @@ class TestSplitting:
     def test_xml_parts_are_documents(self, spark, tmp_path):
         import xml.etree.ElementTree as ET
 
-        (tmp_path / "s.xml").write_text(staff.xml_file())
-        c = parse_contract(staff.descriptor("XML", row_tag="employee"))
+        (tmp_path / "s.xml").write_text(boats.xml_file())
+        c = parse_contract(boats.descriptor("XML", row_tag="boat"))
         split_files(spark, str(tmp_path / "s.xml"), c, str(tmp_path / "p"), target_kb=1)
         roots = [ET.parse(p).getroot() for p in (tmp_path / "p").glob("part-*")]
-        assert {r.tag for r in roots} == {"employees"} and sum(len(r) for r in roots) == 3
+        assert {r.tag for r in roots} == {"boats"} and sum(len(r) for r in roots) == 3
 
 
 @settings(max_examples=15, deadline=None)

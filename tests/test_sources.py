@@ -53,8 +53,12 @@ class TestDelimited:
         ]
 
     def test_header_blank_null_and_quotes(self, lines):
-        df = parse_feed(lines("a,b", "a,other", " \t", None, '"q, r'), contract("a b"))
-        assert rows(df, "a", "b", "_error.type") == [(" \t", None, "BLANK_ROW"), ('"q', " r", None)]
+        given = lines("a,b", "a,b\r", "a,other", " \t", None, '"q, r')
+        rest = [(" \t", None, "BLANK_ROW"), ('"q', " r", None)]
+        assert rows(parse_feed(given, contract("a b")), "a", "b", "_error.type") == [("a", "other", None), *rest]
+        lenient = replace(contract("a b"), policy=Policy.lenient())
+        assert rows(parse_feed(given, lenient), "a", "b", "_error.type") == rest
+        assert rows(parse_feed(lines("a", "1", "a2"), contract("a")), "a") == [("1",), ("a2",)]
 
     @pytest.mark.parametrize("delimiter", ["|", ".", "\t", "||", "\\", "'"])
     def test_delimiter_is_literal(self, lines, delimiter):
@@ -122,6 +126,38 @@ class TestJson:
         assert chunked.count() == 500
 
 
+    @pytest.mark.parametrize("strict", [True, False])
+    def test_chunks_hold_every_element(self, spark, tmp_path, strict):
+        elements = [{}, 7, {"a": 1}, [1, {"b": 2}], "x", None, {"a": 2}, {"a": {"c": [3]}}]
+        c = replace(contract("a", format="JSON", is_json_array=True), policy=Policy() if strict else Policy.lenient())
+        (tmp_path / "x.json").write_text(json.dumps(elements, indent=2))
+        (tmp_path / "y.json").write_text("[]")
+        (tmp_path / "z.json").write_text(json.dumps([7, {"a": 9}], indent=2))
+        whole = read_feed(spark, str(tmp_path), c)
+        chunked = read_feed(spark, str(tmp_path), replace(c, record_end="\n  }"))
+        shown = lambda df: sorted(map(str, rows(df, "a", "_error.type")))
+        assert shown(chunked) == shown(whole) and chunked.count() == (10 if strict else 6)
+
+    def test_chunk_that_is_no_array_is_an_error(self, spark, tmp_path):
+        (tmp_path / "x.json").write_text('[\n  {"a": 1\n  },\n  {"a" 2\n  },\n  {"a": 3\n  }\n]')
+        c = contract("a", format="JSON", is_json_array=True)
+        got = read_feed(spark, str(tmp_path), replace(c, record_end="\n  }"))
+        assert sorted(map(str, rows(got, "a", "_error.type"))) == ["('1', None)", "('3', None)", "(None, 'PARSE_ERROR')"]
+
+
+def test_type_is_a_type():
+    parse_contract(json.dumps({"fields": {"a": {"type": "decimal(10, 2)"}, "b": {"type": "array<int>"}}}))
+    with pytest.raises(ContractError, match="not a type"):
+        parse_contract(json.dumps({"fields": {"a": {"type": "int) IS NULL OR (1=1"}}}))
+
+
+def test_two_control_files_are_refused(spark, tmp_path):
+    for n in "ab":
+        (tmp_path / f"{n}.properties").write_text("record_count=3\n")
+    with pytest.raises(ControlFileError, match="more than one"):
+        expected_count(spark, str(tmp_path))
+
+
 class TestXml:
     C = contract("a b", format="XML", row_tag="r")
 
