@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from landfall.llm.base import col
+from landfall.llm.base import col, saved
 from landfall.llm.tokens import encoder
 
 #: Lengths that are summed together before the blocks are.
@@ -41,6 +41,7 @@ def limits(hist: DataFrame) -> DataFrame:
     tokens_kept when every document is cut at the limit, tokens_lost by that;
     documents_total, tokens_total; quantile, the share of documents within the limit.
     """
+    hist = saved(hist, "lengths")  # it is read twice; the texts are encoded once
     blocks = hist.withColumn("block", F.floor(F.col("length") / SPAN)).withColumn("tokens", F.col("length") * F.col("documents"))
     sums = blocks.groupBy("block").agg(F.sum("documents").alias("d"), F.sum("tokens").alias("t"))
     above = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)  # a row for 1024 lengths
