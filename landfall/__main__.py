@@ -14,8 +14,9 @@ from dataclasses import asdict
 
 from pyspark.sql import SparkSession
 
-from landfall.contract import Policy, load_contract
+from landfall.contract import Contract, Policy, load_contract
 from landfall.operators import audit
+from landfall.operators.sinks import JdbcTable
 from landfall.operators.splitting import TARGET_KB, manifest_totals, split_files
 from landfall.plans.intake import IntakeJob, run_intake
 
@@ -33,6 +34,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     intake.add_argument("--control")
     intake.add_argument("--execution-id", default=None)
     intake.add_argument("--lenient", action="store_true")
+    intake.add_argument("--split-above-kb", type=int, default=None, help="split files above this size first")
+    intake.add_argument("--part-kb", type=int, default=TARGET_KB)
+    intake.add_argument("--jdbc-url", help="also append good rows to this database (user and password from the environment)")
+    intake.add_argument("--jdbc-driver", default="org.postgresql.Driver")
 
     split = jobs.add_parser("split", help="write size-bounded parts of large files")
     split.add_argument("paths", nargs="+")
@@ -47,6 +52,16 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
+def database_of(args: argparse.Namespace, contract: Contract) -> JdbcTable | None:
+    """The contract's target table in the database that is named, or none."""
+    if not args.jdbc_url:
+        return None
+    if not contract.target_table:
+        raise SystemExit("the contract names no target_table")
+    user, password = (os.environ.get(f"LANDFALL_JDBC_{k}", "") for k in ("USER", "PASSWORD"))
+    return JdbcTable(args.jdbc_url, contract.target_table, user, password, args.jdbc_driver)
+
+
 def main(argv: list[str] | None = None) -> int:
     args = arguments(argv)
     spark = SparkSession.builder.appName(f"landfall-{args.job}").getOrCreate()
@@ -72,6 +87,9 @@ def main(argv: list[str] | None = None) -> int:
             args.control,
             os.environ.get("LANDFALL_AES_KEY"),
             args.execution_id or str(uuid.uuid4()),
+            database=database_of(args, contract),
+            split_above_kb=args.split_above_kb,
+            part_kb=args.part_kb,
         ),
     )
     print(json.dumps(asdict(result)))

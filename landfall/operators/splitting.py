@@ -14,10 +14,11 @@ from landfall.contract import Contract
 from landfall.functions.sql import lit
 from landfall.functions.text import replace_pattern
 from landfall.sources.delimited import drop_header, header_start
-from landfall.sources.feed import is_whole_document, scan_documents, separator_of
-from landfall.sources.json_records import json_chunks, json_documents, json_lines
+from landfall.sources.feed import is_whole_document, separator_of
+from landfall.sources.json_arrays import json_arrays
+from landfall.sources.json_records import json_chunks, json_lines
 from landfall.sources.scan import file_sizes, scan_text
-from landfall.sources.xml_rows import chunk_separator, holds_row, row_fragments
+from landfall.sources.xml_rows import chunk_separator, holds_row, mark_closed, row_fragments
 
 # Sizes that apply when the caller states none. On a cluster,
 # state a target near the block size of the storage instead.
@@ -94,17 +95,19 @@ def _source_rows(session: SparkSession, path, contract: Contract, target_kb: int
     if is_whole_document(contract):
         # The records are known after the parse only, so they are dealt out afterwards.
         n = file_sizes(session, path).agg(F.expr(f"sum({part_count('length', target_kb)})")).first()[0]
-        records = json_documents(scan_documents(session, path))
+        records = json_arrays(session, path, contract.policy.reject_missing)
         rows = records.selectExpr("coalesce(value, _document) AS value").selectExpr(f"{one_line} AS value")
         return rows.repartition(int(n))
+    if contract.format == "XML":
+        chunks = scan_text(session, path, line_sep=separator_of(contract), extent=True)
+        marked = mark_closed(chunks, contract.row_tag).select("value", "_closed")
+        return row_fragments(marked, contract.row_tag, keep_unclosed=True)
     lines = scan_text(session, path, line_sep=separator_of(contract)).select("value")
     if contract.format == "JSON" and contract.is_json_array:
-        chunks = json_chunks(lines, contract.record_end)
+        chunks = json_chunks(lines, contract.record_end, contract.policy.reject_missing)
         return chunks.selectExpr("coalesce(value, _document) AS value").selectExpr(f"{one_line} AS value")
     if contract.format == "JSON":
         return json_lines(lines)
-    if contract.format == "XML":
-        return row_fragments(lines, contract.row_tag, keep_unclosed=True)
     return drop_header(lines, contract) if contract.format == "CSV" else lines
 
 

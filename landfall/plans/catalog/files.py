@@ -73,7 +73,8 @@ def _write_csv(spark, sf_dir, path):
 
 def _write_xml(spark, sf_dir, path):
     cells = ", ".join(f"'<{c}>', {c}, '</{c}>\\n'" for c in ORDER_FIELDS)
-    rows = _order_texts(spark, sf_dir).selectExpr(f"concat(' <order>\\n', {cells}, ' </order>') AS value")
+    note = "'<note>up to /order></note>'"  # text that ends like the closing tag
+    rows = _order_texts(spark, sf_dir).selectExpr(f"concat(' <order>\\n', {cells}, {note}, ' </order>') AS value")
     wrap_partitions(rows, '\n<?xml version="1.0" encoding="UTF-8"?>\n<orders>', "</orders>").write.text(path)
 
 
@@ -219,6 +220,15 @@ SELECT 'run-1' AS execution_id, CASE WHEN field IS NULL THEN 'valid' ELSE 'error
 FROM e GROUP BY ALL"""
 
 
+def intake_split(spark, sf_dir):
+    """The same run with files that are split into parts first."""
+    src, out = shared_dir(spark, "csv"), shared_dir(spark, "table")
+    _write_lineitem(spark, sf_dir, src)
+    job = IntakeJob([src], SHIPMENTS, out, shared_dir(spark, "audit"), None, random_key(), "run-1", split_above_kb=1, part_kb=512)
+    run_intake(spark, job)
+    return _outcomes(read_landing(spark, out, SHIPMENTS))
+
+
 def intake_state(spark, sf_dir):
     """The same with a control file that counts all rows, so that the run fails by the rejected ones."""
     src, control = shared_dir(spark, "csv"), shared_dir(spark, "control")
@@ -346,6 +356,7 @@ CATALOG = {
     "split_xml_files": Query(split_xml_files, ORDERS_SQL),
     "split_json_files": Query(split_json_files, ORDERS_SQL),
     "intake_outcomes": Query(intake_outcomes, INTAKE_OUTCOMES),
+    "intake_split": Query(intake_split, INTAKE_OUTCOMES),
     "intake_state": Query(intake_state, INTAKE_STATE),
     "intake_json": Query(intake_json, INTAKE_JSON),
     "intake_decrypted": Query(intake_decrypted, INTAKE_DECRYPTED),

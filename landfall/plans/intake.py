@@ -19,6 +19,9 @@ from landfall.operators.quality import kinds_of, text_of, validate
 from landfall.operators.reconcile import load_counts, reconcile
 from landfall.operators.routing import outcome
 from landfall.operators.sinks import JdbcTable, append_jdbc, loaded_in_jdbc, run_dir, with_message, write_landing
+from landfall.operators.splitting import TARGET_KB
+from landfall.plans.prepare import prepare
+from landfall.plans.workspace import shared_dir
 from landfall.sources.control import expected_count
 from landfall.sources.feed import read_feed
 
@@ -118,6 +121,8 @@ class IntakeJob:
     execution_id: str = field(default_factory=lambda: str(uuid.uuid4()))
     started: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
     database: JdbcTable | None = None
+    split_above_kb: int | None = None
+    part_kb: int = TARGET_KB
 
 
 @dataclass(frozen=True)
@@ -151,14 +156,22 @@ def _start_event(job: IntakeJob) -> dict:
 
 def _refuse_second_load(spark: SparkSession, job: IntakeJob) -> None:
     """Appending cannot replace what an earlier attempt loaded, so a run that is there already is refused."""
-    if loaded_in_jdbc(spark, job.database, job.execution_id).take(1):
+    if loaded_in_jdbc(spark, job.database, job.execution_id):
         raise ValueError(f"{job.database.table} already holds rows of run {job.execution_id}; remove them first")
 
 
 def _load_database(spark: SparkSession, job: IntakeJob) -> int:
     """Good rows from the landing table, whose ciphertext no longer changes, to the database."""
     append_jdbc(loaded_rows(spark, job.location, job.contract, job.execution_id), job.database)
-    return loaded_in_jdbc(spark, job.database, job.execution_id).count()
+    return loaded_in_jdbc(spark, job.database, job.execution_id)
+
+
+def _source(spark: SparkSession, job: IntakeJob) -> tuple[list[str], Contract]:
+    """The files of the run, or their parts if the job splits what is above a threshold."""
+    paths = list(job.paths)
+    if job.split_above_kb is None:
+        return paths, job.contract
+    return prepare(spark, paths, job.contract, shared_dir(spark, "parts"), job.split_above_kb, job.part_kb)
 
 
 def run_intake(spark: SparkSession, job: IntakeJob) -> IntakeResult:
@@ -175,7 +188,7 @@ def run_intake(spark: SparkSession, job: IntakeJob) -> IntakeResult:
         key = key_column(spark, job.base64_key) if job.contract.encrypted or job.base64_key else None
         if job.database:  # before the landing table is replaced
             _refuse_second_load(spark, job)
-        parsed = read_feed(spark, list(job.paths), job.contract)
+        parsed = read_feed(spark, *_source(spark, job))
         rows = landing_rows(parsed, job.contract, job.execution_id, job.started, key)
         write_landing(rows, job.location, job.execution_id)
         by_outcome = {

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import replace
 
 from pyspark.errors import AnalysisException
@@ -11,7 +12,7 @@ from landfall.contract import Contract
 from landfall.operators.splitting import TARGET_KB, THRESHOLD_KB, split_files, split_plan
 
 
-def exceeds_threshold(spark: SparkSession, path: str, threshold_kb: int = THRESHOLD_KB) -> bool:
+def exceeds_threshold(spark: SparkSession, path: str | Sequence[str], threshold_kb: int = THRESHOLD_KB) -> bool:
     """Whether any file under the path is above the threshold; a path that is not there is not."""
     try:
         return bool(split_plan(spark, path, threshold_kb).filter("split").take(1))
@@ -23,7 +24,7 @@ def exceeds_threshold(spark: SparkSession, path: str, threshold_kb: int = THRESH
 
 def prepare(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     contract: Contract,
     out_dir: str,
     threshold_kb: int = THRESHOLD_KB,
@@ -33,9 +34,10 @@ def prepare(
 
     Line formats and XML do not need this, as their scans are cut into tasks
     anyway; it spares a JSON array from being parsed whole a second time. Parts
-    of JSON are JSON lines, which the returned contract says.
+    of JSON are JSON lines, which the returned contract says. The rows are the same
+    either way, but for their source file, which is the part.
     """
     if not exceeds_threshold(spark, path, threshold_kb):
-        return [path], contract
+        return [path] if isinstance(path, str) else list(path), contract
     split_files(spark, path, contract, out_dir, target_kb)
     return [out_dir], replace(contract, is_json_array=False, record_end=None)

@@ -4,21 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from landfall.contract import Contract, ContractError, check_format
+from landfall.contract import Contract, check_format
 from landfall.sources.delimited import parse_delimited
 from landfall.sources.fixed_width import parse_fixed_width
-from landfall.sources.json_records import json_chunks, json_documents, json_lines, parse_json_records
-from landfall.sources.scan import file_sizes, scan_text
-from landfall.sources.xml_rows import chunk_separator, parse_xml_fragments, row_fragments
-
-# A JSON array that is not line- or chunk-separable is parsed by one task.
-MAX_DOCUMENT_BYTES = 256 * 1024 * 1024
+from landfall.sources.json_arrays import json_arrays
+from landfall.sources.json_records import json_chunks, json_lines, parse_json_records
+from landfall.sources.scan import scan_text
+from landfall.sources.xml_rows import chunk_separator, mark_closed, parse_xml_fragments, row_fragments
 
 
 def parse_feed(lines: DataFrame, contract: Contract) -> DataFrame:
-    """Parse a frame (batch or stream) of ``value`` lines or chunks, as cut by ``separator_of``."""
+    """Parse a batch of ``value`` lines or chunks, as cut by ``separator_of``; of XML with their ``extent``."""
     fmt = check_format(contract.format)
     if fmt == "CSV":
         return parse_delimited(lines, contract)
@@ -29,6 +27,7 @@ def parse_feed(lines: DataFrame, contract: Contract) -> DataFrame:
             return parse_json_records(json_chunks(lines, contract.record_end, contract.policy.reject_missing), contract)
         return parse_json_records(json_lines(lines), contract)
     strict = contract.policy.reject_missing
+    lines = mark_closed(lines, contract.row_tag)
     return parse_xml_fragments(row_fragments(lines, contract.row_tag, keep_unclosed=strict), contract)
 
 
@@ -42,24 +41,13 @@ def separator_of(contract: Contract) -> str | None:
 
 
 def is_whole_document(contract: Contract) -> bool:
-    """Only a parse of the whole file knows its records."""
+    """Its records are known only with all text before them."""
     return contract.format == "JSON" and contract.is_json_array and not contract.record_end
 
 
-def scan_documents(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """One row per file, if every file is small enough for the one task that parses it."""
-    largest = file_sizes(spark, paths).agg(F.max("length")).first()[0] or 0
-    if largest > MAX_DOCUMENT_BYTES:
-        raise ContractError(
-            f"a JSON array of {largest} bytes would be parsed by one task; give the descriptor "
-            "'record_end' (the text that ends each element) or send JSON lines"
-        )
-    return scan_text(spark, paths, whole_file=True)
-
-
 def read_feed(spark: SparkSession, paths: str | Sequence[str], contract: Contract) -> DataFrame:
     """All files of a run as one frame, whatever their number."""
     if is_whole_document(contract):
-        records = json_documents(scan_documents(spark, paths), keep_non_objects=contract.policy.reject_missing)
+        records = json_arrays(spark, paths, keep_non_objects=contract.policy.reject_missing)
         return parse_json_records(records, contract)
-    return parse_feed(scan_text(spark, paths, line_sep=separator_of(contract)), contract)
+    return parse_feed(scan_text(spark, paths, line_sep=separator_of(contract), extent=contract.format == "XML"), contract)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def scan_text(
@@ -12,22 +12,29 @@ def scan_text(
     paths: str | Sequence[str],
     line_sep: str | None = None,
     whole_file: bool = False,
+    extent: bool = False,
 ) -> DataFrame:
     """Lines (or separator-bounded chunks) of many files with their origin.
 
     Plain and separator-bounded scans are splittable: one large file is read
     by many tasks. ``whole_file`` gives one row, and so one task, per file.
+    ``extent`` adds the size of the file and where the split that was read starts.
     """
     reader = spark.read
     if line_sep is not None:
         reader = reader.option("lineSep", line_sep)
     return reader.text(paths if isinstance(paths, str) else list(paths), wholetext=whole_file).select(
-        "value",
-        F.col("_metadata.file_path").alias("_source_file"),
-        F.col("_metadata.file_modification_time").alias("_source_ts"),
+        *scanned(extent)
     )
 
 
+def scanned(extent: bool = False) -> list[Column]:
+    """What a text scan gives, batch or stream."""
+    origin = {"_source_file": "file_path", "_source_ts": "file_modification_time"}
+    place = {"_size": "file_size", "_block": "file_block_start"} if extent else {}
+    return [F.col("value"), *(F.col(f"_metadata.{m}").alias(n) for n, m in (origin | place).items())]
+
+
 def file_sizes(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Path, size and time of each file; contents are not read."""
     return (

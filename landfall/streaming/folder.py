@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from landfall.contract import Contract, ContractError
@@ -12,6 +12,7 @@ from landfall.functions.crypto import key_column
 from landfall.operators.sinks import write_landing
 from landfall.plans.intake import landing_rows
 from landfall.sources.feed import is_whole_document, parse_feed, separator_of
+from landfall.sources.scan import scanned
 
 
 def land_new_files(
@@ -33,11 +34,7 @@ def land_new_files(
         reader = reader.option("lineSep", separator_of(contract))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    lines = reader.text(folder).select(
-        "value",
-        F.col("_metadata.file_path").alias("_source_file"),
-        F.col("_metadata.file_modification_time").alias("_source_ts"),
-    )
+    lines = reader.text(folder).select(*scanned(extent=contract.format == "XML"))
 
     def land(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession

@@ -109,21 +109,53 @@ class TestJson:
         kept = parse_json_records(json_documents(lines(docs[0])), contract("a", format="JSON"))
         assert rows(kept, "a", "_raw", "_error.type")[1] == (None, "7", "PARSE_ERROR")
 
-    def test_large_array_needs_a_record_end(self, spark, tmp_path, monkeypatch):
-        doc = json.dumps([{"a": i, "b": {"c": "},\n{"}} for i in range(500)], indent=2)
-        (tmp_path / "x.json").write_text(doc)
-        c = contract("a b", format="JSON", is_json_array=True)
-        whole = rows(read_feed(spark, str(tmp_path), c).orderBy("a"), "a", "b")
-        monkeypatch.setattr(feeds, "MAX_DOCUMENT_BYTES", 1000)
-        with pytest.raises(ContractError, match="record_end"):
-            read_feed(spark, str(tmp_path), c)
+    @pytest.mark.parametrize(("indent", "size"), [(None, "60"), (2, "60"), (2, "100000")])
+    def test_arrays_are_cut_where_they_are_read(self, spark, tmp_path, indent, size):
+        """Every element once, whatever its kind and wherever a split falls."""
+        some = [{}, 7, {"a": 1, "b": {"c": "},\n{\"["}}, [1, {"a": [2]}], "x}\"]", None, {"a": "\\"}, [], {"a": [{}]}, "{"]
+        files = {
+            "many": [{"a": i, "b": "}" * (i % 5)} for i in range(60)], "some": some, "tail": [{"a": 1}, 7, "]"],
+            "numbers": [7, 8], "none": [], "object": {"a": {"b": {}}},
+        }
+        c, session = contract("a", format="JSON", is_json_array=True), spark.newSession()
+        session.conf.set("spark.sql.files.maxPartitionBytes", size)
+        session.conf.set("spark.sql.files.openCostInBytes", "1")
+        for name, doc in files.items():
+            (tmp_path / f"{name}.json").write_text(json.dumps(doc, indent=indent))
+        (tmp_path / "blank.json").write_text("\n \n")
+        (tmp_path / "lines.json").write_text('{"a": 1}\n\n{"a": {"b": 2}}\n')
+        wanted = sorted(json.dumps(e) for d in files.values() for e in (d if isinstance(d, list) else [d]) if e is not None)
+        wanted += ['{"a": 1}', '{"a": {"b": 2}}']
+        found = feeds.json_arrays(session, str(tmp_path)).collect()
+        assert all(r["_document"] is None for r in found)
+        texts = [r.value for r in found if r.value is not None and r.value != "null"]
+        plain = lambda t: t if t in ("x}\"]", "{", "]") else json.dumps(json.loads(t))
+        strings = {json.dumps(t): t for t in ("x}\"]", "{", "]")}
+        assert sorted(map(plain, texts)) == sorted(strings.get(w, w) for w in wanted)
+        assert len(found) - len(texts) == 1  # the null
+        lenient = rows(read_feed(session, str(tmp_path), replace(c, policy=Policy.lenient())), "_error.type")
+        objects = sum(isinstance(e, dict) for d in files.values() for e in (d if isinstance(d, list) else [d]))
+        assert len(lenient) == objects + 2 + 2  # the lines, null, and the text that begins as an object does
+
+    @pytest.mark.parametrize("size", ["7", "100000"])
+    def test_broken_arrays(self, spark, tmp_path, size):
+        """A fault costs its piece; an array that is not closed has an error row at its end."""
+        texts = {
+            "cut": '[{"a": 1}, {"a": 2', "open": '[{"a": 1}, {"a": 2}', "comma": '[{"a": 1} {"a": 2}, {"a": 3}]',
+            "word": "oops", "value": '[{"a": 1}, {"a": oops}, {"a": 3}]', "twice": '[{"a": 1},]',
+        }
+        for name, text in texts.items():
+            (tmp_path / f"{name}.json").write_text(text)
         session = spark.newSession()
-        session.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+        session.conf.set("spark.sql.files.maxPartitionBytes", size)
         session.conf.set("spark.sql.files.openCostInBytes", "1")
-        chunked = read_feed(session, str(tmp_path), replace(c, record_end="\n  }"))
-        assert chunked.rdd.getNumPartitions() > 10
-        assert rows(chunked.filter("_error is null").orderBy("a"), "a") == [(a,) for a, _ in whole]
-        assert chunked.count() == 500
+        df = read_feed(session, str(tmp_path), contract("a", format="JSON", is_json_array=True))
+        got = df.selectExpr("regexp_extract(_source_file, '([a-z]+)[.]json', 1) AS f", "a", "_error IS NULL AS ok").collect()
+        by = {n: (sorted(r.a for r in got if r.f == n and r.ok), sum(r.f == n and not r.ok for r in got)) for n in texts}
+        assert by == {
+            "cut": (["1"], 1), "open": (["1", "2"], 1), "comma": (["1", "3"], 1), "word": ([], 1), "value": (["1", "3"], 1),
+            "twice": (["1"], 1),
+        }
 
 
     @pytest.mark.parametrize("strict", [True, False])
@@ -186,6 +218,23 @@ class TestXml:
         kept = rows(self.parse(lines, text, keep_unclosed=True), "a", "_error.type")
         assert kept == [("1", None), (None, "PARSE_ERROR")]
 
+    @pytest.mark.parametrize("size", ["7", "100000"])
+    def test_closing_text_in_cells_and_file_ends(self, spark, tmp_path, size):
+        """Only an element that its file does not close is no row, wherever a split falls."""
+        whole = "<rs><r><a>x/r>y</a></r><r><a>2</a></r>"
+        ends = {"root": "</rs>", "bare": "", "open": "<r><a>3</a>", "torn": "<r><a>3</", "rooted": "<r><a>3</a></rs>"}
+        for name, end in ends.items():
+            (tmp_path / f"{name}.xml").write_text(whole + end)
+        session = spark.newSession()
+        session.conf.set("spark.sql.files.maxPartitionBytes", size)
+        session.conf.set("spark.sql.files.openCostInBytes", "1")
+        good = sorted([("2", None), ("x/r>y", None)] * len(ends), key=str)
+        strict = read_feed(session, str(tmp_path), self.C)
+        assert sorted(rows(strict.filter("_error IS NULL"), "a", "_error.type"), key=str) == good
+        assert strict.filter("_error IS NOT NULL").count() == 3
+        lenient = read_feed(session, str(tmp_path), replace(self.C, policy=Policy.lenient()))
+        assert sorted(rows(lenient, "a", "_error.type"), key=str) == good
+
     def test_one_file_is_read_by_many_tasks(self, spark, tmp_path):
         body = "".join(f"<r>\n <a>{i}</a><b>{'x' * (i % 97)}</b>\n</r>\n" for i in range(3000))
         (tmp_path / "big.xml").write_text(f"\n<?xml version='1.0'?>\n<rs>\n{body}</rs>\n")
