@@ -20,6 +20,7 @@ def make_error(kind: str, stage: str = "", field: str = "", reason: str = "''")
 
 def humanize(kind: str, field: str, reason: str) -> str:
     """The sentence a reader of the error report sees."""
+    # The sentences and the prefix are part of the report format.
     unreadable = "json_parse_failed:"
     return f"""CASE
         WHEN {kind} = '{BLANK}' THEN 'Row is empty - all required fields are blank'

@@ -7,10 +7,12 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from landfall.contract import Contract
-from landfall.functions.sql import col
+from landfall.functions.sql import col, lit
 from landfall.functions.text import blank_null_word, replace_inner_null_tokens
 from landfall.operators.quality import kinds_of, text_of
 
+# A pipe in the raw text, or the beginning of its JSON or XML escape.
+MAY_HOLD_PIPE = f"(contains(_raw, '|') OR contains(_raw, {lit(chr(92) + 'u007')}) OR contains(_raw, '&#'))"
 LINEAGE = ("ingestion_timestamp", "execution_id", "source_creation_time")
 
 
@@ -19,7 +21,7 @@ def cleanse_nulls(df: DataFrame, columns: list[str], whole_words: bool = False)
     values that are nothing but a null word.
 
     The values go through one lambda as an array, and only for rows whose raw
-    text has a pipe at all, so the compiled code does not grow with the contract.
+    text may hold a pipe at all, so the compiled code does not grow with the contract.
     """
     kinds = {n: k for n, k in kinds_of(df).items() if n in columns}
     texts = {n: col(n) for n, k in kinds.items() if isinstance(k, T.StringType)}
@@ -31,7 +33,7 @@ def cleanse_nulls(df: DataFrame, columns: list[str], whole_words: bool = False)
     clean = replace_inner_null_tokens("x")
     if whole_words:
         clean = blank_null_word(f"({clean})")
-    guard = "contains(_raw, '|')" if "_raw" in df.columns and not whole_words else "true"
+    guard = MAY_HOLD_PIPE if "_raw" in df.columns and not whole_words else "true"
     places = list(texts)
 
     def cleansed(name: str) -> str:

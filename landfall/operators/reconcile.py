@@ -16,6 +16,7 @@ def load_counts(df: DataFrame, by: str = "execution_id") -> DataFrame:
 
 def reconcile(expected: DataFrame, actual: DataFrame, by: str = "execution_id") -> DataFrame:
     """Both sides hold one row per run. A run that loaded nothing has count 0; no control file passes."""
+    # Fixed value: the text of a mismatch is part of the run log.
     return (
         expected.join(actual, by, "full")
         .selectExpr(col(by), "expected_count", "coalesce(actual_count, 0) AS actual_count")

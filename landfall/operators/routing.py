@@ -71,6 +71,7 @@ def error_report(at: str, kind: str, stage: str, field: str, message: str, data:
         text = f"concat({lit(label.ljust(14) + ': ')}, {c})"
         return text if always else f"CASE WHEN coalesce({c}, '') <> '' THEN {text} END"
 
+    # The labels and their order are the report format.
     lines = [
         line("Timestamp", at),
         line("Error Type", kind),

@@ -10,8 +10,10 @@ from landfall.functions.text import parse_instant
 from landfall.operators import audit
 from landfall.operators.enrich import stamp, warehouse_projection
 from landfall.operators.reconcile import load_counts, reconcile
-from landfall.plans.catalog.base import Query, rendered, table
+from landfall.plans.catalog.base import Query, feed, rendered, table
+from landfall.plans.workspace import shared_dir
 from landfall.sources.control import control_counts
+from landfall.sources.feed import read_feed
 
 
 def lineage_columns(spark, sf_dir):
@@ -71,16 +73,14 @@ FROM events"""
 
 
 def multi_file_union(spark, sf_dir):
-    """Several files under one run; each row knows its file."""
-    paths = [f"{sf_dir}/{n}.parquet" for n in ("customer", "supplier")]
-    files = [
-        spark.read.parquet(p).selectExpr(f"{c}_name AS name", "_metadata.file_name AS source_file")
-        for p, c in zip(paths, "cs")
-    ]
-    rows = files[0].unionByName(files[1])
-    return rows.selectExpr("'run-1' AS execution_id", "source_file").groupBy("execution_id").agg(
-        F.count("*").alias("n_rows"), F.countDistinct("source_file").alias("n_files")
-    )
+    """Two feeds of text files read as one run; each row knows its file, and so its feed."""
+    paths = [shared_dir(spark, "csv") for _ in "cs"]
+    for path, (name, c) in zip(paths, (("customer", "c"), ("supplier", "s")), strict=True):
+        table(spark, sf_dir, name).selectExpr(f"{c}_name AS value").write.text(path)
+    rows = read_feed(spark, paths, feed("name", has_header=False)).filter("_error IS NULL AND name <> ''")
+    return rows.selectExpr("'run-1' AS execution_id", "element_at(split(_source_file, '/'), -2) AS folder").groupBy(
+        "execution_id"
+    ).agg(F.count("*").alias("n_rows"), F.countDistinct("folder").alias("n_files"))
 
 
 MULTI_FILE_UNION = """

@@ -385,3 +385,15 @@ def test_command_line():
     a = arguments(["intake", "x", "y", "--contract", "c", "--location", "l", "--audit", "u", "--lenient"])
     assert a.paths == ["x", "y"] and a.lenient and a.execution_id is None
     assert arguments(["split", "x", "--contract", "c", "--out", "o"]).target_kb == 1024
+
+
+def test_cleanse_reaches_escaped_pipes(spark):
+    """The tokens of a value go, however its record spells the pipes."""
+    from landfall.operators.enrich import cleanse_nulls
+    from landfall.sources.json_records import parse_json_records
+
+    plain, escaped = '{"a": "x|null|y"}', '{"a": "x\\u007Cnull\\u007cy"}'
+    rows = spark.createDataFrame([(plain,), (escaped,)], "value string")
+    contract = Contract((FieldRule("a"),), format="JSON")
+    cleaned = {r.a for r in cleanse_nulls(parse_json_records(rows, contract), ["a"]).collect()}
+    assert len(cleaned) == 1 and "null" not in cleaned.pop()
