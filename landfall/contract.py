@@ -84,6 +84,7 @@ class Contract:
     format: str = "CSV"
     delimiter: str = ","
     has_header: bool = True
+    quote: str | None = None
     columns: tuple[FixedColumn, ...] = ()
     is_json_array: bool = False
     row_tag: str = "row"
@@ -177,11 +178,15 @@ def parse_contract(text: str, policy: Policy | None = None) -> Contract:
     fmt = check_format(doc.get("format", "CSV"))
     if fmt == "FIXEDWIDTH" and not columns:
         raise ContractError("fixed-width descriptor has no columns")
+    quote = doc.get("quote")
+    if quote is not None and (fmt != "CSV" or len(quote) != 1 or quote in doc.get("delimiter", ",")):
+        raise ContractError("quote must be one character of a delimited feed, and no delimiter")
     return Contract(
         fields=tuple(_field_rule(n, r) for n, r in rules.items()),
         format=fmt,
         delimiter=doc.get("delimiter", ","),
         has_header=bool(doc.get("csv_header", True)),
+        quote=quote,
         columns=columns,
         is_json_array=bool(doc.get("is_json_array", False)),
         row_tag=doc.get("row_tag", "row"),

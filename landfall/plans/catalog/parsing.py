@@ -159,7 +159,8 @@ EVENT_JSON = (
 
 
 def json_lines_parse(spark, sf_dir):
-    lines = rendered(table(spark, sf_dir, "events"), EVENT_JSON, "event_id")
+    trailing = "CASE WHEN event_type = 'purchase' AND value < 20 THEN ' {}' ELSE '' END"
+    lines = rendered(table(spark, sf_dir, "events"), f"{EVENT_JSON} || {trailing}", "event_id")
     contract = feed("event_type value user_id props", format="JSON")
     return parse_feed(lines, contract).selectExpr(
         "event_id", "event_type", "cast(value as double) AS amount", "user_id", "props",
@@ -168,7 +169,7 @@ def json_lines_parse(spark, sf_dir):
 
 
 JSON_LINES_PARSE = """
-WITH e AS (SELECT *, event_type = 'error' AND value < 20 AS bad FROM events)
+WITH e AS (SELECT *, event_type IN ('error', 'purchase') AND value < 20 AS bad FROM events)
 SELECT event_id, CASE WHEN NOT bad THEN event_type END AS event_type,
        CASE WHEN NOT bad THEN value END AS amount,
        CASE WHEN NOT bad AND event_type NOT IN ('view', 'signup') THEN CAST(user_id AS VARCHAR) END AS user_id,

@@ -1,4 +1,4 @@
-"""Delimited text: split on the delimiter, name by position, no quoting."""
+"""Delimited text: split on the delimiter, name by position; quotes count only if the contract names them."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from landfall.contract import Contract, FieldRule
 from landfall.functions.errors import BLANK, PARSE, make_error
 from landfall.functions.sql import array, col, lit, once
-from landfall.functions.text import is_blank, split_list, split_literal
+from landfall.functions.text import is_blank, split_list, split_literal, split_quoted
 
 
 def header_start(contract: Contract) -> str:
@@ -18,10 +18,11 @@ def drop_header(lines: DataFrame, contract: Contract) -> DataFrame:
     """Header lines go: the whole header by name, or, read leniently, any line that starts with the first field's name."""
     if not contract.has_header:
         return lines
-    whole = f"trim(TRAILING '\\r' FROM value) = {lit(contract.delimiter.join(contract.names))}"
+    line = f"replace(value, {lit(contract.quote)}, '')" if contract.quote else "value"
+    whole = f"trim(TRAILING '\\r' FROM {line}) = {lit(contract.delimiter.join(contract.names))}"
     if contract.policy.reject_overflow:
         return lines.filter(f"NOT coalesce({whole}, false)")
-    return lines.filter(f"NOT coalesce({whole} OR startswith(value, {header_start(contract)}), false)")
+    return lines.filter(f"NOT coalesce({whole} OR startswith({line}, {header_start(contract)}), false)")
 
 
 def _cell(part: str, rule: FieldRule) -> str:
@@ -32,6 +33,12 @@ def _cell(part: str, rule: FieldRule) -> str:
     return part
 
 
+def _split(contract: Contract) -> str:
+    if contract.quote:
+        return split_quoted("value", contract.delimiter, contract.quote)
+    return split_literal("value", contract.delimiter)
+
+
 def parse_delimited(lines: DataFrame, contract: Contract) -> DataFrame:
     """``value`` lines to contract columns; other columns are carried along.
 
@@ -41,7 +48,7 @@ def parse_delimited(lines: DataFrame, contract: Contract) -> DataFrame:
     n = len(contract.names)
     carried = [col(c) for c in lines.columns if c != "value"]
     split = drop_header(lines.filter("value IS NOT NULL"), contract).selectExpr(
-        *carried, "value AS _raw", f"{once(split_literal('value', contract.delimiter))} AS _parts"
+        *carried, "value AS _raw", f"{once(_split(contract))} AS _parts"
     )
     surplus = f"concat(size(_parts), ' values for {n} fields')"
     too_long = f"WHEN size(_parts) > {n} THEN {make_error(PARSE, 'csv', reason=surplus)}"

@@ -73,26 +73,41 @@ def json_documents(docs: DataFrame, keep_non_objects: bool = True) -> DataFrame:
     return rows if keep_non_objects else rows.filter("value IS NULL OR startswith(value, '{')")
 
 
+def _numbers_as_text(name: str, c: str) -> str:
+    """A variant whose numbers are spelt as in a plain field; only records that hold one are parsed again."""
+    text = f"{from_json('_raw', ddl({name: 'string'}))}.{col(name)}"
+    return f"CASE WHEN rlike(schema_of_variant({c}), '^(BIGINT|DECIMAL|DOUBLE|FLOAT)') THEN cast({text} as variant) ELSE {c} END"
+
+
 def parse_json_records(records: DataFrame, contract: Contract) -> DataFrame:
     """``value`` documents to contract columns in one parse.
 
     Fields are text (nested values as JSON text); fields to be encrypted are
-    variants, since what is encrypted depends on the value's own shape.
+    variants, since what is encrypted depends on the value's own shape. A number
+    among them is the text that a plain field would hold. Text after the document
+    is an error; read leniently, it is ignored.
     """
     carried = [col(c) for c in records.columns if c not in ("value", "_document")]
     raw = "coalesce(value, _document)" if "_document" in records.columns else "value"
     kinds = {f.name: "variant" if f.encrypt == "value" else "string" for f in contract.fields}
-    schema = ddl(kinds | {"_corrupt": "string"})
+    if contract.policy.reject_overflow:
+        listed = from_json("concat('[', value, ']')", f"array<struct<{ddl(kinds)}>>")
+        record = f"transform(array({listed}), r -> if(size(r) = 1, r[0], NULL))[0]"
+        corrupt = "false"
+    else:
+        record = from_json("value", ddl(kinds | {"_corrupt": "string"}))
+        corrupt = "_rec._corrupt IS NOT NULL"
     fields = {n: f"_rec.{col(n)}" for n in contract.names}
-    bad = "(_rec IS NULL OR _rec._corrupt IS NOT NULL)"
+    values = {n: _numbers_as_text(n, c) if kinds[n] == "variant" else c for n, c in fields.items()}
+    bad = f"(_rec IS NULL OR {corrupt})"
     # The keys are only listed for rows with some null field.
     some_null = " OR ".join(f"{c} IS NULL" for c in fields.values())
     names = array([lit(n) for n in contract.names])
     absent = f"array_except({names}, coalesce(json_object_keys(_raw), {array([])}))"
-    return records.selectExpr(*carried, f"{raw} AS _raw", f"{once(from_json('value', schema))} AS _rec").selectExpr(
+    return records.selectExpr(*carried, f"{raw} AS _raw", f"{once(record)} AS _rec").selectExpr(
         *carried,
         "_raw",
-        *[f"{c} AS {col(n)}" for n, c in fields.items()],
+        *[f"{c} AS {col(n)}" for n, c in values.items()],
         f"CASE WHEN NOT {bad} AND ({some_null}) THEN {absent} END AS _missing",
         f"CASE WHEN {bad} THEN {MALFORMED} END AS _error",
     )

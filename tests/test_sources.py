@@ -177,6 +177,28 @@ class TestJson:
         assert sorted(map(str, rows(got, "a", "_error.type"))) == ["('1', None)", "('3', None)", "(None, 'PARSE_ERROR')"]
 
 
+@pytest.mark.parametrize("strict", [True, False])
+def test_text_after_a_json_document(lines, strict):
+    c = contract("a", format="JSON", policy=Policy() if strict else Policy.lenient())
+    texts = ('{"a":1}', '{"a":1}{"a":2}', '{"a":1}, {"a":2}', '{"a":1} x', '{"a":1} \t', "[1]", "7", '[{"a":1}]')
+    found = rows(parse_feed(lines(*texts), c), "a", "_error.reason")
+    bad, good = (None, "malformed JSON"), ("1", None)
+    after = bad if strict else good
+    assert found == [good, after, after, after, good, bad, bad, bad]
+
+
+def test_quoted_values(lines):
+    c = contract("a b", has_header=True, quote='"')
+    texts = ("a,b", '"a","b"', '"x,1","y ""z"""', 'x,"', '"open,1', ',""', '"q"t,2', '"1","2","3"', '" "')
+    found = rows(parse_feed(lines(*texts), c), "a", "b", "_missing", "_error.reason")
+    assert found == [
+        ("x,1", 'y "z"', None, None), ("x", '"', None, None), ('"open', "1", None, None), ("", "", None, None),
+        ('"q"t', "2", None, None), ("1", "2", None, "3 values for 2 fields"), (" ", None, ["b"], None),
+    ]
+    long = '"' + "x,\"\"" * 20_000 + '"'
+    assert rows(parse_feed(lines(long + ",1"), c), "a", "b") == [("x,\"" * 20_000, "1")]
+
+
 def test_type_is_a_type():
     parse_contract(json.dumps({"fields": {"a": {"type": "decimal(10, 2)"}, "b": {"type": "array<int>"}}}))
     with pytest.raises(ContractError, match="not a type"):
