@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -16,30 +17,57 @@ MAY_HOLD_PIPE = f"(contains(_raw, '|') OR contains(_raw, {lit(chr(92) + 'u007')}
 LINEAGE = ("ingestion_timestamp", "execution_id", "source_creation_time")
 
 
+def _cleansed(c: str, kind: T.DataType, clean: Callable[[str], str], depth: int = 0) -> str:
+    """The value with every text in it cleansed, at any depth; unchanged if its type holds none."""
+    if isinstance(kind, T.StringType):
+        return clean(c)
+    if isinstance(kind, T.VariantType):
+        # Pipes occur in JSON only within texts, and so do the tokens between them.
+        text = f"to_json({c})"
+        return f"CASE WHEN contains({text}, '|') THEN parse_json({clean(text)}) ELSE {c} END"
+    x = f"x{depth}"
+    if isinstance(kind, T.ArrayType):
+        inner = _cleansed(x, kind.elementType, clean, depth + 1)
+        return c if inner == x else f"transform({c}, {x} -> {inner})"
+    if isinstance(kind, T.MapType):
+        inner = _cleansed(x, kind.valueType, clean, depth + 1)
+        return c if inner == x else f"transform_values({c}, (k{depth}, {x}) -> {inner})"
+    if isinstance(kind, T.StructType):
+        members = {m.name: (f"{c}.{col(m.name)}", m.dataType) for m in kind.fields}
+        inner = {n: _cleansed(v, k, clean, depth) for n, (v, k) in members.items()}
+        if all(inner[n] == v for n, (v, _) in members.items()):
+            return c
+        return f"if({c} IS NULL, NULL, named_struct({', '.join(f'{lit(n)}, {v}' for n, v in inner.items())}))"
+    return c
+
+
 def cleanse_nulls(df: DataFrame, columns: list[str], whole_words: bool = False) -> DataFrame:
-    """Blank out null tokens between pipes inside text values; on request, also
-    values that are nothing but a null word.
+    """Blank out null tokens between pipes inside text values, nested ones too; on
+    request, also values that are nothing but a null word.
 
-    The values go through one lambda as an array, and only for rows whose raw
+    Plain texts go through one lambda as an array, and only for rows whose raw
     text may hold a pipe at all, so the compiled code does not grow with the contract.
     """
     kinds = {n: k for n, k in kinds_of(df).items() if n in columns}
     texts = {n: col(n) for n, k in kinds.items() if isinstance(k, T.StringType)}
     wraps = [n for n, k in kinds.items() if isinstance(k, T.StructType) and k.fieldNames() == ["raw"]]
-    lists = [n for n, k in kinds.items() if isinstance(k, T.ArrayType) and isinstance(k.elementType, T.StringType)]
     texts |= {n: f"{col(n)}.raw" for n in wraps}
-    if not texts and not lists:
+
+    def clean(c: str) -> str:
+        tokens = replace_inner_null_tokens(c)
+        return blank_null_word(f"({tokens})") if whole_words else tokens
+
+    nested = {n: _cleansed(col(n), k, clean) for n, k in kinds.items() if n not in texts}
+    nested = {n: e for n, e in nested.items() if e != col(n)}
+    if not texts and not nested:
         return df
-    clean = replace_inner_null_tokens("x")
-    if whole_words:
-        clean = blank_null_word(f"({clean})")
     guard = MAY_HOLD_PIPE if "_raw" in df.columns and not whole_words else "true"
     places = list(texts)
 
     def cleansed(name: str) -> str:
         c = col(name)
-        if name in lists:
-            return f"CASE WHEN {guard} THEN transform({c}, x -> {clean}) ELSE {c} END"
+        if name in nested:
+            return f"CASE WHEN {guard} THEN {nested[name]} ELSE {c} END"
         if name not in texts:
             return c
         value = f"get(_clean, {places.index(name)})"
@@ -47,7 +75,7 @@ def cleanse_nulls(df: DataFrame, columns: list[str], whole_words: bool = False)
             value = f"if({c} IS NULL, NULL, named_struct('raw', {value}))"
         return f"if(_clean IS NULL, {c}, {value})"
 
-    cells = f"transform(array({', '.join(texts.values())}), x -> {clean})" if texts else "NULL"
+    cells = f"transform(array({', '.join(texts.values())}), x -> {clean('x')})" if texts else "NULL"
     return df.selectExpr("*", f"CASE WHEN {guard} THEN {cells} END AS _clean").selectExpr(
         *[f"{cleansed(n)} AS {col(n)}" for n in df.columns]
     )

@@ -112,18 +112,8 @@ def _first_found(reasons: str, names: str) -> str:
     return f"get({listed}, 0)"
 
 
-def length_ok(c: str, rule: FieldRule) -> str:
-    """The length rule of one value: null is rejected, and so is an empty required value."""
-    low = rule.min_length or 0
-    size = utf16_length(c)
-    ok = f"{size} >= {low}" if rule.max_length is None else f"{size} BETWEEN {low} AND {rule.max_length}"
-    if rule.required:
-        ok += f" AND {c} <> ''"
-    return f"coalesce({ok}, false)"
-
-
 def length_error(df: DataFrame, contract: Contract) -> str:
-    """The first value, in contract order, that is shorter or longer than its field allows."""
+    """The first value, in contract order, that is shorter or longer than its field allows; null has no length that does."""
     rules = [f for f in contract.fields if f.min_length is not None or f.max_length is not None]
     if not rules or not contract.policy.check_lengths:
         return NO_ERROR
@@ -134,10 +124,10 @@ def length_error(df: DataFrame, contract: Contract) -> str:
     low = "get(array(" + ", ".join(str(f.min_length or 0) for f in rules) + "), i)"
     high = "get(array(" + ", ".join(str(top if f.max_length is None else f.max_length) for f in rules) + "), i)"
     size = utf16_length("x")
-    outside = f"NOT {size} BETWEEN {low} AND {high}"
+    outside = f"coalesce(NOT {size} BETWEEN {low} AND {high}, true)"
     limit = f"if({high} = {top}, '', cast({high} as string))"
-    reason = f"CASE WHEN {outside} THEN concat('length ', {size}, ' outside ', {low}, '..', {limit}) END"
-    broken = f"exists(transform({texts}, (x, i) -> coalesce({outside}, false)), b -> b)"
+    reason = f"CASE WHEN {outside} THEN concat('length ', coalesce(cast({size} as string), 'of null'), ' outside ', {low}, '..', {limit}) END"
+    broken = f"exists(transform({texts}, (x, i) -> {outside}), b -> b)"
     return f"CASE WHEN {broken} THEN {_first_found(f'transform({texts}, (x, i) -> {reason})', names)} END"
 
 
