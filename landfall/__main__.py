@@ -36,6 +36,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     intake.add_argument("--lenient", action="store_true")
     intake.add_argument("--split-above-kb", type=int, default=None, help="split files above this size first")
     intake.add_argument("--part-kb", type=int, default=TARGET_KB)
+    intake.add_argument("--error-report", help="folder for the readable report of bad rows")
     intake.add_argument("--jdbc-url", help="also append good rows to this database (user and password from the environment)")
     intake.add_argument("--jdbc-driver", default="org.postgresql.Driver")
 
@@ -90,6 +91,7 @@ def main(argv: list[str] | None = None) -> int:
             database=database_of(args, contract),
             split_above_kb=args.split_above_kb,
             part_kb=args.part_kb,
+            report_dir=args.error_report,
         ),
     )
     print(json.dumps(asdict(result)))

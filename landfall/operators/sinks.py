@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
 from dataclasses import dataclass, field
 from urllib.parse import quote
 
@@ -12,14 +11,19 @@ from landfall.functions.errors import humanize
 from landfall.operators.routing import error_report
 
 
-@contextmanager
-def _setting(spark: SparkSession, name: str, value: str):
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+def landing_session(spark: SparkSession) -> SparkSession:
+    """A session of a run's own, with the settings of ``spark``, for write_landing()."""
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if own.conf.get(name, None) != value:
+            own.conf.set(name, value)
+    keep_writers_open(own)
+    return own
+
+
+def keep_writers_open(session: SparkSession) -> None:
+    """Tasks of this session write good and bad rows side by side instead of sorting them."""
+    session.conf.set("spark.sql.maxConcurrentOutputFileWriters", "4")
 
 
 def run_dir(location: str, execution_id: str) -> str:
@@ -29,13 +33,9 @@ def run_dir(location: str, execution_id: str) -> str:
 def write_landing(df: DataFrame, location: str, execution_id: str) -> None:
     """Good and bad rows of one run in one pass, in a directory of the run's own.
 
-    Each task keeps one file per outcome open instead of sorting its rows, and a
-    second attempt replaces the run's directory, so loading twice counts once.
+    A second attempt replaces the run's directory, so loading twice counts once.
     """
-    with _setting(df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", "4"):
-        df.drop("execution_id").write.mode("overwrite").partitionBy("outcome").parquet(
-            run_dir(location, execution_id)
-        )
+    df.drop("execution_id").write.mode("overwrite").partitionBy("outcome").parquet(run_dir(location, execution_id))
 
 
 def write_table(df: DataFrame, path: str, partitions: list[str]) -> None:

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from landfall.contract import Contract, FieldRule
 from landfall.functions.crypto import key_column
-from landfall.functions.text import base_name
 from landfall.operators import audit
 from landfall.operators.protect import decrypt_columns
 from landfall.operators.splitting import (
@@ -38,10 +37,24 @@ FROM p"""
 
 
 def split_listing(spark, sf_dir):
-    """The same decision for the table files themselves; sizes are no table data, so there is no SQL twin."""
-    return split_plan(spark, f"{sf_dir}/*.parquet", threshold_kb=100, target_kb=64).selectExpr(
-        f"{base_name('path')} AS file_name", "length", "split", "parts"
+    """The same decision from a listing of files: customers as text, a file for each nation."""
+    path = shared_dir(spark, "listed")
+    lines = table(spark, sf_dir, "customer").selectExpr(
+        "c_nationkey", "concat_ws(',', c_custkey, c_name, c_mktsegment) AS value"
     )
+    lines.repartition("c_nationkey").write.partitionBy("c_nationkey").text(path)
+    return split_plan(spark, path, threshold_kb=2, target_kb=1).selectExpr(
+        "cast(regexp_extract(path, 'c_nationkey=([0-9]+)', 1) as int) AS nation", "length", "split", "parts"
+    )
+
+
+SPLIT_LISTING = """
+WITH c AS (SELECT CAST(c_nationkey AS INT) AS nation,
+                  CAST(sum(strlen(concat_ws(',', c_custkey, c_name, c_mktsegment)) + 1) AS BIGINT) AS length
+           FROM customer GROUP BY 1)
+SELECT nation, length, length // 1024 > 2 AS split,
+       greatest(1, CAST(trunc(length / 1024::DOUBLE + 0.999::DOUBLE) AS INT)) AS parts
+FROM c"""
 
 
 ORDER_FIELDS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
@@ -294,6 +307,69 @@ SELECT event_type, value AS amount, replace(props, ' ', '') AS props, user_id FR
 WHERE event_type NOT IN ('view', 'signup') AND NOT (event_type = 'error' AND value < 20)"""
 
 
+SECRETS = Contract(
+    (
+        FieldRule("event_type", required=True),
+        *[FieldRule(n, encrypt="value", sensitive=True) for n in ("value", "user_id", "props")],
+    ),
+    format="JSON",
+)
+
+
+def intake_secrets(spark, sf_dir):
+    """Numbers, absent and null values and objects without a phone, landed encrypted and read back."""
+    src, secret = shared_dir(spark, "json"), random_key()
+    rendered(table(spark, sf_dir, "events"), EVENT_JSON).write.text(src)
+    out, _ = _land(spark, src, SECRETS, key=secret)
+    landed = loaded_rows(spark, out, SECRETS)
+    sealed = [f.warehouse_name for f in SECRETS.encrypted]
+    # A JSON object or a number with its point is not the Base64 of anything.
+    clear = landed.withColumn("in_clear", F.expr(" OR ".join(f"rlike({c}, '[{{.]')" for c in sealed)))
+    return decrypt_columns(clear, sealed, key_column(spark, secret)).selectExpr(
+        "event_type", "cast(value_encrypted as double) AS amount", "props_encrypted AS props",
+        "cast(nullif(user_id_encrypted, ' ') as bigint) AS user_id", "in_clear",
+    )
+
+
+INTAKE_SECRETS = """
+SELECT event_type, value AS amount, replace(props, ' ', '') AS props,
+       CASE WHEN event_type NOT IN ('view', 'signup') THEN user_id END AS user_id, false AS in_clear
+FROM events WHERE NOT (event_type = 'error' AND value < 20)"""
+
+QUOTED = Contract(
+    (
+        FieldRule("c_custkey", required=True, type="bigint"), FieldRule("c_name", required=True),
+        FieldRule("c_acctbal", required=True, type="decimal(18,2)"),
+    ),
+    quote='"',
+)
+
+
+def intake_quoted(spark, sf_dir):
+    """Delimiters and quotes inside quoted values; every fifth market segment lacks its last value."""
+    src = shared_dir(spark, "csv")
+    lines = rendered(
+        table(spark, sf_dir, "customer"),
+        "concat(c_custkey, ',\"', c_name, ', \"\"', c_mktsegment, '\"\"\"', "
+        f"CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE concat(',', {money('c_acctbal')}) END)",
+    )
+    prepend_line(lines, ",".join(f'"{n}"' for n in QUOTED.names)).write.text(src)
+    out, _ = _land(spark, src, QUOTED)
+    return read_landing(spark, out, QUOTED).selectExpr(
+        "cast(c_custkey as bigint) AS c_custkey", "c_name", "c_acctbal", "outcome", "field", "reason"
+    )
+
+
+INTAKE_QUOTED = """
+WITH c AS (SELECT *, c_mktsegment = 'BUILDING' AS bad FROM customer)
+SELECT CASE WHEN NOT bad THEN c_custkey END AS c_custkey,
+       CASE WHEN NOT bad THEN c_name || ', "' || c_mktsegment || '"' END AS c_name,
+       CASE WHEN NOT bad THEN CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) END AS c_acctbal,
+       CASE WHEN bad THEN 'error' ELSE 'valid' END AS outcome,
+       CASE WHEN bad THEN 'c_acctbal' END AS field, CASE WHEN bad THEN 'missing' END AS reason
+FROM c"""
+
+
 def intake_xml(spark, sf_dir):
     src = shared_dir(spark, "xml")
     _write_xml(spark, sf_dir, src)
@@ -345,7 +421,7 @@ SELECT outcome, error_type, field, CAST(sum(n_rows) AS BIGINT) AS n_rows FROM ({
 
 CATALOG = {
     "split_sizes": Query(split_sizes, SPLIT_SIZES),
-    "split_listing": Query(split_listing),
+    "split_listing": Query(split_listing, SPLIT_LISTING),
     "xml_files": Query(xml_files, ORDERS_SQL),
     "json_array_files": Query(json_array_files, ORDERS_SQL),
     "json_array_chunks": Query(json_array_chunks, ORDERS_SQL),
@@ -360,6 +436,8 @@ CATALOG = {
     "intake_state": Query(intake_state, INTAKE_STATE),
     "intake_json": Query(intake_json, INTAKE_JSON),
     "intake_decrypted": Query(intake_decrypted, INTAKE_DECRYPTED),
+    "intake_secrets": Query(intake_secrets, INTAKE_SECRETS),
+    "intake_quoted": Query(intake_quoted, INTAKE_QUOTED),
     "intake_xml": Query(intake_xml, INTAKE_XML),
     "intake_fixed_width": Query(intake_fixed_width, INTAKE_FIXED_WIDTH),
     "folder_stream": Query(folder_stream, FOLDER_STREAM),

@@ -18,7 +18,9 @@ from landfall.operators.protect import encrypt_columns
 from landfall.operators.quality import kinds_of, text_of, validate
 from landfall.operators.reconcile import load_counts, reconcile
 from landfall.operators.routing import outcome
-from landfall.operators.sinks import JdbcTable, append_jdbc, loaded_in_jdbc, run_dir, with_message, write_landing
+from landfall.operators.sinks import (
+    JdbcTable, append_jdbc, landing_session, loaded_in_jdbc, run_dir, with_message, write_error_text, write_landing,
+)
 from landfall.operators.splitting import TARGET_KB
 from landfall.plans.prepare import prepare
 from landfall.plans.workspace import shared_dir
@@ -123,6 +125,7 @@ class IntakeJob:
     database: JdbcTable | None = None
     split_above_kb: int | None = None
     part_kb: int = TARGET_KB
+    report_dir: str | None = None
 
 
 @dataclass(frozen=True)
@@ -175,14 +178,15 @@ def _source(spark: SparkSession, job: IntakeJob) -> tuple[list[str], Contract]:
 
 
 def run_intake(spark: SparkSession, job: IntakeJob) -> IntakeResult:
-    """Land all files of a run, load them into a database if one is named, check the
-    counts and log the run.
+    """Land all files of a run, load them into a database and write the text report of
+    bad rows if these are named, check the counts and log the run.
 
     A count mismatch is recorded as FAILED and does not raise; any other problem
     is recorded as FAILED and raised again.
     """
     if not job.paths or not job.execution_id:
         raise ValueError("a run needs at least one path and an execution id")
+    spark = landing_session(spark)
     audit.append_events(spark, [_start_event(job)], job.audit_dir)
     try:
         key = key_column(spark, job.base64_key) if job.contract.encrypted or job.base64_key else None
@@ -198,6 +202,9 @@ def run_intake(spark: SparkSession, job: IntakeJob) -> IntakeResult:
             ).collect()
         }
         actual = _load_database(spark, job) if job.database else by_outcome.get("valid", 0)
+        if job.report_dir:
+            rejected = rejected_rows(spark, job.location, job.contract, job.execution_id)
+            write_error_text(rejected, run_dir(job.report_dir, job.execution_id))
         expected = expected_count(spark, job.control_path)
         want = spark.createDataFrame([(job.execution_id, expected)], "execution_id string, expected_count bigint")
         got = spark.createDataFrame([(job.execution_id, actual)], "execution_id string, actual_count bigint")

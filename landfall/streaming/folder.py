@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from landfall.contract import Contract, ContractError
 from landfall.functions.crypto import key_column
-from landfall.operators.sinks import write_landing
+from landfall.operators.sinks import keep_writers_open, write_landing
 from landfall.plans.intake import landing_rows
 from landfall.sources.feed import is_whole_document, parse_feed, separator_of
 from landfall.sources.scan import scanned
@@ -37,7 +37,8 @@ def land_new_files(
     lines = reader.text(folder).select(*scanned(extent=contract.format == "XML"))
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
+        session = batch.sparkSession  # the stream's own
+        keep_writers_open(session)
         key = key_column(session, base64_key) if contract.encrypted or base64_key else None
         run = f"{run_prefix}-{batch_id}"
         rows = landing_rows(parse_feed(batch, contract), contract, run, datetime.now(timezone.utc), key)

@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from landfall.operators.splitting import split_plan
 from oracle import compare, connect
 
 pytest.importorskip("duckdb")
@@ -22,11 +23,11 @@ def test_equals_twin(spark, con, sf_dir, name):
     assert compare(spark, con, sf_dir, entry.queries()[name], entry.oracle_sql()[name]) is None
 
 
-def test_split_listing(spark, con, sf_dir):
-    rows = entry.queries()["split_listing"](spark, sf_dir).collect()
-    assert {r.file_name for r in rows} == {f for f in os.listdir(sf_dir) if f.endswith(".parquet")}
+def test_split_plan_of_the_table_files(spark, sf_dir):
+    rows = split_plan(spark, f"{sf_dir}/*.parquet", threshold_kb=100, target_kb=64).collect()
+    assert {os.path.basename(r.path) for r in rows} == {f for f in os.listdir(sf_dir) if f.endswith(".parquet")}
     for r in rows:
-        assert r.length == os.path.getsize(f"{sf_dir}/{r.file_name}")
+        assert r.length == os.path.getsize(f"{sf_dir}/{os.path.basename(r.path)}")
         assert r.parts == max(1, int(r.length / 1024 / 64 + 0.999)) and r.split == (r.length // 1024 > 100)
 
 

@@ -269,3 +269,29 @@ def test_stream_lands_each_file_once(spark, tmp_path, aes_key):
     assert run() == 3
     runs = loaded_rows(spark, str(tmp_path / "t"), contract).select("execution_id").distinct().collect()
     assert {r[0] for r in runs} == {"s-0", "s-1"}
+
+
+def test_text_report_of_bad_rows(spark, tmp_path, aes_key):
+    contract = parse_contract(CSV)
+    run = replace(job(tmp_path, "boats.csv", boats.csv_file(), contract, aes_key), report_dir=str(tmp_path / "report"))
+    run_intake(spark, run)
+    report = "\n".join(r.value for r in spark.read.text(f"{run.report_dir}/execution_id={run.execution_id}").collect())
+    assert report.count("Message") == 3 and "12 values for 11 fields" in report
+
+
+def test_a_run_changes_no_setting(spark, tmp_path, aes_key):
+    before = spark.conf.getAll
+    run_intake(spark, job(tmp_path, "boats.csv", boats.csv_file(), parse_contract(CSV), aes_key))
+    assert spark.conf.getAll == before
+
+
+def test_encrypted_json_is_cleansed_and_keeps_its_numbers(spark, tmp_path, aes_key):
+    fields = {"t": {}, "s": {"encrypt": True}, "o": {"encrypt": True}, "n": {"encrypt": True}, "big": {"encrypt": True}, "plain": {}}
+    contract = parse_contract(json.dumps({"format": "JSON", "fields": fields}))
+    big = "1" * 42
+    text = '{"t": "a\\u007cnull|b", "s": "a|null|b", "o": {"x": ["c||d"]}, "n": 1.0, "big": %s, "plain": 1.0}\n' % big
+    run_intake(spark, job(tmp_path, "s.json", text, contract, aes_key))
+    sealed = [f.warehouse_name for f in contract.encrypted]
+    row = decrypt_columns(loaded_rows(spark, str(tmp_path / "table"), contract), sealed, key_column(spark, aes_key)).first()
+    assert (row.t, row.s_encrypted, row.o_encrypted) == ("a| |b", "a| |b", '{"x":["c| |d"]}')
+    assert (row.n_encrypted, row.big_encrypted) == (row.plain, big)
