@@ -1,18 +1,20 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-The benchmark is the query set. Its words and word n-grams are indexed in blocks of
+The benchmark is the query set. Its words and word pairs are indexed in blocks of
 items; every document is read once a block against that index. Document frequencies of
-the n-grams over the whole corpus pick the rarer half of each item's as its seeds. Where
-a document holds a seed, the passage around it is aligned with the item word by word,
-so edited copies count by what they still share.
+the pairs over the whole corpus pick the rarer ones of each item as its seeds, so many that
+every passage over the limit holds some of them close together. Such passages are aligned
+with the item word by word, so edited copies count by what they still share.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +24,8 @@ from pyspark.sql import functions as F
 from landfall.llm.base import col, document_key, saved, without
 
 _WORD = re.compile(r"\w+")
-#: Words of a seed; share of an item's alignment score that counts as a leak; words of benchmark text per block.
-GRAM, LEAST, BLOCK_WORDS = 3, 0.6, 2_000_000
+#: Words of the shortest item; share of an item's alignment score that counts as a leak; words of benchmark text per block.
+SHORTEST, LEAST, BLOCK_WORDS = 3, 0.6, 2_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 
 
@@ -31,59 +33,105 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
+def needed(n: int, least: float) -> tuple[int, int]:
+    """Words of a gram, and the least number of them that an alignment of share ``least`` with n item words holds.
+
+    m matched words in r unbroken runs score at most 2m - (r - 1). With 2 * least * n or more,
+    the m - r matched pairs are at least (2 * least - 1) * n - 1. Where that is no pair, single
+    words are the grams: m is at least least * n.
+    """
+    pairs = math.ceil((2 * least - 1) * n - 1 - 1e-9)
+    return (2, pairs) if pairs >= 1 else (1, max(1, math.ceil(least * n - 1e-9)))
+
+
+def drift(n: int, least: float) -> int:
+    """How far the matched words of such an alignment can be shifted against each other: every step costs a gap."""
+    return int(2 * (1 - least) * n + 1e-9)
+
+
+class Seeds(NamedTuple):
+    """Of gram g: ``item`` and ``at`` from ``first[g]`` to ``first[g + 1]``; of item k: seeds close together that make a passage."""
+
+    first: np.ndarray
+    item: np.ndarray
+    at: np.ndarray
+    least: np.ndarray
+
+
 class Index:
-    """Words and n-grams of a block of benchmark items; its size is bounded by BLOCK_WORDS."""
+    """Words and grams (pairs, or words of short items) of a block of benchmark items; its size is bounded by BLOCK_WORDS."""
 
-    def __init__(self, items: list[tuple[int, str]]) -> None:
+    def __init__(self, items: list[tuple[int, str]], least: float) -> None:
         self.ids: dict[str, int] = {}
         self.items: list[tuple[int, np.ndarray]] = []
+        self.least = least
         for item, text in items:
             words = [self.ids.setdefault(w, len(self.ids) + 1) for w in words_of(text)]
-            if len(words) >= GRAM:
+            if len(words) >= SHORTEST:
                 self.items.append((item, np.array(words, np.int64)))
         self.base = len(self.ids) + 1
-        if self.base**GRAM >= 1 << 63:
-            raise ValueError("a block with fewer words is needed")
-        self.grams = np.unique(np.concatenate([np.empty(0, np.int64), *(self.codes(w) for _, w in self.items)]))
-        self.places: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for k, (_, words) in enumerate(self.items):
-            for at, g in enumerate(np.searchsorted(self.grams, self.codes(words)).tolist()):
-                self.places[g].append((k, at))
-
-    def codes(self, words: np.ndarray) -> np.ndarray:
-        """A number for each n-gram of word numbers; -1 where a word is unknown."""
-        if len(words) < GRAM:
-            return np.empty(0, np.int64)
-        runs = [words[i : len(words) - GRAM + 1 + i] for i in range(GRAM)]
-        code = reduce(lambda a, b: a * self.base + b, runs)
-        code[reduce(np.logical_or, [r == 0 for r in runs])] = -1
-        return code
+        self.needed = [needed(len(w), least) for _, w in self.items]
+        self.drift = np.array([drift(len(w), least) for _, w in self.items], np.int64)
+        own = [self.codes(w, n) for (_, w), (n, _) in zip(self.items, self.needed, strict=True)]
+        self.grams = np.unique(np.concatenate([np.empty(0, np.int64), *own]))
+        self.own = [np.searchsorted(self.grams, c) for c in own]
+
+    def codes(self, words: np.ndarray, n: int) -> np.ndarray:
+        """A number for each word, or each pair of words, of word numbers; -1 where a word is unknown."""
+        if n == 1:
+            return np.where(words > 0, words, -1)
+        return np.where((words[:-1] > 0) & (words[1:] > 0), words[:-1] * self.base + words[1:], -1)
 
     def numbers(self, text: str | None) -> np.ndarray:
         get = self.ids.get
         return np.array([get(w, 0) for w in words_of(text)], np.int64)
 
     def hits(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions in the document, and which n-gram of the index stands there."""
-        code = self.codes(words)
-        if not len(code) or not len(self.grams):
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        at = np.flatnonzero(code >= 0)
-        found = np.minimum(np.searchsorted(self.grams, code[at]), len(self.grams) - 1)
-        hit = self.grams[found] == code[at]
-        return at[hit], found[hit]
-
-    def seeds(self, frequency: dict[int, int]) -> dict[int, list[tuple[int, int]]]:
-        """The rarer half of each item's n-grams, by document frequency; ties with the median are kept."""
-        chosen: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for k, (_, words) in enumerate(self.items):
-            grams = np.searchsorted(self.grams, self.codes(words)).tolist()
-            counts = [frequency.get(g, 0) for g in grams]
-            middle = sorted(counts)[len(counts) // 2]
-            for at, (g, n) in enumerate(zip(grams, counts, strict=True)):
-                if n <= middle:
-                    chosen[g].append((k, at))
-        return chosen
+        """Positions in the document, and which gram of the index stands there."""
+        places, grams = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for n in {n for n, _ in self.needed}:
+            code = self.codes(words, n)
+            at = np.flatnonzero(code >= 0)
+            found = np.minimum(np.searchsorted(self.grams, code[at]), len(self.grams) - 1)
+            hit = self.grams[found] == code[at]
+            places.append(at[hit])
+            grams.append(found[hit])
+        return np.concatenate(places), np.concatenate(grams)
+
+    def seeds(self, frequency: dict[int, int]) -> Seeds:
+        """The grams of each item without the most frequent ones.
+
+        If every alignment holds t of an item's grams and d of them are left out, it holds t - d
+        of the others; half of what t allows is left out.
+        """
+        places, least = [], []
+        for k, (grams, (_, t)) in enumerate(zip(self.own, self.needed, strict=True)):
+            spare = (t - 1) // 2
+            counts = np.array([frequency.get(g, 0) for g in grams.tolist()])
+            at = np.argsort(counts, kind="stable")[: len(grams) - spare]
+            places.append(np.stack([grams[at], np.full(len(at), k), at]))
+            least.append(t - spare)
+        gram, item, at = np.concatenate([np.empty((3, 0), np.int64), *places], axis=1)
+        order = np.argsort(gram, kind="stable")
+        first = np.searchsorted(gram[order], np.arange(len(self.grams) + 1))
+        return Seeds(first, item[order], at[order], np.array(least, np.int64))
+
+    def passages(self, words: np.ndarray, seeds: Seeds) -> dict[int, list[int]]:
+        """Of each item that can align: where it would begin, by the seeds that stand close enough together."""
+        place, gram = self.hits(words)
+        many = seeds.first[gram + 1] - seeds.first[gram]
+        total = int(many.sum())
+        entry = np.repeat(seeds.first[gram] - np.cumsum(many) + many, many) + np.arange(total)
+        item, begin = seeds.item[entry], np.repeat(place, many) - seeds.at[entry]
+        width = len(words) + int(self.drift.max(initial=0)) + 1  # keeps the keys of two items apart
+        low = int(begin.min(initial=0))
+        key = np.sort(item * (width - low) + begin - low)
+        item, begin = key // (width - low), key % (width - low) + low
+        close = np.searchsorted(key, key + self.drift[item], "right") - np.arange(total) >= seeds.least[item]
+        starts: dict[int, list[int]] = defaultdict(list)
+        for k, at in zip(item[close].tolist(), begin[close].tolist(), strict=True):
+            starts[k].append(at)
+        return starts
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
@@ -102,9 +150,12 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def best_alignment(item: np.ndarray, document: np.ndarray, starts: list[int]) -> tuple[float, int]:
-    """Best share of the item's full score near any of the ``starts`` (where the item would begin), and the end there."""
-    slack = max(4, len(item) // 2)
+def best_alignment(item: np.ndarray, document: np.ndarray, starts: list[int], least: float) -> tuple[float, int]:
+    """Best share of the item's full score near any of the ``starts`` (where the item would begin), and the end there.
+
+    Right where that is ``least`` or more; else it may be less.
+    """
+    slack = drift(len(item), least)
     best, end, done = 0.0, 0, -1
     runs: list[list[int]] = []
     for s in sorted(set(starts)):
@@ -114,6 +165,8 @@ def best_alignment(item: np.ndarray, document: np.ndarray, starts: list[int]) ->
         else:
             runs.append([a, b])
     for a, b in runs:
+        if np.isin(item, document[a:b]).sum() < least * len(item) - 1e-9:  # too few words to match
+            continue
         score, stop = align(item, document[a:b])
         share = score / (MATCH * len(item))
         if share > best:
@@ -160,7 +213,7 @@ def _leaks_of_block(rows: DataFrame, kind: str, index: Index, least: float) -> D
     met = saved(rows.mapInArrow(meet, f"doc_id {kind}, text_key long, words binary, grams array<long>"), "seed-hits")
     counts = met.select(F.explode("grams").alias("g")).groupBy("g").agg(F.count("*").alias("n"))
     frequency = {r.g: r.n for r in counts.collect()}  # at most one row for each n-gram of the block
-    seeds = spark.sparkContext.broadcast(dict(index.seeds(frequency)))
+    seeds = spark.sparkContext.broadcast(index.seeds(frequency))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix, chosen = shared.value, seeds.value
@@ -168,13 +221,9 @@ def _leaks_of_block(rows: DataFrame, kind: str, index: Index, least: float) -> D
             found = []
             for i, data in enumerate(batch.column(2)):
                 words = np.frombuffer(data.as_py(), "<i4").astype(np.int64)
-                starts: dict[int, list[int]] = defaultdict(list)
-                for p, g in zip(*(x.tolist() for x in ix.hits(words)), strict=True):
-                    for k, at in chosen.get(g, ()):
-                        starts[k].append(p - at)
-                for k, begins in starts.items():
+                for k, begins in ix.passages(words, chosen).items():
                     item, own = ix.items[k]
-                    share, end = best_alignment(own, words, begins)
+                    share, end = best_alignment(own, words, begins, least)
                     if share >= least:
                         found.append((i, item, share, end))
             few = batch.take(pa.array([f[0] for f in found], pa.int64()))
@@ -200,7 +249,7 @@ def leaks(
     """
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(*document_key(col(docs, doc_id), col(docs, text)), col(docs, text).alias("text"))
-    found = [_leaks_of_block(rows, kind, Index(b), least) for b in blocks_of(benchmark, item_id, item_text, block_words)]
+    found = [_leaks_of_block(rows, kind, Index(b, least), least) for b in blocks_of(benchmark, item_id, item_text, block_words)]
     none = docs.sparkSession.createDataFrame([], f"doc_id {kind}, text_key long, item_id long, score double, end_word long")
     return reduce(DataFrame.unionByName, found, none)
 

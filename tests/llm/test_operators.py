@@ -352,6 +352,27 @@ def test_leaks(spark, docs, none, block_words):
     assert decontaminate.leaks(none, bench).collect() == [] and decontaminate.leaks(docs, bench.limit(0)).collect() == []
 
 
+def test_every_alignment_over_the_limit_is_a_leak(spark):
+    rng = random.Random(9)
+    items = [" ".join(f"c{30 * i + k % 30 if i % 2 else 100 * i + k}" for k in range(n)) for i, n in enumerate([40, 40, 23, 60, 6, 5, 3, 17])]
+    bench = spark.createDataFrame([*enumerate(items)], "item_id long, text string")
+    texts = [" ".join(f"n{rng.randint(0, 50)}" for _ in range(30)) for _ in range(5)]
+    for t in items:
+        for step in range(2, 9):
+            w = t.split()
+            texts.append(" ".join(["x", *("new" if k % step == step - 1 else x for k, x in enumerate(w)), "y"]))  # replaced
+            texts.append(" ".join(x + (" new" if k % step == step - 1 else "") for k, x in enumerate(w)))  # added
+            texts.append(" ".join(x for k, x in enumerate(w) if k % step != step - 1))  # left out
+    w = items[0].split()
+    texts += [" ".join("new" if k % 4 == 3 else x for k, x in enumerate(w))] * 60  # a large group of one edited copy
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    ids = {}
+    number = lambda t: np.array([ids.setdefault(x, len(ids)) for x in t.split()])
+    share = {(d, i): decontaminate.align(number(t), number(x))[0] / 2 / len(t.split()) for d, x in enumerate(texts) for i, t in enumerate(items)}
+    got = {(r.doc_id, r.item_id): r.score for r in decontaminate.leaks(docs, bench).collect()}
+    assert got == {k: s for k, s in share.items() if s >= 0.6}
+
+
 # --- 5 toxicity, 10 quality -----------------------------------------------------------------
 
 
