@@ -21,8 +21,8 @@ from landfall.llm.base import col, document_key, saved
 from landfall.llm.components import components
 from landfall.llm.groups import grouped, stars
 
-#: Words of a shingle, least similarity, words of a sentence that begins a paragraph, words of a paragraph, words of a passage.
-SHINGLE, LEAST, ANCHOR, SHORTEST, PASSAGE = 5, 0.8, 8, 8, 20
+#: Words of a shingle, least similarity, words of a sentence that begins a paragraph, words of a run that is cut out of texts.
+SHINGLE, LEAST, ANCHOR, PASSAGE = 5, 0.8, 8, 20
 #: Two values a band, five bands: a pair at 0.8 meets with probability 1 - (1 - 0.8**2)**5 = 0.994, at 0.9 with 0.9998.
 BANDS, ROWS = 5, 2
 _FACTORS = np.random.default_rng(5).integers(1, 1 << 63, SHINGLE + 2 * BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -35,11 +35,23 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def shingles(words: list[bytes]) -> np.ndarray:
-    """A hash for each run of five words."""
-    if len(words) < SHINGLE:
-        return np.empty(0, np.uint64)
-    one = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    return _mixed(sum(one[k : len(one) - SHINGLE + 1 + k] * _FACTORS[k] for k in range(SHINGLE)))
+    """A hash for each run of five words; one for all words if there are fewer."""
+    one = _hashes(words)
+    return _runs(one) if len(one) >= SHINGLE else _short(one, np.zeros(1, np.int64), np.array([len(one)]))
+
+
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def _runs(one: np.ndarray) -> np.ndarray:
+    return _mixed(sum((one[k : len(one) - SHINGLE + 1 + k] * _FACTORS[k] for k in range(SHINGLE)), np.uint64(0)))
+
+
+def _short(one: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A hash for each run of ``size`` words, fewer than a shingle has."""
+    padded = np.append(one, np.zeros(SHINGLE, np.uint64))
+    return _mixed(sum(np.where(size > k, padded[begin + k], 0).astype(np.uint64) * _FACTORS[k] for k in range(SHINGLE - 1)) + size.astype(np.uint64))
 
 
 def cut(text: str) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
@@ -60,18 +72,27 @@ def cut(text: str) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
 
 
 def signatures(text: str) -> tuple[np.ndarray, ...]:
-    """Paragraphs of at least SHORTEST words: number, first character, characters, words, hash, and a row of band keys."""
-    words, starts, first, last = cut(text)
-    size = np.diff(np.append(starts, len(words)))
-    number = np.flatnonzero(size >= SHORTEST)
+    """Paragraphs: number, first character, characters, words, hash, and a row of band keys."""
+    words, begin, first, last = cut(text)
+    size = np.diff(np.append(begin, len(words)))
+    number = np.arange(len(begin))
     if not len(number):
         return number, number, number, number, number, np.empty((0, BANDS), np.int64)
-    begin, size = starts[number], size[number]
-    runs = shingles(words)
-    spans = np.stack([begin, begin + size - SHINGLE + 1], axis=1).ravel()
-    if spans[-1] >= len(runs):
+    one, whole = _hashes(words), size >= SHINGLE
+    short = _short(one, begin[~whole], size[~whole])
+    runs = _runs(one) if whole.any() else one[:0]
+    spans = np.stack([begin[whole], (begin + size)[whole] - SHINGLE + 1], axis=1).ravel()
+    if len(spans) and spans[-1] >= len(runs):
         spans = spans[:-1]
-    least = lambda k: np.minimum.reduceat(_mixed(runs ^ _FACTORS[SHINGLE + k]) * _FACTORS[SHINGLE + BANDS * ROWS + k], spans)[::2]
+
+    def least(k: int) -> np.ndarray:
+        value = lambda x: _mixed(x ^ _FACTORS[SHINGLE + k]) * _FACTORS[SHINGLE + BANDS * ROWS + k]
+        low = np.empty(len(size), np.uint64)
+        low[~whole] = value(short)
+        if len(spans):
+            low[whole] = np.minimum.reduceat(value(runs), spans)[::2]
+        return low
+
     keys = np.stack(
         [_mixed(sum(least(j * ROWS + r) * _FACTORS[r] for r in range(ROWS)) + np.uint64(j)).view(np.int64) for j in range(BANDS)], axis=1
     )
@@ -165,11 +186,12 @@ def repeated(df: DataFrame, doc_id: str = "doc_id", text: str = "text", block: i
     """The repeated paragraphs, one row each occurrence, kept and removed ones.
 
     Columns: doc_id, text_key, paragraph (its number in the document), start and length in
-    characters, words, cluster_size, keep_doc_id, keep_paragraph, removed. The occurrence with
-    the smallest doc_id and number stays (null ids first). A paragraph counts if it has eight
-    words or more, another occurrence, in this or another document, with a similarity of 0.8 or
-    more by chains of such, and if the run of such neighbours it lies in has twenty words or
-    more. Words are runs without blanks; A-Z are folded. Null and empty texts have none.
+    characters, words, cluster_size, keep_doc_id, keep_paragraph, removed, run_words. The
+    occurrence with the smallest doc_id and number stays (null ids first). A paragraph counts if
+    it has another occurrence, in this or another document, with a similarity of 0.8 or more by
+    chains of such; under five words that is the same words. run_words is the words of the run
+    of such neighbours it lies in: filter on it to leave short repeats alone. Words are runs
+    without blanks; A-Z are folded. Null and empty texts have none.
     """
     rows = saved(_signed(df, doc_id, text), "paragraphs")
     nodes = saved(rows.groupBy("node", *_KEYS).agg(F.count("*").alias("n")), "distinct")
@@ -189,17 +211,18 @@ def repeated(df: DataFrame, doc_id: str = "doc_id", text: str = "text", block: i
     order = Window.partitionBy(*document).orderBy("paragraph")  # at most the paragraphs of one text
     island = hits.withColumn("run", F.col("paragraph") - F.dense_rank().over(order))
     in_run = Window.partitionBy(*document, "run")
-    island = island.withColumn("run_words", F.sum("words").over(in_run)).filter(F.col("run_words") >= PASSAGE)
+    copy = F.row_number().over(Window.partitionBy(*document, "paragraph").orderBy("node"))  # repeated rows of one document
+    island = island.withColumn("copy", copy).withColumn("run_words", F.sum(F.when(F.col("copy") == 1, F.col("words"))).over(in_run))
     kept = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key")) & (F.col("paragraph") == F.col("first.paragraph"))
     return island.join(first, "root").select(
         "doc_id", "text_key", "paragraph", "start", "length", "words", "cluster_size",
-        F.col("first.doc_id").alias("keep_doc_id"), F.col("first.paragraph").alias("keep_paragraph"), (~kept).alias("removed"),
+        F.col("first.doc_id").alias("keep_doc_id"), F.col("first.paragraph").alias("keep_paragraph"), (~kept).alias("removed"), "run_words",
     )
 
 
-def without_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``df`` with the removed paragraphs cut out of its texts; all rows and other columns stay."""
-    gone = repeated(df, doc_id, text).filter("removed").groupBy("doc_id", "text_key")
+def without_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", run_words: int = PASSAGE) -> DataFrame:
+    """``df`` with the removed paragraphs in runs of ``run_words`` or more cut out of its texts; all rows and other columns stay."""
+    gone = repeated(df, doc_id, text).filter(F.col("removed") & (F.col("run_words") >= run_words)).groupBy("doc_id", "text_key")
     spans = gone.agg(F.sort_array(F.collect_set(F.struct("start", "length")), asc=False).alias("_spans"))
     spans = spans.select(F.col("doc_id").alias("_at_id"), F.col("text_key").alias("_at_key"), "_spans")
     joined = df.join(spans, col(df, doc_id).eqNullSafe(F.col("_at_id")) & (F.xxhash64(col(df, text)) == F.col("_at_key")), "left")

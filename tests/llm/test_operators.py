@@ -310,6 +310,21 @@ def test_paragraph_clusters(docs, rows, none):
     assert shorter[5] == texts[5] and shorter[20].strip() == "" and shorter[61] != texts[61]
 
 
+def test_short_repeats_are_reported(spark):
+    rng = random.Random(12)
+    line = lambda n: " ".join(f"s{rng.randint(0, 10**6)}" for _ in range(n))
+    alone, wrapped, mixed = line(9), [line(7) for _ in range(6)], [line(n) for n in (12, 3, 11, 1, 6)]
+    texts = ["\n".join([line(30), *part, line(25)]) for part in ([alone], wrapped, mixed) for _ in range(3)] + [line(2)] * 2
+    docs = spark.createDataFrame([*enumerate(texts), (10, texts[10])], "doc_id long, text string")
+    got = Counter((r.doc_id, r.paragraph, r.words, r.cluster_size, r.run_words, r.removed) for r in paragraphs.repeated(docs).collect())
+    wanted = Counter((d, 1, 9, 3, 9, d > 0) for d in range(3))
+    wanted += Counter((d, k, 7, 3, 42, d > 3) for d in range(3, 6) for k in range(1, 7))
+    wanted += Counter((d, k, n, 3, 33, d > 6) for d in range(6, 9) for k, n in enumerate((12, 3, 11, 1, 6), 1))
+    assert got == wanted + Counter({(9, 0, 2, 3, 2, False): 1, (10, 0, 2, 3, 2, True): 2})
+    shorter = {r.doc_id: r.text for r in paragraphs.without_repeats(docs).collect()}
+    assert [shorter[d] == texts[d] for d in range(10)] == [True] * 4 + [False] * 2 + [True] + [False] * 2 + [True]
+
+
 def test_similarity_by_blocks(spark):
     rng = np.random.default_rng(0)
     sets = [np.unique(rng.integers(0, 30, 20).astype(np.uint64)) for _ in range(60)]
