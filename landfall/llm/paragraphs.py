@@ -3,7 +3,9 @@
 A line is a paragraph; a long one is cut before each long sentence, so that a passage
 that was pasted into the middle of a line is met at the same places wherever it stands.
 Equal paragraphs are one node from the start. Distinct ones meet in bands of their MinHash
-signatures and are verified by the Jaccard similarity of their five-word shingles.
+signatures and are verified by the Jaccard similarity of their five-word shingles. Where no
+such cut falls, windows of twenty words that begin at content-defined places are compared
+word for word; those outside the repeated paragraphs are joined to passages.
 """
 
 from __future__ import annotations
@@ -27,6 +29,9 @@ SHINGLE, LEAST, ANCHOR, PASSAGE = 5, 0.8, 8, 20
 BANDS, ROWS = 5, 2
 _FACTORS = np.random.default_rng(5).integers(1, 1 << 63, SHINGLE + 2 * BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _KEYS = [f"k{j}" for j in range(BANDS)]
+#: Of so many places in a row one begins a window of PASSAGE words, so 40 equal words hold an equal window.
+PICK = 21
+_PLACES = np.random.default_rng(6).integers(1, 1 << 63, PASSAGE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -71,13 +76,36 @@ def cut(text: str) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
     return data.lower().split(), sentence[long_one | opens[sentence]], first, last
 
 
+def _characters(text: str, places: np.ndarray) -> np.ndarray:
+    """Character positions of byte positions."""
+    if text.isascii():
+        return places
+    byte = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    return np.concatenate([[0], np.cumsum((byte & 0xC0) != 0x80)])[places]
+
+
+def windows(text: str) -> tuple[np.ndarray, ...]:
+    """Windows of PASSAGE words at the least shingle of PICK in a row: first word, paragraph, first character, end, hash."""
+    words, begin, first, last = cut(text)
+    places = len(words) - PASSAGE + 1
+    if places < 1:
+        return (np.empty(0, np.int64),) * 5
+    one = _hashes(words)
+    runs = _runs(one)[:places]
+    picks = np.lib.stride_tricks.sliding_window_view(runs, min(PICK, places))
+    at = np.unique(picks.argmin(axis=1) + np.arange(len(picks)))
+    own = _mixed(sum((one[at + k] * _PLACES[k] for k in range(PASSAGE)), np.uint64(0)))
+    paragraph = np.searchsorted(begin, at, "right") - 1
+    return at, paragraph, _characters(text, first[at]), _characters(text, last[at + PASSAGE - 1]), own.view(np.int64)
+
+
 def signatures(text: str) -> tuple[np.ndarray, ...]:
-    """Paragraphs: number, first character, characters, words, hash, and a row of band keys."""
+    """Paragraphs: number, first word, first character, characters, words, hash, and a row of band keys."""
     words, begin, first, last = cut(text)
     size = np.diff(np.append(begin, len(words)))
     number = np.arange(len(begin))
     if not len(number):
-        return number, number, number, number, number, np.empty((0, BANDS), np.int64)
+        return number, number, number, number, number, number, np.empty((0, BANDS), np.int64)
     one, whole = _hashes(words), size >= SHINGLE
     short = _short(one, begin[~whole], size[~whole])
     runs = _runs(one) if whole.any() else one[:0]
@@ -97,12 +125,8 @@ def signatures(text: str) -> tuple[np.ndarray, ...]:
         [_mixed(sum(least(j * ROWS + r) * _FACTORS[r] for r in range(ROWS)) + np.uint64(j)).view(np.int64) for j in range(BANDS)], axis=1
     )
     own = np.array([xxhash.xxh3_64_intdigest(b" ".join(words[a : a + n])) for a, n in zip(begin, size, strict=True)], np.uint64)
-    a, z = first[begin], last[begin + size - 1]
-    if not text.isascii():
-        byte = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-        chars = np.concatenate([[0], np.cumsum((byte & 0xC0) != 0x80)])
-        a, z = chars[a], chars[z]
-    return number, a, z - a, size, own.view(np.int64), keys
+    a, z = _characters(text, first[begin]), _characters(text, last[begin + size - 1])
+    return number, begin, a, z - a, size, own.view(np.int64), keys
 
 
 def _signed(df: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -114,17 +138,17 @@ def _signed(df: DataFrame, doc_id: str, text: str) -> DataFrame:
                 few = batch.slice(at, 500)
                 found = [signatures(t.as_py() or "") for t in few.column(2)]
                 row = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
-                number, start, length, words, own = (np.concatenate([f[k] for f in found]) for k in range(5))
-                keys = np.concatenate([f[5] for f in found])
+                number, at_word, start, length, words, own = (np.concatenate([f[k] for f in found]) for k in range(6))
+                keys = np.concatenate([f[6] for f in found])
                 yield pa.RecordBatch.from_arrays(
-                    [few.column(0).take(row), few.column(1).take(row), *(pa.array(x.astype(np.int32)) for x in (number, start, length, words)),
+                    [few.column(0).take(row), few.column(1).take(row), *(pa.array(x.astype(np.int32)) for x in (number, at_word, start, length, words)),
                      pa.array(own.astype(np.int64)), *(pa.array(keys[:, j]) for j in range(BANDS))],
-                    names=["doc_id", "text_key", "paragraph", "start", "length", "words", "node", *_KEYS],
+                    names=["doc_id", "text_key", "paragraph", "at", "start", "length", "words", "node", *_KEYS],
                 )
 
     rows = df.select(*document_key(col(df, doc_id), col(df, text)), col(df, text).alias("text"))
     kinds = ", ".join(f"{k} long" for k in _KEYS)
-    return rows.mapInArrow(run, f"doc_id {kind}, text_key long, paragraph int, start int, length int, words int, node long, {kinds}")
+    return rows.mapInArrow(run, f"doc_id {kind}, text_key long, paragraph int, at int, start int, length int, words int, node long, {kinds}")
 
 
 def _members(nodes: DataFrame) -> DataFrame:
@@ -182,6 +206,113 @@ def _edges(members: DataFrame, sets: DataFrame, block: int) -> DataFrame:
     return rows.select(*keys, "node", "sh").repartition(*keys).sortWithinPartitions(*keys, "node").mapInArrow(run, "a long, b long")
 
 
+def _windows(df: DataFrame, doc_id: str, text: str) -> DataFrame:
+    kind = df.schema[doc_id].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 500):
+                few = batch.slice(start, 500)
+                found = [windows(t.as_py() or "") for t in few.column(2)]
+                row = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
+                *places, own = (np.concatenate([f[k] for f in found]) for k in range(5))
+                yield pa.RecordBatch.from_arrays(
+                    [few.column(0).take(row), few.column(1).take(row), *(pa.array(x.astype(np.int32)) for x in places), pa.array(own.astype(np.int64))],
+                    names=["doc_id", "text_key", "at", "paragraph", "start", "stop", "node"],
+                )
+
+    rows = df.select(*document_key(col(df, doc_id), col(df, text)), col(df, text).alias("text"))
+    return rows.mapInArrow(run, f"doc_id {kind}, text_key long, at int, paragraph int, start int, stop int, node long")
+
+
+def joined(spans: list[dict]) -> list[dict]:
+    """Passages of one text: its windows (with ``first``) joined where they copy one place, without its paragraphs (no ``first``).
+
+    No two overlap; words shared by two windows that copy different places go to the later one.
+    """
+    known = sorted((s for s in spans if s["first"] is None), key=lambda s: s["at"])
+    found: list[dict] = []
+    for w in sorted((s for s in spans if s["first"] is not None), key=lambda s: s["at"]):
+        label = (w["first"]["doc_id"], w["first"]["text_key"], w["first"]["at"] - w["at"])
+        last = found[-1] if found else None
+        if last and last["label"] == label and w["at"] <= last["end"]:
+            last |= {"end": w["end"], "stop": w["stop"], "n": max(last["n"], w["n"])}
+            continue
+        if last and w["at"] < last["end"]:
+            last |= {"end": w["at"], "stop": w["start"]}
+        found.append(w | {"label": label})
+    rest, k = [], 0
+    for f in found:
+        while k < len(known) and known[k]["end"] <= f["at"]:
+            k += 1
+        here, j = f, k
+        while j < len(known) and known[j]["at"] < f["end"]:
+            p = known[j]
+            if here["at"] < p["at"]:
+                rest.append(here | {"end": p["at"], "stop": p["start"]})
+            here = here | {"at": p["end"], "start": p["stop"], "paragraph": p["paragraph"] + 1}
+            j += 1
+        if here["at"] < here["end"]:
+            rest.append(here)
+    every = sorted([*known, *rest], key=lambda s: s["at"])
+    for a, run in enumerate(every):
+        run["from"] = every[a - 1]["from"] if a and every[a - 1]["end"] == run["at"] else run["at"]
+    for a in range(len(every) - 1, -1, -1):
+        linked = a + 1 < len(every) and every[a + 1]["from"] == every[a]["from"]
+        every[a]["to"] = every[a + 1]["to"] if linked else every[a]["end"]
+    return rest
+
+
+def _passages(df: DataFrame, doc_id: str, text: str, hits: DataFrame) -> DataFrame:
+    """Rows like those of repeated(): what repeats word for word outside the paragraphs ``hits``."""
+    kind = df.schema[doc_id].dataType.simpleString()
+    place = f"struct<set:boolean,doc_id:{kind},text_key:bigint,at:int,paragraph:int>"
+    rows = saved(_windows(df, doc_id, text), "windows")
+    many = rows.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1")
+    many = saved(rows.join(many, "node"), "equal-windows")
+    spot = F.struct(F.col("doc_id").isNotNull().alias("set"), "doc_id", "text_key", "at", "paragraph")
+    firsts = many.groupBy("node").agg(F.min(spot).alias("first"), F.max(spot).alias("last"), (F.max("at") - F.min("at")).alias("apart"))
+    same = F.col("first.doc_id").eqNullSafe(F.col("last.doc_id")) & (F.col("first.text_key") == F.col("last.text_key"))
+    firsts = firsts.filter(~same | (F.col("apart") >= PASSAGE)).select("node", "first")  # not merely with itself
+    key, fields = ["doc_id", "text_key"], ["at", "end", "start", "stop", "paragraph", "n", "first"]
+    found = many.join(firsts, "node").withColumn("end", F.col("at") + PASSAGE).select(*key, F.struct(*fields).alias("span"))
+    known = hits.select(
+        *key, F.struct("at", (F.col("at") + F.col("words")).alias("end"), "start", (F.col("start") + F.col("length")).alias("stop"), "paragraph",
+                       F.lit(0).cast("long").alias("n"), F.lit(None).cast(place).alias("first")).alias("span"),
+    )
+    # One text's spans; equal rows of a document count as copies.
+    spans = found.unionByName(known).groupBy(*key).agg(F.collect_set("span").alias("spans"), F.count("*").alias("rows"))
+    spans = spans.filter(F.exists("spans", lambda s: s["first"].isNotNull()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out, row = [], []
+            for i, (here, rows) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+                for f in joined(here):
+                    copies = rows // len(here)
+                    out += [f] * copies
+                    row += [i] * copies
+            few = batch.select(key).take(pa.array(row, pa.int64()))
+            whole = lambda values, width=pa.int32(): pa.array(list(values), width)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *few.columns, whole(f["paragraph"] for f in out), whole(f["start"] for f in out), whole(f["stop"] - f["start"] for f in out),
+                    whole(f["end"] - f["at"] for f in out), whole((f["n"] for f in out), pa.int64()),
+                    pa.array([f["first"]["doc_id"] for f in out], few.column(0).type), whole(f["first"]["paragraph"] for f in out),
+                    whole((f["first"]["text_key"] for f in out), pa.int64()), whole((f["label"][2] for f in out), pa.int64()),
+                    whole((f["to"] - f["from"] for f in out), pa.int64()),
+                ],
+                names=[*key, "paragraph", "start", "length", "words", "cluster_size", "keep_doc_id", "keep_paragraph", "keep_key", "shift", "run_words"],
+            )
+
+    made = spans.mapInArrow(
+        run, f"doc_id {kind}, text_key long, paragraph int, start int, length int, words int, cluster_size long, keep_doc_id {kind}, "
+        "keep_paragraph int, keep_key long, shift long, run_words long",
+    )
+    kept = F.col("doc_id").eqNullSafe(F.col("keep_doc_id")) & (F.col("text_key") == F.col("keep_key")) & (F.col("shift") == 0)
+    return made.withColumn("removed", ~kept).drop("keep_key", "shift")
+
+
 def repeated(df: DataFrame, doc_id: str = "doc_id", text: str = "text", block: int = 512, broadcast_rows: int = 500_000) -> DataFrame:
     """The repeated paragraphs, one row each occurrence, kept and removed ones.
 
@@ -192,6 +323,11 @@ def repeated(df: DataFrame, doc_id: str = "doc_id", text: str = "text", block: i
     chains of such; under five words that is the same words. run_words is the words of the run
     of such neighbours it lies in: filter on it to leave short repeats alone. Words are runs
     without blanks; A-Z are folded. Null and empty texts have none.
+
+    Outside these paragraphs passages are reported that stand elsewhere word for word: all of
+    40 words or more, and those of 20 to 39 that hold a window. Such a row has the number of the
+    paragraph it begins in, its own start, length and words (it may end in a blank), and a run
+    with the paragraphs beside it. Rows of one text never overlap.
     """
     rows = saved(_signed(df, doc_id, text), "paragraphs")
     nodes = saved(rows.groupBy("node", *_KEYS).agg(F.count("*").alias("n")), "distinct")
@@ -214,14 +350,15 @@ def repeated(df: DataFrame, doc_id: str = "doc_id", text: str = "text", block: i
     copy = F.row_number().over(Window.partitionBy(*document, "paragraph").orderBy("node"))  # repeated rows of one document
     island = island.withColumn("copy", copy).withColumn("run_words", F.sum(F.when(F.col("copy") == 1, F.col("words"))).over(in_run))
     kept = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key")) & (F.col("paragraph") == F.col("first.paragraph"))
-    return island.join(first, "root").select(
+    found = island.join(first, "root").select(
         "doc_id", "text_key", "paragraph", "start", "length", "words", "cluster_size",
         F.col("first.doc_id").alias("keep_doc_id"), F.col("first.paragraph").alias("keep_paragraph"), (~kept).alias("removed"), "run_words",
     )
+    return found.unionByName(_passages(df, doc_id, text, hits))
 
 
 def without_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", run_words: int = PASSAGE) -> DataFrame:
-    """``df`` with the removed paragraphs in runs of ``run_words`` or more cut out of its texts; all rows and other columns stay."""
+    """``df`` with the removed paragraphs and passages in runs of ``run_words`` or more cut out of its texts; all rows and other columns stay."""
     gone = repeated(df, doc_id, text).filter(F.col("removed") & (F.col("run_words") >= run_words)).groupBy("doc_id", "text_key")
     spans = gone.agg(F.sort_array(F.collect_set(F.struct("start", "length")), asc=False).alias("_spans"))
     spans = spans.select(F.col("doc_id").alias("_at_id"), F.col("text_key").alias("_at_key"), "_spans")

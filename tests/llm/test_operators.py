@@ -325,6 +325,35 @@ def test_short_repeats_are_reported(spark):
     assert [shorter[d] == texts[d] for d in range(10)] == [True] * 4 + [False] * 2 + [True] + [False] * 2 + [True]
 
 
+def test_passages_inside_lines_are_reported(spark):
+    rng = random.Random(13)
+    line = lambda n: " ".join(f"é{rng.randint(0, 10**6)}" for _ in range(n))
+    plain, short, quoted = line(60), " ".join(line(5) + "." for _ in range(12)), '"' + line(59) + '."'
+    edited = line(200).split()
+    copies = [list(edited), list(edited)]
+    for k in range(45, 200, 45):
+        copies[1][k] = "new"
+    texts = [f"{line(20)} {p} {line(20)}" for p in (plain, short, quoted) for _ in range(3)]
+    texts += [f"{line(90)} {' '.join(c)} {line(90)}" for c in copies] + [" ".join(["same"] * 30)]
+    docs = spark.createDataFrame([*enumerate(texts), (None, texts[0])], "doc_id long, text string")
+    rows = paragraphs.repeated(docs).collect()
+    spans = defaultdict(list)
+    for r in rows:
+        if r.doc_id is not None:
+            assert len(texts[r.doc_id][r.start : r.start + r.length].split()) == r.words
+            spans[r.doc_id].append((r.start, r.start + r.length, r.removed))
+    assert all(a[1] <= b[0] for s in spans.values() for a, b in itertools.pairwise(sorted(s)))
+    for d in range(1, 9):  # text 0 is repeated whole
+        shared = [plain, short, quoted][d // 3]
+        low = texts[d].index(shared)
+        assert 20 <= sum(r.words for r in rows if r.doc_id == d) <= 60
+        assert all(low <= a and b <= low + len(shared) + 1 for a, b, _ in spans[d])
+        assert {r for *_, r in spans[d]} == {d not in (3, 6)}
+    assert sum(r.words for r in rows if r.doc_id == 10) >= 4 * 20 and 11 not in spans
+    shorter = {r.doc_id: r.text for r in paragraphs.without_repeats(docs).collect()}
+    assert shorter[3] == texts[3] and len(shorter[4].split()) <= 80 and len(shorter[2].split()) <= 80
+
+
 def test_similarity_by_blocks(spark):
     rng = np.random.default_rng(0)
     sets = [np.unique(rng.integers(0, 30, 20).astype(np.uint64)) for _ in range(60)]
