@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from landfall.llm.base import col, saved
-from landfall.llm.tokens import encoder
+from landfall.llm.tokens import encoding
 
 #: Lengths that are summed together before the blocks are.
 SPAN = 1024
@@ -24,11 +24,11 @@ def histogram(df: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
     """(length, documents) over all rows; null and empty texts have length 0. An empty table gives no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
-        for batch in batches:
-            n = np.array([len(enc.ids(t.as_py())) // enc.dtype.itemsize for t in batch.column(0)], np.int64)
-            length, count = np.unique(n, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(length), pa.array(count.astype(np.int64))], names=["length", "documents"])
+        with encoding(tokenizer) as enc:
+            for batch in batches:
+                n = np.array([len(enc.ids(t.as_py())) // enc.dtype.itemsize for t in batch.column(0)], np.int64)
+                length, count = np.unique(n, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(length), pa.array(count.astype(np.int64))], names=["length", "documents"])
 
     counted = df.select(col(df, text).alias("text")).mapInArrow(run, "length long, documents long")
     return counted.groupBy("length").agg(F.sum("documents").alias("documents"))

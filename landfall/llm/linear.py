@@ -115,15 +115,19 @@ def dense(model: Sparse, size: int) -> np.ndarray:
     return w
 
 
-def scorer(features: Callable[[str], Sparse], weights: np.ndarray) -> Callable[[Column], Column]:
-    """A column function: text to score between 0 and 1; null scores as the empty text."""
+def scorer(features: Callable[[str], Sparse], weights: np.ndarray, forget: Callable[[], None]) -> Callable[[Column], Column]:
+    """A column function: text to score between 0 and 1; null scores as the empty text. ``forget`` is called when a task ends."""
 
     @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        out = np.empty(len(texts))
-        for i, t in enumerate(texts):
-            at, value = features(t or "")
-            out[i] = sigmoid(float(weights[at] @ value))
-        return pd.Series(out)
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        try:
+            for texts in batches:
+                out = np.empty(len(texts))
+                for i, t in enumerate(texts):
+                    at, value = features(t or "")
+                    out[i] = sigmoid(float(weights[at] @ value))
+                yield pd.Series(out)
+        finally:
+            forget()
 
     return score

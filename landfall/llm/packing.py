@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from landfall.llm.base import col, saved
 from landfall.llm.hilbert import curve_index
-from landfall.llm.tokens import encoder
+from landfall.llm.tokens import encoder, encoding
 
 #: The hashed vector's size, the curve's dimensions and bits of each.
 BUCKETS, DIMENSIONS, BITS = 256, 3, 8
@@ -42,18 +42,19 @@ def encoded(df: DataFrame, doc_id: str, text: str, path: str, end_id: int) -> Da
     """(doc_id, curve, n, ids) of every row; ids end with ``end_id``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, project = encoder(path), directions()
-        end = np.array([end_id], enc.dtype).tobytes()
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                ids = [enc.ids(t.as_py()) + end for t in part.column(1)]
-                cells = np.stack([levels(np.frombuffer(i, enc.dtype), project) for i in ids])
-                n = [len(i) // enc.dtype.itemsize for i in ids]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(curve_index(cells, BITS)), pa.array(n, pa.int64()), pa.array(ids, pa.binary())],
-                    names=["doc_id", "curve", "n", "ids"],
-                )
+        project = directions()
+        with encoding(path) as enc:
+            end = np.array([end_id], enc.dtype).tobytes()
+            for batch in batches:
+                for start in range(0, batch.num_rows, 256):
+                    part = batch.slice(start, 256)
+                    ids = [enc.ids(t.as_py()) + end for t in part.column(1)]
+                    cells = np.stack([levels(np.frombuffer(i, enc.dtype), project) for i in ids])
+                    n = [len(i) // enc.dtype.itemsize for i in ids]
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0), pa.array(curve_index(cells, BITS)), pa.array(n, pa.int64()), pa.array(ids, pa.binary())],
+                        names=["doc_id", "curve", "n", "ids"],
+                    )
 
     rows = df.select(col(df, doc_id).cast("long").alias("doc_id"), col(df, text).alias("text"))
     return rows.mapInArrow(run, "doc_id long, curve long, n long, ids binary")

@@ -38,6 +38,10 @@ def _ids() -> _Ids:
     return _Ids()
 
 
+def forget_words() -> None:
+    _ids().clear()
+
+
 def ngrams(text: str) -> Sparse:
     """Hashed one- and two-word features of the whole text: damped counts of unit length, and the bias at 0."""
     words = np.fromiter(map(_ids().__getitem__, _WORD.findall(text.lower())), np.uint64)
@@ -69,7 +73,7 @@ def learn_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", te
 def with_quality(df: DataFrame, model: Sparse, text: str = "text") -> tuple[DataFrame, str]:
     """``df`` with one more column, the score of the whole text; its name is returned. Null scores as empty."""
     name = free_name(df, "score")
-    return df.withColumn(name, scorer(ngrams, dense(model, SIZE))(col(df, text))), name
+    return df.withColumn(name, scorer(ngrams, dense(model, SIZE), forget_words)(col(df, text))), name
 
 
 def good_documents(df: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = 0.7) -> DataFrame:

@@ -13,14 +13,16 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import cache
 from unicodedata import is_normalized
 
 import numpy as np
 
-#: Words and pieces remembered per worker, and the longest of them.
-KEPT, LONGEST = 500_000, 64
+#: Words and pieces remembered in a task, by dictionary and generation (two dictionaries of two generations,
+#: some 170 bytes an entry), and the longest of them.
+KEPT, LONGEST = 200_000, 64
 _FINE = re.compile(r"[\t-\r ]*[^\w\t-\r ]*\w+|[\t-\r ]*[^\w\t-\r ]+|[\t-\r ]+")
 _COARSE = re.compile(r"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
 _ODD = re.compile("[\x00-\x08\x0e-\x1f\x7f-\xa0\xad\u0130\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]")
@@ -35,7 +37,7 @@ class _Uncertain(Exception):
 class _Words(dict):
     """Ids by word, with ``before`` in front of each; worked out when first met.
 
-    What has not been met for long is forgotten a generation at a time.
+    What has not been met for long is forgotten a generation at a time, and all at the end of a task.
     """
 
     def __init__(self, before: str, work_out: Callable[[str, str], bytes]) -> None:
@@ -52,6 +54,10 @@ class _Words(dict):
             self[word] = ids
         return ids
 
+    def forget(self) -> None:
+        self.older = {}
+        self.clear()
+
 
 def _byte_letters() -> dict[int, str]:
     """The byte-level alphabet: printable Latin-1 bytes as they are, the others from U+0100 up."""
@@ -121,3 +127,14 @@ class Encoder:
 def encoder(path: str) -> Encoder:
     """One encoder a worker process and file."""
     return Encoder(path)
+
+
+@contextmanager
+def encoding(path: str) -> Iterator[Encoder]:
+    """The encoder for the time of a task: a worker lives on after it, the words remembered don't."""
+    enc = encoder(path)
+    try:
+        yield enc
+    finally:
+        enc.words.forget()
+        enc.heads.forget()

@@ -58,6 +58,10 @@ def _known() -> _Known:
     return _Known()
 
 
+def forget_words() -> None:
+    _known().clear()
+
+
 def _of_words(words: set[str]) -> np.ndarray:
     known = _known()
     found = {0}
@@ -124,4 +128,4 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
 def with_toxicity(df: DataFrame, model: Sparse, text: str = "text") -> tuple[DataFrame, str]:
     """``df`` with one more column, the score of the whole text; its name is returned. Null scores as empty."""
     name = free_name(df, "score")
-    return df.withColumn(name, scorer(presence, dense(model, SIZE))(col(df, text))), name
+    return df.withColumn(name, scorer(presence, dense(model, SIZE), forget_words)(col(df, text))), name
