@@ -15,10 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(df: DataFrame, purpose: str) -> DataFrame:
+def saved(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     """``df`` as a table in the shared folder: its lineage ends here, and a lost executor costs no recomputation."""
     path = shared_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
