@@ -48,16 +48,24 @@ def split_literal(c: str, delimiter: str) -> str:
 
 
 def split_quoted(c: str, delimiter: str, quote: str) -> str:
-    """Split on delimiters that are not in quotes. A quoted part loses its quotes, two of them inside are one;
-    a quote that is not closed, or not at the edges of its part, is text."""
+    """Split on delimiters that are not in quotes; the parts are as written, see unquoted()."""
     d, q = re.escape(delimiter), re.escape(quote)
     pattern = f"(?s){d}({q}[^{q}]*+(?:{q}{q}[^{q}]*+)*+{q}(?={d}|\\z)|.*?(?={d}|\\z))"
+    return f"regexp_extract_all(concat({lit(delimiter)}, {c}), {lit(pattern)}, 1)"
+
+
+def unquoted(parts: str, quote: str) -> str:
+    """Quoted parts lose their quotes, two of them inside are one; a quote that is not closed, or not at the edges of its part, is text."""
     inner = f"replace(substring(part, 2, length(part) - 2), {lit(quote * 2)}, {lit(quote)})"
     closed = f"length(part) > 1 AND startswith(part, {lit(quote)}) AND endswith(part, {lit(quote)})"
-    parts = f"regexp_extract_all(concat({lit(delimiter)}, {c}), {lit(pattern)}, 1)"
     return f"transform({parts}, part -> CASE WHEN {closed} THEN {inner} ELSE part END)"
 
 
+def unbalanced(parts: str, quote: str) -> str:
+    """Whether a part begins with a quote and holds an odd number of them."""
+    return f"exists({parts}, part -> startswith(part, {lit(quote)}) AND (length(part) - length(replace(part, {lit(quote)}, ''))) % 2 = 1)"
+
+
 def split_list(c: str, separator: str = ";") -> str:
     """Trimmed items; empties at the end do not count, an empty text is one empty item."""
     kept = replace_pattern(c, f"(?:{re.escape(separator)})+\\z")

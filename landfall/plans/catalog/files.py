@@ -346,11 +346,12 @@ QUOTED = Contract(
 
 
 def intake_quoted(spark, sf_dir):
-    """Delimiters and quotes inside quoted values; every fifth market segment lacks its last value."""
+    """Delimiters, quotes and line ends inside quoted values; one market segment lacks its last value, one has a quote too many."""
     src = shared_dir(spark, "csv")
     lines = rendered(
         table(spark, sf_dir, "customer"),
-        "concat(c_custkey, ',\"', c_name, ', \"\"', c_mktsegment, '\"\"\"', "
+        "concat(c_custkey, ',\"', c_name, if(c_custkey % 3 = 0, '\\r\\n', if(c_custkey % 3 = 1, '\\n\\n', ', ')), '\"\"', c_mktsegment, '\"\"\"', "
+        "if(c_mktsegment = 'FURNITURE', '\"', ''), "
         f"CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE concat(',', {money('c_acctbal')}) END)",
     )
     prepend_line(lines, ",".join(f'"{n}"' for n in QUOTED.names)).write.text(src)
@@ -361,12 +362,13 @@ def intake_quoted(spark, sf_dir):
 
 
 INTAKE_QUOTED = """
-WITH c AS (SELECT *, c_mktsegment = 'BUILDING' AS bad FROM customer)
-SELECT CASE WHEN NOT bad THEN c_custkey END AS c_custkey,
-       CASE WHEN NOT bad THEN c_name || ', "' || c_mktsegment || '"' END AS c_name,
-       CASE WHEN NOT bad THEN CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) END AS c_acctbal,
-       CASE WHEN bad THEN 'error' ELSE 'valid' END AS outcome,
-       CASE WHEN bad THEN 'c_acctbal' END AS field, CASE WHEN bad THEN 'missing' END AS reason
+WITH c AS (SELECT *, c_mktsegment = 'BUILDING' AS bad, c_mktsegment = 'FURNITURE' AS torn FROM customer)
+SELECT CASE WHEN NOT bad AND NOT torn THEN c_custkey END AS c_custkey,
+       CASE WHEN NOT bad AND NOT torn THEN c_name || CASE c_custkey % 3 WHEN 0 THEN chr(13) || chr(10) WHEN 1 THEN chr(10) || chr(10) ELSE ', ' END
+           || '"' || c_mktsegment || '"' END AS c_name,
+       CASE WHEN NOT bad AND NOT torn THEN CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) END AS c_acctbal,
+       CASE WHEN bad OR torn THEN 'error' ELSE 'valid' END AS outcome,
+       CASE WHEN bad THEN 'c_acctbal' END AS field, CASE WHEN bad THEN 'missing' WHEN torn THEN 'unbalanced quote' END AS reason
 FROM c"""
 
 

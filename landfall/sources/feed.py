@@ -11,6 +11,7 @@ from landfall.sources.delimited import parse_delimited
 from landfall.sources.fixed_width import parse_fixed_width
 from landfall.sources.json_arrays import json_arrays
 from landfall.sources.json_records import json_chunks, json_lines, parse_json_records
+from landfall.sources.quoted import quoted_records
 from landfall.sources.scan import scan_text
 from landfall.sources.xml_rows import chunk_separator, mark_closed, parse_xml_fragments, row_fragments
 
@@ -50,4 +51,6 @@ def read_feed(spark: SparkSession, paths: str | Sequence[str], contract: Contrac
     if is_whole_document(contract):
         records = json_arrays(spark, paths, keep_non_objects=contract.policy.reject_missing)
         return parse_json_records(records, contract)
+    if contract.format == "CSV" and contract.quote:
+        return parse_delimited(quoted_records(spark, paths, contract.delimiter, contract.quote), contract)
     return parse_feed(scan_text(spark, paths, line_sep=separator_of(contract), extent=contract.format == "XML"), contract)
