@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from landfall.llm import decontaminate, exact, packing, quality, simhash
-from landfall.llm.base import saved, table
+from landfall.llm.base import saved, small_batches, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier scores 0.7 or more."""
+    small_batches(spark)
     return quality.good_documents(docs, table(spark, sf_dir, "labels"))
 
 
@@ -21,16 +22,19 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of fingerprints."""
+    small_batches(spark)
     return simhash.drop_near_copies(docs)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
+    small_batches(spark)
     return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Training sequences of the rest, one row per piece, with its token ids."""
+    small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

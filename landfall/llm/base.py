@@ -11,10 +11,25 @@ from landfall.plans.workspace import shared_dir
 BLANKS = "\\x20\\x09-\\x0D"
 
 
+#: Bytes of an Arrow batch on its way to a Python worker, where the session does not state its own limit.
+BATCH_BYTES = 4 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on this session sends texts to Python workers a few megabytes at a time, however long they are.
+
+    What a worker and its executor hold for a batch is several times its size. A limit that
+    was set before is left alone.
+    """
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if limit not in spark.conf.getAll:
+        spark.conf.set(limit, str(BATCH_BYTES))
+
+
 def saved(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     """``df`` as a table in the shared folder: its lineage ends here, and a lost executor costs no recomputation."""
     path = shared_dir(df.sparkSession, purpose)

@@ -50,7 +50,7 @@ class Ftrl:
         self.n[at] += squared
 
     def learn(self, x: Sparse, label: float) -> None:
-        at, value = x
+        at, value = x[0], x[1].astype(np.float64)
         w = self.weights(at)
         self.update(at, (sigmoid(float(w @ value)) - label) * value, w)
 
@@ -105,8 +105,9 @@ def pack_sparse(x: Sparse) -> bytes:
 
 
 def unpack_sparse(data: bytes) -> Sparse:
+    """Views of the data, which cost nothing beside it."""
     n = int.from_bytes(data[:4], "little")
-    return np.frombuffer(data, "<i4", n, 4).astype(np.int64), np.frombuffer(data, "<f4", n, 4 + 4 * n).astype(np.float64)
+    return np.frombuffer(data, "<i4", n, 4), np.frombuffer(data, "<f4", n, 4 + 4 * n)
 
 
 def dense(model: Sparse, size: int) -> np.ndarray:

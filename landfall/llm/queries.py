@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -9,7 +12,7 @@ from pyspark.sql import functions as F
 from landfall.llm import (
     centroids, chat, decontaminate, exact, importance, lengths, orc_tokens, packing, paragraphs, quality, sharding, simhash, toxicity,
 )
-from landfall.llm.base import fold, table
+from landfall.llm.base import fold, small_batches, table
 
 
 def op1_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,8 +108,17 @@ def _scores(scored: DataFrame, score: str, held_out, least: float) -> DataFrame:
     return rows.withColumn("predicted", (F.col("score") >= least).cast("int"))
 
 
+def _in_small_batches(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES = {
-    f.__name__: f
+    f.__name__: _in_small_batches(f)
     for f in (
         op1_hilbert_shards, op2_covering_simhash, op3_curve_packing, op4_paragraph_minhash, op5_counterfactual_toxicity,
         op6_bloom_exact, op7_orc_tokens, op8_aligned_leaks, op9_length_histogram, op10_ftrl_quality, op11_pivot_clusters, op12_importance_resampling,
