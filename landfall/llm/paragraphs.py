@@ -11,7 +11,7 @@ word for word; those outside the repeated paragraphs are joined to passages.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from landfall.llm.base import col, document_key, saved
+from landfall.llm.base import col, document_key, free_name, saved
 from landfall.llm.components import components
 from landfall.llm.groups import grouped, stars
 
@@ -39,12 +39,6 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def shingles(words: list[bytes]) -> np.ndarray:
-    """A hash for each run of five words; one for all words if there are fewer."""
-    one = _hashes(words)
-    return _runs(one) if len(one) >= SHINGLE else _short(one, np.zeros(1, np.int64), np.array([len(one)]))
-
-
 def _hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
@@ -59,56 +53,86 @@ def _short(one: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     return _mixed(sum(np.where(size > k, padded[begin + k], 0).astype(np.uint64) * _FACTORS[k] for k in range(SHINGLE - 1)) + size.astype(np.uint64))
 
 
-def cut(text: str) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    """The words of a text, the word at which each paragraph starts, and the first and last byte of each word."""
-    data = text.encode("utf-8", "surrogatepass")
+class Cut(NamedTuple):
+    """Words of many texts, one after the other: their hashes and first and last bytes; where paragraphs start; each text's first word (and the end)."""
+
+    words: list[bytes]
+    hashes: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    begin: np.ndarray
+    text_word: np.ndarray
+    text_byte: np.ndarray
+    characters: np.ndarray | None
+
+    def character(self, places: np.ndarray, text: np.ndarray) -> np.ndarray:
+        """Character positions of byte positions, in their texts."""
+        if self.characters is None:
+            return places - self.text_byte[text]
+        return self.characters[places] - self.characters[self.text_byte[text]]
+
+
+def cut(texts: list[str]) -> Cut:
+    """Texts are laid out as lines of one buffer, so that a text begins a paragraph as a line does."""
+    coded = [t.encode("utf-8", "surrogatepass") for t in texts]
+    data = b"\n".join(coded)
     byte = np.frombuffer(data, np.uint8)
+    text_byte = np.cumsum([0, *(len(c) + 1 for c in coded)])[:-1]
     inside = ~((byte == 32) | ((byte >= 9) & (byte <= 13)))
     edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
     first, last = edge[::2], edge[1::2]
-    if not len(first):
-        return [], first, first, last
     line = np.concatenate([[0], np.cumsum(byte == 10)])[first]
-    opens = np.concatenate([[True], line[1:] != line[:-1]])
-    ends = np.isin(byte[last - 1], np.frombuffer(b".!?", np.uint8))
-    sentence = np.flatnonzero(opens | np.concatenate([[False], ends[:-1]]))
+    opens = np.concatenate([[True], line[1:] != line[:-1]])[: len(first)]
+    ends = np.isin(byte[last - 1], np.frombuffer(b".!?", np.uint8)) if len(last) else np.empty(0, bool)
+    sentence = np.flatnonzero(opens | np.concatenate([[False], ends[:-1]])[: len(first)])
     long_one = np.diff(np.append(sentence, len(first))) >= ANCHOR
-    return data.lower().split(), sentence[long_one | opens[sentence]], first, last
-
-
-def _characters(text: str, places: np.ndarray) -> np.ndarray:
-    """Character positions of byte positions."""
-    if text.isascii():
-        return places
-    byte = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-    return np.concatenate([[0], np.cumsum((byte & 0xC0) != 0x80)])[places]
-
-
-def windows(text: str) -> tuple[np.ndarray, ...]:
-    """Windows of PASSAGE words at the least shingle of PICK in a row: first word, paragraph, first character, end, hash."""
-    words, begin, first, last = cut(text)
-    places = len(words) - PASSAGE + 1
-    if places < 1:
-        return (np.empty(0, np.int64),) * 5
-    one = _hashes(words)
-    runs = _runs(one)[:places]
-    picks = np.lib.stride_tricks.sliding_window_view(runs, min(PICK, places))
-    at = np.unique(picks.argmin(axis=1) + np.arange(len(picks)))
-    own = _mixed(sum((one[at + k] * _PLACES[k] for k in range(PASSAGE)), np.uint64(0)))
-    paragraph = np.searchsorted(begin, at, "right") - 1
-    return at, paragraph, _characters(text, first[at]), _characters(text, last[at + PASSAGE - 1]), own.view(np.int64)
-
-
-def signatures(text: str) -> tuple[np.ndarray, ...]:
-    """Paragraphs: number, first word, first character, characters, words, hash, and a row of band keys."""
-    words, begin, first, last = cut(text)
+    words = data.lower().split()
+    text_word = np.append(np.searchsorted(first, text_byte), len(first))
+    characters = None if len(data) == sum(map(len, texts)) + len(texts) - 1 else np.concatenate([[0], np.cumsum((byte & 0xC0) != 0x80)])
+    return Cut(words, _hashes(words), first, last, sentence[long_one | opens[sentence]], text_word, text_byte, characters)
+
+
+def _least_of(runs: np.ndarray, width: int) -> np.ndarray:
+    """For each place, where the least of the next ``width`` values stands (the first of equals)."""
+    at, reach = np.arange(len(runs)), 1
+    while reach < width:
+        step = min(reach, width - reach)
+        near, far = at[:-step], at[step:]
+        at = np.where(runs[near] <= runs[far], near, far)
+        reach += step
+    return at
+
+
+def windows(c: Cut) -> tuple[np.ndarray, ...]:
+    """Windows of PASSAGE words at the least shingle of PICK in a row: text, first word, paragraph, first character, end, hash."""
+    none = np.empty(0, np.int64)
+    start, stop = c.text_word[:-1], c.text_word[1:] - PASSAGE  # the places where a window can begin
+    if not (stop >= start).any():
+        return (none,) * 6
+    runs = _runs(c.hashes)
+    wide = stop - start + 1 >= PICK
+    picks = [start[i] + runs[start[i] : stop[i] + 1].argmin(keepdims=True) for i in np.flatnonzero(~wide & (stop >= start))]
+    if wide.any():
+        text = np.repeat(np.arange(len(start)), c.text_word[1:] - c.text_word[:-1])
+        place = np.arange(len(text))
+        picks.append(_least_of(runs, PICK)[place[wide[text] & (place + PICK - 1 <= stop[text])]])
+    at = np.unique(np.concatenate([none, *picks]))
+    own = _mixed(sum((c.hashes[at + k] * _PLACES[k] for k in range(PASSAGE)), np.uint64(0)))
+    text = np.searchsorted(c.text_word, at, "right") - 1
+    first_paragraph = np.searchsorted(c.begin, c.text_word[:-1])
+    paragraph = np.searchsorted(c.begin, at, "right") - 1 - first_paragraph[text]
+    ends = c.character(c.last[at + PASSAGE - 1], text)
+    return text, at - c.text_word[text], paragraph, c.character(c.first[at], text), ends, own.view(np.int64)
+
+
+def signatures(c: Cut) -> tuple[np.ndarray, ...]:
+    """Paragraphs: text, first word, first character, characters, words, hash, and a column of each band's keys."""
+    begin, words = c.begin, c.words
     size = np.diff(np.append(begin, len(words)))
-    number = np.arange(len(begin))
-    if not len(number):
-        return number, number, number, number, number, number, np.empty((0, BANDS), np.int64)
-    one, whole = _hashes(words), size >= SHINGLE
-    short = _short(one, begin[~whole], size[~whole])
-    runs = _runs(one) if whole.any() else one[:0]
+    text = np.searchsorted(c.text_word, begin, "right") - 1
+    whole = size >= SHINGLE
+    short = _short(c.hashes, begin[~whole], size[~whole])
+    runs = _runs(c.hashes) if whole.any() else c.hashes[:0]
     spans = np.stack([begin[whole], (begin + size)[whole] - SHINGLE + 1], axis=1).ravel()
     if len(spans) and spans[-1] >= len(runs):
         spans = spans[:-1]
@@ -121,186 +145,238 @@ def signatures(text: str) -> tuple[np.ndarray, ...]:
             low[whole] = np.minimum.reduceat(value(runs), spans)[::2]
         return low
 
-    keys = np.stack(
-        [_mixed(sum(least(j * ROWS + r) * _FACTORS[r] for r in range(ROWS)) + np.uint64(j)).view(np.int64) for j in range(BANDS)], axis=1
-    )
-    own = np.array([xxhash.xxh3_64_intdigest(b" ".join(words[a : a + n])) for a, n in zip(begin, size, strict=True)], np.uint64)
-    a, z = _characters(text, first[begin]), _characters(text, last[begin + size - 1])
-    return number, begin, a, z - a, size, own.view(np.int64), keys
+    keys = [_mixed(sum((least(j * ROWS + r) * _FACTORS[r] for r in range(ROWS)), np.uint64(0)) + np.uint64(j)).view(np.int64) for j in range(BANDS)]
+    own = np.fromiter((xxhash.xxh3_64_intdigest(b" ".join(words[a : a + n])) for a, n in zip(begin.tolist(), size.tolist(), strict=True)), np.uint64, len(begin))
+    a, z = c.character(c.first[begin], text), c.character(c.last[begin + size - 1], text)
+    return text, begin - c.text_word[text], a, z - a, size, own.view(np.int64), *keys
+
+
+_PARAGRAPH = ["at", "start", "length", "words", "node", *_KEYS]
+_WINDOW = ["w_at", "w_paragraph", "w_start", "w_stop", "w_node"]
+
+
+def _lists(text: np.ndarray, values: np.ndarray, texts: int, kind: pa.DataType) -> pa.ListArray:
+    ends = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=texts))])
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values.astype(kind.to_pandas_dtype())))
+
+
+def _texts(df: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return df.select(*document_key(col(df, doc_id), col(df, text)), col(df, text).alias("text"))
 
 
-def _signed(df: DataFrame, doc_id: str, text: str) -> DataFrame:
+def _digests(df: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """A row for each text: its paragraphs and its windows as lists, made from one cut."""
     kind = df.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 few = batch.slice(at, 500)
-                found = [signatures(t.as_py() or "") for t in few.column(2)]
-                row = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
-                number, at_word, start, length, words, own = (np.concatenate([f[k] for f in found]) for k in range(6))
-                keys = np.concatenate([f[6] for f in found])
-                yield pa.RecordBatch.from_arrays(
-                    [few.column(0).take(row), few.column(1).take(row), *(pa.array(x.astype(np.int32)) for x in (number, at_word, start, length, words)),
-                     pa.array(own.astype(np.int64)), *(pa.array(keys[:, j]) for j in range(BANDS))],
-                    names=["doc_id", "text_key", "paragraph", "at", "start", "length", "words", "node", *_KEYS],
-                )
+                c = cut([t or "" for t in few.column(2).to_pylist()])
+                of, *columns = signatures(c)
+                made = [_lists(of, x, few.num_rows, pa.int64() if k in ("node", *_KEYS) else pa.int32()) for k, x in zip(_PARAGRAPH, columns, strict=True)]
+                of, *columns = windows(c)
+                made += [_lists(of, x, few.num_rows, pa.int64() if k == "w_node" else pa.int32()) for k, x in zip(_WINDOW, columns, strict=True)]
+                yield pa.RecordBatch.from_arrays([few.column(0), few.column(1), *made], names=["doc_id", "text_key", *_PARAGRAPH, *_WINDOW])
 
-    rows = df.select(*document_key(col(df, doc_id), col(df, text)), col(df, text).alias("text"))
-    kinds = ", ".join(f"{k} long" for k in _KEYS)
-    return rows.mapInArrow(run, f"doc_id {kind}, text_key long, paragraph int, at int, start int, length int, words int, node long, {kinds}")
+    columns = ", ".join(f"{k} array<{'long' if 'node' in k or k in _KEYS else 'int'}>" for k in [*_PARAGRAPH, *_WINDOW])
+    return _texts(df, doc_id, text).mapInArrow(run, f"doc_id {kind}, text_key long, {columns}")
 
 
-def _members(nodes: DataFrame) -> DataFrame:
-    """(key, n, node) of the band buckets that hold n > 1 distinct paragraphs."""
+def _listed(digests: DataFrame, names: list[str], number: str | None = None) -> DataFrame:
+    """A row for each element of the lists ``names``."""
+    zipped = F.arrays_zip(*names)
+    if number is None:
+        return digests.select("doc_id", "text_key", F.inline(zipped))
+    return digests.select("doc_id", "text_key", F.posexplode(zipped).alias(number, "_x")).select("doc_id", "text_key", number, "_x.*")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in grouped(batches, ["key"], least=2):
-            size = pa.array(np.full(group.num_rows, group.num_rows, np.int64))
-            yield from pa.table([group["key"], size, group["node"]], names=["key", "n", "node"]).combine_chunks().to_batches()
 
-    entries = nodes.select("node", F.explode(F.array(*_KEYS)).alias("key")).select("key", "node")
-    return entries.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "key long, n long, node long")
+def _within(rows: DataFrame, side: DataFrame, on: str, broadcast_rows: int) -> DataFrame:
+    """``rows`` joined with the saved ``side``, which is counted and broadcast up to ``broadcast_rows``."""
+    return rows.join(F.broadcast(side) if side.count() <= broadcast_rows else side, on)
 
 
 def _shingle_sets(docs: DataFrame, places: DataFrame, doc_id: str, text: str, broadcast_rows: int) -> DataFrame:
     """(node, sh): the distinct shingle hashes of one occurrence of each wanted paragraph."""
     places = saved(places, "places")
     side = F.broadcast(places) if places.count() <= broadcast_rows else places
-    rows = docs.select(*document_key(col(docs, doc_id), col(docs, text)), col(docs, text).alias("text"))
+    rows = _texts(docs, doc_id, text)
     same = rows.doc_id.eqNullSafe(side["at.doc_id"]) & (rows.text_key == side["at.text_key"])
     texts = rows.join(side, same).select("node", F.expr("substring(text, at.start + 1, at.length)").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.unique(shingles(t.as_py().encode("utf-8", "surrogatepass").lower().split())).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "sh"])
+            for at in range(0, batch.num_rows, 2000):
+                few = batch.slice(at, 2000)
+                c = cut(few.column(1).to_pylist())  # paragraphs hold no line ends, so each is a text of its own
+                begin, size = c.text_word[:-1], np.diff(c.text_word)
+                whole = size >= SHINGLE
+                of = np.repeat(np.arange(len(size)), np.where(whole, size - SHINGLE + 1, 1))
+                found = np.empty(len(of), np.uint64)
+                found[~whole[of]] = _short(c.hashes, begin[~whole], size[~whole])
+                if whole.any():
+                    place = np.arange(len(c.hashes))
+                    owner = np.repeat(np.arange(len(size)), size)
+                    found[whole[of]] = _runs(c.hashes)[place[whole[owner] & (place + SHINGLE <= (begin + size)[owner])]]
+                order = np.lexsort([found, of])
+                of, found = of[order], found[order]
+                kept = np.concatenate([[True], (of[1:] != of[:-1]) | (found[1:] != found[:-1])])
+                of, found = of[kept], found[kept].view(np.int64)
+                yield pa.RecordBatch.from_arrays([few.column(0), _lists(of, found, few.num_rows, pa.int64())], names=["node", "sh"])
 
     # Repeated rows of one document give their paragraph more than once.
-    return saved(texts.mapInArrow(run, "node long, sh binary").dropDuplicates(["node"]), "shingles")
+    return saved(texts.mapInArrow(run, "node long, sh array<long>").groupBy("node").agg(F.any_value("sh").alias("sh")), "shingles")
 
 
-def similar(members: list[np.ndarray], least: float) -> np.ndarray:
-    """Matrix of Jaccard >= least of sets of hashes, by an incidence product."""
+def similar(members: list[np.ndarray], least: float, cells: int = 1 << 22) -> np.ndarray:
+    """Matrix of Jaccard >= least of sets of hashes, by products of slices of their incidence matrix of at most ``cells`` cells."""
     size = np.array([len(m) for m in members])
-    flat = np.concatenate(members)
-    _, column = np.unique(flat, return_inverse=True)
-    held = np.zeros((len(members), int(column.max()) + 1), np.float32)
-    held[np.repeat(np.arange(len(members)), size), column] = 1
-    common = held @ held.T
+    row = np.repeat(np.arange(len(members)), size)
+    _, column, count = np.unique(np.concatenate(members), return_inverse=True, return_counts=True)
+    shared = count[column] > 1
+    row, column = row[shared], np.unique(column[shared], return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common = np.zeros((len(members), len(members)), np.float64)
+    step = max(1, cells // max(1, len(members)))
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, step):
+        a, z = np.searchsorted(column, [low, low + step])
+        held = np.zeros((len(members), min(step, int(column[z - 1]) - low + 1)), np.float32)
+        held[row[a:z], column[a:z] - low] = 1
+        common += held @ held.T
+    np.fill_diagonal(common, size)
     return common >= least * (size[:, None] + size[None, :] - common) - 1e-6
 
 
-def _edges(members: DataFrame, sets: DataFrame, block: int) -> DataFrame:
-    """Edges (a, b) that span the verified links of each bucket; large buckets are compared in blocks."""
-    chunks = F.ceil(F.col("n") / block)
+def _buckets(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct paragraphs by band key, and of the keys that more than one has: how many, their words, the least and the greatest."""
+    entries = nodes.select("node", "words", F.explode(F.array(*_KEYS)).alias("key"))
+    some = entries.groupBy("key").agg(F.count("*").alias("n"), F.sum("words").alias("total"), F.min("node").alias("a"), F.max("node").alias("b"))
+    return entries, saved(some.filter("n > 1"), "buckets")
+
+
+def _verified_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose shingle sets are similar."""
+    of = lambda k: sets.select(F.col("node").alias(k), F.col("sh").alias(f"sh_{k}"))
+    held = pairs.join(of("a"), "a").join(of("b"), "b")
+    common = F.size(F.array_intersect("sh_a", "sh_b"))
+    return held.filter(common >= LEAST * (F.size("sh_a") + F.size("sh_b") - common) - 1e-6).select("a", "b")
+
+
+def _edges(members: DataFrame, sets: DataFrame, block: int, block_words: int) -> DataFrame:
+    """Edges (a, b) that span the verified links of each large bucket, compared in blocks of so many members, or words."""
+    chunks = F.ceil(F.greatest(F.col("n") / block, F.col("total") / block_words))
     rows = members.withColumn("chunk", F.pmod(F.xxhash64("node"), chunks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
     rows = rows.select("key", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "node").join(sets, "node")
     keys = ["key", "lo", "hi"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in grouped(batches, keys, least=2):
-            sets_here = [np.frombuffer(x, np.uint64) for x in chain.from_iterable(c.to_pylist() for c in group["sh"].chunks)]
-            yield stars(group["node"].to_numpy(), similar(sets_here, LEAST))
+            yield stars(group["node"].to_numpy(), similar(_members_of(group["sh"].combine_chunks()), LEAST))
 
     return rows.select(*keys, "node", "sh").repartition(*keys).sortWithinPartitions(*keys, "node").mapInArrow(run, "a long, b long")
 
 
-def _windows(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    kind = df.schema[doc_id].dataType.simpleString()
+def _members_of(lists: pa.ListArray) -> list[np.ndarray]:
+    ends = lists.offsets.to_numpy()
+    flat = lists.flatten().to_numpy()
+    return [flat[a - ends[0] : z - ends[0]] for a, z in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def _flat(lists: pa.ListArray) -> tuple[pa.StructArray, np.ndarray]:
+    """All elements of the lists, and the list that each is in."""
+    lists = lists.fill_null([]) if lists.null_count else lists
+    return lists.flatten(), np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                few = batch.slice(start, 500)
-                found = [windows(t.as_py() or "") for t in few.column(2)]
-                row = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
-                *places, own = (np.concatenate([f[k] for f in found]) for k in range(5))
-                yield pa.RecordBatch.from_arrays(
-                    [few.column(0).take(row), few.column(1).take(row), *(pa.array(x.astype(np.int32)) for x in places), pa.array(own.astype(np.int64))],
-                    names=["doc_id", "text_key", "at", "paragraph", "start", "stop", "node"],
-                )
 
-    rows = df.select(*document_key(col(df, doc_id), col(df, text)), col(df, text).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, text_key long, at int, paragraph int, start int, stop int, node long")
+def _numbers(rows: pa.StructArray, *names: str) -> list[np.ndarray]:
+    return [rows.field(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in names]
 
 
-def joined(spans: list[dict]) -> list[dict]:
-    """Passages of one text: its windows (with ``first``) joined where they copy one place, without its paragraphs (no ``first``).
+def joined(known: pa.ListArray, found: pa.ListArray) -> tuple[np.ndarray, ...]:
+    """Passages of many texts: windows joined where they copy one place, without the paragraphs ``known``.
 
-    No two overlap; words shared by two windows that copy different places go to the later one.
+    Of each: its text, first word, end, first character, end, paragraph, the greatest count of its
+    windows, which window (of all in the lists) it begins with, and the words of the run of
+    neighbouring paragraphs and passages it lies in. No two of a text overlap; words shared by two windows
+    that copy different places go to the later one.
     """
-    known = sorted((s for s in spans if s["first"] is None), key=lambda s: s["at"])
-    found: list[dict] = []
-    for w in sorted((s for s in spans if s["first"] is not None), key=lambda s: s["at"]):
-        label = (w["first"]["doc_id"], w["first"]["text_key"], w["first"]["at"] - w["at"])
-        last = found[-1] if found else None
-        if last and last["label"] == label and w["at"] <= last["end"]:
-            last |= {"end": w["end"], "stop": w["stop"], "n": max(last["n"], w["n"])}
-            continue
-        if last and w["at"] < last["end"]:
-            last |= {"end": w["at"], "stop": w["start"]}
-        found.append(w | {"label": label})
-    rest, k = [], 0
-    for f in found:
-        while k < len(known) and known[k]["end"] <= f["at"]:
-            k += 1
-        here, j = f, k
-        while j < len(known) and known[j]["at"] < f["end"]:
-            p = known[j]
-            if here["at"] < p["at"]:
-                rest.append(here | {"end": p["at"], "stop": p["start"]})
-            here = here | {"at": p["end"], "start": p["stop"], "paragraph": p["paragraph"] + 1}
-            j += 1
-        if here["at"] < here["end"]:
-            rest.append(here)
-    every = sorted([*known, *rest], key=lambda s: s["at"])
-    for a, run in enumerate(every):
-        run["from"] = every[a - 1]["from"] if a and every[a - 1]["end"] == run["at"] else run["at"]
-    for a in range(len(every) - 1, -1, -1):
-        linked = a + 1 < len(every) and every[a + 1]["from"] == every[a]["from"]
-        every[a]["to"] = every[a + 1]["to"] if linked else every[a]["end"]
-    return rest
-
-
-def _passages(df: DataFrame, doc_id: str, text: str, hits: DataFrame) -> DataFrame:
+    (spans, of), (wins, text) = _flat(known), _flat(found)
+    k_at, k_end, k_start, k_stop, k_paragraph = _numbers(spans, "at", "end", "start", "stop", "paragraph")
+    at, end, start, stop, paragraph, n = _numbers(wins, "at", "end", "start", "stop", "paragraph", "n")
+    from_key, from_at = _numbers(wins.field("first"), "text_key", "at")
+    from_id = wins.field("first").field("doc_id").dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+    order = np.lexsort([at, text])
+    label = np.stack([text, from_id, from_key, from_at - at])[:, order]
+    new = np.concatenate([[True], (label[:, 1:] != label[:, :-1]).any(axis=0) | (np.diff(at[order]) > PASSAGE)])[: len(order)]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(order))[: len(first)] - 1
+    head, tail = order[first], order[last]
+    most = np.maximum.reduceat(n[order], first) if len(first) else n
+    s_text, s_at, s_end, s_start, s_stop = text[head], at[head], end[tail], start[head], stop[tail]
+    follows = np.flatnonzero((s_text[1:] == s_text[:-1]) & (s_at[1:] < s_end[:-1]))
+    s_end[follows], s_stop[follows] = s_at[follows + 1], s_start[follows + 1]
+
+    order = np.lexsort([k_at, of])
+    of, k_at, k_end, k_start, k_stop, k_paragraph = (x[order] for x in (of, k_at, k_end, k_start, k_stop, k_paragraph))
+    wide = int(max(s_end.max(initial=0), k_end.max(initial=0))) + 1
+    low = np.searchsorted(of * wide + k_end, s_text * wide + s_at, "right")
+    high = np.maximum(low, np.searchsorted(of * wide + k_at, s_text * wide + s_end, "left"))
+    gaps = high - low + 1  # a passage is cut by the paragraphs in it
+    which = np.repeat(np.arange(len(gaps)), gaps)
+    gap = np.arange(len(which)) - np.repeat(np.cumsum(gaps) - gaps, gaps)
+    before, after = low[which] + gap - 1, low[which] + gap
+    opens, closes = gap == 0, gap == gaps[which] - 1
+    pick = lambda own, other, flag, k: np.where(flag, own[which], other[np.clip(k, 0, max(0, len(other) - 1))] if len(other) else own[which])
+    p_at, p_start = pick(s_at, k_end, opens, before), pick(s_start, k_stop, opens, before)
+    p_end, p_stop = pick(s_end, k_at, closes, after), pick(s_stop, k_start, closes, after)
+    p_paragraph = pick(paragraph[head], k_paragraph + 1, opens, before)
+    kept = np.flatnonzero(p_at < p_end)
+    which, p_at, p_end, p_start, p_stop, p_paragraph = (x[kept] for x in (which, p_at, p_end, p_start, p_stop, p_paragraph))
+    p_text = s_text[which]
+
+    every, begins, stops = np.concatenate([p_text, of]), np.concatenate([p_at, k_at]), np.concatenate([p_end, k_end])
+    order = np.lexsort([begins, every])
+    every, begins, stops = every[order], begins[order], stops[order]
+    new = np.concatenate([[True], (every[1:] != every[:-1]) | (begins[1:] != stops[:-1])])[: len(order)]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(order))[: len(first)] - 1
+    run = np.empty(len(order), np.int64)
+    run[order] = (stops[last] - begins[first])[np.cumsum(new) - 1]
+    return p_text, p_at, p_end, p_start, p_stop, p_paragraph, most[which], head[which], run[: len(p_text)]
+
+
+def _passages(digests: DataFrame, kind: str, hits: DataFrame, broadcast_rows: int) -> DataFrame:
     """Rows like those of repeated(): what repeats word for word outside the paragraphs ``hits``."""
-    kind = df.schema[doc_id].dataType.simpleString()
-    place = f"struct<set:boolean,doc_id:{kind},text_key:bigint,at:int,paragraph:int>"
-    rows = saved(_windows(df, doc_id, text), "windows")
-    many = rows.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1")
-    many = saved(rows.join(many, "node"), "equal-windows")
+    counts = digests.select(F.explode("w_node").alias("w_node")).groupBy("w_node").agg(F.count("*").alias("n")).filter("n > 1")
+    many = saved(_within(_listed(digests, _WINDOW), saved(counts, "equal-hashes"), "w_node", broadcast_rows), "equal-windows")
+    many = many.select("doc_id", "text_key", "n", *[F.col(w).alias(w[2:]) for w in _WINDOW])
     spot = F.struct(F.col("doc_id").isNotNull().alias("set"), "doc_id", "text_key", "at", "paragraph")
     firsts = many.groupBy("node").agg(F.min(spot).alias("first"), F.max(spot).alias("last"), (F.max("at") - F.min("at")).alias("apart"))
     same = F.col("first.doc_id").eqNullSafe(F.col("last.doc_id")) & (F.col("first.text_key") == F.col("last.text_key"))
     firsts = firsts.filter(~same | (F.col("apart") >= PASSAGE)).select("node", "first")  # not merely with itself
-    key, fields = ["doc_id", "text_key"], ["at", "end", "start", "stop", "paragraph", "n", "first"]
-    found = many.join(firsts, "node").withColumn("end", F.col("at") + PASSAGE).select(*key, F.struct(*fields).alias("span"))
-    known = hits.select(
-        *key, F.struct("at", (F.col("at") + F.col("words")).alias("end"), "start", (F.col("start") + F.col("length")).alias("stop"), "paragraph",
-                       F.lit(0).cast("long").alias("n"), F.lit(None).cast(place).alias("first")).alias("span"),
-    )
-    # One text's spans; equal rows of a document count as copies.
-    spans = found.unionByName(known).groupBy(*key).agg(F.collect_set("span").alias("spans"), F.count("*").alias("rows"))
-    spans = spans.filter(F.exists("spans", lambda s: s["first"].isNotNull()))
+    key = ["doc_id", "text_key"]
+    window = F.struct("at", (F.col("at") + PASSAGE).alias("end"), "start", "stop", "paragraph", "n", "first")
+    paragraph = F.struct("at", (F.col("at") + F.col("words")).alias("end"), "start", (F.col("start") + F.col("length")).alias("stop"), "paragraph")
+    # One text's windows and paragraphs; equal rows of a document count as copies.
+    found = many.join(firsts, "node").groupBy(*key).agg(F.collect_set(window).alias("found"), F.count("*").alias("rows"))
+    known = hits.groupBy(*key).agg(F.collect_set(paragraph).alias("known")).select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "known")
+    spans = found.join(known, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")), "left").select(*key, "known", "found", "rows")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, row = [], []
-            for i, (here, rows) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-                for f in joined(here):
-                    copies = rows // len(here)
-                    out += [f] * copies
-                    row += [i] * copies
-            few = batch.select(key).take(pa.array(row, pa.int64()))
-            whole = lambda values, width=pa.int32(): pa.array(list(values), width)
+            text, at, end, start, stop, paragraph, n, window, run_words = joined(batch.column(2), batch.column(3))
+            wins, of = _flat(batch.column(3))
+            copies = batch.column(4).to_numpy() // np.maximum(1, np.bincount(of, minlength=batch.num_rows))
+            again = np.repeat(np.arange(len(text)), copies[text])  # equal rows of a document
+            few, begun = batch.select(key).take(pa.array(text[again])), wins.take(pa.array(window[again]))
+            first = begun.field("first")
+            shift = _numbers(first, "at")[0] - _numbers(begun, "at")[0]
+            columns = [pa.array(x[again].astype(np.int32)) for x in (paragraph, start, stop - start, end - at)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    *few.columns, whole(f["paragraph"] for f in out), whole(f["start"] for f in out), whole(f["stop"] - f["start"] for f in out),
-                    whole(f["end"] - f["at"] for f in out), whole((f["n"] for f in out), pa.int64()),
-                    pa.array([f["first"]["doc_id"] for f in out], few.column(0).type), whole(f["first"]["paragraph"] for f in out),
-                    whole((f["first"]["text_key"] for f in out), pa.int64()), whole((f["label"][2] for f in out), pa.int64()),
-                    whole((f["to"] - f["from"] for f in out), pa.int64()),
+                    *few.columns, *columns, pa.array(n[again]), first.field("doc_id"), first.field("paragraph"), first.field("text_key"),
+                    pa.array(shift), pa.array(run_words[again]),
                 ],
                 names=[*key, "paragraph", "start", "length", "words", "cluster_size", "keep_doc_id", "keep_paragraph", "keep_key", "shift", "run_words"],
             )
@@ -313,7 +389,7 @@ def _passages(df: DataFrame, doc_id: str, text: str, hits: DataFrame) -> DataFra
     return made.withColumn("removed", ~kept).drop("keep_key", "shift")
 
 
-def repeated(df: DataFrame, doc_id: str = "doc_id", text: str = "text", block: int = 512, broadcast_rows: int = 500_000) -> DataFrame:
+def repeated(df: DataFrame, doc_id: str = "doc_id", text: str = "text", block: int = 512, broadcast_rows: int = 500_000, block_words: int = 1_000_000) -> DataFrame:
     """The repeated paragraphs, one row each occurrence, kept and removed ones.
 
     Columns: doc_id, text_key, paragraph (its number in the document), start and length in
@@ -329,18 +405,22 @@ def repeated(df: DataFrame, doc_id: str = "doc_id", text: str = "text", block: i
     paragraph it begins in, its own start, length and words (it may end in a blank), and a run
     with the paragraphs beside it. Rows of one text never overlap.
     """
-    rows = saved(_signed(df, doc_id, text), "paragraphs")
-    nodes = saved(rows.groupBy("node", *_KEYS).agg(F.count("*").alias("n")), "distinct")
-    members = saved(_members(nodes.drop("n")), "members")
-    wanted = members.select("node").distinct()
+    digests = saved(_digests(df, doc_id, text), "digests")
+    rows = _listed(digests, ["at", "start", "length", "words", "node"], "paragraph")
+    nodes = saved(_listed(digests, ["node", "words", *_KEYS]).groupBy("node", "words", *_KEYS).agg(F.count("*").alias("n")), "distinct")
+    entries, buckets = _buckets(nodes)
+    pairs = saved(buckets.filter("n = 2").select("a", "b").distinct(), "pairs")
+    members = saved(_within(entries.select("key", "node"), buckets.filter("n > 2").select("key", "n", "total"), "key", broadcast_rows), "members")
+    wanted = members.select("node").union(pairs.select("a")).union(pairs.select("b")).distinct()
     at = F.struct("doc_id", "text_key", "start", "length")
-    places = rows.join(wanted, "node").groupBy("node").agg(F.min(at).alias("at"))
+    places = _within(rows, saved(wanted, "wanted"), "node", broadcast_rows).groupBy("node").agg(F.min(at).alias("at"))
     sets = _shingle_sets(df, places, doc_id, text, broadcast_rows)
-    roots = components(_edges(members, sets, block)).select("node", "root")
+    links = _verified_pairs(pairs, sets).unionByName(_edges(members, sets, block, block_words))
+    roots = components(links).select("node", "root")
     classes = nodes.select("node", "n").join(roots, "node", "left").select("node", "n", F.coalesce("root", "node").alias("root"))
     sizes = classes.groupBy("root").agg(F.sum("n").alias("cluster_size")).filter("cluster_size > 1")
     many = saved(classes.join(sizes, "root").select("node", "root", "cluster_size"), "clusters")
-    hits = saved(rows.drop(*_KEYS).join(many, "node"), "occurrences")
+    hits = saved(_within(rows, many, "node", broadcast_rows), "occurrences")
 
     first = hits.groupBy("root").agg(F.min(F.struct(hits.doc_id.isNotNull().alias("set"), "doc_id", "text_key", "paragraph")).alias("first"))
     document = ["doc_id", "text_key"]
@@ -354,17 +434,19 @@ def repeated(df: DataFrame, doc_id: str = "doc_id", text: str = "text", block: i
         "doc_id", "text_key", "paragraph", "start", "length", "words", "cluster_size",
         F.col("first.doc_id").alias("keep_doc_id"), F.col("first.paragraph").alias("keep_paragraph"), (~kept).alias("removed"), "run_words",
     )
-    return found.unionByName(_passages(df, doc_id, text, hits))
+    kind = df.schema[doc_id].dataType.simpleString()
+    return found.unionByName(_passages(digests, kind, hits, broadcast_rows))
 
 
 def without_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", run_words: int = PASSAGE) -> DataFrame:
     """``df`` with the removed paragraphs and passages in runs of ``run_words`` or more cut out of its texts; all rows and other columns stay."""
     gone = repeated(df, doc_id, text).filter(F.col("removed") & (F.col("run_words") >= run_words)).groupBy("doc_id", "text_key")
-    spans = gone.agg(F.sort_array(F.collect_set(F.struct("start", "length")), asc=False).alias("_spans"))
-    spans = spans.select(F.col("doc_id").alias("_at_id"), F.col("text_key").alias("_at_key"), "_spans")
-    joined = df.join(spans, col(df, doc_id).eqNullSafe(F.col("_at_id")) & (F.xxhash64(col(df, text)) == F.col("_at_key")), "left")
+    spots, at_id, at_key = (free_name(df, n) for n in ("_spans", "_at_id", "_at_key"))
+    spans = gone.agg(F.sort_array(F.collect_set(F.struct("start", "length")), asc=False).alias(spots))
+    spans = spans.withColumnsRenamed({"doc_id": at_id, "text_key": at_key})
+    joined = df.join(spans, col(df, doc_id).eqNullSafe(F.col(at_id)) & (F.xxhash64(col(df, text)) == F.col(at_key)), "left")
     name = "`" + text.replace("`", "``") + "`"
     short = F.expr(
-        f"coalesce(aggregate(_spans, {name}, (t, s) -> concat(substring(t, 1, s.start), substring(t, s.start + s.length + 1))), {name})"
+        f"coalesce(aggregate({spots}, {name}, (t, s) -> concat(substring(t, 1, s.start), substring(t, s.start + s.length + 1))), {name})"
     )
-    return joined.withColumn(text, short).drop("_at_id", "_at_key", "_spans")
+    return joined.withColumn(text, short).drop(at_id, at_key, spots)
