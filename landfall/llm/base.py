@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,16 @@ def saved(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_memories: dict[str, Callable[[], None]] = {}
+
+
+def remember(kind: str, forget: Callable[[], None]) -> None:
+    """A task of this kind begins in this Python worker: what tasks of other kinds have left in memory goes."""
+    for other in [k for k in _memories if k != kind]:
+        _memories.pop(other)()
+    _memories[kind] = forget
+
+
 def free_name(df: DataFrame, wish: str) -> str:
     """``wish``, made longer until ``df`` has no such column (names are compared as Spark does)."""
     taken = {c.lower() for c in df.columns}

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.base import col
+from landfall.llm.base import col, remember
 
 #: Sparse features: sorted indexes below the model's size, and their values.
 Sparse = tuple[np.ndarray, np.ndarray]
@@ -117,18 +117,16 @@ def dense(model: Sparse, size: int) -> np.ndarray:
 
 
 def scorer(features: Callable[[str], Sparse], weights: np.ndarray, forget: Callable[[], None]) -> Callable[[Column], Column]:
-    """A column function: text to score between 0 and 1; null scores as the empty text. ``forget`` is called when a task ends."""
+    """A column function: text to score between 0 and 1; null scores as the empty text. ``forget`` drops what ``features`` remembers."""
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        try:
-            for texts in batches:
-                out = np.empty(len(texts))
-                for i, t in enumerate(texts):
-                    at, value = features(t or "")
-                    out[i] = sigmoid(float(weights[at] @ value))
-                yield pd.Series(out)
-        finally:
-            forget()
+        remember(features.__qualname__, forget)
+        for texts in batches:
+            out = np.empty(len(texts))
+            for i, t in enumerate(texts):
+                at, value = features(t or "")
+                out[i] = sigmoid(float(weights[at] @ value))
+            yield pd.Series(out)
 
     return score

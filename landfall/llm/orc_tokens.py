@@ -41,19 +41,19 @@ def write_tokens(df: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, done = TaskContext.get().partitionId(), 0
-        with encoding(tokenizer) as enc:
-            for batch in batches:
-                for at in range(0, batch.num_rows, 256):
-                    few = batch.slice(at, 256)
-                    ids = [np.append(np.frombuffer(enc.ids(t.as_py()), enc.dtype).astype(np.int32), np.int32(end_id)) for t in few.column(1)]
-                    n = np.array([len(i) for i in ids], np.int64)
-                    ends = np.cumsum(n)
-                    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(np.concatenate(ids)))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(n), part, np.int32)), few.column(0), pa.array(done + ends - n), pa.array(n), lists],
-                        names=["part", "doc_id", "start_in_part", "n_tokens", "token_ids"],
-                    )
-                    done += int(ends[-1])
+        enc = encoding(tokenizer)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                few = batch.slice(at, 256)
+                ids = [np.append(np.frombuffer(enc.ids(t.as_py()), enc.dtype).astype(np.int32), np.int32(end_id)) for t in few.column(1)]
+                n = np.array([len(i) for i in ids], np.int64)
+                ends = np.cumsum(n)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(np.concatenate(ids)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(n), part, np.int32)), few.column(0), pa.array(done + ends - n), pa.array(n), lists],
+                    names=["part", "doc_id", "start_in_part", "n_tokens", "token_ids"],
+                )
+                done += int(ends[-1])
 
     rows = df.select(col(df, doc_id).cast("long").alias("doc_id"), col(df, text).alias("text"))
     keys = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]

@@ -13,16 +13,18 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 from functools import cache
 from unicodedata import is_normalized
 
 import numpy as np
 
-#: Words and pieces remembered in a task, by dictionary and generation (two dictionaries of two generations,
-#: some 170 bytes an entry), and the longest of them.
-KEPT, LONGEST = 200_000, 64
+from landfall.llm.base import remember
+
+#: Words and pieces a worker remembers, by dictionary and generation (two dictionaries of two generations,
+#: some 150 bytes an entry), and the longest of them.
+KEPT, LONGEST = 250_000, 64
+_MARKS = frozenset(".,;:!?")
 _FINE = re.compile(r"[\t-\r ]*[^\w\t-\r ]*\w+|[\t-\r ]*[^\w\t-\r ]+|[\t-\r ]+")
 _COARSE = re.compile(r"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
 _ODD = re.compile("[\x00-\x08\x0e-\x1f\x7f-\xa0\xad\u0130\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]")
@@ -37,7 +39,7 @@ class _Uncertain(Exception):
 class _Words(dict):
     """Ids by word, with ``before`` in front of each; worked out when first met.
 
-    What has not been met for long is forgotten a generation at a time, and all at the end of a task.
+    What has not been met for long is forgotten a generation at a time.
     """
 
     def __init__(self, before: str, work_out: Callable[[str, str], bytes]) -> None:
@@ -113,6 +115,8 @@ class Encoder:
     def _work_out(self, before: str, word: str) -> bytes:
         if word.isalpha() and self.by_model and (word.isascii() or is_normalized("NFC", word) and "Σ" not in word and "\u0130" not in word):
             return self._by_model(before, word)
+        if word[-1] in _MARKS and word[:-1].isalpha() and (word.isascii() or is_normalized("NFC", word)):
+            return (self.words if before else self.heads)[word[:-1]] + self.heads[word[-1]]
         if _ODD.search(word):
             raise _Uncertain
         if "_" in word or not (word.isascii() or is_normalized("NFC", word)):
@@ -129,12 +133,13 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-@contextmanager
-def encoding(path: str) -> Iterator[Encoder]:
-    """The encoder for the time of a task: a worker lives on after it, the words remembered don't."""
+def forget(path: str) -> None:
     enc = encoder(path)
-    try:
-        yield enc
-    finally:
-        enc.words.forget()
-        enc.heads.forget()
+    enc.words.forget()
+    enc.heads.forget()
+
+
+def encoding(path: str) -> Encoder:
+    """The encoder, for a task: words it meets are remembered until a task of another kind begins in the worker."""
+    remember(f"tokens {path}", lambda: forget(path))
+    return encoder(path)
