@@ -248,13 +248,6 @@ def similar(members: list[np.ndarray], least: float, cells: int = 1 << 22) -> np
     return common >= least * (size[:, None] + size[None, :] - common) - 1e-6
 
 
-def _buckets(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Distinct paragraphs by band key, and of the keys that more than one has: how many, their words, the least and the greatest."""
-    entries = nodes.select("node", "words", F.explode(F.array(*_KEYS)).alias("key"))
-    some = entries.groupBy("key").agg(F.count("*").alias("n"), F.sum("words").alias("total"), F.min("node").alias("a"), F.max("node").alias("b"))
-    return entries, saved(some.filter("n > 1"), "buckets")
-
-
 def _verified_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose shingle sets are similar."""
     of = lambda k: sets.select(F.col("node").alias(k), F.col("sh").alias(f"sh_{k}"))
@@ -349,7 +342,7 @@ def joined(known: pa.ListArray, found: pa.ListArray) -> tuple[np.ndarray, ...]:
 def _passages(digests: DataFrame, kind: str, hits: DataFrame, broadcast_rows: int) -> DataFrame:
     """Rows like those of repeated(): what repeats word for word outside the paragraphs ``hits``."""
     counts = digests.select(F.explode("w_node").alias("w_node")).groupBy("w_node").agg(F.count("*").alias("n")).filter("n > 1")
-    many = saved(_within(_listed(digests, _WINDOW), saved(counts, "equal-hashes"), "w_node", broadcast_rows), "equal-windows")
+    many = _within(_listed(digests, _WINDOW), saved(counts, "equal-hashes"), "w_node", broadcast_rows)
     many = many.select("doc_id", "text_key", "n", *[F.col(w).alias(w[2:]) for w in _WINDOW])
     spot = F.struct(F.col("doc_id").isNotNull().alias("set"), "doc_id", "text_key", "at", "paragraph")
     firsts = many.groupBy("node").agg(F.min(spot).alias("first"), F.max(spot).alias("last"), (F.max("at") - F.min("at")).alias("apart"))
@@ -405,13 +398,17 @@ def repeated(df: DataFrame, doc_id: str = "doc_id", text: str = "text", block: i
     paragraph it begins in, its own start, length and words (it may end in a blank), and a run
     with the paragraphs beside it. Rows of one text never overlap.
     """
-    digests = saved(_digests(df, doc_id, text), "digests")
+    digests = saved(_digests(df, doc_id, text), "digests", compression="zstd")
     rows = _listed(digests, ["at", "start", "length", "words", "node"], "paragraph")
-    nodes = saved(_listed(digests, ["node", "words", *_KEYS]).groupBy("node", "words", *_KEYS).agg(F.count("*").alias("n")), "distinct")
-    entries, buckets = _buckets(nodes)
+    nodes = digests.select(F.explode("node").alias("node")).groupBy("node").agg(F.count("*").alias("n"))
+    entries = digests.select(F.inline(F.arrays_zip("node", "words", *_KEYS))).select("node", "words", F.explode(F.array(*_KEYS)).alias("key"))
+    shared = saved(entries.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("key"), "shared-keys")
+    members = saved(_within(entries, shared, "key", broadcast_rows).distinct(), "members")
+    sizes = [F.count("*").alias("n"), F.sum("words").alias("total"), F.min("node").alias("a"), F.max("node").alias("b")]
+    buckets = saved(members.groupBy("key").agg(*sizes), "buckets")
     pairs = saved(buckets.filter("n = 2").select("a", "b").distinct(), "pairs")
-    members = saved(_within(entries.select("key", "node"), buckets.filter("n > 2").select("key", "n", "total"), "key", broadcast_rows), "members")
-    wanted = members.select("node").union(pairs.select("a")).union(pairs.select("b")).distinct()
+    wanted = members.select("node").distinct()
+    members = _within(members.select("key", "node"), saved(buckets.filter("n > 2").select("key", "n", "total"), "large-buckets"), "key", broadcast_rows)
     at = F.struct("doc_id", "text_key", "start", "length")
     places = _within(rows, saved(wanted, "wanted"), "node", broadcast_rows).groupBy("node").agg(F.min(at).alias("at"))
     sets = _shingle_sets(df, places, doc_id, text, broadcast_rows)
