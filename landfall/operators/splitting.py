@@ -17,9 +17,9 @@ from landfall.sources.delimited import drop_header, header_start
 from landfall.sources.feed import is_whole_document, separator_of
 from landfall.sources.json_arrays import json_arrays
 from landfall.sources.json_records import json_chunks, json_lines
+from landfall.sources.markup import xml_elements
 from landfall.sources.quoted import quoted_records
 from landfall.sources.scan import file_sizes, scan_text
-from landfall.sources.xml_rows import chunk_separator, holds_row, mark_closed, row_fragments
 
 # Sizes that apply when the caller states none. On a cluster,
 # state a target near the block size of the storage instead.
@@ -100,9 +100,7 @@ def _source_rows(session: SparkSession, path, contract: Contract, target_kb: int
         rows = records.selectExpr("coalesce(value, _document) AS value").selectExpr(f"{one_line} AS value")
         return rows.repartition(int(n))
     if contract.format == "XML":
-        chunks = scan_text(session, path, line_sep=separator_of(contract), extent=True)
-        marked = mark_closed(chunks, contract.row_tag).select("value", "_closed")
-        return row_fragments(marked, contract.row_tag, keep_unclosed=True)
+        return xml_elements(session, path, contract.row_tag, not contract.policy.reject_missing).select("value")
     if contract.format == "CSV" and contract.quote:
         return drop_header(quoted_records(session, path, contract.delimiter, contract.quote).select("value"), contract)
     lines = scan_text(session, path, line_sep=separator_of(contract)).select("value")
@@ -144,15 +142,15 @@ def part_manifest(spark: SparkSession, out_dir: str, contract: Contract) -> Data
     """Path, rows and bytes of each part, counted where the parts are read."""
     reader = spark.read
     is_row = "true"
-    if contract.format == "CSV" and contract.quote:
+    if contract.format == "XML" or contract.quote:
         sizes = file_sizes(spark, out_dir).select(F.col("path").alias("part"), F.col("length").alias("bytes"))
-        records = drop_header(quoted_records(spark, out_dir, contract.delimiter, contract.quote), contract)
+        if contract.quote:
+            records = drop_header(quoted_records(spark, out_dir, contract.delimiter, contract.quote), contract)
+        else:
+            records = xml_elements(spark, out_dir, contract.row_tag, not contract.policy.reject_missing)
         counts = records.groupBy(F.col("_source_file").alias("part")).agg(F.count("*").alias("rows"))
         return sizes.join(counts, "part", "left").na.fill(0, ["rows"])
-    if contract.format == "XML":
-        reader = reader.option("lineSep", chunk_separator(contract.row_tag))
-        is_row = holds_row(contract.row_tag)
-    elif contract.format == "CSV" and contract.has_header:
+    if contract.format == "CSV" and contract.has_header:
         is_row = f"NOT startswith(value, {header_start(contract)})"
     return (
         reader.text(out_dir)

@@ -13,18 +13,12 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator, Sequence
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.window import Window
 
 from landfall.functions.sql import lit
-from landfall.sources.scan import scan_text
-
-#: What becomes of a split in a file that ends inside quotes: nothing, its last record begins what never closes, all of it lies behind that.
-SOUND, TORN, BEHIND = 0, 1, 2
-_RECORD = "_source_file string, _source_ts timestamp, _block long, kind string, value string"
+from landfall.sources.edges import BEHIND, FULL, HEAD, SOUND, TAIL, TORN, WHOLE, Split, place_of, records, scan_splits, stretches
 
 
 def quote_states(delimiter: str, quote: str) -> tuple[Callable[[str], bool], Callable[[str], bool]]:
@@ -41,13 +35,6 @@ def quote_states(delimiter: str, quote: str) -> tuple[Callable[[str], bool], Cal
     return (lambda line: outside.match(line) is not None), (lambda line: inside.match(line) is not None)
 
 
-def stretches(batch: pa.RecordBatch, file: str = "_file", block: str = "_block") -> Iterator[pa.RecordBatch]:
-    """The parts of a batch that come from one file split each."""
-    files, blocks = batch.column(file).to_numpy(), batch.column(block).to_numpy()
-    edges = [0, *(np.flatnonzero((files[1:] != files[:-1]) | (blocks[1:] != blocks[:-1])) + 1).tolist(), batch.num_rows]
-    return (batch.slice(a, b - a) for a, b in zip(edges, edges[1:]) if b > a)
-
-
 def _summed(delimiter: str, quote: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A row for each stretch of a split: where it leads from either state, and whether it stays inside quotes if it begins there."""
 
@@ -61,7 +48,7 @@ def _summed(delimiter: str, quote: str) -> Callable[[Iterator[pa.RecordBatch]],
                     out = inside(line) if out else outside(line)
                     within = inside(line) if within else outside(line)
                     stays = stays and within
-                rows.append((part.column("_file")[0].as_py(), part.column("_block")[0].as_py(), part.column("id")[0].as_py(), out, within, stays))
+                rows.append((*place_of(part), part.column("id")[0].as_py(), out, within, stays))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["file", "block", "id", "out", "within", "stays"])
 
@@ -89,27 +76,22 @@ def _starts(lines: DataFrame, delimiter: str, quote: str) -> DataFrame:
     return told.groupBy("file").applyInPandas(_folded, "_file long, _block long, inside boolean, fate int")
 
 
-class _Split:
+class _Lines(Split):
     """Puts the lines of one file split together to records."""
 
-    def __init__(self, part: pa.RecordBatch, outside: Callable[[str], bool], inside: Callable[[str], bool], quote: str) -> None:
-        self.key = part.column("_file")[0], part.column("_block")[0]
-        self.origin = [part.column(n)[0].as_py() for n in ("_source_file", "_source_ts", "_block")]
+    def __init__(self, part: pa.RecordBatch, delimiter: str, quote: str) -> None:
+        super().__init__(part)
         self.open = self.began_inside = part.column("inside")[0].as_py()
-        self.fate, self.ended, self.text = part.column("fate")[0].as_py(), False, []
-        self.outside, self.inside, self.quote = outside, inside, quote
-
-    def is_next(self, part: pa.RecordBatch) -> bool:
-        return self.key == (part.column("_file")[0], part.column("_block")[0])
+        self.fate, self.text, self.quote = part.column("fate")[0].as_py(), [], quote
+        self.outside, self.inside = quote_states(delimiter, quote)
 
-    def plain(self, part: pa.RecordBatch) -> pa.RecordBatch | None:
-        """The lines as they are, if none of them begins or ends inside quotes."""
+    def unchanged(self, part: pa.RecordBatch) -> bool:
         if self.fate == BEHIND:
-            return part
+            return True
         if self.open or any(self.outside(v) for v in part.column("value").to_pylist() if self.quote in v):
-            return None
+            return False
         self.ended = True
-        return part
+        return True
 
     def add(self, part: pa.RecordBatch) -> Iterator[tuple]:
         for line in part.column("value").to_pylist():
@@ -117,66 +99,22 @@ class _Split:
                 self.open = self.inside(line) if self.open else self.outside(line)
             self.text.append(line)
             if not self.open:
-                yield self._piece("head" if self.began_inside and not self.ended else "full")
-                self.ended = True
-
-    def _piece(self, kind: str) -> tuple:
-        made = (*self.origin, kind, "\n".join(self.text))
-        self.text = []
-        return made
+                yield self.piece(HEAD if self.began_inside and not self.ended else FULL, "\n".join(self.text))
+                self.text, self.ended = [], True
 
     def close(self) -> Iterator[tuple]:
-        if self.text and self.fate == TORN and (self.ended or not self.began_inside):
-            yield from ((*self.origin, "full", line) for line in self.text)
+        begun_here = self.ended or not self.began_inside
+        if self.text and self.fate == TORN and begun_here:
+            yield from (self.piece(FULL, line) for line in self.text)
         elif self.text:
-            yield self._piece("tail" if self.ended or not self.began_inside else "whole")
-
-
-def _assembled(delimiter: str, quote: str, full: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The whole records of a partition, or what is left at the edges of its splits."""
-    names = ["_source_file", "_source_ts", "_block", "kind", "value"]
-    kinds = [pa.string(), pa.timestamp("us", "UTC"), pa.int64(), pa.string(), pa.string()]
-
-    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        rows = [r for r in rows if (r[3] == "full") == full]
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        outside, inside = quote_states(delimiter, quote)
-        split = None
-        for batch in batches:
-            for part in stretches(batch):
-                if split is None or not split.is_next(part):
-                    if split:
-                        yield batch_of(list(split.close()))
-                    split = _Split(part, outside, inside, quote)
-                if (plain := split.plain(part)) is None:
-                    yield batch_of(list(split.add(part)))
-                elif full:
-                    kind = pa.array(["full"]).take(pa.array(np.zeros(plain.num_rows, np.int32)))
-                    yield pa.RecordBatch.from_arrays([plain.column("_source_file"), plain.column("_source_ts"), plain.column("_block"), kind, plain.column("value")], names=names)
-        if split:
-            yield batch_of(list(split.close()))
-
-    return run
+            yield self.piece(TAIL if begun_here else WHOLE, "\n".join(self.text))
 
 
 def quoted_records(spark: SparkSession, paths: str | Sequence[str], delimiter: str, quote: str) -> DataFrame:
     """``value`` records with their origin. A record ends at a line feed outside quotes; a carriage return before it goes."""
-    lines = scan_text(spark, paths, line_sep="\n", extent=True).withColumn("_file", F.xxhash64("_source_file")).drop("_size")
+    lines = scan_splits(spark, paths, "\n")
     # Two numbers and two flags for each file split, which the driver has planned one by one already.
     begun = lines.join(F.broadcast(_starts(lines, delimiter, quote)), ["_file", "_block"])
     begun = begun.select("_file", "_block", "_source_file", "_source_ts", "value", "inside", "fate")
-    full = begun.mapInArrow(_assembled(delimiter, quote, True), _RECORD)
-    edges = begun.mapInArrow(_assembled(delimiter, quote, False), _RECORD)
-    place = F.expr("CASE kind WHEN 'head' THEN 0 WHEN 'whole' THEN 1 ELSE 2 END")
-    order = Window.partitionBy("_source_file").orderBy("_block", "place")  # at most two rows a split
-    seams = edges.withColumn("place", place).withColumn("seam", F.sum(F.expr("cast(kind = 'tail' as int)")).over(order))
-    joined = seams.groupBy("_source_file", "seam").agg(
-        F.min("_source_ts").alias("_source_ts"),
-        F.expr(r"array_join(transform(array_sort(collect_list(struct(_block, place, value))), p -> p.value), '\n') AS value"),
-    )
-    columns = ["value", "_source_file", "_source_ts"]
-    return full.select(columns).unionByName(joined.select(columns)).withColumn(
-        "value", F.expr(r"if(endswith(value, '\r'), substring(value, 1, length(value) - 1), value)")
-    )
+    found = records(begun, lambda part: _Lines(part, delimiter, quote), "\n").drop("closed")
+    return found.withColumn("value", F.expr(r"if(endswith(value, '\r'), substring(value, 1, length(value) - 1), value)"))

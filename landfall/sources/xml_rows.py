@@ -1,13 +1,8 @@
-"""XML rows: the text from each opening row tag to the next closing one.
-
-Files are scanned with the closing tag as the record separator, so one large file is
-read by many tasks, and a damaged record costs that record, not the file. Every chunk
-but the last one of a file was closed; whether that one was follows from the bytes.
-"""
+"""XML rows: the text from each opening row tag to the next closing one, of documents that are rows already; and their columns."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from landfall.contract import Contract
 from landfall.functions.errors import PARSE, make_error
@@ -40,34 +35,6 @@ def chunks_of_documents(docs: DataFrame, row_tag: str) -> DataFrame:
     return cut.selectExpr(*carried, f"inline({named})")
 
 
-def mark_closed(chunks: DataFrame, row_tag: str) -> DataFrame:
-    """``_closed``: whether the closing tag followed the chunk in its file.
-
-    One aggregate over the scan, a row for each file split, compares the bytes of each
-    file with its size: a last chunk that was not closed counts one closing tag too many.
-    What comes to the driver is one row per damaged file, of files it has listed already.
-    A compressed file does not state its size and is taken as whole.
-    """
-    tag = len(chunk_separator(row_tag).encode())
-    rows = chunks.withColumn("_id", F.monotonically_increasing_id())
-    splits = rows.groupBy("_source_file", "_size", "_block").agg(
-        F.expr(f"sum(octet_length(value) + {tag}) AS bytes"),
-        F.expr(f"max(2 * _id + cast({holds_row(row_tag)} as int)) AS last"),
-    )
-    files = splits.groupBy("_source_file", "_size").agg(
-        F.expr("sum(bytes) AS bytes"), F.expr("max(struct(_block, last)) AS end")
-    )
-    damaged = files.filter(f"bytes - _size BETWEEN 1 AND {tag} AND end.last % 2 = 1").selectExpr(
-        "_source_file", "end._block AS _block", "end.last div 2 AS _id"
-    ).collect()
-    if not damaged:
-        return chunks.withColumn("_closed", F.lit(True)).drop("_size", "_block")
-    last = chunks.sparkSession.createDataFrame(damaged, "_source_file string, _block bigint, _id bigint")
-    last = F.broadcast(last.withColumn("_open", F.lit(True)))
-    marked = rows.join(last, ["_source_file", "_block", "_id"], "left")
-    return marked.withColumn("_closed", F.col("_open").isNull()).drop("_size", "_block", "_id", "_open")
-
-
 def row_fragments(chunks: DataFrame, row_tag: str, keep_unclosed: bool = False) -> DataFrame:
     """One fragment per row element; chunks without an opening tag hold none."""
     carried = [col(c) for c in chunks.columns if c not in ("value", "_closed")]
