@@ -77,8 +77,9 @@ def without(docs: DataFrame, losers: DataFrame, doc_id: str, text: str, broadcas
     ``losers`` is counted first and broadcast only up to ``broadcast_rows`` (16 bytes each);
     beyond that both sides are joined by key. The rows are the same.
     """
-    gone = losers.select(F.col("doc_id").alias("_gone_id"), F.col("text_key").alias("_gone_key"))
+    gone_id, gone_key = free_name(docs, "_gone_id"), free_name(docs, "_gone_key")
+    gone = losers.select(F.col("doc_id").alias(gone_id), F.col("text_key").alias(gone_key))
     if gone.count() <= broadcast_rows:
         gone = F.broadcast(gone)
-    same = col(docs, doc_id).eqNullSafe(F.col("_gone_id")) & (F.xxhash64(col(docs, text)) == F.col("_gone_key"))
+    same = col(docs, doc_id).eqNullSafe(F.col(gone_id)) & (F.xxhash64(col(docs, text)) == F.col(gone_key))
     return docs.join(gone, same, "left_anti")

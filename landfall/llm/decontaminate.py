@@ -20,11 +20,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from landfall.llm.base import col, document_key, saved, without
 
-_WORD = re.compile(r"\w+")
-#: Words of the shortest item; share of an item's alignment score that counts as a leak; words of benchmark text per block.
+#: Scripts without blanks between words, as ranges of characters: each character is a word of its own.
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003134f"
+_WORD = re.compile(f"[^\\W{_UNSPACED}]+|[{_UNSPACED}]")
+#: Words of the shortest item that condemns a document; share of an item's alignment score that counts as a leak; words of benchmark text per block.
 SHORTEST, LEAST, BLOCK_WORDS = 3, 0.6, 2_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 
@@ -33,6 +36,11 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
+def least_of(n: int, least: float) -> float:
+    """The share that an item of n words must reach: one or two words must all be there."""
+    return least if n >= SHORTEST else 1.0
+
+
 def needed(n: int, least: float) -> tuple[int, int]:
     """Words of a gram, and the least number of them that an alignment of share ``least`` with n item words holds.
 
@@ -61,17 +69,17 @@ class Seeds(NamedTuple):
 class Index:
     """Words and grams (pairs, or words of short items) of a block of benchmark items; its size is bounded by BLOCK_WORDS."""
 
-    def __init__(self, items: list[tuple[int, str]], least: float) -> None:
+    def __init__(self, items: list[tuple[object, str]], least: float) -> None:
         self.ids: dict[str, int] = {}
-        self.items: list[tuple[int, np.ndarray]] = []
+        self.items: list[tuple[object, np.ndarray]] = []
         self.least = least
         for item, text in items:
             words = [self.ids.setdefault(w, len(self.ids) + 1) for w in words_of(text)]
-            if len(words) >= SHORTEST:
+            if words:
                 self.items.append((item, np.array(words, np.int64)))
         self.base = len(self.ids) + 1
-        self.needed = [needed(len(w), least) for _, w in self.items]
-        self.drift = np.array([drift(len(w), least) for _, w in self.items], np.int64)
+        self.needed = [needed(len(w), least_of(len(w), least)) for _, w in self.items]
+        self.drift = np.array([drift(len(w), least_of(len(w), least)) for _, w in self.items], np.int64)
         own = [self.codes(w, n) for (_, w), (n, _) in zip(self.items, self.needed, strict=True)]
         self.grams = np.unique(np.concatenate([np.empty(0, np.int64), *own]))
         self.own = [np.searchsorted(self.grams, c) for c in own]
@@ -174,9 +182,9 @@ def best_alignment(item: np.ndarray, document: np.ndarray, starts: list[int], le
     return best, end
 
 
-def blocks_of(benchmark: DataFrame, item_id: str, text: str, block_words: int) -> Iterator[list[tuple[int, str]]]:
+def blocks_of(benchmark: DataFrame, item_id: str, text: str, block_words: int) -> Iterator[list[tuple[object, str]]]:
     """The benchmark in blocks of at most ``block_words`` words (an item alone may have more), one at a time."""
-    rows = benchmark.select(col(benchmark, item_id).cast("long").alias("i"), col(benchmark, text).alias("t")).dropna()
+    rows = benchmark.select(col(benchmark, item_id).alias("i"), col(benchmark, text).alias("t")).dropna()
     block, words = [], 0
     for r in rows.orderBy("i", "t").toLocalIterator():
         n = len(words_of(r.t))
@@ -189,7 +197,8 @@ def blocks_of(benchmark: DataFrame, item_id: str, text: str, block_words: int) -
         yield block
 
 
-def _leaks_of_block(rows: DataFrame, kind: str, index: Index, least: float) -> DataFrame:
+def _leaks_of_block(rows: DataFrame, kind: str, item_kind: pa.DataType, schema: str, index: Index, least: float) -> DataFrame:
+    """The leaks of one block, written before the next block is made: its index and seeds are gone from all machines then."""
     spark = rows.sparkSession
     shared = spark.sparkContext.broadcast(index)
 
@@ -223,16 +232,20 @@ def _leaks_of_block(rows: DataFrame, kind: str, index: Index, least: float) -> D
                 words = np.frombuffer(data.as_py(), "<i4").astype(np.int64)
                 for k, begins in ix.passages(words, chosen).items():
                     item, own = ix.items[k]
-                    share, end = best_alignment(own, words, begins, least)
-                    if share >= least:
+                    wanted = least_of(len(own), least)
+                    share, end = best_alignment(own, words, begins, wanted)
+                    if share >= wanted:
                         found.append((i, item, share, end))
             few = batch.take(pa.array([f[0] for f in found], pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [few.column(0), few.column(1), *(pa.array([f[j] for f in found], k) for j, k in ((1, pa.int64()), (2, pa.float64()), (3, pa.int64())))],
+                [few.column(0), few.column(1), *(pa.array([f[j] for f in found], k) for j, k in ((1, item_kind), (2, pa.float64()), (3, pa.int64())))],
                 names=["doc_id", "text_key", "item_id", "score", "end_word"],
             )
 
-    return met.select("doc_id", "text_key", "words").mapInArrow(judge, f"doc_id {kind}, text_key long, item_id long, score double, end_word long")
+    found = saved(met.select("doc_id", "text_key", "words").mapInArrow(judge, schema), "block-leaks")
+    shared.destroy()
+    seeds.destroy()
+    return found
 
 
 def leaks(
@@ -243,18 +256,26 @@ def leaks(
 
     Words are runs of letters, digits and underscores, in lower case. score is the best
     local alignment (match 2, mismatch and gap -1) over the score of the whole item, at
-    least ``least``; end_word is the word position after it. Items with fewer than three
-    words, null texts and null item ids take no part; null document texts have no words.
-    Documents with repeated ids get a row each. No documents or no items, no rows.
+    least ``least``; end_word is the word position after it. Of items with one or two words all
+    must be there. In scripts without blanks every character is a word. Null texts and null item ids take
+    no part; null document texts have no words. Item ids may be of any type. Documents with repeated ids get
+    a row each, very long ones are aligned near their seeds only. No documents or no items, no rows.
     """
-    kind = docs.schema[doc_id].dataType.simpleString()
+    kind, items = docs.schema[doc_id].dataType.simpleString(), benchmark.schema[item_id].dataType
     rows = docs.select(*document_key(col(docs, doc_id), col(docs, text)), col(docs, text).alias("text"))
-    found = [_leaks_of_block(rows, kind, Index(b, least), least) for b in blocks_of(benchmark, item_id, item_text, block_words)]
-    none = docs.sparkSession.createDataFrame([], f"doc_id {kind}, text_key long, item_id long, score double, end_word long")
+    schema = f"doc_id {kind}, text_key long, item_id {items.simpleString()}, score double, end_word long"
+    blocks = blocks_of(benchmark, item_id, item_text, block_words)
+    found = [_leaks_of_block(rows, kind, to_arrow_type(items), schema, Index(b, least), least) for b in blocks]
+    none = docs.sparkSession.createDataFrame([], schema)
     return reduce(DataFrame.unionByName, found, none)
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = LEAST) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, with its columns."""
-    gone = saved(leaks(docs, benchmark, doc_id, text, least=least).select("doc_id", "text_key").distinct(), "leaks")
+    """The rows of ``docs`` that hold no benchmark item of three words or more, with its columns.
+
+    An item of one or two words stands in many clean documents; leaks() reports it, but it condemns none.
+    """
+    size = F.udf(lambda t: len(words_of(t)), "int")  # the benchmark alone
+    long_ones = benchmark.filter(size(col(benchmark, "text")) >= SHORTEST)
+    gone = saved(leaks(docs, long_ones, doc_id, text, least=least).select("doc_id", "text_key").distinct(), "leaks")
     return without(docs, gone, doc_id, text)

@@ -63,7 +63,7 @@ def mark_copies(df: DataFrame, doc_id: str, text: str, filter_bytes: int = 256 <
     twice = F.coalesce(_bit_of(F.col(m), bits[0]) & _bit_of(F.col(m), bits[1]), F.lit(False))
     flagged = hashed.withColumn(b, block).join(side, b, "left").withColumn(tested, twice).drop(b, m)
 
-    n, sha, row = (free_name(df, x) for x in ("_points", "_sha", "_row"))
+    n, sha, row, group, first, size = (free_name(df, x) for x in ("_points", "_sha", "_row", "_group", "_first", "_size"))
     own = F.sha2(without_blanks(col(df, text)), 256)
     single = flagged.filter(~F.col(tested)).withColumn(
         mark,
@@ -74,14 +74,14 @@ def mark_copies(df: DataFrame, doc_id: str, text: str, filter_bytes: int = 256 <
         .withColumn(sha, own).withColumn(row, F.monotonically_increasing_id()),
         "possible-copies",
     )
-    first = F.min(F.struct((-F.col(n)).alias("n"), again[doc_id].isNull().alias("none"), again[doc_id].alias("id"), F.col(row).alias("row")))
-    groups = saved(again.groupBy(F.col(sha).alias("_group")).agg(first.alias("_first"), F.count("*").alias("_size")), "copy-groups")
-    joined = again.join(groups, again[sha] == F.col("_group"))
+    best = F.min(F.struct((-F.col(n)).alias("n"), col(again, doc_id).isNull().alias("none"), col(again, doc_id).alias("id"), F.col(row).alias("row")))
+    groups = saved(again.groupBy(F.col(sha).alias(group)).agg(best.alias(first), F.count("*").alias(size)), "copy-groups")
+    joined = again.join(groups, again[sha] == F.col(group))
     marked = joined.withColumn(
         mark,
         F.struct(
-            F.col("_first.id").alias("keep_id"), F.col("_size").alias("group_size"),
-            (F.col(row) == F.col("_first.row")).alias("kept"), F.col(sha).alias("text_sha256"),
+            F.col(first)["id"].alias("keep_id"), F.col(size).alias("group_size"),
+            (F.col(row) == F.col(first)["row"]).alias("kept"), F.col(sha).alias("text_sha256"),
         ),
     ).select(*[f"`{c}`" for c in df.columns], mark)
     return single.unionByName(marked), mark
