@@ -71,7 +71,10 @@ def learn_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", te
 
 
 def with_quality(df: DataFrame, model: Sparse, text: str = "text") -> tuple[DataFrame, str]:
-    """``df`` with one more column, the score of the whole text; its name is returned. Null scores as empty."""
+    """``df`` with one more column, the score of the whole text, however long; its name is returned.
+
+    Null scores as empty, repeated rows score alike, an empty table gives no rows.
+    """
     name = free_name(df, "score")
     return df.withColumn(name, scorer(ngrams, dense(model, SIZE), forget_words)(col(df, text))), name
 

@@ -1,8 +1,8 @@
 """Toxicity classifier with a counterfactual term: swapping who is meant must not move the score.
 
-Labelled texts that name a group are scored a second time with the group's name swapped
-for another one of the same kind; the squared change of the score is part of the loss, and
-the swapped text is learned from with the same label. A neutral mention then carries no
+Labelled texts that name groups are scored again for each name, with that name swapped in its
+sentence for another one of the same kind; the squared change of the score is part of the loss, and
+the changed text is learned from with the same label. A neutral mention then carries no
 weight of its own.
 """
 
@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from landfall.llm.base import col, fold, free_name
-from landfall.llm.linear import Ftrl, Sparse, dense, labelled_sample, pack_sparse, scorer, sigmoid, train, unpack_sparse
+from landfall.llm.linear import Ftrl, Sparse, dense, labelled_sample, scorer, sigmoid, train
 
 SIZE, TRAIN_ROWS = 1 << 20, 12_000
 #: Names of groups, by kind; a name is swapped for the next of its kind.
@@ -29,7 +29,7 @@ IDENTITIES = (
     ("disabled", "healthy", "blind", "deaf"), ("old", "young"), ("elderly", "teenage"),
     ("femmes", "hommes"), ("frauen", "männer"), ("mujeres", "hombres"),
 )
-_WORD = re.compile(r"\w+")
+_WORD, _SENTENCE = re.compile(r"\w+"), re.compile(r"[.!?\n]+")
 
 
 def swaps(identities: tuple[tuple[str, ...], ...] = IDENTITIES) -> dict[str, str]:
@@ -76,32 +76,46 @@ def presence(text: str) -> Sparse:
     return at, np.ones(len(at))
 
 
-def with_swap(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Features of the text, and of the text with the groups it names swapped (empty if it names none)."""
-    words, other = set(_WORD.findall(text.lower())), swaps()
-    own = _of_words(words)
-    if words.isdisjoint(other):
-        return own, np.empty(0, np.int64)
-    return own, _of_words({other.get(w, w) for w in words})
+def with_swaps(text: str, identities: tuple[tuple[str, ...], ...] = IDENTITIES) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Features of the text, and of the text with one change each: one group's name swapped in one sentence.
 
+    A name that other sentences hold too stays among the words beside the new one. Sentences in which
+    the same name is swapped give the same words, so there is at most one change a name; one that changes
+    no word (both names of a kind stand elsewhere) is left out.
+    """
+    other, sentences = swaps(identities), [set(_WORD.findall(s)) for s in _SENTENCE.split(text.lower())]
+    words = set().union(*sentences)
+    own, changed = _of_words(words), []
+    for name in sorted(words & other.keys()):
+        swapped = words | {other[name]}
+        if sum(name in s for s in sentences) == 1:
+            swapped = swapped - {name}
+        if swapped != words:
+            changed.append(_of_words(swapped))
+    return own, changed
 
-def _pack(pair: tuple[np.ndarray, np.ndarray]) -> bytes:
-    return pack_sparse((pair[0], np.ones(len(pair[0])))) + pack_sparse((pair[1], np.ones(len(pair[1]))))
 
+def _pack(made: tuple[np.ndarray, list[np.ndarray]]) -> bytes:
+    return b"".join(len(x).to_bytes(4, "little") + x.astype("<i4").tobytes() for x in (made[0], *made[1]))
 
-def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n = 4 + 8 * int.from_bytes(data[:4], "little")
-    return unpack_sparse(data[:n])[0], unpack_sparse(data[n:])[0]
 
+def _unpack(data: bytes) -> tuple[np.ndarray, list[np.ndarray]]:
+    found, at = [], 0
+    while at < len(data):
+        n = int.from_bytes(data[at : at + 4], "little")
+        found.append(np.frombuffer(data, "<i4", n, at + 4))
+        at += 4 + 4 * n
+    return found[0], found[1:]
 
-def fit(rows: list[tuple[tuple[np.ndarray, np.ndarray], int, int]], epochs: int = 4, penalty: float = 1.0) -> Sparse:
+
+def fit(rows: list[tuple[tuple[np.ndarray, list[np.ndarray]], int, int]], epochs: int = 4, penalty: float = 1.0) -> Sparse:
     model = Ftrl(SIZE, alpha=0.3, l1=0.5, l2=0.1)
     order = np.random.default_rng(11)
     for _ in range(epochs):
         for i in order.permutation(len(rows)):
-            (own, swapped), label, _ = rows[i]
+            (own, changed), label, _ = rows[i]
             model.learn((own, np.ones(len(own))), label)
-            if len(swapped) and penalty:
+            for swapped in changed if penalty else ():
                 model.learn((swapped, np.ones(len(swapped))), label)
                 _even(model, own, swapped, penalty)
     return model.model()
@@ -122,10 +136,13 @@ def _even(model: Ftrl, own: np.ndarray, swapped: np.ndarray, penalty: float) ->
 def learn_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", train_rows: int = TRAIN_ROWS, penalty: float = 1.0) -> Sparse:
     """Weights from at most ``train_rows`` labelled documents outside fold 0 of 5. No labels: no weights, every score 0.5."""
     sample = labelled_sample(docs, labels, doc_id, text, "toxic", lambda d: fold(d, 5) != 0, train_rows)
-    return train(sample, with_swap, lambda rows: fit(rows, penalty=penalty), _pack, _unpack)
+    return train(sample, with_swaps, lambda rows: fit(rows, penalty=penalty), _pack, _unpack)
 
 
 def with_toxicity(df: DataFrame, model: Sparse, text: str = "text") -> tuple[DataFrame, str]:
-    """``df`` with one more column, the score of the whole text; its name is returned. Null scores as empty."""
+    """``df`` with one more column, the score of the whole text, however long; its name is returned.
+
+    Null scores as empty, repeated rows score alike, an empty table gives no rows.
+    """
     name = free_name(df, "score")
     return df.withColumn(name, scorer(presence, dense(model, SIZE), forget_words)(col(df, text))), name

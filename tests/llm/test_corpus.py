@@ -446,7 +446,7 @@ def test_swapping_a_group_hardly_moves_a_score():
     rows += [(text("christian"), 0) for _ in range(60)] + [(text(), 0) for _ in range(60)]
     gap = {}
     for penalty in (0.0, 1.0):
-        model = toxicity.fit([(toxicity.with_swap(t), y, i) for i, (t, y) in enumerate(rows)], penalty=penalty)
+        model = toxicity.fit([(toxicity.with_swaps(t), y, i) for i, (t, y) in enumerate(rows)], penalty=penalty)
         weights = toxicity.dense(model, toxicity.SIZE)
         score = lambda t: toxicity.sigmoid(float(weights[toxicity.presence(t)[0]].sum()))  # noqa: B023, E731
         gap[penalty] = score("x1 x2 muslim") - score("x1 x2 christian")
