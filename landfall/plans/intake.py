@@ -16,11 +16,13 @@ from landfall.operators import audit
 from landfall.operators.enrich import LINEAGE, cleanse_nulls, stamp, warehouse_names, warehouse_texts
 from landfall.operators.protect import encrypt_columns
 from landfall.operators.quality import kinds_of, text_of, validate
-from landfall.operators.reconcile import load_counts, reconcile
+from landfall.operators.reconcile import reconcile
 from landfall.operators.routing import outcome
 from landfall.operators.sinks import (
-    JdbcTable, append_jdbc, landing_session, loaded_in_jdbc, run_dir, with_message, write_error_text, write_landing,
+    JdbcTable, append_jdbc, attempt_dir, commit_attempt, committed_attempts, landing_session, loaded_in_jdbc, new_attempt, run_dir,
+    with_message, write_error_text, write_landing,
 )
+from landfall.operators.shared_files import claimed
 from landfall.operators.splitting import TARGET_KB
 from landfall.plans.prepare import prepare
 from landfall.plans.workspace import shared_dir
@@ -89,27 +91,48 @@ def landing_schema(contract: Contract) -> str:
     return ddl(texts | times | rest)
 
 
+def _read(spark: SparkSession, location: str, contract: Contract, paths: list[str]) -> DataFrame:
+    schema = landing_schema(contract)
+    if not paths:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).option("basePath", location).parquet(*paths)
+    return rows.drop("attempt")
+
+
+def read_attempt(spark: SparkSession, location: str, contract: Contract, execution_id: str, attempt: str) -> DataFrame:
+    """One attempt, committed or not."""
+    return _read(spark, location, contract, [attempt_dir(location, execution_id, attempt)])
+
+
 def read_landing(
     spark: SparkSession, location: str, contract: Contract, execution_id: str | None = None
 ) -> DataFrame:
-    """All runs, or one of them without listing the directories of the others."""
-    reader = spark.read.schema(landing_schema(contract)).option("basePath", location)
-    return reader.parquet(location if execution_id is None else run_dir(location, execution_id))
+    """All runs, or one of them, each by the attempt that was committed last."""
+    current = committed_attempts(spark, location)
+    runs = current if execution_id is None else current.keys() & {execution_id}
+    return _read(spark, location, contract, [attempt_dir(location, run, current[run]) for run in sorted(runs)])
+
+
+def _loaded(rows: DataFrame, contract: Contract) -> DataFrame:
+    return rows.filter(F.col("outcome") == "valid").select(*[col(n) for n in warehouse_names(contract)], *LINEAGE)
+
+
+def _rejected(rows: DataFrame) -> DataFrame:
+    bad = rows.filter(F.col("outcome") == "error")
+    return with_message(bad.select("execution_id", "source_file", "ingestion_timestamp", *ERROR_COLUMNS))
 
 
 def loaded_rows(
     spark: SparkSession, location: str, contract: Contract, execution_id: str | None = None
 ) -> DataFrame:
     """The warehouse table: good rows; the outcome filter prunes directories."""
-    rows = read_landing(spark, location, contract, execution_id).filter(F.col("outcome") == "valid")
-    return rows.select(*[col(n) for n in warehouse_names(contract)], *LINEAGE)
+    return _loaded(read_landing(spark, location, contract, execution_id), contract)
 
 
 def rejected_rows(
     spark: SparkSession, location: str, contract: Contract, execution_id: str | None = None
 ) -> DataFrame:
-    rows = read_landing(spark, location, contract, execution_id).filter(F.col("outcome") == "error")
-    return with_message(rows.select("execution_id", "source_file", "ingestion_timestamp", *ERROR_COLUMNS))
+    return _rejected(read_landing(spark, location, contract, execution_id))
 
 
 @dataclass(frozen=True)
@@ -126,6 +149,7 @@ class IntakeJob:
     split_above_kb: int | None = None
     part_kb: int = TARGET_KB
     report_dir: str | None = None
+    claim_hours: float = 24.0
 
 
 @dataclass(frozen=True)
@@ -163,9 +187,9 @@ def _refuse_second_load(spark: SparkSession, job: IntakeJob) -> None:
         raise ValueError(f"{job.database.table} already holds rows of run {job.execution_id}; remove them first")
 
 
-def _load_database(spark: SparkSession, job: IntakeJob) -> int:
-    """Good rows from the landing table, whose ciphertext no longer changes, to the database."""
-    append_jdbc(loaded_rows(spark, job.location, job.contract, job.execution_id), job.database)
+def _load_database(spark: SparkSession, job: IntakeJob, landed: DataFrame) -> int:
+    """Good rows as they were landed, whose ciphertext no longer changes, to the database."""
+    append_jdbc(_loaded(landed, job.contract), job.database)
     return loaded_in_jdbc(spark, job.database, job.execution_id)
 
 
@@ -181,47 +205,49 @@ def run_intake(spark: SparkSession, job: IntakeJob) -> IntakeResult:
     """Land all files of a run, load them into a database and write the text report of
     bad rows if these are named, check the counts and log the run.
 
-    A count mismatch is recorded as FAILED and does not raise; any other problem
-    is recorded as FAILED and raised again.
+    The rows are written to a directory of this attempt and become the run's by one commit file, so a
+    later attempt that fails changes nothing, and readers see one whole attempt at any time. While an
+    attempt is at work, another one of the same run is refused (RunClaimed). A count mismatch is recorded
+    as FAILED and does not raise; any other problem is recorded as FAILED and raised again.
     """
     if not job.paths or not job.execution_id:
         raise ValueError("a run needs at least one path and an execution id")
     spark = landing_session(spark)
+    with claimed(spark, job.location, job.execution_id, job.claim_hours):
+        return _run(spark, job)
+
+
+def _run(spark: SparkSession, job: IntakeJob) -> IntakeResult:
+    attempt = new_attempt(job.started)
     audit.append_events(spark, [_start_event(job)], job.audit_dir)
     try:
         key = key_column(spark, job.base64_key) if job.contract.encrypted or job.base64_key else None
-        if job.database:  # before the landing table is replaced
+        if job.database:  # before anything is written
             _refuse_second_load(spark, job)
+        expected = expected_count(spark, job.control_path)
         parsed = read_feed(spark, *_source(spark, job))
         rows = landing_rows(parsed, job.contract, job.execution_id, job.started, key)
-        write_landing(rows, job.location, job.execution_id)
-        by_outcome = {
-            r["outcome"]: r["actual_count"]
-            for r in load_counts(
-                read_landing(spark, job.location, job.contract, job.execution_id), "outcome"
-            ).collect()
-        }
-        actual = _load_database(spark, job) if job.database else by_outcome.get("valid", 0)
+        counts = write_landing(rows, job.location, job.execution_id, attempt)
+        landed = read_attempt(spark, job.location, job.contract, job.execution_id, attempt)
+        actual = _load_database(spark, job, landed) if job.database else counts["valid"]
         if job.report_dir:
-            rejected = rejected_rows(spark, job.location, job.contract, job.execution_id)
-            write_error_text(rejected, run_dir(job.report_dir, job.execution_id))
-        expected = expected_count(spark, job.control_path)
+            write_error_text(_rejected(landed), run_dir(job.report_dir, job.execution_id))
         want = spark.createDataFrame([(job.execution_id, expected)], "execution_id string, expected_count bigint")
         got = spark.createDataFrame([(job.execution_id, actual)], "execution_id string, actual_count bigint")
         result = reconcile(want, got).first()
+        commit_attempt(spark, job.location, job.execution_id, attempt, counts)
         audit.append_events(
             spark,
             [
-                *([_event(job, 1, audit.COUNTED, expected_count=expected)] if expected is not None else []),
-                _event(job, 2, audit.COUNTED, actual_count=actual),
-                _event(job, 3, audit.FINISHED, status=result.status, failure_reason=result.failure_reason),
+                _event(job, 1, audit.COMMITTED),
+                *([_event(job, 2, audit.COUNTED, expected_count=expected)] if expected is not None else []),
+                _event(job, 3, audit.COUNTED, actual_count=actual),
+                _event(job, 4, audit.FINISHED, status=result.status, failure_reason=result.failure_reason),
             ],
             job.audit_dir,
         )
     except Exception as e:
         reason = (str(e) or "Unknown error")[: audit.REASON_CHARS]
-        audit.append_events(spark, [_event(job, 4, audit.ABORTED, failure_reason=reason)], job.audit_dir)
+        audit.append_events(spark, [_event(job, 5, audit.ABORTED, failure_reason=reason)], job.audit_dir)
         raise
-    return IntakeResult(
-        job.execution_id, result.status, expected, actual, by_outcome.get("error", 0), result.failure_reason
-    )
+    return IntakeResult(job.execution_id, result.status, expected, actual, counts["error"], result.failure_reason)

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from landfall.contract import Contract, ContractError
-from landfall.functions.crypto import key_column
-from landfall.operators.sinks import keep_writers_open, write_landing
-from landfall.plans.intake import landing_rows
-from landfall.sources.feed import is_whole_document, parse_feed, separator_of
-from landfall.sources.scan import scanned
+from landfall.contract import Contract
+from landfall.plans.intake import IntakeJob, run_intake
+
+#: What is asked of each file: where it is. Its content is read by the run, in any format.
+_LISTING = "path string, modificationTime timestamp, length long, content binary"
 
 
 def land_new_files(
@@ -24,28 +23,29 @@ def land_new_files(
     checkpoint: str,
     base64_key: str | None = None,
     files_per_batch: int | None = None,
+    audit_dir: str | None = None,
+    control_of: Callable[[list[str]], str | None] | None = None,
 ) -> StreamingQuery:
-    """Land what is there now and stop. Every micro-batch is a run named after its
-    batch id, so a batch that is tried again replaces what it wrote."""
-    if is_whole_document(contract):
-        raise ContractError("whole-document JSON cannot be read as a stream; use JSON lines")
-    reader = spark.readStream
-    if separator_of(contract):
-        reader = reader.option("lineSep", separator_of(contract))
+    """Land what is there now and stop.
+
+    The stream is one of file names; every micro-batch is a whole run over its files, named after its batch id: claimed,
+    logged (under ``audit_dir``, or in the landing table's folder), counted, reconciled with the control file that
+    ``control_of`` names for the files, and committed. A batch that is tried again is another attempt of its run.
+    """
+    reader = spark.readStream.schema(_LISTING).format("binaryFile")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    lines = reader.text(folder).select(*scanned(extent=contract.format == "XML"))
+    names = reader.load(folder).select("path")
+    log = audit_dir or f"{location.rstrip('/')}/_runs"
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession  # the stream's own
-        keep_writers_open(session)
-        key = key_column(session, base64_key) if contract.encrypted or base64_key else None
-        run = f"{run_prefix}-{batch_id}"
-        rows = landing_rows(parse_feed(batch, contract), contract, run, datetime.now(timezone.utc), key)
-        write_landing(rows, location, run)
+        paths = sorted(r.path for r in batch.collect())  # one name a file, at most files_per_batch
+        if paths:
+            control = control_of(paths) if control_of else None
+            run_intake(batch.sparkSession, IntakeJob(paths, contract, location, log, control, base64_key, f"{run_prefix}-{batch_id}"))
 
     return (
-        lines.writeStream.foreachBatch(land)
+        names.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
