@@ -4,11 +4,15 @@ Files are scanned with '}' as the record separator. Whether a chunk lies in a st
 how deep it is nested depends on all text before it, so a first pass sums up each file
 split for both cases, a small window turns these sums into the state each split begins
 with, and a second pass emits every piece that ends at the array's own level. Only what
-reaches over the edge of a split is shuffled.
+reaches over the edge of a split is shuffled. A file whose brackets or quotes do not pair up is cut by
+another rule: element after element is decoded, and what is no JSON is an error up to the next place that
+looks like the beginning of an element.
 """
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -23,6 +27,12 @@ from landfall.sources.scan import scan_text
 
 END = "}"
 _STRING = r'"[^"]*(?:"|\z)'
+#: Endings of files that are read unpacked, so that their size says nothing about their end.
+_PACKED = r"(?i)\.(gz|bz2|deflate|zst|lz4|snappy)$"
+#: The first name in the first element, by which an element's beginning is known again (short ones only).
+_FIRST_KEY = r'^\s*\[?\s*\{\s*("(?:[^"\\]|\\.){0,200}")\s*:'
+#: The root of a piece that is one element, of a file whose brackets do not pair up.
+ELEMENT = 2
 
 
 def _removed(text: str, pattern: str) -> str:
@@ -67,21 +77,35 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row = {
                 "_source_file": run.column(0)[0].as_py(), "_block": run.column(1)[0].as_py(),
                 "_size": run.column("_size")[0].as_py(), "id": run.column("id")[0].as_py(), "listed": run.column("listed")[0].as_py(),
+                "key": run.column("key")[0].as_py(),
                 "quotes": int(quotes.sum() % 2), "from_out": int(np.where(odd, inside, out).sum()),
                 "from_in": int(np.where(odd, out, inside).sum()), "bytes": int(_ints(run, "bytes").sum()),
             }
             yield pa.RecordBatch.from_pylist([row])
 
 
-def _starts(chunks: DataFrame) -> DataFrame:
+def _unpacked_sizes(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(file, unpacked): bytes of each packed file, less one if it does not end in a closing brace.
+
+    A scan with another separator counts one byte too many unless the file ends in that one, as the scan of the
+    chunks does for the brace. Both sums are equal where the file ends in neither; where it ends in a brace, this one is
+    greater by one, and where it ends in a bracket, less by one.
+    """
+    packed = scan_text(spark, paths, line_sep="]").filter(F.col("_source_file").rlike(_PACKED))
+    sums = packed.groupBy(F.col("_source_file").alias("file")).agg(F.sum(F.octet_length("value") + 1).alias("bytes"))
+    return sums.select("file", (F.col("bytes") - 1).alias("unpacked"))
+
+
+def _starts(chunks: DataFrame, ends: DataFrame) -> DataFrame:
     """A row for each file split with rows: the state it begins with and its place in the file."""
     listed = f"startswith({strip_start('value')}, '[')"
     summed = chunks.selectExpr(
         "_source_file", "_block", "_size", "monotonically_increasing_id() AS id", f"{listed} AS listed",
+        f"CASE WHEN _block = 0 THEN regexp_extract(value, {lit(_FIRST_KEY)}, 1) END AS key",
         "quotes", "out_depth", "in_depth", f"octet_length(value) + {len(END)} AS bytes",
     ).mapInArrow(
         _sums,
-        "_source_file string, _block long, _size long, id long, listed boolean, quotes long, from_out long, from_in long, bytes long",
+        "_source_file string, _block long, _size long, id long, listed boolean, key string, quotes long, from_out long, from_in long, bytes long",
     )
     by_file = Window.partitionBy("_source_file").orderBy("_block", "id")  # a row for each batch of a split
     before, whole = by_file.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("_source_file")
@@ -93,9 +117,18 @@ def _starts(chunks: DataFrame) -> DataFrame:
         F.first("listed").over(by_file).cast("long").alias("root"),
         (F.min("_block").over(whole) == F.col("_block")).alias("first"),
         (F.max("_block").over(whole) == F.col("_block")).alias("last"),
-        (F.sum("bytes").over(whole) > F.col("_size")).alias("open"),
+        F.sum("bytes").over(whole).alias("all_bytes"),
+        (F.sum("quotes").over(whole) % 2).alias("ends_quoted"),
+        F.sum("change").over(whole).alias("ends_deep"),
+        F.first("key").over(by_file).alias("first_key"),
     )
-    one = deep.groupBy("_source_file", "_block").agg(F.min_by(F.struct("quoted", "depth", "root", "first", "last", "open"), "id").alias("s"))
+    found = deep.join(ends, deep["_source_file"] == ends["file"], "left")
+    found = found.withColumn("open", F.col("all_bytes") > F.coalesce("unpacked", "_size"))
+    # The last chunk counted a closing brace that is not there if the file does not end in one.
+    level = F.col("ends_deep") + F.col("open").cast("int")
+    found = found.withColumn("damaged", (F.col("ends_quoted") != 0) | (level != 0))
+    state = ("quoted", "depth", "root", "first", "last", "open", "damaged", "first_key")
+    one = found.groupBy(deep["_source_file"], "_block").agg(F.min_by(F.struct(*state), "id").alias("s"))
     return one.select("_source_file", "_block", "s.*")
 
 
@@ -111,6 +144,10 @@ class _Split:
         self.held: tuple[str, bool] | None = None
         self.ended = False
 
+    @staticmethod
+    def of(run: pa.RecordBatch) -> _Split:
+        return _DamagedSplit(run) if run.column("damaged")[0].as_py() else _Split(run)
+
     def is_next(self, run: pa.RecordBatch) -> bool:
         return run.column(0)[0].as_py() == self.key["_source_file"] and run.column(1)[0].as_py() == self.key["_block"]
 
@@ -150,6 +187,64 @@ class _Split:
             yield self.piece("tail")
 
 
+class _DamagedSplit(_Split):
+    """Elements of one file split by themselves, whatever stood before it."""
+
+    def __init__(self, run: pa.RecordBatch) -> None:
+        super().__init__(run)
+        key = run.column("first_key")[0].as_py()
+        named = f"{re.escape(key)}\\s*:" if key else ""
+        self.begins = re.compile(rf"(?:^|[\[,}}\s])\s*(\{{\s*{named})")
+        self.listed, self.root = self.root == 1, ELEMENT
+        self.chunks: list[str] = []
+
+    def add(self, run: pa.RecordBatch) -> Iterator[dict]:
+        self.chunks += run.column("value").to_pylist()
+        return iter(())
+
+    def _piece(self, kind: str, text: str) -> dict:
+        self.text = [text]
+        return self.piece(kind)
+
+    def close(self) -> Iterator[dict]:
+        text = END.join(self.chunks) + ("" if self.last and self.open else END)
+        at, closed = 0, not self.last or not self.listed
+        if self.first:
+            at = re.match(r"\s*\[?" if self.listed else r"\s*", text).end()
+        else:
+            begin = self.begins.search(text)
+            if begin is None and not self.last:
+                yield self._piece("full", text)
+                return
+            at = begin.start(1) if begin else len(text)
+            head = text[:at].rstrip()
+            if begin is None and self.listed and head.endswith("]"):
+                head, closed = head[:-1], True
+            yield self._piece("head", head)
+        decode = json.JSONDecoder().raw_decode
+        while True:
+            at = re.compile(r"[\s,]*").match(text, at).end()
+            if at == len(text):
+                break
+            if self.listed and text[at] == "]" and not text[at + 1 :].strip():
+                closed = True
+                break
+            try:
+                end = decode(text, at)[1]
+                yield self._piece("full", text[at:end])
+            except (ValueError, RecursionError):
+                begin = self.begins.search(text, at + 1)
+                end = begin.start(1) if begin else len(text)
+                if begin is None and not self.last:
+                    yield self._piece("tail", text[at:])
+                    return
+                closed = closed or (begin is None and text.rstrip().endswith("]"))
+                yield self._piece("full", text[at:end])
+            at = end
+        if not closed:
+            yield self._piece("full", "[")  # the bracket that nothing closes
+
+
 _PIECE = pa.schema([
     ("_source_file", pa.string()), ("_block", pa.int64()), ("_source_ts", pa.timestamp("us", "UTC")), ("root", pa.int64()),
     ("kind", pa.string()), ("first", pa.bool_()), ("last", pa.bool_()), ("value", pa.string()),
@@ -164,7 +259,7 @@ def _pieces(wanted: Callable[[str], bool]) -> Callable[[Iterator[pa.RecordBatch]
             for run in _runs(batch):
                 if split is None or not split.is_next(run):
                     out += split.close() if split else ()
-                    split = _Split(run)
+                    split = _Split.of(run)
                 out += split.add(run)
             yield pa.RecordBatch.from_pylist([p for p in out if wanted(p["kind"])], _PIECE)
         if split:
@@ -177,14 +272,15 @@ def _cut(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Pieces of the files: value, and whether it is the first or last one of a file; root is 1 in an array."""
     chunks = _scan(spark, paths)
     # One row for each file split, which the driver has planned one by one already.
-    begun = chunks.join(F.broadcast(_starts(chunks)), ["_source_file", "_block"])
+    begun = chunks.join(F.broadcast(_starts(chunks, _unpacked_sizes(spark, paths))), ["_source_file", "_block"])
     begun = begun.select(
         "_source_file", "_block", "_source_ts", "value", "quotes", "out_depth", "in_depth",
-        "quoted", "depth", "root", "first", "last", "open",
+        "quoted", "depth", "root", "first", "last", "open", "damaged", "first_key",
     )
     ddl = "_source_file string, _block long, _source_ts timestamp, root long, kind string, first boolean, last boolean, value string"
     full = begun.mapInArrow(_pieces(lambda kind: kind == "full"), ddl)
-    edges = begun.mapInArrow(_pieces(lambda kind: kind != "full"), ddl)
+    # A file that is one split has no edges.
+    edges = begun.filter("NOT (first AND last)").mapInArrow(_pieces(lambda kind: kind != "full"), ddl)
     place = F.expr("CASE kind WHEN 'head' THEN 0 WHEN 'whole' THEN 1 ELSE 2 END")
     order = Window.partitionBy("_source_file").orderBy("_block", "place")
     seams = edges.withColumn("place", place).withColumn("seam", F.sum(F.expr("cast(kind = 'tail' as int)")).over(order))
@@ -209,6 +305,7 @@ def json_arrays(spark: SparkSession, paths: str | Sequence[str], keep_non_object
     lead = "if(first, '[', ',')"
     records = f"""CASE
         WHEN _text IS NULL THEN cast(NULL as array<string>)
+        WHEN root = {ELEMENT} THEN {from_json("concat('[', _text, ']')", 'array<string>')}
         WHEN root = 0 THEN CASE WHEN {is_blank('_text')} THEN cast(array() as array<string>)
             WHEN NOT last THEN {from_json("concat('[', _text, ']')", 'array<string>')} END
         WHEN last AND NOT first AND {is_blank('_text')} THEN cast(array() as array<string>)
@@ -216,7 +313,7 @@ def json_arrays(spark: SparkSession, paths: str | Sequence[str], keep_non_object
         WHEN {is_blank(inner)} THEN CASE WHEN first THEN cast(array() as array<string>) END
         ELSE {from_json(f"concat('[', {inner}, ']')", 'array<string>')} END"""
     # The closing bracket of an array is taken off its last piece; without one the piece is no JSON.
-    body = f"""CASE WHEN root = 1 AND last THEN CASE WHEN endswith({ended}, ']') THEN
+    body = f"""CASE WHEN root = {ELEMENT} THEN regexp_replace(value, '^[\\\\s,]+|[\\\\s,]+$', '') WHEN root = 1 AND last THEN CASE WHEN endswith({ended}, ']') THEN
         substring({ended}, 1, length({ended}) - 1) END ELSE {text} END"""
     rows = _cut(spark, paths).selectExpr("*", f"{body} AS _text").selectExpr(
         "_source_file", "_source_ts", "value", f"{once(records)} AS _records"
