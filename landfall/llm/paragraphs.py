@@ -192,7 +192,7 @@ def _listed(digests: DataFrame, names: list[str], number: str | None = None) ->
 
 
 def _within(rows: DataFrame, side: DataFrame, on: str, broadcast_rows: int) -> DataFrame:
-    """``rows`` joined with the saved ``side``, which is counted and broadcast up to ``broadcast_rows``."""
+    """``rows`` joined with the saved ``side``, a few numbers a row, which is counted and broadcast up to ``broadcast_rows``."""
     return rows.join(F.broadcast(side) if side.count() <= broadcast_rows else side, on)
 
 
@@ -342,7 +342,10 @@ def joined(known: pa.ListArray, found: pa.ListArray) -> tuple[np.ndarray, ...]:
 def _passages(digests: DataFrame, kind: str, hits: DataFrame, broadcast_rows: int) -> DataFrame:
     """Rows like those of repeated(): what repeats word for word outside the paragraphs ``hits``."""
     counts = digests.select(F.explode("w_node").alias("w_node")).groupBy("w_node").agg(F.count("*").alias("n")).filter("n > 1")
-    many = _within(_listed(digests, _WINDOW), saved(counts, "equal-hashes"), "w_node", broadcast_rows)
+    counts = saved(counts, "equal-hashes")
+    many = _within(_listed(digests, _WINDOW), counts, "w_node", broadcast_rows)
+    if counts.count() > broadcast_rows:
+        many = saved(many, "equal-windows")  # it is read twice, and the join shuffles all windows
     many = many.select("doc_id", "text_key", "n", *[F.col(w).alias(w[2:]) for w in _WINDOW])
     spot = F.struct(F.col("doc_id").isNotNull().alias("set"), "doc_id", "text_key", "at", "paragraph")
     firsts = many.groupBy("node").agg(F.min(spot).alias("first"), F.max(spot).alias("last"), (F.max("at") - F.min("at")).alias("apart"))
@@ -382,7 +385,7 @@ def _passages(digests: DataFrame, kind: str, hits: DataFrame, broadcast_rows: in
     return made.withColumn("removed", ~kept).drop("keep_key", "shift")
 
 
-def repeated(df: DataFrame, doc_id: str = "doc_id", text: str = "text", block: int = 512, broadcast_rows: int = 500_000, block_words: int = 1_000_000) -> DataFrame:
+def repeated(df: DataFrame, doc_id: str = "doc_id", text: str = "text", block: int = 512, broadcast_rows: int = 2_000_000, block_words: int = 1_000_000) -> DataFrame:
     """The repeated paragraphs, one row each occurrence, kept and removed ones.
 
     Columns: doc_id, text_key, paragraph (its number in the document), start and length in
