@@ -55,40 +55,47 @@ def _sized_session(spark: SparkSession, target_kb: int) -> SparkSession:
     return session
 
 
-# True on the first row of each partition: its id has no row bits set.
-FIRST_IN_PARTITION = f"monotonically_increasing_id() & {(1 << 33) - 1}L = 0"
+# The place of a row in its partition, from 0: the lower bits of its id.
+PLACE = f"monotonically_increasing_id() & {(1 << 33) - 1}L"
+FIRST_IN_PARTITION = f"{PLACE} = 0"
 
 
-def prepend_line(rows: DataFrame, line: str) -> DataFrame:
-    """A line before the ``value`` rows of each partition, and so of each part."""
-    return rows.selectExpr(
-        f"explode(if({FIRST_IN_PARTITION}, array({lit(line)}, value), array(value))) AS value"
-    )
+def prepend_line(rows: DataFrame, line: str, every: int | None = None) -> DataFrame:
+    """A line before the ``value`` rows of each partition, or before ``every`` so many of them, and so of each part."""
+    first = f"({PLACE}) % {every} = 0" if every else FIRST_IN_PARTITION
+    return rows.selectExpr(f"explode(if({first}, array({lit(line)}, value), array(value))) AS value")
 
 
-def _wrapper(head: str, tail: str):
+def _wrapper(head: str, tail: str, every: int | None):
     def wrap(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        empty = True
+        line = lambda text: pa.RecordBatch.from_pydict({"value": [text]})
+        held = 0  # rows since the last head
         for batch in batches:
-            if empty and batch.num_rows:
-                empty = False
-                yield pa.RecordBatch.from_pydict({"value": [head]})
-            yield batch
-        if not empty:
-            yield pa.RecordBatch.from_pydict({"value": [tail]})
+            at = 0
+            while at < batch.num_rows:
+                if not held:
+                    yield line(head)
+                few = batch.slice(at, every - held if every else batch.num_rows)
+                yield few
+                at, held = at + few.num_rows, held + few.num_rows
+                if held == every:
+                    yield line(tail)
+                    held = 0
+        if held:
+            yield line(tail)
 
     return wrap
 
 
-def wrap_partitions(rows: DataFrame, head: str, tail: str) -> DataFrame:
-    """A line before and a line after the ``value`` rows of each non-empty partition.
+def wrap_partitions(rows: DataFrame, head: str, tail: str, every: int | None = None) -> DataFrame:
+    """A line before and a line after the ``value`` rows of each non-empty partition, or of ``every`` so many of them.
 
     Which row is the last one is only known at the end of a partition, which no
     column expression can see; batches are passed through unchanged.
     """
-    return rows.select("value").mapInArrow(_wrapper(head, tail), "value string")
+    return rows.select("value").mapInArrow(_wrapper(head, tail, every), "value string")
 
 
 def _source_rows(session: SparkSession, path, contract: Contract, target_kb: int) -> DataFrame:
@@ -120,21 +127,23 @@ def split_files(
     target_kb: int = TARGET_KB,
     header: str | None = None,
     root_tag: str | None = None,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Write size-bounded parts under ``out_dir`` in one job and return their manifest.
 
     Records are copied as text, so a part parses exactly as its source does.
     Delimited parts start with the header, XML parts are wrapped in a root
-    element, JSON parts are JSON lines.
+    element, JSON parts are JSON lines. With ``max_rows`` no part has more rows than that:
+    a task closes its file and begins the next one, header or root element included.
     """
     session = _sized_session(spark, target_kb)
-    rows = _source_rows(session, path, contract, target_kb)
+    rows, around = _source_rows(session, path, contract, target_kb), 0
     if contract.format == "CSV" and contract.has_header:
-        rows = prepend_line(rows, header or contract.delimiter.join(contract.names))
+        rows, around = prepend_line(rows, header or contract.delimiter.join(contract.names), max_rows), 1
     elif contract.format == "XML":
         root = root_tag or contract.row_tag + "s"
-        rows = wrap_partitions(rows, f"<{root}>", f"</{root}>")
-    rows.write.mode("overwrite").text(out_dir)
+        rows, around = wrap_partitions(rows, f"<{root}>", f"</{root}>", max_rows), 2
+    rows.write.option("maxRecordsPerFile", max_rows + around if max_rows else 0).mode("overwrite").text(out_dir)
     return part_manifest(spark, out_dir, contract)
 
 
@@ -151,7 +160,7 @@ def part_manifest(spark: SparkSession, out_dir: str, contract: Contract) -> Data
         counts = records.groupBy(F.col("_source_file").alias("part")).agg(F.count("*").alias("rows"))
         return sizes.join(counts, "part", "left").na.fill(0, ["rows"])
     if contract.format == "CSV" and contract.has_header:
-        is_row = f"NOT startswith(value, {header_start(contract)})"
+        is_row = f"NOT (startswith(value, {header_start(contract)}) OR value = {lit(contract.delimiter.join(contract.names))})"
     return (
         reader.text(out_dir)
         .selectExpr("_metadata.file_path AS part", "_metadata.file_size AS bytes", f"{is_row} AS is_row")

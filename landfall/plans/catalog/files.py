@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from landfall.contract import Contract, FieldRule
@@ -106,6 +108,36 @@ def xml_files(spark, sf_dir):
     return _typed_orders(read_feed(spark, path, feed(" ".join(ORDER_FIELDS), format="XML", row_tag="order")))
 
 
+def xml_markup_files(spark, sf_dir):
+    """Row tags with attributes and blanks, closing tags inside CDATA, nested rows, and orders of one status commented out."""
+    path = shared_dir(spark, "xml")
+    cells = ", ".join(f"'<{c}>', {c}, '</{c}>'" for c in ORDER_FIELDS)
+    note = "'<note><![CDATA[</order><order>]]></note><order><o_orderkey>0</o_orderkey></order>'"
+    row = f"concat('<order', if(o_orderkey % 2 = 0, ' kind=\"a>b\"', ''), '>', {cells}, {note}, '</order', if(o_orderkey % 3 = 0, ' ', ''), '>')"
+    rows = _order_texts(spark, sf_dir).selectExpr(f"if(o_orderstatus = 'P', concat('<!-- ', {row}, ' -->'), {row}) AS value")
+    wrap_partitions(rows, "<?xml version='1.0'?><orders>", "</orders>").write.option("compression", "gzip").text(path)
+    return _typed_orders(read_feed(spark, path, feed(" ".join(ORDER_FIELDS), format="XML", row_tag="order")))
+
+
+def json_damaged_files(spark, sf_dir):
+    """Arrays in which the orders of one status lack their last brace: each costs itself."""
+    path = shared_dir(spark, "json")
+    rows = _order_texts(spark, sf_dir).selectExpr(
+        "concat(if(" + FIRST_IN_PARTITION + ", ' ', ','), if(o_orderstatus = 'P', rtrim('}', to_json(struct(*))), to_json(struct(*)))) AS value"
+    )
+    wrap_partitions(rows, "[", "]").write.text(path)
+    parsed = read_feed(spark, path, feed(" ".join(ORDER_FIELDS), format="JSON", is_json_array=True))
+    return parsed.groupBy(F.expr("_error.reason AS reason"), F.expr("_error IS NULL AND o_orderstatus <> 'P' AS good")).agg(
+        F.count("*").alias("n_rows"), F.expr("coalesce(sum(cast(o_orderkey as bigint)), 0) AS keys")
+    )
+
+
+JSON_DAMAGED_FILES = """
+SELECT CASE WHEN o_orderstatus = 'P' THEN 'malformed JSON' END AS reason, o_orderstatus <> 'P' AS good, count(*) AS n_rows,
+       CAST(sum(CASE WHEN o_orderstatus = 'P' THEN 0 ELSE o_orderkey END) AS BIGINT) AS keys
+FROM orders GROUP BY ALL"""
+
+
 def json_array_files(spark, sf_dir):
     path = shared_dir(spark, "json")
     _write_json_arrays(spark, sf_dir, path)
@@ -157,6 +189,28 @@ def split_manifest(spark, sf_dir):
     return manifest_totals(manifest).selectExpr("total_rows", "part_count > 0 AS has_parts")
 
 
+def split_bounded_parts(spark, sf_dir):
+    """Parts of at most 700 rows, each with its header or root element, read again as their sources."""
+    found = []
+    for fmt in ("CSV", "XML"):
+        src, out = shared_dir(spark, fmt.lower()), shared_dir(spark, "parts")
+        if fmt == "XML":
+            _write_xml(spark, sf_dir, src)
+        else:
+            _order_texts(spark, sf_dir).selectExpr("concat_ws(',', *) AS value").write.text(src)
+        contract = feed(" ".join(ORDER_FIELDS), format=fmt, row_tag="order")
+        manifest = split_files(spark, src, contract, out, target_kb=4096, root_tag="orders", max_rows=700)
+        rows = read_feed(spark, out, contract).agg(F.count_if(F.col("_error").isNull()).alias("n_rows"), F.sum(F.col("o_orderkey").cast("long")).alias("keys"))
+        sizes = manifest.agg(F.expr("max(rows) AS largest"), F.expr("sum(rows) AS total"))
+        found.append(sizes.crossJoin(rows).select(F.lit(fmt).alias("format"), (F.col("largest") <= 700).alias("bounded"), "total", "n_rows", "keys"))
+    return found[0].unionByName(found[1])
+
+
+SPLIT_BOUNDED_PARTS = """
+SELECT format, true AS bounded, count(*) AS total, count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS keys
+FROM orders, (VALUES ('CSV'), ('XML')) f(format) GROUP BY format"""
+
+
 def split_csv_files(spark, sf_dir):
     src, out = shared_dir(spark, "csv"), shared_dir(spark, "parts")
     _write_csv(spark, sf_dir, src)
@@ -351,7 +405,7 @@ def intake_quoted(spark, sf_dir):
     lines = rendered(
         table(spark, sf_dir, "customer"),
         "concat(c_custkey, ',\"', c_name, if(c_custkey % 3 = 0, '\\r\\n', if(c_custkey % 3 = 1, '\\n\\n', ', ')), '\"\"', c_mktsegment, '\"\"\"', "
-        "if(c_mktsegment = 'FURNITURE', '\"', ''), "
+        "if(c_mktsegment = 'FURNITURE', 'x\"', ''), "
         f"CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE concat(',', {money('c_acctbal')}) END)",
     )
     prepend_line(lines, ",".join(f'"{n}"' for n in QUOTED.names)).write.text(src)
@@ -368,7 +422,7 @@ SELECT CASE WHEN NOT bad AND NOT torn THEN c_custkey END AS c_custkey,
            || '"' || c_mktsegment || '"' END AS c_name,
        CASE WHEN NOT bad AND NOT torn THEN CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) END AS c_acctbal,
        CASE WHEN bad OR torn THEN 'error' ELSE 'valid' END AS outcome,
-       CASE WHEN bad THEN 'c_acctbal' END AS field, CASE WHEN bad THEN 'missing' WHEN torn THEN 'unbalanced quote' END AS reason
+       CASE WHEN bad THEN 'c_acctbal' WHEN torn THEN '' END AS field, CASE WHEN bad THEN 'missing' WHEN torn THEN 'unbalanced quote' END AS reason
 FROM c"""
 
 
@@ -421,7 +475,80 @@ def folder_stream(spark, sf_dir):
 FOLDER_STREAM = f"""
 SELECT outcome, error_type, field, CAST(sum(n_rows) AS BIGINT) AS n_rows FROM ({INTAKE_OUTCOMES}) GROUP BY ALL"""
 
+def intake_reruns(spark, sf_dir):
+    """Runs that are tried again: one whose second attempt breaks, and one that is replaced."""
+    src, out, log = shared_dir(spark, "csv"), shared_dir(spark, "table"), shared_dir(spark, "audit")
+    lines = table(spark, sf_dir, "customer").selectExpr("concat_ws(',', c_custkey, c_name, c_mktsegment) AS value", "c_mktsegment")
+    lines.select("value").write.text(f"{src}/all")
+    lines.filter("c_mktsegment = 'BUILDING'").select("value").write.text(f"{src}/some")
+    contract = feed("c_custkey c_name c_mktsegment", has_header=False)
+    job = IntakeJob([f"{src}/all"], contract, out, log, execution_id="kept")
+    run_intake(spark, job)
+    try:
+        run_intake(spark, replace(job, paths=[f"{src}/gone"], started=datetime.now(timezone.utc)))
+    except AnalysisException:
+        pass  # the log says so
+    for part in ("all", "some"):
+        run_intake(spark, replace(job, paths=[f"{src}/{part}"], execution_id="replaced", started=datetime.now(timezone.utc)))
+    rows = loaded_rows(spark, out, contract).groupBy("execution_id").agg(F.count("*").alias("n_rows"))
+    states = audit.run_states(audit.read_events(spark, log)).select("execution_id", "status", "actual_count", "failure_reason")
+    tries = audit.attempt_states(audit.read_events(spark, log)).groupBy("execution_id").agg(
+        F.count("*").alias("attempts"), F.count_if(F.col("status") == "FAILED").alias("failed")
+    )
+    return rows.join(states, "execution_id").join(tries, "execution_id")
+
+
+INTAKE_RERUNS = """
+SELECT 'kept' AS execution_id, count(*) AS n_rows, 'PASSED' AS status, count(*) AS actual_count, NULL::VARCHAR AS failure_reason, 2 AS attempts, 1 AS failed
+FROM customer
+UNION ALL SELECT 'replaced', count(*), 'PASSED', count(*), NULL, 2, 0 FROM customer WHERE c_mktsegment = 'BUILDING'"""
+
+
+def stream_log(spark, sf_dir):
+    """The log of a stream whose batches are runs: one does not have the rows it was told to, one aborts and is tried again."""
+    src, out, log, told = (shared_dir(spark, n) for n in ("csv", "table", "audit", "control"))
+    lines = table(spark, sf_dir, "orders").selectExpr("o_orderstatus", "concat_ws(',', o_orderkey, o_orderpriority) AS value")
+    counts = {r.o_orderstatus: r["count"] for r in lines.groupBy("o_orderstatus").count().collect()}
+    for status, n in counts.items():
+        lines.filter(F.col("o_orderstatus") == status).select("value").coalesce(1).write.text(f"{src}/{status}")
+        spark.range(1).select(F.lit(f"record_count={n + (status == 'F')}").alias("value")).coalesce(1).write.text(f"{told}/{status}")
+    broken = {"O"}
+
+    def control_of(paths):
+        status = paths[0].split("/")[-2]
+        if status in broken:
+            broken.discard(status)
+            raise OSError("no control file yet")
+        return f"{told}/{status}"
+
+    contract, checkpoint = feed("o_orderkey o_orderpriority", has_header=False), shared_dir(spark, "stream")
+    for _ in range(2):
+        query = land_new_files(spark, f"{src}/*", contract, out, "batch", checkpoint, files_per_batch=1, audit_dir=log, control_of=control_of)
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            pass  # the second start goes on with the batch that aborted
+    states = audit.run_states(audit.read_events(spark, log))
+    tries = audit.attempt_states(audit.read_events(spark, log)).groupBy("execution_id").agg(F.count("*").alias("attempts"))
+    landed = read_landing(spark, out, contract).groupBy("execution_id").agg(F.count("*").alias("n_rows"))
+    return states.join(landed, "execution_id").join(tries, "execution_id").selectExpr(
+        "regexp_extract(file_path, '/([A-Z])/part', 1) AS o_orderstatus", "status", "expected_count", "actual_count", "failure_reason", "n_rows",
+        "attempts",
+    )
+
+
+STREAM_LOG = """
+SELECT o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN 'FAILED' ELSE 'PASSED' END AS status,
+       count(*) + CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS expected_count, count(*) AS actual_count,
+       CASE WHEN o_orderstatus = 'F' THEN 'Record count mismatch! Expected: ' || (count(*) + 1) || ', Actual: ' || count(*) || ', Difference: -1' END
+           AS failure_reason, count(*) AS n_rows, CASE WHEN o_orderstatus = 'O' THEN 2 ELSE 1 END AS attempts
+FROM orders GROUP BY o_orderstatus"""
+
 CATALOG = {
+    "xml_markup_files": Query(xml_markup_files, f"SELECT * FROM ({ORDERS_SQL}) WHERE o_orderstatus <> 'P'"),
+    "json_damaged_files": Query(json_damaged_files, JSON_DAMAGED_FILES),
+    "intake_reruns": Query(intake_reruns, INTAKE_RERUNS),
+    "stream_log": Query(stream_log, STREAM_LOG),
     "split_sizes": Query(split_sizes, SPLIT_SIZES),
     "split_listing": Query(split_listing, SPLIT_LISTING),
     "xml_files": Query(xml_files, ORDERS_SQL),
@@ -430,6 +557,7 @@ CATALOG = {
     "header_csv_scan": Query(header_csv_scan, HEADER_CSV_SCAN),
     "raw_line_scan": Query(raw_line_scan, RAW_LINE_SCAN),
     "split_manifest": Query(split_manifest, "SELECT count(*) AS total_rows, true AS has_parts FROM orders"),
+    "split_bounded_parts": Query(split_bounded_parts, SPLIT_BOUNDED_PARTS),
     "split_csv_files": Query(split_csv_files, ORDERS_SQL),
     "split_xml_files": Query(split_xml_files, ORDERS_SQL),
     "split_json_files": Query(split_json_files, ORDERS_SQL),

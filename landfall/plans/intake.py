@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -141,7 +141,7 @@ class IntakeJob:
     contract: Contract
     location: str
     audit_dir: str
-    control_path: str | None = None
+    control_path: str | Callable[[], str | None] | None = None
     base64_key: str | None = field(default=None, repr=False)
     execution_id: str = field(default_factory=lambda: str(uuid.uuid4()))
     started: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
@@ -224,7 +224,7 @@ def _run(spark: SparkSession, job: IntakeJob) -> IntakeResult:
         key = key_column(spark, job.base64_key) if job.contract.encrypted or job.base64_key else None
         if job.database:  # before anything is written
             _refuse_second_load(spark, job)
-        expected = expected_count(spark, job.control_path)
+        expected = expected_count(spark, job.control_path() if callable(job.control_path) else job.control_path)
         parsed = read_feed(spark, *_source(spark, job))
         rows = landing_rows(parsed, job.contract, job.execution_id, job.started, key)
         counts = write_landing(rows, job.location, job.execution_id, attempt)
