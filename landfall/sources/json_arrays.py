@@ -67,6 +67,12 @@ def _ints(run: pa.RecordBatch, name: str) -> np.ndarray:
     return run.column(name).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+_SUM = pa.schema([
+    ("_source_file", pa.string()), ("_block", pa.int64()), ("_size", pa.int64()), ("id", pa.int64()), ("listed", pa.bool_()), ("key", pa.string()),
+    ("quotes", pa.int64()), ("from_out", pa.int64()), ("from_in", pa.int64()), ("bytes", pa.int64()),
+])
+
+
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each stretch of a split: its quotes, its change of depth from either start, its bytes."""
     for batch in batches:
@@ -81,7 +87,7 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "quotes": int(quotes.sum() % 2), "from_out": int(np.where(odd, inside, out).sum()),
                 "from_in": int(np.where(odd, out, inside).sum()), "bytes": int(_ints(run, "bytes").sum()),
             }
-            yield pa.RecordBatch.from_pylist([row])
+            yield pa.RecordBatch.from_pylist([row], _SUM)
 
 
 def _unpacked_sizes(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -218,8 +224,9 @@ class _DamagedSplit(_Split):
                 return
             at = begin.start(1) if begin else len(text)
             head = text[:at].rstrip()
-            if begin is None and self.listed and head.endswith("]"):
-                head, closed = head[:-1], True
+            if begin is None and self.listed:
+                closed = not head.endswith("}")  # closed, or torn within an element, which is an error by itself
+                head = head.removesuffix("]")
             yield self._piece("head", head)
         decode = json.JSONDecoder().raw_decode
         while True:
@@ -238,7 +245,7 @@ class _DamagedSplit(_Split):
                 if begin is None and not self.last:
                     yield self._piece("tail", text[at:])
                     return
-                closed = closed or (begin is None and text.rstrip().endswith("]"))
+                closed = closed or begin is None  # torn: an error by itself
                 yield self._piece("full", text[at:end])
             at = end
         if not closed:
