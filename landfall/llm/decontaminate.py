@@ -29,6 +29,8 @@ _UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u
 _WORD = re.compile(f"[^\\W{_UNSPACED}]+|[{_UNSPACED}]")
 #: Words of the shortest item that condemns a document; share of an item's alignment score that counts as a leak; words of benchmark text per block.
 SHORTEST, LEAST, BLOCK_WORDS = 3, 0.6, 2_000_000
+#: Words of a document whose seeds are held at a time.
+WINDOW_WORDS = 4096
 MATCH, MISMATCH, GAP = 2, -1, -1
 
 
@@ -80,6 +82,8 @@ class Index:
         self.base = len(self.ids) + 1
         self.needed = [needed(len(w), least_of(len(w), least)) for _, w in self.items]
         self.drift = np.array([drift(len(w), least_of(len(w), least)) for _, w in self.items], np.int64)
+        #: No passage is longer than this.
+        self.reach = max((len(w) + d for (_, w), d in zip(self.items, self.drift.tolist(), strict=True)), default=0) + 1
         own = [self.codes(w, n) for (_, w), (n, _) in zip(self.items, self.needed, strict=True)]
         self.grams = np.unique(np.concatenate([np.empty(0, np.int64), *own]))
         self.own = [np.searchsorted(self.grams, c) for c in own]
@@ -124,22 +128,37 @@ class Index:
         first = np.searchsorted(gram[order], np.arange(len(self.grams) + 1))
         return Seeds(first, item[order], at[order], np.array(least, np.int64))
 
-    def passages(self, words: np.ndarray, seeds: Seeds) -> dict[int, list[int]]:
-        """Of each item that can align: where it would begin, by the seeds that stand close enough together."""
+    def passages(self, words: np.ndarray, seeds: Seeds, window: int = WINDOW_WORDS) -> dict[int, list[int]]:
+        """Of each item that can align: where it would begin, by the seeds that stand close enough together.
+
+        The document is read in windows that overlap by the longest passage, so every passage lies whole in
+        one of them, and what is held at a time does not grow with the document.
+        """
         place, gram = self.hits(words)
+        order = np.argsort(place, kind="stable")
+        place, gram = place[order], gram[order]
+        starts: dict[int, list[int]] = defaultdict(list)
+        window = max(window, 2 * self.reach)
+        for a in range(0, max(1, len(words) - self.reach), window - self.reach):
+            x, y = np.searchsorted(place, [a, a + window])
+            for k, at in zip(*self._close(place[x:y], gram[x:y], seeds), strict=True):
+                starts[k].append(at)
+        return starts
+
+    def _close(self, place: np.ndarray, gram: np.ndarray, seeds: Seeds) -> tuple[list[int], list[int]]:
+        """Items and where they would begin, if enough of their seeds follow within their drift."""
         many = seeds.first[gram + 1] - seeds.first[gram]
         total = int(many.sum())
+        if not total:
+            return [], []
         entry = np.repeat(seeds.first[gram] - np.cumsum(many) + many, many) + np.arange(total)
         item, begin = seeds.item[entry], np.repeat(place, many) - seeds.at[entry]
-        width = len(words) + int(self.drift.max(initial=0)) + 1  # keeps the keys of two items apart
-        low = int(begin.min(initial=0))
-        key = np.sort(item * (width - low) + begin - low)
-        item, begin = key // (width - low), key % (width - low) + low
+        low = int(begin.min())
+        width = int(begin.max()) - low + int(self.drift.max(initial=0)) + 1  # keeps the keys of two items apart
+        key = np.sort(item * width + begin - low)
+        item, begin = key // width, key % width + low
         close = np.searchsorted(key, key + self.drift[item], "right") - np.arange(total) >= seeds.least[item]
-        starts: dict[int, list[int]] = defaultdict(list)
-        for k, at in zip(item[close].tolist(), begin[close].tolist(), strict=True):
-            starts[k].append(at)
-        return starts
+        return item[close].tolist(), begin[close].tolist()
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:

@@ -94,3 +94,21 @@ def test_blocks_leave_no_broadcast(spark):
     got = decontaminate.leaks(df, benchmark, block_words=4)
     assert {(r.doc_id, r.item_id) for r in got.collect()} == {(1, 1), (2, 2)}
     assert not re.search("MapInArrow", got._jdf.queryExecution().toString())
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_windows_of_a_long_document_miss_no_passage(seed):
+    """Windows of any length give the starts that the whole document at once gives."""
+    rng = random.Random(seed)
+    items = [(i, " ".join(f"w{rng.randrange(60)}" for _ in range(rng.choice([1, 3, 8, 25])))) for i in range(12)]
+    index = decontaminate.Index(items, 0.6)
+    frequency = {g: rng.randrange(50) for g in range(len(index.grams))}
+    seeds = index.seeds(frequency)
+    text = " ".join(rng.choice([f"w{rng.randrange(80)}", rng.choice(items)[1]]) for _ in range(300))
+    for document in (text, "", "w1", items[3][1]):
+        words = index.numbers(document)
+        whole = {k: sorted(set(v)) for k, v in index.passages(words, seeds, window=10**9).items()}
+        for window in (1, 90, 200):
+            assert {k: sorted(set(v)) for k, v in index.passages(words, seeds, window=window).items()} == whole
+    assert index.passages(index.numbers(text), seeds)
+    assert decontaminate.Index([], 0.6).passages(index.numbers(text)[:0], decontaminate.Index([], 0.6).seeds({})) == {}
