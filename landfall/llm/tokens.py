@@ -24,10 +24,13 @@ from landfall.llm.base import remember
 #: Words and pieces a worker remembers, by dictionary and generation (two dictionaries of two generations,
 #: some 150 bytes an entry), and the longest of them.
 KEPT, LONGEST = 250_000, 64
-_MARKS = frozenset(".,;:!?")
+#: ASCII marks that end a word and are one piece, however many follow each other.
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^`{|}~"
 _FINE = re.compile(r"[\t-\r ]*[^\w\t-\r ]*\w+|[\t-\r ]*[^\w\t-\r ]+|[\t-\r ]+")
 _COARSE = re.compile(r"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
 _ODD = re.compile("[\x00-\x08\x0e-\x1f\x7f-\xa0\xad\u0130\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]")
+#: ASCII white space other than the blank.
+_BREAKS = "\n\t\r\x0b\x0c"
 #: A blank that isn't followed by a word: then the cut at blanks is not certain.
 _DOUBLE = ("  ", " \n", " \t", " \r", " \x0b", " \x0c")
 
@@ -105,6 +108,10 @@ class Encoder:
         if not text:
             return b""
         try:
+            if self.strips:  # white space has no ids and any of it ends a pre-token
+                for c in _BREAKS:
+                    text = text.replace(c, " ")
+                return b"".join(map(self.words.__getitem__, text.split(" ")))
             if text[-1] == " " or any(d in text for d in _DOUBLE):
                 return b"".join(map(self.heads.__getitem__, _COARSE.findall(text)))
             head, *words = text.split(" ")
@@ -115,8 +122,9 @@ class Encoder:
     def _work_out(self, before: str, word: str) -> bytes:
         if word.isalpha() and self.by_model and (word.isascii() or is_normalized("NFC", word) and "Σ" not in word and "\u0130" not in word):
             return self._by_model(before, word)
-        if word[-1] in _MARKS and word[:-1].isalpha() and (word.isascii() or is_normalized("NFC", word)):
-            return (self.words if before else self.heads)[word[:-1]] + self.heads[word[-1]]
+        bare = word.rstrip(_MARKS)
+        if bare != word and bare.isalpha() and (word.isascii() or is_normalized("NFC", word)):
+            return (self.words if before else self.heads)[bare] + self.heads[word[len(bare) :]]
         if _ODD.search(word):
             raise _Uncertain
         if "_" in word or not (word.isascii() or is_normalized("NFC", word)):
