@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable, Iterator, Sequence
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,11 @@ _PACKED = r"(?i)\.(gz|bz2|deflate|zst|lz4|snappy)$"
 _FIRST_KEY = r'^\s*\[?\s*\{\s*("(?:[^"\\]|\\.){0,200}")\s*:'
 #: The root of a piece that is one element, of a file whose brackets do not pair up.
 ELEMENT = 2
+#: Characters that are decoded at first to find the end of an element, and those before the end of them that a cut may have changed.
+_WINDOW, _MARGIN = 4096, 16
+#: Pieces in a batch on their way out of a task.
+_PIECES = 5000
+_GAP = re.compile(r"[\s,]*")
 
 
 def _removed(text: str, pattern: str) -> str:
@@ -193,6 +199,30 @@ class _Split:
             yield self.piece("tail")
 
 
+def _element_end(text: str, at: int) -> int | None:
+    """Where the JSON value that begins at ``at`` ends; None if there is none.
+
+    An error counts the lines of all text before it, so only a window of the text is decoded, and a wider one
+    as long as the outcome could be that of the window's end.
+    """
+    width = _WINDOW
+    while True:
+        window, whole = text[at : at + width], at + width >= len(text)
+        try:
+            end = _DECODE(window)[1]
+            if whole or window[0] in '{["' or end < width - _MARGIN:
+                return at + end
+        except json.JSONDecodeError as e:
+            if whole or (e.pos < width - _MARGIN and not e.msg.startswith("Unterminated string")):
+                return None
+        except RecursionError:
+            return None
+        width *= 4
+
+
+_DECODE = json.JSONDecoder().raw_decode
+
+
 class _DamagedSplit(_Split):
     """Elements of one file split by themselves, whatever stood before it."""
 
@@ -228,25 +258,23 @@ class _DamagedSplit(_Split):
                 closed = not head.endswith("}")  # closed, or torn within an element, which is an error by itself
                 head = head.removesuffix("]")
             yield self._piece("head", head)
-        decode = json.JSONDecoder().raw_decode
+        size, filled = len(text), len(text.rstrip())
         while True:
-            at = re.compile(r"[\s,]*").match(text, at).end()
-            if at == len(text):
+            at = _GAP.match(text, at).end()
+            if at == size:
                 break
-            if self.listed and text[at] == "]" and not text[at + 1 :].strip():
+            if self.listed and text[at] == "]" and at + 1 >= filled:
                 closed = True
                 break
-            try:
-                end = decode(text, at)[1]
-                yield self._piece("full", text[at:end])
-            except (ValueError, RecursionError):
+            end = _element_end(text, at)
+            if end is None:
                 begin = self.begins.search(text, at + 1)
-                end = begin.start(1) if begin else len(text)
+                end = begin.start(1) if begin else size
                 if begin is None and not self.last:
                     yield self._piece("tail", text[at:])
                     return
                 closed = closed or begin is None  # torn: an error by itself
-                yield self._piece("full", text[at:end])
+            yield self._piece("full", text[at:end])
             at = end
         if not closed:
             yield self._piece("full", "[")  # the bracket that nothing closes
@@ -259,18 +287,21 @@ _PIECE = pa.schema([
 
 
 def _pieces(wanted: Callable[[str], bool]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         split = None
         for batch in batches:
-            out = []
             for run in _runs(batch):
                 if split is None or not split.is_next(run):
-                    out += split.close() if split else ()
+                    yield from split.close() if split else ()
                     split = _Split.of(run)
-                out += split.add(run)
-            yield pa.RecordBatch.from_pylist([p for p in out if wanted(p["kind"])], _PIECE)
+                yield from split.add(run)
         if split:
-            yield pa.RecordBatch.from_pylist([p for p in split.close() if wanted(p["kind"])], _PIECE)
+            yield from split.close()
+
+    def run_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = (p for p in pieces(batches) if wanted(p["kind"]))
+        while few := list(islice(found, _PIECES)):
+            yield pa.RecordBatch.from_pylist(few, _PIECE)
 
     return run_all
 

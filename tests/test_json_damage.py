@@ -3,11 +3,12 @@
 import gzip
 import json
 
+import pyarrow as pa
 import pytest
 
 from landfall import Policy
 from landfall.contract import Contract, FieldRule
-from landfall.sources import read_feed
+from landfall.sources import json_arrays, read_feed
 
 FEED = Contract((FieldRule("a"), FieldRule("b")), format="JSON", is_json_array=True)
 
@@ -98,3 +99,35 @@ def test_lines_of_other_formats_packed(spark, tmp_path, packed):
         for policy in (Policy(), Policy.lenient()):
             rows = read_feed(spark, str(folder), contract.with_policy(policy)).select("a", "_error.type").collect()
             assert sorted(map(tuple, rows)) == [("1", None), ("2", None)]
+
+
+def test_work_on_broken_elements_grows_with_the_text(monkeypatch):
+    seen, init = [], json.JSONDecodeError.__init__
+
+    def counted(self, msg, doc, pos):
+        seen.append(min(len(doc), pos))  # the constructor counts the lines of the text before the error
+        init(self, msg, doc, pos)
+
+    monkeypatch.setattr(json.JSONDecodeError, "__init__", counted)
+    elements = [json.dumps({"a": str(k), "b": "x" * 80}) for k in range(3000)]
+    text = "[\n" + "\n,".join(e[:-1] if k % 3 == 0 else e for k, e in enumerate(elements)) + "\n]\n"
+    chunks = text.split("}")
+    state = {"_source_file": "f", "_block": 0, "_source_ts": None, "quoted": 0, "depth": 0, "root": 1, "first": True, "last": True,
+             "open": True, "damaged": True, "first_key": '"a"'}
+    run = pa.RecordBatch.from_pydict({n: [v] * len(chunks) for n, v in state.items()} | {"value": chunks})
+    split = json_arrays._Split.of(run)
+    found = [p["value"].strip() for p in [*split.add(run), *split.close()]]
+    assert sum(seen) < 10 * len(text)
+    assert [f.rstrip(",\n") for f in found] == [e[:-1] if k % 3 == 0 else e for k, e in enumerate(elements)]
+
+
+@pytest.mark.parametrize("value", ['{"a": 1}', '["x", null]', "true", "-Infinity", "12.5e3", '"\\ud83d\\ude00"', '{"a": tru}', '{"a": "\\q"}', '{"a": [1, 2}', '"a', '{"a" 1}', "]"])
+@pytest.mark.parametrize("before", [0, 4070, 4088, 4094, 16370])
+def test_element_ends_as_the_whole_text_says(value, before):
+    for text in (f'["{"x" * before}", {value}, 1]', f'[{" " * before}{value}', f'{{"k": "{"x" * before}", "v": {value}}} , 2'):
+        for at in (0, 1, text.find(value)):
+            try:
+                end = json.JSONDecoder().raw_decode(text, at)[1]
+            except ValueError:
+                end = None
+            assert json_arrays._element_end(text, at) == end
