@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections import namedtuple
 from collections.abc import Callable, Iterator, Sequence
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,19 @@ def stretches(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     return (batch.slice(a, b - a) for a, b in zip(edges, edges[1:]) if b > a)
 
 
+def folded_by_file(told: DataFrame, order: Sequence[str], fold: Callable[[list], list[tuple]], schema: pa.Schema, ddl: str) -> DataFrame:
+    """What ``fold`` makes of the rows of each ``file``, in order; one file at a time is held, and many small ones share a task."""
+    row = namedtuple("row", told.columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row(*r) for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        made = (m for _, file in groupby(rows, lambda r: r.file) for m in fold(list(file)))
+        while few := list(islice(made, 5000)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*few, strict=True), schema, strict=True)], schema=schema)
+
+    return told.repartition("file").sortWithinPartitions("file", *order).mapInArrow(run, ddl)
+
+
 def place_of(part: pa.RecordBatch) -> tuple[int, int]:
     return part.column("_file")[0].as_py(), part.column("_block")[0].as_py()
 
@@ -87,10 +102,13 @@ def assembled(split_of: Callable[[pa.RecordBatch], Split], full: bool) -> Callab
     return run
 
 
-def records(begun: DataFrame, split_of: Callable[[pa.RecordBatch], Split], separator: str) -> DataFrame:
-    """(value, _source_file, _source_ts, closed) of every record; only what reaches over an edge is shuffled, a row or two a split."""
+def records(begun: DataFrame, with_edges: DataFrame, split_of: Callable[[pa.RecordBatch], Split], separator: str) -> DataFrame:
+    """(value, _source_file, _source_ts, closed) of every record; only what reaches over an edge is shuffled, a row or two a split.
+
+    ``with_edges`` are the chunks of the files that may have such pieces.
+    """
     full = begun.mapInArrow(assembled(split_of, True), PIECE).withColumn("closed", F.lit(True))
-    edges = begun.mapInArrow(assembled(split_of, False), PIECE)
+    edges = with_edges.mapInArrow(assembled(split_of, False), PIECE)
     place = F.expr(f"CASE kind WHEN '{HEAD}' THEN 0 WHEN '{WHOLE}' THEN 1 ELSE 2 END")
     order = Window.partitionBy("_source_file").orderBy("_block", "place")
     seams = edges.withColumn("place", place).withColumn("seam", F.sum(F.expr(f"cast(kind = '{TAIL}' as int)")).over(order))

@@ -13,11 +13,10 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from landfall.sources.edges import BEHIND, FULL, HEAD, SOUND, TAIL, TORN, WHOLE, Split, place_of, records, scan_splits, stretches
+from landfall.sources.edges import BEHIND, FULL, HEAD, SOUND, TAIL, TORN, WHOLE, Split, folded_by_file, place_of, records, scan_splits, stretches
 
 #: Lexer states. In PLAIN nothing but row tags is markup.
 TEXT, COMMENT, CDATA, INSTRUCTION, PLAIN = range(5)
@@ -84,6 +83,11 @@ class _Lane:
                 self.low = min(self.low, self.change)
             self.last = int(kind == OPEN)
 
+    def follow(self, other: _Lane) -> None:
+        """What ``other`` has met comes next, and changes no state."""
+        self.low, self.change = min(self.low, self.change + other.low), self.change + other.change
+        self.last = self.last if other.last < 0 else other.last
+
     def row(self) -> tuple[int, ...]:
         return self.begin, self.state, self.change, self.low, self.last, int(self.stays)
 
@@ -95,6 +99,12 @@ def _summed(row_tag: str, loose: bool) -> Callable[[Iterator[pa.RecordBatch]], I
     """A row for each stretch of a split and state it could begin with."""
     sep = separator(row_tag)
 
+    def settle(lanes: list[_Lane], plain: _Lane) -> None:
+        """Tags of text without any other markup count in every state that they are read in."""
+        for lane in lanes:
+            if lane.state not in _ENDS:
+                lane.follow(plain)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexer, before = Lexer(row_tag, loose), None
         for batch in batches:
@@ -102,19 +112,21 @@ def _summed(row_tag: str, loose: bool) -> Callable[[Iterator[pa.RecordBatch]], I
             for part in stretches(batch):
                 first = place_of(part)[1] == 0 and place_of(part) != before
                 before = place_of(part)
-                lanes = [_Lane(s) for s in range(5)]
-                for k, value in enumerate(part.column("value").to_pylist()):
+                lanes, plain = [_Lane(s) for s in range(5)], _Lane(PLAIN)
+                values = part.column("value").to_pylist()
+                signs = lexer.has_signs("\n".join(values))
+                for k, value in enumerate(values):
                     text = value if first and k == 0 else sep + value
-                    if not lexer.has_signs(text):
-                        tags, *_ = lexer.tags(text, PLAIN)
-                        for lane in lanes:
-                            if lane.state not in _ENDS:
-                                lane.go(tags, lane.state, False)
+                    if not (signs and lexer.has_signs(text)):
+                        plain.go(lexer.tags(text, PLAIN)[0], PLAIN, False)
                         continue
+                    settle(lanes, plain)
+                    plain = _Lane(PLAIN)
                     seen = {state: lexer.tags(text, state) for state in {lane.state for lane in lanes}}
                     for lane in lanes:
                         tags, after, since = seen[lane.state]
                         lane.go(tags, after, after != lane.state or since >= 0)
+                settle(lanes, plain)
                 rows += [(*before, part.column("id")[0].as_py(), *lane.row()) for lane in lanes]
             columns = zip(*rows, strict=True) if rows else [()] * len(_SUMS)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=_SUMS)
@@ -139,20 +151,25 @@ def _walk(steps: list[list], torn: int | None) -> tuple[list[tuple], int, int, i
     return list(starts.values()), state, depth, low, begun
 
 
-def _folded(rows: pd.DataFrame) -> pd.DataFrame:
-    """How each split of one file begins; ``rows`` has a row or few for each split and state."""
-    ordered = list(rows.sort_values(["block", "id", "begin"]).itertuples())
+_STARTS = pa.schema([
+    ("_file", pa.int64()), ("_block", pa.int64()), ("state", pa.int32()), ("depth", pa.int64()), ("flat", pa.bool_()), ("fate", pa.int32()),
+    ("alone", pa.bool_()),
+])
+
+
+def _folded(ordered: list) -> list[tuple]:
+    """How each split of one file begins, and whether the file has no edges; a row or few for each split and state, in order."""
     steps = [ordered[i : i + 5] for i in range(0, len(ordered), 5)]
     starts, state, depth, low, begun = _walk(steps, None)
     torn = begun if state in _ENDS else None
     if torn is not None:
         starts, *_ = _walk(steps, torn)
     flat = torn is not None or depth != 0 or low < 0
-    fate = [SOUND if torn is None or b < torn else TORN if b == torn else BEHIND for b, *_ in starts]
-    return pd.DataFrame({
-        "_file": rows["file"].iloc[0], "_block": [b for b, *_ in starts], "state": [s for _, s, *_ in starts],
-        "depth": [o if flat else d for _, _, d, o in starts], "flat": flat, "fate": fate,
-    })
+    alone = len(starts) == 1 and not flat
+    return [
+        (ordered[0].file, b, s, o if flat else d, flat, SOUND if torn is None or b < torn else TORN if b == torn else BEHIND, alone)
+        for b, s, d, o in starts
+    ]
 
 
 class _Elements(Split):
@@ -195,10 +212,12 @@ class _Elements(Split):
             self.text.append(text[begin:])
 
     def add(self, part: pa.RecordBatch) -> Iterator[tuple]:
-        for value in part.column("value").to_pylist():
+        values = part.column("value").to_pylist()
+        signs = self.lexer.has_signs("\n".join(values))
+        for value in values:
             text = value if self.first else self.sep + value
             self.first = False
-            if not self.lexer.has_signs(text):
+            if not (signs and self.lexer.has_signs(text)):
                 if self.doubt:
                     self.doubt.append(text)
                 else:
@@ -233,8 +252,10 @@ def xml_elements(spark: SparkSession, paths: str | Sequence[str], row_tag: str,
     chunks = scan_splits(spark, paths, separator(row_tag))
     told = chunks.selectExpr("_file", "_block", "monotonically_increasing_id() AS id", "value")
     told = told.mapInArrow(_summed(row_tag, loose), ", ".join(f"{n} long" for n in _SUMS))
-    starts = told.groupBy("file").applyInPandas(_folded, "_file long, _block long, state int, depth long, flat boolean, fate int")
+    ddl = "_file long, _block long, state int, depth long, flat boolean, fate int, alone boolean"
+    starts = folded_by_file(told, ["block", "id", "begin"], _folded, _STARTS, ddl)
     # A few numbers for each file split, which the driver has planned one by one already.
     begun = chunks.join(F.broadcast(starts), ["_file", "_block"])
-    begun = begun.select("_file", "_block", "_source_file", "_source_ts", "value", "state", "depth", "flat", "fate")
-    return records(begun, lambda part: _Elements(part, Lexer(row_tag, loose), separator(row_tag)), "")
+    columns = ["_file", "_block", "_source_file", "_source_ts", "value", "state", "depth", "flat", "fate"]
+    # A file that is one split and closes all it opens has no edges.
+    return records(begun.select(columns), begun.filter("NOT alone").select(columns), lambda part: _Elements(part, Lexer(row_tag, loose), separator(row_tag)), "")

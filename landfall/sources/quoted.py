@@ -13,12 +13,11 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from landfall.functions.sql import lit
-from landfall.sources.edges import BEHIND, FULL, HEAD, SOUND, TAIL, TORN, WHOLE, Split, place_of, records, scan_splits, stretches
+from landfall.sources.edges import BEHIND, FULL, HEAD, SOUND, TAIL, TORN, WHOLE, Split, folded_by_file, place_of, records, scan_splits, stretches
 
 
 def quote_states(delimiter: str, quote: str) -> tuple[Callable[[str], bool], Callable[[str], bool]]:
@@ -55,17 +54,20 @@ def _summed(delimiter: str, quote: str) -> Callable[[Iterator[pa.RecordBatch]],
     return run
 
 
-def _folded(splits: pd.DataFrame) -> pd.DataFrame:
-    """The state each split of one file begins with, and what becomes of it; ``splits`` has a row or few for each."""
+_STARTS = pa.schema([("_file", pa.int64()), ("_block", pa.int64()), ("inside", pa.bool_()), ("fate", pa.int32())])
+
+
+def _folded(splits: list) -> list[tuple]:
+    """The state each split of one file begins with, and what becomes of it; ``splits`` has a row or few for each, in order."""
     inside, begun, starts = False, None, {}
-    for r in splits.sort_values(["block", "id"]).itertuples():
+    for r in splits:
         starts.setdefault(r.block, inside)
         after = r.within if inside else r.out
         if after and not (inside and r.stays):
             begun = r.block
         inside = after
     fate = [SOUND if not inside or b < begun else TORN if b == begun else BEHIND for b in starts]
-    return pd.DataFrame({"_file": splits["file"].iloc[0], "_block": list(starts), "inside": list(starts.values()), "fate": fate})
+    return [(splits[0].file, b, i, f) for (b, i), f in zip(starts.items(), fate, strict=True)]
 
 
 def _starts(lines: DataFrame, delimiter: str, quote: str) -> DataFrame:
@@ -73,7 +75,7 @@ def _starts(lines: DataFrame, delimiter: str, quote: str) -> DataFrame:
     told = lines.selectExpr(
         "_file", "_block", "monotonically_increasing_id() AS id", f"CASE WHEN contains(value, {lit(quote)}) THEN value END AS line"
     ).mapInArrow(_summed(delimiter, quote), "file long, block long, id long, out boolean, within boolean, stays boolean")
-    return told.groupBy("file").applyInPandas(_folded, "_file long, _block long, inside boolean, fate int")
+    return folded_by_file(told, ["block", "id"], _folded, _STARTS, "_file long, _block long, inside boolean, fate int")
 
 
 class _Lines(Split):
@@ -116,5 +118,5 @@ def quoted_records(spark: SparkSession, paths: str | Sequence[str], delimiter: s
     # Two numbers and two flags for each file split, which the driver has planned one by one already.
     begun = lines.join(F.broadcast(_starts(lines, delimiter, quote)), ["_file", "_block"])
     begun = begun.select("_file", "_block", "_source_file", "_source_ts", "value", "inside", "fate")
-    found = records(begun, lambda part: _Lines(part, delimiter, quote), "\n").drop("closed")
+    found = records(begun, begun, lambda part: _Lines(part, delimiter, quote), "\n").drop("closed")
     return found.withColumn("value", F.expr(r"if(endswith(value, '\r'), substring(value, 1, length(value) - 1), value)"))
