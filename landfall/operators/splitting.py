@@ -1,13 +1,15 @@
 """Size-bounded splitting of large files into parts, and the manifest of the parts.
 
 Nothing is shuffled for line- or chunk-separable input: the scan itself cuts the
-file into ranges of the target size and each range is written as one part.
+file into ranges of the target size and each range is written as one part. Small parts of
+XML and JSON arrays are put together in tasks that read ranges of the usual size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from landfall.contract import Contract
@@ -25,6 +27,8 @@ from landfall.sources.scan import file_sizes, scan_text
 # state a target near the block size of the storage instead.
 THRESHOLD_KB = 5120
 TARGET_KB = 1024
+#: Parts of XML and JSON arrays up to this size are put together in tasks that read many of them.
+PACKED_KB = 16384
 
 
 def needs_split(length: str, threshold_kb: int = THRESHOLD_KB) -> str:
@@ -98,13 +102,47 @@ def wrap_partitions(rows: DataFrame, head: str, tail: str, every: int | None = N
     return rows.select("value").mapInArrow(_wrapper(head, tail, every), "value string")
 
 
+def _packer(head: str | None, tail: str | None, target: int, every: int | None):
+    def pack(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        def part(rows: list[str]):
+            text = "\n".join([*([head] if head is not None else []), *rows, *([tail] if tail is not None else [])])
+            return pa.RecordBatch.from_pydict({"value": [text]})
+
+        held, size = [], 0
+        for batch in batches:
+            column = batch.column(0)
+            for value, n in zip(column.to_pylist(), pc.binary_length(column).to_pylist(), strict=True):
+                if held and (size + (n or 0) >= target or len(held) == every):
+                    yield part(held)
+                    held, size = [], 0
+                held.append(value or "")
+                size += (n or 0) + 1
+        if held:
+            yield part(held)
+
+    return pack
+
+
+def pack_parts(rows: DataFrame, head: str | None, tail: str | None, target_kb: int, every: int | None = None) -> DataFrame:
+    """The ``value`` rows of each partition as texts of at most the target size and ``every`` so many rows, each with its head and tail.
+
+    A row that is larger by itself is a part.
+    """
+    around = sum(len(t.encode()) + 1 for t in (head, tail) if t is not None)
+    return rows.select("value").mapInArrow(_packer(head, tail, max(1, target_kb * 1024 - around), every), "value string")
+
+
 def _source_rows(session: SparkSession, path, contract: Contract, target_kb: int) -> DataFrame:
     one_line = replace_pattern("value", r"[\r\n]+", " ")
     if is_whole_document(contract):
-        # The records are known after the parse only, so they are dealt out afterwards.
-        n = file_sizes(session, path).agg(F.expr(f"sum({part_count('length', target_kb)})")).first()[0]
         records = json_arrays(session, path, contract.policy.reject_missing)
         rows = records.selectExpr("coalesce(value, _document) AS value").selectExpr(f"{one_line} AS value")
+        if target_kb <= PACKED_KB:
+            return rows
+        # The records are known after the parse only, so they are dealt out afterwards.
+        n = file_sizes(session, path).agg(F.expr(f"sum({part_count('length', target_kb)})")).first()[0]
         return rows.repartition(int(n))
     if contract.format == "XML":
         return xml_elements(session, path, contract.row_tag, not contract.policy.reject_missing).select("value")
@@ -136,9 +174,13 @@ def split_files(
     element, JSON parts are JSON lines. With ``max_rows`` no part has more rows than that:
     a task closes its file and begins the next one, header or root element included.
     """
-    session = _sized_session(spark, target_kb)
-    rows, around = _source_rows(session, path, contract, target_kb), 0
-    if contract.format == "CSV" and contract.has_header:
+    packed = target_kb <= PACKED_KB and (contract.format == "XML" or is_whole_document(contract))
+    # Where a record begins takes several passes in Python: a task for each small part would cost more than its text.
+    rows, around = _source_rows(spark if packed else _sized_session(spark, target_kb), path, contract, target_kb), 0
+    if packed:
+        root = contract.format == "XML" and (root_tag or contract.row_tag + "s")
+        rows, around, max_rows = pack_parts(rows, *((f"<{root}>", f"</{root}>") if root else (None, None)), target_kb, max_rows), 0, 1
+    elif contract.format == "CSV" and contract.has_header:
         rows, around = prepend_line(rows, header or contract.delimiter.join(contract.names), max_rows), 1
     elif contract.format == "XML":
         root = root_tag or contract.row_tag + "s"
