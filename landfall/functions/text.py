@@ -38,8 +38,11 @@ def strip_start(c: str) -> str:
 
 
 def is_blank(c: str) -> str:
-    """Nothing but characters up to U+0020; null for null. Looks no further than the first other one."""
-    return f"({strip_start(c)} = '')"
+    """Nothing but characters up to U+0020; null for null. Looks no further than the first other one.
+
+    Texts compare by their bytes, so what begins with another character is not below '!', and is not trimmed.
+    """
+    return f"({c} < '!' AND {strip_start(c)} = '')"
 
 
 def split_literal(c: str, delimiter: str) -> str:

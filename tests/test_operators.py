@@ -69,6 +69,38 @@ class TestText:
             assert u == len(t.encode("utf-16-be")) // 2
             assert json.loads(q) == t
 
+    def test_blanks_end_at_u0020(self, spark):
+        texts = [None, "", " ", "\x00\x1f ", " !", "!", "a", "\x7f", "\x80", "\u00a0", "é", "𝒳"]
+        wanted = [None, True, True, True, *[False] * 8]
+        assert [b for (b,) in values(spark, texts, is_blank("c"))] == wanted
+
+    def test_good_rows_meet_no_lambda(self, spark):
+        """What is interpreted stands behind a check that is compiled, and the outcome is the lambda's."""
+        fields = [FieldRule("a", required=True, max_length=2), FieldRule("b", required=True, min_length=1, max_length=3), FieldRule("c", required=True)]
+        cells = [None, "", " ", "!", "é", "𝒳𝒳", "abcd"]
+        rows = [(a, b, c) for a in cells for b in cells for c in ("", "x")]
+        df = spark.createDataFrame(rows, "a string, b string, c string").selectExpr("*", "cast(NULL as array<string>) AS _missing", f"{NO_ERROR} AS _error")
+        checked = validate(df, Contract(tuple(fields)))
+        plan = checked._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("least(!") < plan.index("exists(") and "greatest(0" in plan and plan.count("exists(") == 1
+
+        def wanted(row):
+            texts = [None if v is None else v.strip(" ") for v in row]
+            if not any(texts):
+                return "", ""
+            for name, v in zip("abc", texts, strict=True):
+                if not v:
+                    return name, "null" if v is None else "empty"
+            for name, v, low, high in (("a", row[0], 0, 2), ("b", row[1], 1, 3)):
+                n = len(v.encode("utf-16-be")) // 2
+                if not low <= n <= high:
+                    return name, f"length {n} outside {low}..{high}"
+            return None, None
+
+        for r in checked.collect():
+            got = (r._error.field, r._error.reason) if r._error else (None, None)
+            assert got == wanted((r.a, r.b, r.c)), r
+
     def test_rest(self, spark):
         assert values(spark, ["x" * 200, "x" * 201], f"length({preview('c')})") == [(200,), (203,)]
         assert values(spark, ["/a/b.csv", "b.csv"], base_name("c")) == [("b.csv",), ("b.csv",)]
