@@ -12,6 +12,9 @@ from landfall.functions.text import is_blank, utf16_length
 
 STAGE = "warehouse"
 
+#: Up to so many rules, a compiled check stands before the lambda, which is interpreted. Beyond, compiling it would cost more.
+COMPILED = 16
+
 
 def kinds_of(df: DataFrame) -> dict[str, T.DataType]:
     return {f.name: f.dataType for f in df.schema.fields}
@@ -98,9 +101,11 @@ def required_error(df: DataFrame, contract: Contract) -> str:
         reason = f"CASE WHEN x IS NULL THEN if({listed}, 'missing', 'null') WHEN {is_blank('x')} THEN 'empty' END"
     else:
         reason = f"CASE WHEN x IS NULL THEN if({listed}, NULL, 'null') WHEN {is_blank('x')} THEN 'empty' END"
-    # A null or blank cell is below '!'. Most rows have none; they are not taken through the lambda, which is interpreted.
-    lowest = ", ".join(f"coalesce({_cell(f.name, kinds_of(df)[f.name], contract.policy.empty_nested_is_blank)}, '')" for f in rules)
-    broken = f"least('!', {lowest}) < '!' AND exists({cells}, x -> x IS NULL OR {is_blank('x')})"
+    broken = f"exists({cells}, x -> x IS NULL OR {is_blank('x')})"
+    if len(rules) <= COMPILED:  # a null or blank cell is below '!'
+        kinds, look_inside = kinds_of(df), contract.policy.empty_nested_is_blank
+        lowest = ", ".join(f"coalesce({_cell(f.name, kinds[f.name], look_inside)}, '')" for f in rules)
+        broken = f"least('!', {lowest}) < '!' AND {broken}"
     found = _first_found(f"transform({cells}, (x, i) -> {reason})", names)
     return f"CASE WHEN {broken} THEN {found} END"
 
@@ -123,20 +128,21 @@ def length_error(df: DataFrame, contract: Contract) -> str:
     texts = "array(" + ", ".join(text_of(col(f.name), kinds[f.name]) for f in rules) + ")"
     names = _names(rules)
     top = 2**31 - 1
-    limits = [(f.min_length or 0, top if f.max_length is None else f.max_length) for f in rules]
-    low = "get(array(" + ", ".join(str(least) for least, _ in limits) + "), i)"
-    high = "get(array(" + ", ".join(str(most) for _, most in limits) + "), i)"
-
-    def outside(c: str, least: int | str, most: int | str) -> str:
-        return f"coalesce(NOT {utf16_length(c)} BETWEEN {least} AND {most}, true)"
-
+    low = "get(array(" + ", ".join(str(f.min_length or 0) for f in rules) + "), i)"
+    high = "get(array(" + ", ".join(str(top if f.max_length is None else f.max_length) for f in rules) + "), i)"
+    size = utf16_length("x")
+    outside = f"coalesce(NOT {size} BETWEEN {low} AND {high}, true)"
     limit = f"if({high} = {top}, '', cast({high} as string))"
-    size = f"coalesce(cast({utf16_length('x')} as string), 'of null')"
-    reason = f"CASE WHEN {outside('x', low, high)} THEN concat('length ', {size}, ' outside ', {low}, '..', {limit}) END"
-    if all(isinstance(kinds[f.name], T.StringType) for f in rules):  # most rows pass, without the lambda, which is interpreted
-        broken = "greatest(0, " + ", ".join(f"int({outside(col(f.name), *at)})" for f, at in zip(rules, limits, strict=True)) + ") = 1"
-    else:
-        broken = f"exists(transform({texts}, (x, i) -> {outside('x', low, high)}), b -> b)"
+    reason = f"CASE WHEN {outside} THEN concat('length ', coalesce(cast({size} as string), 'of null'), ' outside ', {low}, '..', {limit}) END"
+    broken = f"exists(transform({texts}, (x, i) -> {outside}), b -> b)"
+    if len(rules) <= COMPILED and all(isinstance(kinds[f.name], T.StringType) for f in rules):
+        # A unit is one to three bytes, so a text of that many bytes is surely inside.
+        inside = " AND ".join(
+            f"coalesce(octet_length({col(f.name)}) BETWEEN {3 * f.min_length - 2 if f.min_length else 0} "
+            f"AND {top if f.max_length is None else f.max_length}, false)"
+            for f in rules
+        )
+        broken = f"NOT ({inside}) AND {broken}"
     return f"CASE WHEN {broken} THEN {_first_found(f'transform({texts}, (x, i) -> {reason})', names)} END"
 
 
