@@ -8,14 +8,16 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from landfall.llm.base import col, shared_dir
+from landfall.llm.base import BATCH_BYTES, col, shared_dir
 from landfall.llm.tokens import encoding
 
 OPTIONS = {
@@ -29,6 +31,14 @@ OPTIONS = {
 _ROW = "part int, doc_id long, start_in_part long, n_tokens long, token_ids array<int>"
 
 
+def _of_bytes(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """The rows in order, in slices of about ``most`` bytes of text in column 1, or of one longer text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    starts = np.flatnonzero(np.diff(np.cumsum(sizes) // most, prepend=-1)).tolist()
+    for start, stop in pairwise([*starts, batch.num_rows]):
+        yield batch.slice(start, stop - start)
+
+
 def write_tokens(df: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 1, path: str | None = None) -> str:
     """Encodes whole texts and writes the files; returns their folder.
 
@@ -42,13 +52,14 @@ def write_tokens(df: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, done = TaskContext.get().partitionId(), 0
         enc = encoding(tokenizer)
+        end = np.array([end_id], enc.dtype).tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                few = batch.slice(at, 256)
-                ids = [np.append(np.frombuffer(enc.ids(t.as_py()), enc.dtype).astype(np.int32), np.int32(end_id)) for t in few.column(1)]
-                n = np.array([len(i) for i in ids], np.int64)
+            for few in _of_bytes(batch, BATCH_BYTES):
+                ids = [i + end for i in enc.many(few.column(1).to_pylist())]
+                n = np.array([len(i) // enc.dtype.itemsize for i in ids], np.int64)
                 ends = np.cumsum(n)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(np.concatenate(ids)))
+                flat = np.frombuffer(b"".join(ids), enc.dtype).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(flat))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(n), part, np.int32)), few.column(0), pa.array(done + ends - n), pa.array(n), lists],
                     names=["part", "doc_id", "start_in_part", "n_tokens", "token_ids"],
@@ -79,9 +90,9 @@ def digests(tokens: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(2)
-            flat, ends = lists.flatten().to_numpy().astype("<u4"), lists.offsets.to_numpy()
+            flat, ends = lists.flatten().to_numpy().astype("<u4", copy=False), lists.offsets.to_numpy()
             ends = ends - ends[0]
-            crc = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            crc = [zlib.crc32(flat[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(np.diff(ends).astype(np.int64)), pa.array(crc, pa.int64())],
                 names=["doc_id", "start", "n_tokens", "ids_crc32"],

@@ -3,7 +3,9 @@
 The two BPE files used here end a pre-token before white space and after a run of letters
 and digits, so a text is cut there, and each distinct piece is encoded once by the
 tokenizers library and remembered: words as they stand between blanks, and the pieces
-of words. Texts where a cut is not certain (white space or controls outside ASCII,
+of words. Where the file folds case and gives white space no ids, texts are lower-cased
+and cut in front of commas and full stops first, so fewer distinct words are encoded.
+Texts where a cut is not certain (white space or controls outside ASCII,
 the dotted capital I) are encoded in one call; words with underscores or characters
 that normalisation would join are not cut.
 """
@@ -18,6 +20,8 @@ from functools import cache
 from unicodedata import is_normalized
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from landfall.llm.base import remember
 
@@ -33,6 +37,9 @@ _ODD = re.compile("[\x00-\x08\x0e-\x1f\x7f-\xa0\xad\u0130\u1680\u180e\u2000-\u20
 _BREAKS = "\n\t\r\x0b\x0c"
 #: A blank that isn't followed by a word: then the cut at blanks is not certain.
 _DOUBLE = ("  ", " \n", " \t", " \r", " \x0b", " \x0c")
+#: A comma or full stop behind a letter or digit, and one behind anything else but a blank: it may stand inside a run of marks.
+_STOP = re.compile(r"(?<=[^\W_])[,.]")
+_RUN = re.compile(r"[,.](?<=[\W_][,.])(?<! [,.])")
 
 
 class _Uncertain(Exception):
@@ -109,9 +116,7 @@ class Encoder:
             return b""
         try:
             if self.strips:  # white space has no ids and any of it ends a pre-token
-                for c in _BREAKS:
-                    text = text.replace(c, " ")
-                return b"".join(map(self.words.__getitem__, text.split(" ")))
+                return b"".join(map(self.words.__getitem__, self._spread(text).split(" ")))
             if text[-1] == " " or any(d in text for d in _DOUBLE):
                 return b"".join(map(self.heads.__getitem__, _COARSE.findall(text)))
             head, *words = text.split(" ")
@@ -119,6 +124,41 @@ class Encoder:
         except _Uncertain:
             return self.whole(text)
 
+    def many(self, texts: list[str | None]) -> list[bytes]:
+        """ids() of each text; where white space has no ids, a word is looked up once for all of them."""
+        if not self.strips:
+            return [self.ids(t) for t in texts]
+        lists = pc.split_pattern(pa.array([self._spread(t or "") for t in texts], pa.string()), " ")
+        words = lists.flatten().dictionary_encode()
+        found = self._look_up(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids = pa.ListArray.from_arrays(lists.offsets, pa.array(found, pa.binary()).take(words.indices))
+        joined = pc.binary_join(ids, pa.scalar(b"", pa.binary())).to_pylist()  # null where a word is
+        return [self.whole(t) if i is None else i for t, i in zip(texts, joined, strict=True)]
+
+    def _look_up(self, words: list[str]) -> list[bytes | None]:
+        """Ids of words; none where a cut is not certain."""
+        found = list(map(self.words.get, words))
+        for at in [i for i, ids in enumerate(found) if ids is None]:
+            try:
+                found[at] = self.words[words[at]]
+            except _Uncertain:
+                pass
+        return found
+
+    def _spread(self, text: str) -> str:
+        """A text with the same ids where white space has none: in small letters, with blanks for line ends and in front of commas and full stops."""
+        for c in _BREAKS:
+            text = text.replace(c, " ")
+        if not is_normalized("NFC", text):  # a letter may become one with a mark, which the stop behind it joins
+            return text
+        if self.folds and "Σ" not in text and "\u0130" not in text:
+            low = text.lower()
+            if is_normalized("NFC", low):  # else small letters and marks would be joined that the capitals were not
+                text = low
+        if _RUN.search(text):
+            return _STOP.sub(r" \g<0>", text)
+        return text.replace(",", " ,").replace(".", " .")
+
     def _work_out(self, before: str, word: str) -> bytes:
         if word.isalpha() and self.by_model and (word.isascii() or is_normalized("NFC", word) and "Σ" not in word and "\u0130" not in word):
             return self._by_model(before, word)
